@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from catalith.constants import MATCH_EDITION_TOKENS
 from catalith.functions.lists import strings
-from catalith.functions.text import is_year_token, normalize_title, tokens
+from catalith.functions.text import normalize_title, tokens
 
 _WORD = 64
 
@@ -114,42 +114,61 @@ def _indel_ratio(len_a: Column, len_b: Column, lcs: Column) -> Column:
     return (F.lit(1.0) - (total - lcs * 2) / total) * 100.0
 
 
-def score_normalized(na: Column, nb: Column) -> Column:
-    """Fuzzy score of two already normalised titles."""
-    ta, tb = tokens(na), tokens(nb)
-    sa, sb = F.array_join(F.array_sort(ta), " "), F.array_join(F.array_sort(tb), " ")
-    differ = (sa != sb) & (sa != "") & (sb != "")
-    lcs = _lcs(F.when(differ, sa), F.when(differ, sb))
-    token_sort = (
-        F.when(sa == sb, F.lit(100.0)).when(differ, _indel_ratio(F.length(sa), F.length(sb), lcs)).otherwise(F.lit(0.0))
-    )
+_ONLY_YEARS = r"^(?:(?:19\d{2}|20\d{2}|2100)(?: |$))+$"
+
 
+def with_scores(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add one score column per pair of already normalised title columns; NULL when either title is NULL.
+
+    Words and sorted words are computed once per title, and all pairs share one Arrow pass.
+    """
+    titles = list(dict.fromkeys(c for pair in pairs.values() for c in pair))
+    at = {c: i for i, c in enumerate(titles)}
     editions = strings(MATCH_EDITION_TOKENS)
-    more_a, more_b = F.array_except(ta, tb), F.array_except(tb, ta)
+    words = {f"__fw{i}": tokens(F.col(c)) for c, i in at.items()}
+    out = df.withColumns(words)
+    out = out.withColumns({f"__fs{i}": F.array_join(F.sort_array(F.col(f"__fw{i}")), " ") for i in at.values()})
 
-    def harmless(extra: Column) -> Column:
-        only = F.forall(extra, is_year_token) | F.forall(extra, lambda t: F.array_contains(editions, t))
-        return (F.size(extra) > 0) & only
+    extras: dict[str, Column] = {}
+    for n, (a, b) in enumerate(pairs.values()):
+        extras[f"__fa{n}"] = F.array_except(f"__fw{at[a]}", f"__fw{at[b]}")
+        extras[f"__fb{n}"] = F.array_except(f"__fw{at[b]}", f"__fw{at[a]}")
+    out = out.withColumns(extras)
 
-    partial_ok = (harmless(more_a) & (F.size(more_b) == 0)) | (harmless(more_b) & (F.size(more_a) == 0))
-    inside = F.contains(na, nb) | F.contains(nb, na)
-    some = (na != "") & (nb != "")
-    need_window = partial_ok & some & ~inside
-    window = _window_ratio(F.when(need_window, na), F.when(need_window, nb))
-    partial = F.when(some & inside, F.lit(100.0)).otherwise(F.coalesce(window, F.lit(0.0)))
-    score = F.when(partial_ok, F.greatest(token_sort, partial)).otherwise(token_sort)
-    return F.floor(score).cast("int")
+    def harmless(extra: Column) -> Column:
+        years = F.array_join(extra, " ").rlike(_ONLY_YEARS)
+        return (F.size(extra) > 0) & (years | (F.size(F.array_except(extra, editions)) == 0))
+
+    asked: dict[str, Column] = {}
+    for n, (a, b) in enumerate(pairs.values()):
+        na, nb, sa, sb = F.col(a), F.col(b), F.col(f"__fs{at[a]}"), F.col(f"__fs{at[b]}")
+        more_a, more_b = F.col(f"__fa{n}"), F.col(f"__fb{n}")
+        partial_ok = ((F.size(more_b) == 0) & harmless(more_a)) | ((F.size(more_a) == 0) & harmless(more_b))
+        differ = (sa != sb) & (sa != "") & (sb != "")
+        some = (na != "") & (nb != "")
+        inside = some & (F.contains(na, nb) | F.contains(nb, na))
+        need_window = partial_ok & some & ~inside
+        asked[f"__fp{n}"] = partial_ok
+        asked[f"__fi{n}"] = inside
+        asked[f"__fl{n}"] = _lcs(F.when(differ, sa), F.when(differ, sb))
+        asked[f"__fr{n}"] = _window_ratio(F.when(need_window, na), F.when(need_window, nb))
+    out = out.withColumns(asked)
+
+    scores: dict[str, Column] = {}
+    for n, (name, (a, b)) in enumerate(pairs.items()):
+        sa, sb = F.col(f"__fs{at[a]}"), F.col(f"__fs{at[b]}")
+        total = (F.length(sa) + F.length(sb)).cast("double")
+        ratio = (F.lit(1.0) - (total - F.col(f"__fl{n}") * 2) / total) * 100.0
+        token_sort = F.when(sa == sb, F.lit(100.0)).otherwise(F.coalesce(ratio, F.lit(0.0)))
+        partial = F.when(F.col(f"__fi{n}"), F.lit(100.0)).otherwise(F.coalesce(F.col(f"__fr{n}"), F.lit(0.0)))
+        best = F.when(F.col(f"__fp{n}"), F.greatest(token_sort, partial)).otherwise(token_sort)
+        scores[name] = F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.floor(best).cast("int"))
+    return out.withColumns(scores).drop(*words, *[f"__fs{i}" for i in at.values()], *extras, *asked)
 
 
 def with_fuzzy_scores(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """Add one score column per pair of title columns; each title is normalised once, all pairs share one Arrow pass."""
+    """Add one score column per pair of raw title columns; each title is normalised once."""
     titles = list(dict.fromkeys(c for pair in pairs.values() for c in pair))
     norm = {c: f"__norm_{i}" for i, c in enumerate(titles)}
     out = df.withColumns({n: normalize_title(F.col(c)) for c, n in norm.items()})
-    out = out.withColumns({name: score_normalized(F.col(norm[a]), F.col(norm[b])) for name, (a, b) in pairs.items()})
-    return out.drop(*norm.values())
-
-
-def fuzzy_score(a: Column, b: Column) -> Column:
-    """Fuzzy score of two title columns (use :func:`with_fuzzy_scores` for several pairs)."""
-    return score_normalized(normalize_title(a), normalize_title(b))
+    return with_scores(out, {name: (norm[a], norm[b]) for name, (a, b) in pairs.items()}).drop(*norm.values())

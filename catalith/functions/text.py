@@ -38,16 +38,18 @@ def normalize_title(c: Column) -> Column:
 
     One ``translate`` pass does all single-character work, so the whole function stays in generated code.
     """
-    s = F.translate(F.lower(text(c)), SPACED_CHARS + DROPPED_CHARS, " " * len(SPACED_CHARS))
-    s = F.concat(F.lit(" "), s, F.lit(" "))
+    s = F.translate(F.lower(F.coalesce(c, F.lit(""))), SPACED_CHARS + DROPPED_CHARS, " " * len(SPACED_CHARS))
+    padded = F.concat(F.lit(" "), s, F.lit(" "))
+    arabic = padded
     for number, roman in enumerate(ROMAN_NUMERALS, start=1):
-        s = F.replace(s, F.lit(f" {roman} "), F.lit(f" {number} "))
-    return F.trim(F.regexp_replace(s, r"(?U)\s+", " "))
+        arabic = F.replace(arabic, F.lit(f" {roman} "), F.lit(f" {number} "))
+    converted = F.when(padded.rlike(" [ivx]+ "), arabic).otherwise(padded)
+    return F.trim(F.regexp_replace(converted, r"(?U)\s+", " "))
 
 
 def tokens(normalized: Column) -> Column:
     """Words of an already normalised title (empty title: no words)."""
-    return F.filter(F.split(normalized, " "), lambda t: t != "")
+    return F.when(normalized == "", strings(())).otherwise(F.split(normalized, " "))
 
 
 def title_tokens(c: Column) -> Column:
@@ -75,39 +77,66 @@ def row_year_hint(columns: list[str], name: str = "Name") -> Column:
     return F.coalesce(*known, year_hint(F.col(name)))
 
 
-def is_year_token(t: Column) -> Column:
-    return t.rlike(r"^(19\d{2}|20\d{2}|2100)$")
+# Number words of a normalised title are found by one regular expression each, which stays in generated code.
+_YEAR_WORD = r"(?:^| )(19\d{2}|20\d{2}|2100)(?= |$)"
+_SERIES = r"[1-9]|[1-4]\d|50"
+_NOT_THOUSANDS = r"(?! 000(?: |$))"
 
 
-def match_series_numbers(words: Column) -> Column:
-    """Series numbers for ranking and for most providers: 1..50 without leading zeros."""
-    return F.array_distinct(F.filter(words, lambda t: t.rlike(r"^([1-9]|[1-4]\d|50)$")))
+def count_year_words(words: Column) -> Column:
+    """Number of year words in a list of words."""
+    return F.regexp_count(F.array_join(words, " "), F.lit(_YEAR_WORD))
 
 
-def _not_thousands(words: Column, i: Column) -> Column:
-    return ~F.coalesce(F.get(words, i + 1) == "000", F.lit(False))
+def only_year_words(words: Column) -> Column:
+    return F.array_join(words, " ").rlike(r"^(?:(?:19\d{2}|20\d{2}|2100)(?: |$))+$")
 
 
-def report_series_numbers(words: Column) -> Column:
+def _numbers(normalized: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(normalized, F.lit(pattern), F.lit(1))
+
+
+def match_series_numbers(normalized: Column) -> Column:
+    """Sorted series numbers (text) for ranking and most providers: 1..50 without leading zeros."""
+    return F.sort_array(F.array_distinct(_numbers(normalized, rf"(?:^| )({_SERIES})(?= |$)")))
+
+
+def has_series_number(normalized: Column) -> Column:
+    return normalized.rlike(rf"(?:^| )({_SERIES})(?= |$)")
+
+
+def has_other_number(normalized: Column) -> Column:
+    """Whether a title has a number word that is not a year."""
+    return normalized.rlike(r"(?:^| )(?!(?:19\d{2}|20\d{2}|2100)(?: |$))\d+(?= |$)")
+
+
+def _as_ints(numbers: Column) -> Column:
+    return F.sort_array(F.array_distinct(numbers.cast("array<int>")))
+
+
+def report_series_numbers(normalized: Column) -> Column:
     """Series numbers for the validation report: leading zeros allowed, ``40 000`` ignored; sorted INTs."""
-    kept = F.filter(words, lambda t, i: t.rlike(r"^0*([1-9]|[1-4]\d|50)$") & _not_thousands(words, i))
-    return F.array_sort(F.array_distinct(F.transform(kept, lambda t: t.cast("int"))))
+    return _as_ints(_numbers(normalized, rf"(?:^| )(0*(?:{_SERIES}))(?= |$){_NOT_THOUSANDS}"))
 
 
-def import_series_numbers(words: Column) -> Column:
+def import_series_numbers(normalized: Column) -> Column:
     """Series numbers for import tags: no leading zeros and ``40 000`` ignored; sorted INTs."""
-    kept = F.filter(words, lambda t, i: t.rlike(r"^([1-9]|[1-4]\d|50)$") & _not_thousands(words, i))
-    return F.array_sort(F.array_distinct(F.transform(kept, lambda t: t.cast("int"))))
+    return _as_ints(_numbers(normalized, rf"(?:^| )({_SERIES})(?= |$){_NOT_THOUSANDS}"))
 
 
-def store_has_series_number(words: Column) -> Column:
+def store_has_series_number(normalized: Column) -> Column:
     """Store variant: any number of one or two digits other than 0 and 1."""
-    return F.exists(words, lambda t: t.rlike(r"^\d{1,2}$") & ~t.isin("0", "1"))
+    return normalized.rlike(r"(?:^| )(?![01](?: |$))\d{1,2}(?= |$)")
 
 
-def non_year_numbers(words: Column) -> Column:
+def non_year_numbers(normalized: Column) -> Column:
     """Number words except four-digit 19xx/20xx ones."""
-    return F.array_distinct(F.filter(words, lambda t: t.rlike(r"^\d+$") & ~t.rlike(r"^(19|20)\d{2}$")))
+    return F.array_distinct(_numbers(normalized, r"(?:^| )(?!(?:19|20)\d{2}(?: |$))(\d+)(?= |$)"))
+
+
+def plain_words(normalized: Column) -> Column:
+    """Distinct words that are not numbers."""
+    return F.array_distinct(_numbers(normalized, r"(?:^| )(?!\d+(?: |$))([^ ]+)"))
 
 
 def match_dlc_like(words: Column) -> Column:
@@ -131,7 +160,7 @@ def edition_tokens(title: Column) -> Column:
     goty = F.when(F.contains(n, F.lit("game of the year")), F.array(F.lit("goty")))
     cut = F.when(contains_any(n, ("director s cut", "directors cut")), F.array(F.lit("directors")))
     none = strings(())
-    return F.array_sort(F.array_union(F.array_union(found, F.coalesce(goty, none)), F.coalesce(cut, none)))
+    return F.sort_array(F.array_union(F.array_union(found, F.coalesce(goty, none)), F.coalesce(cut, none)))
 
 
 def edition_or_port(title: Column) -> Column:
@@ -140,8 +169,9 @@ def edition_or_port(title: Column) -> Column:
 
 def strip_edition_tokens(title: Column) -> Column:
     """Normalised title without edition words (duplicates of other words kept)."""
-    drop = strings(STORE_EDITION_TOKENS)
-    return F.array_join(F.filter(tokens(normalize_title(title)), lambda t: ~F.array_contains(drop, t)), " ")
+    editions = "|".join(STORE_EDITION_TOKENS)
+    kept = F.regexp_replace(normalize_title(title), rf"(?:(?<=^)|(?<= ))(?:{editions})(?= |$)", "")
+    return F.trim(F.regexp_replace(kept, " +", " "))
 
 
 def strip_trailing_year(title: Column) -> Column:
@@ -338,11 +368,11 @@ def platform_import_bucket(c: Column) -> Column:
 
 
 def platform_report_set(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.transform(clean_list(c), platform_report_bucket), lambda p: p != "")))
+    return F.sort_array(F.array_distinct(F.filter(F.transform(clean_list(c), platform_report_bucket), lambda p: p != "")))
 
 
 def platform_import_set(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.array_compact(F.transform(clean_list(c), platform_import_bucket))))
+    return F.sort_array(F.array_distinct(F.array_compact(F.transform(clean_list(c), platform_import_bucket))))
 
 
 def pc_like(platform: Column) -> Column:
@@ -352,4 +382,4 @@ def pc_like(platform: Column) -> Column:
 
 
 def genre_set(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.transform(clean_list(c), normalize_title), lambda g: g != "")))
+    return F.sort_array(F.array_distinct(F.filter(F.transform(clean_list(c), normalize_title), lambda g: g != "")))

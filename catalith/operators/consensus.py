@@ -11,7 +11,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.functions.fuzzy import score_normalized
+from catalith.functions.fuzzy import with_scores
 from catalith.functions.lists import clean_list, compact, is_blank, strings, tag_if, text
 from catalith.functions.company import without_low_signal
 from catalith.functions.text import normalize_title
@@ -73,13 +73,10 @@ def provider_consensus(
     names = sorted(titles)
     years = years or {}
     norm = {p: f"__t_{p}" for p in names}
-    work = df.withColumns({norm[p]: normalize_title(F.col(titles[p])) for p in names})
-    present = [~is_blank(F.col(titles[p])) for p in names]
-    scores = {}
-    for (i, a), (j, b) in combinations(enumerate(names), 2):
-        both = present[i] & present[j]
-        scores[f"__s_{i}_{j}"] = score_normalized(F.when(both, F.col(norm[a])), F.when(both, F.col(norm[b])))
-    work = work.withColumns(scores)
+    work = df.withColumns({norm[p]: F.when(~is_blank(F.col(titles[p])), normalize_title(F.col(titles[p]))) for p in names})
+    present = [F.col(norm[p]).isNotNull() for p in names]
+    scores = {f"__s_{i}_{j}": (norm[a], norm[b]) for (i, a), (j, b) in combinations(enumerate(names), 2)}
+    work = with_scores(work, scores)
     edge = {}
     for (i, a), (j, b) in combinations(enumerate(names), 2):
         close = F.lit(True)
@@ -175,7 +172,7 @@ def intersection(sets: dict[str, str], min_voters: int = 2) -> Column:
     """Items common to all non-empty sets, sorted; empty with too few voters."""
     filled = F.filter(F.array(*[F.coalesce(F.col(c), strings(())) for c in sets.values()]), lambda s: F.size(s) > 0)
     common = F.aggregate(filled, F.get(filled, F.lit(0)), lambda acc, s: F.array_intersect(acc, s))
-    return F.when(F.size(filled) >= min_voters, F.array_sort(common)).otherwise(strings(()))
+    return F.when(F.size(filled) >= min_voters, F.sort_array(common)).otherwise(strings(()))
 
 
 def _company_component(sets: dict[str, Column]) -> tuple[list[str], Column, Column]:
@@ -194,7 +191,7 @@ def company_majority(sets: dict[str, str]) -> tuple[Column, Column]:
     cols = {p: F.coalesce(F.col(c), strings(())) for p, c in sets.items()}
     names, best, have = _company_component(cols)
     members = F.array_compact(F.array(*[F.when(F.array_contains(best, p), cols[p]) for p in names]))
-    common = F.array_sort(F.aggregate(members, F.get(members, F.lit(0)), lambda acc, s: F.array_intersect(acc, s)))
+    common = F.sort_array(F.aggregate(members, F.get(members, F.lit(0)), lambda acc, s: F.array_intersect(acc, s)))
     ok = (F.size(have) >= 2) & (F.size(best) * 2 > F.size(have)) & (F.size(common) > 0)
     return F.when(ok, best).otherwise(strings(())), F.when(ok, common).otherwise(strings(()))
 
@@ -224,7 +221,7 @@ def actionable_tags(
 ) -> Column:
     """``likely_wrong:<p>`` for title outliers that are also year or platform outliers, ``ambiguous_title_year``."""
     suspects = F.array_union(_after(year_tags, "year_outlier:"), _after(platform_tags, "platform_outlier:"))
-    wrong = F.array_sort(F.array_intersect(consensus["outliers"], suspects))
+    wrong = F.sort_array(F.array_intersect(consensus["outliers"], suspects))
     present_years = F.array_compact(
         F.array(*[F.when(F.array_contains(consensus["present"], p), F.col(c)) for p, c in years.items()])
     )
@@ -269,7 +266,7 @@ def canonical_title(titles: dict[str, str]) -> Column:
             e["rank"].alias("rank"),
             e["source"].alias("source"),
             e["title"].alias("title"),
-            F.array_sort(F.transform(same, lambda o: o["source"])).alias("members"),
+            F.sort_array(F.transform(same, lambda o: o["source"])).alias("members"),
         )
 
     best = F.array_max(F.transform(entries, sized))
@@ -302,7 +299,7 @@ def main_genre(genres: dict[str, str]) -> Column:
     )
 
     def of(norm: Column) -> Column:
-        return F.array_sort(F.array_distinct(F.transform(F.filter(mentions, lambda m: m["norm"] == norm), lambda m: m["provider"])))
+        return F.sort_array(F.array_distinct(F.transform(F.filter(mentions, lambda m: m["norm"] == norm), lambda m: m["provider"])))
 
     counted = F.transform(
         F.array_distinct(F.transform(mentions, lambda m: m["norm"])),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalith.constants import NOT_FOUND, STABLE_TAG_PREFIXES
 from catalith.functions.lists import clean_list, is_blank, strings, tag_if, text
 from catalith.functions.parse import is_yes
-from catalith.functions.text import import_series_numbers, pc_like, normalize_title, tokens
+from catalith.functions.text import import_series_numbers, normalize_title, pc_like
 from catalith.operators.consensus import (
     actionable_tags,
     consensus_tags,
@@ -130,7 +130,7 @@ def review_tags(df: DataFrame, sources: set[str] | None = None) -> DataFrame:
     actionable = actionable_tags(cons, years, yt, pt)
     store_named = on["steam"] & has_store & named & (matched("Steam") != "")
     series_apart = store_named & (
-        import_series_numbers(tokens(normalize_title(F.col("Name")))) != import_series_numbers(tokens(normalize_title(matched("Steam"))))
+        import_series_numbers(normalize_title(F.col("Name"))) != import_series_numbers(normalize_title(matched("Steam")))
     )
     store_type = F.lower(text(fact("steam_type")))
     wrong_type = store_named & (store_type != "") & (store_type != "game")

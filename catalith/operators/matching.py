@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.functions.fuzzy import score_normalized
+from catalith.functions.fuzzy import with_scores
 from catalith.functions.text import (
-    is_year_token,
+    count_year_words,
+    has_other_number,
+    has_series_number,
     match_dlc_like,
     match_series_numbers,
     normalize_title,
@@ -47,24 +49,19 @@ def score_candidates(
     """
     q, c = f"{prefix}q", f"{prefix}c"
     out = df.withColumns({q: normalize_title(F.col(query)), c: normalize_title(F.coalesce(F.col(name), F.lit("")))})
+    out = with_scores(out, {f"{prefix}raw": (q, c)})
     out = out.withColumns(
-        {
-            f"{prefix}qt": F.array_distinct(tokens(F.col(q))),
-            f"{prefix}ct": F.array_distinct(tokens(F.col(c))),
-            f"{prefix}raw": score_normalized(F.col(q), F.col(c)),
-        }
+        {f"{prefix}qt": F.array_distinct(tokens(F.col(q))), f"{prefix}ct": F.array_distinct(tokens(F.col(c)))}
     )
     qt, ct, raw = F.col(f"{prefix}qt"), F.col(f"{prefix}ct"), F.col(f"{prefix}raw")
-    qs, cs = match_series_numbers(qt), match_series_numbers(ct)
-    series = F.when((F.size(qs) == 0) & (F.size(cs) > 0), 15).otherwise(0) + F.when(
-        (F.size(qs) > 0) & (F.size(cs) > 0) & ~F.arrays_overlap(qs, cs), 20
-    ).otherwise(0)
+    q_has, c_has = has_series_number(F.col(q)), has_series_number(F.col(c))
+    apart = q_has & c_has & ~F.arrays_overlap(match_series_numbers(F.col(q)), match_series_numbers(F.col(c)))
+    series = F.when(~q_has & c_has, 15).when(apart, 20).otherwise(0)
     dlc = match_dlc_like(ct)
     differing = F.array_union(F.array_except(qt, ct), F.array_except(ct, qt))
-    year_diff = F.size(F.filter(differing, is_year_token))
+    year_diff = count_year_words(differing)
     other_diff = F.size(differing) - year_diff
-    numbered = F.exists(qt, lambda t: t.rlike(r"^\d+$") & ~is_year_token(t))
-    bonus = F.when(numbered & (F.col(q) != "") & F.startswith(F.col(c), F.col(q)), 25).otherwise(0)
+    bonus = F.when(has_other_number(F.col(q)) & F.startswith(F.col(c), F.col(q)), 25).otherwise(0)
     if year_hint and candidate_year:
         delta = F.abs(F.col(candidate_year) - F.col(year_hint))
         year_points = (

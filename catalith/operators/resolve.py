@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.constants import NOT_FOUND
-from catalith.functions.fuzzy import score_normalized
+from catalith.functions.fuzzy import with_fuzzy_scores
 from catalith.functions.lists import clean_list, is_blank, text
 from catalith.functions.parse import is_yes
-from catalith.functions.text import normalize_title, row_year_hint, valid_year
+from catalith.functions.text import row_year_hint, valid_year
 from catalith.operators.consensus import majority_value, provider_consensus
 from catalith.operators.diagnostics import add_tag, split_tags
 
@@ -81,9 +81,8 @@ def with_majority(df: DataFrame) -> DataFrame:
     work = work.withColumnsRenamed({t: f"__title_{p}" for p, t in titles.items()})
     titles = {p: f"__title_{p}" for p in names}
     work = provider_consensus(work, titles, years, min_providers=2, out="__cons")
-    own = normalize_title(F.col("Name"))
-    scores = {f"__s_{p}": score_normalized(own, normalize_title(F.col(titles[p]))) for p in names}
-    work = work.withColumns(scores)
+    scores = {f"__s_{p}": ("Name", titles[p]) for p in names}
+    work = with_fuzzy_scores(work, scores)
 
     def member(p: str) -> Column:
         return F.array_contains(F.col("__cons.majority"), p) & (F.col(titles[p]) != "")
@@ -117,8 +116,8 @@ def retry_query(rows: DataFrame, titles: list[Column], target: Column, key: str
     pre-aggregated maximum. Result: ``key, out``; rows without any title are absent.
     """
     listed = F.concat(*[clean_list(c) for c in titles])
-    opened = rows.select(key, normalize_title(target).alias("__target"), F.posexplode(listed).alias("pos", "title"))
-    scored = opened.withColumn("s", score_normalized(F.col("__target"), normalize_title(F.col("title"))))
+    opened = rows.select(key, target.alias("__target"), F.posexplode(listed).alias("pos", "title"))
+    scored = with_fuzzy_scores(opened, {"s": ("__target", "title")})
     order = F.struct("s", (-F.length("title")).alias("l"), (-F.col("pos")).alias("p"), "title")
     return scored.groupBy(key).agg(F.max(order)["title"].alias(out))
 
@@ -146,14 +145,16 @@ def plan_actions(targets: DataFrame, found: DataFrame) -> DataFrame:
     ``found``: ``RowId, provider, new_id, new_name, new_year`` for targets whose retry matched something. An unknown
     year counts as near.
     """
-    joined = targets.join(found, ["RowId", "provider"], "left")
-    goal = F.coalesce(F.nullif(F.col("majority_title"), F.lit("")), F.col("Name"))
-    matched = F.coalesce(F.col("new_name"), F.lit(""))
-    score = F.when(matched != "", score_normalized(normalize_title(goal), normalize_title(matched))).otherwise(0)
+    joined = targets.join(found, ["RowId", "provider"], "left").withColumn(
+        "__goal", F.coalesce(F.nullif(F.col("majority_title"), F.lit("")), F.col("Name"))
+    )
+    named = ~is_blank(F.col("new_name"))
+    joined = with_fuzzy_scores(joined, {"__near": ("__goal", "new_name"), "__own": ("Name", "new_name")})
+    score = F.when(named, F.col("__near")).otherwise(0)
     year = valid_year(F.col("new_year").cast("string"))
     near = F.coalesce(F.abs(year - F.col("majority_year")) <= 1, F.lit(True))
     repin = F.col("new_id").isNotNull() & ((score >= 90) | near)
-    own_score = F.when(matched != "", score_normalized(normalize_title(F.col("Name")), normalize_title(matched)))
+    own_score = F.when(named, F.col("__own"))
     return joined.select(
         "RowId",
         "provider",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.constants import MATCHING, MatchConfig
-from catalith.functions.fuzzy import fuzzy_score
+from catalith.functions.fuzzy import with_fuzzy_scores
 from catalith.functions.lists import text
 from catalith.functions.parse import leading_year, year_from_epoch
 from catalith.functions.text import (
@@ -19,16 +19,18 @@ from catalith.functions.text import (
     describes_game,
     describes_other_media,
     describes_unwanted,
+    has_other_number,
+    has_series_number,
     match_series_numbers,
     non_year_numbers,
     normalize_title,
+    plain_words,
     provider_dlc_like,
     query_variants,
     store_has_series_number,
     strip_edition_phrases,
     strip_edition_tokens,
     strip_trailing_year,
-    title_tokens,
     tokens,
     valid_instance,
     year_in_text,
@@ -37,8 +39,8 @@ from catalith.operators.keys import first_n
 from catalith.operators.matching import best_per_group, pick_best, preference, rank_key, score_candidates
 
 
-def _words(c: Column) -> Column:
-    return tokens(normalize_title(c))
+def _is_dlc(title: Column) -> Column:
+    return provider_dlc_like(tokens(normalize_title(title)))
 
 
 def _near(year: Column, hint: Column, tolerance: int) -> Column:
@@ -50,19 +52,21 @@ def search_hits(queries: DataFrame, hits: DataFrame, term: str = "term") -> Data
     return queries.join(hits.withColumnRenamed("query", "__query"), F.col(term) == F.col("__query")).drop("__query")
 
 
-def _name_predicates(name: str = "cand_name", term: str = "term") -> dict[str, Column]:
-    q, c = _words(F.col(term)), _words(F.col(name))
-    q_nums = non_year_numbers(q)
-    q_text = F.filter(F.array_distinct(q), lambda t: ~t.rlike(r"^\d+$"))
-    c_text = F.filter(F.array_distinct(c), lambda t: ~t.rlike(r"^\d+$"))
+def with_name_predicates(df: DataFrame, name: str = "cand_name", term: str = "term") -> DataFrame:
+    """Add the title predicates of a filter chain: exact, unnumbered, not an add-on, same numbers."""
+    norm = df.withColumns({"__q": normalize_title(F.col(term)), "__c": normalize_title(F.col(name))})
+    q, c = F.col("__q"), F.col("__c")
+    q_nums, q_text = non_year_numbers(q), plain_words(q)
     has_nums = F.size(F.array_except(q_nums, non_year_numbers(c))) == 0
-    shares_word = (F.size(q_text) == 0) | F.arrays_overlap(q_text, c_text)
-    return {
-        "exact": normalize_title(F.col(name)) == normalize_title(F.col(term)),
-        "unnumbered": (F.size(q) == 0) | (F.size(match_series_numbers(q)) > 0) | (F.size(match_series_numbers(c)) == 0),
-        "not_dlc": provider_dlc_like(q) | ~provider_dlc_like(c),
-        "numbers": (F.size(q_nums) == 0) | (has_nums & shares_word),
-    }
+    shares_word = (F.size(q_text) == 0) | F.arrays_overlap(q_text, plain_words(c))
+    return norm.withColumns(
+        {
+            "p_exact": c == q,
+            "p_unnumbered": (q == "") | has_series_number(q) | ~has_series_number(c),
+            "p_base": provider_dlc_like(tokens(q)) | ~provider_dlc_like(tokens(c)),
+            "p_numbers": ~has_other_number(q) | (F.size(q_nums) == 0) | (has_nums & shares_word),
+        }
+    ).drop("__q", "__c")
 
 
 def select_rawg(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING, legacy_tiebreak: bool = False) -> DataFrame:
@@ -76,7 +80,7 @@ def select_rawg(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
     terms = queries.withColumn("__terms", F.array_compact(F.array(stripped, base)))
     terms = terms.select("*", F.posexplode("__terms").alias("term_no", "term")).drop("__terms")
     cand = search_hits(terms, hits).withColumn("cand_year", leading_year(F.col("released")))
-    p = _name_predicates()
+    cand = with_name_predicates(cand)
     near = _near(F.col("cand_year"), F.col("year_hint"), cfg.year_tolerance)
     best = pick_best(
         cand,
@@ -87,12 +91,12 @@ def select_rawg(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
         ["id", "cand_name"],
         "year_hint",
         "cand_year",
-        [p["exact"], p["unnumbered"], p["not_dlc"], near, p["numbers"]],
+        [F.col("p_exact"), F.col("p_unnumbered"), F.col("p_base"), near, F.col("p_numbers")],
         legacy_tiebreak,
         "pos",
     )
     starts = F.startswith(normalize_title(F.col("cand_name")), normalize_title(F.col("term")))
-    lifted = (F.col("score") < cfg.min_score) & starts & (F.size(non_year_numbers(_words(F.col("term")))) > 0)
+    lifted = (F.col("score") < cfg.min_score) & starts & (F.size(non_year_numbers(normalize_title(F.col("term")))) > 0)
     best = best.withColumn("score", F.when(lifted, cfg.min_score).otherwise(F.col("score")))
     accepted_first = (F.col("term_no") == 0) & (F.col("score") >= cfg.min_score)
     order = [accepted_first.alias("a"), F.col("score").alias("b"), (-F.col("term_no")).alias("c")]
@@ -112,8 +116,8 @@ def select_igdb(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
     """
     terms = queries.withColumn("term", strip_trailing_year(F.col("name")))
     cand = search_hits(terms, hits).withColumn("cand_year", year_from_epoch(F.col("first_release_date")))
-    p = _name_predicates()
-    main = provider_dlc_like(_words(F.col("term"))) | F.coalesce(F.col("category").cast("string") == "0", F.lit(True))
+    cand = with_name_predicates(cand)
+    main = _is_dlc(F.col("term")) | F.coalesce(F.col("category").cast("string") == "0", F.lit(True))
     best = pick_best(
         cand,
         ["row_id"],
@@ -125,10 +129,10 @@ def select_igdb(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
         "cand_year",
         [
             year_window(F.col("year_hint"), F.col("first_release_date")),
-            p["exact"],
+            F.col("p_exact"),
             main,
-            p["unnumbered"],
-            p["not_dlc"],
+            F.col("p_unnumbered"),
+            F.col("p_base"),
             _near(F.col("cand_year"), F.col("year_hint"), cfg.year_tolerance),
         ],
         legacy_tiebreak,
@@ -167,17 +171,15 @@ def select_store(
     first_term = apps.groupBy("row_id").agg(F.min("term_no").alias("term_no"))
     cand = apps.join(first_term, ["row_id", "term_no"])
 
-    query_words = _words(F.col("query_text"))
-    query_dlc = provider_dlc_like(query_words)
-    cand_words = _words(F.col("cand_name"))
+    query_dlc, cand_dlc = _is_dlc(F.col("query_text")), _is_dlc(F.col("cand_name"))
     base_norm = normalize_title(strip_edition_phrases(F.col("query_text")))
     bare = strip_edition_tokens(F.col("query_text"))
     same_base = (
         (bare != "")
-        & ~store_has_series_number(F.split(bare, " "))
+        & ~store_has_series_number(bare)
         & (F.coalesce(F.col("cand_name"), F.lit("")) != "")
         & (strip_edition_tokens(F.col("cand_name")) == bare)
-        & ~store_has_series_number(cand_words)
+        & ~store_has_series_number(normalize_title(F.col("cand_name")))
     )
     cand = cand.withColumns(
         {
@@ -185,7 +187,7 @@ def select_store(
                 normalize_title(F.col("cand_name")) == normalize_title(F.col("query_text")),
                 normalize_title(F.col("cand_name")) == base_norm,
                 same_base,
-                query_dlc | ~provider_dlc_like(cand_words),
+                query_dlc | ~cand_dlc,
             ),
             "cand_year": year_in_text(F.col("cand_name")),
         }
@@ -202,9 +204,9 @@ def select_store(
         return df.join(facts, F.col("id").cast("string") == F.col("__id"), "left")
 
     d_type, d_name = F.lower(text(F.col("d_type"))), text(F.col("d_name"))
-    d_dlc = provider_dlc_like(_words(F.col("d_name")))
-    q_nums = F.array_sort(match_series_numbers(query_words))
-    c_nums = F.array_sort(match_series_numbers(_words(F.col("cand_name"))))
+    d_dlc = _is_dlc(F.col("d_name"))
+    q_nums = match_series_numbers(normalize_title(F.col("query_text")))
+    c_nums = match_series_numbers(normalize_title(F.col("cand_name")))
     first = with_details(best).withColumns(
         {
             "valid_game": F.when(~query_dlc, F.col("__id").isNotNull() & (d_type == "game") & ~d_dlc),
@@ -214,7 +216,7 @@ def select_store(
     suspicious = (
         F.col("year_hint").isNotNull()
         | (F.col("score") < cfg.suspicious_score)
-        | (provider_dlc_like(_words(F.col("cand_name"))) & ~F.col("query_dlc"))
+        | (cand_dlc & ~F.col("query_dlc"))
         | ~F.coalesce(F.col("valid_game"), F.lit(True))
         | (q_nums != c_nums)
     )
@@ -224,7 +226,7 @@ def select_store(
     survivors = cand.join(tops, "row_id").where(F.col("code") == F.col("top_code"))
     sample = first_n(survivors, ["row_id"], [F.col("pos").asc()], cfg.refine_candidates)
     sampled = with_details(sample.select("row_id", "query_text", "year_hint", "id", "pos")).where(d_type == "game")
-    sampled = sampled.where(provider_dlc_like(query_words) | ~d_dlc).withColumn("d_year", year_in_text(F.col("d_date")))
+    sampled = sampled.where(query_dlc | ~d_dlc).withColumn("d_year", year_in_text(F.col("d_date")))
     second = pick_best(
         sampled, ["row_id"], "query_text", "d_name", "id", ["id", "d_name", "d_year"], "year_hint", "d_year",
         legacy_tiebreak=legacy_tiebreak, pos="pos",
@@ -248,7 +250,7 @@ def select_store(
         ~F.col("query_dlc"),
         F.when(F.col("__id").isNull(), "details_missing")
         .when((d_type != "") & (d_type != "game"), F.concat(F.lit("type_"), d_type))
-        .when(((d_name != "") & d_dlc) | provider_dlc_like(_words(F.col("cand_name"))), "dlc_like"),
+        .when(((d_name != "") & d_dlc) | cand_dlc, "dlc_like"),
     )
     reason = F.coalesce(reason, F.when(F.col("score") < cfg.min_score, "low_score"))
     result = chosen.select(
@@ -301,7 +303,7 @@ def select_playtime(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATC
         F.transform(cased, lambda v, i: F.struct(v.alias("term"), (i + 1000).alias("no"), F.lit(True).alias("cased"))),
     )
     terms = src.select("row_id", F.col("name").alias("__name"), F.inline(variants))
-    cand = search_hits(terms, hits).withColumn("score", fuzzy_score(F.col("__name"), F.col("cand_name")))
+    cand = with_fuzzy_scores(search_hits(terms, hits), {"score": ("__name", "cand_name")})
     hit = (F.col("score") >= cfg.early_stop_score) & ~F.col("cased")
     order = [
         (~F.col("cased")).alias("plain"),
@@ -399,8 +401,3 @@ def _entity_pick(terms: DataFrame, hits: DataFrame, instances: DataFrame, cfg: M
         .otherwise("reject")
     )
     return t.select(*keys, outcome.alias("outcome"), "final.p.id", "final.p.label", "final.p.score")
-
-
-def title_numbers_agree(a: str, b: str) -> Column:
-    """Whether two titles carry the same series numbers."""
-    return F.array_sort(match_series_numbers(title_tokens(F.col(a)))) == F.array_sort(match_series_numbers(title_tokens(F.col(b))))

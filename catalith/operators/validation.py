@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalith.constants import REPORT, ReportConfig
 from catalith.functions.company import company_key_set
-from catalith.functions.fuzzy import score_normalized
+from catalith.functions.fuzzy import with_scores
 from catalith.functions.lists import clean_list, contains_any, is_blank, strings, tag_if, text
 from catalith.functions.text import (
     edition_or_port,
@@ -18,7 +18,6 @@ from catalith.functions.text import (
     platform_report_set,
     report_dlc_like,
     report_series_numbers,
-    tokens,
     valid_year,
 )
 from catalith.operators.consensus import (
@@ -100,14 +99,8 @@ def validation_report(df: DataFrame, enabled: set[str] | None = None, cfg: Repor
             **{f"__nn_{p}": normalize_title(F.col(f"__n_{p}")) for p in PROVIDERS},
         }
     )
-    work = work.withColumns(
-        {
-            f"__sc_{p}": score_normalized(
-                F.when(F.col(f"__n_{p}") != "", F.col("__nn")), F.when(F.col(f"__n_{p}") != "", F.col(f"__nn_{p}"))
-            )
-            for p in PROVIDERS
-        }
-    )
+    shown = {f"__sn_{p}": F.when(F.col(f"__n_{p}") != "", F.col(f"__nn_{p}")) for p in PROVIDERS}
+    work = with_scores(work.withColumns(shown), {f"__sc_{p}": ("__nn", f"__sn_{p}") for p in PROVIDERS})
     low = {p.lower(): p for p in PROVIDERS}
     years = {lo: f"__y_{p}" for lo, p in low.items()}
     work = provider_consensus(work, {lo: f"__n_{p}" for lo, p in low.items()}, years, out="__cons")
@@ -122,7 +115,7 @@ def validation_report(df: DataFrame, enabled: set[str] | None = None, cfg: Repor
     editions = {p: edition_tokens(title[p]) for p in PROVIDERS}
     edition_sets = F.array(*[F.when(titled[p], F.array_join(editions[p], ",")) for p in PROVIDERS])
     edition_apart = F.size(F.array_distinct(F.array_compact(edition_sets))) >= 2
-    series = {p: report_series_numbers(tokens(F.col(f"__nn_{p}"))) for p in PROVIDERS}
+    series = {p: report_series_numbers(F.col(f"__nn_{p}")) for p in PROVIDERS}
     series_text = {p: F.array_join(series[p].cast("array<string>"), ",") for p in PROVIDERS}
     some_series = {p: F.size(series[p]) > 0 for p in PROVIDERS}
     series_sets = F.array(*[F.when(some_series[p], series_text[p]) for p in PROVIDERS])

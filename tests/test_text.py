@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalith.functions import text as t
-from catalith.functions.fuzzy import fuzzy_score, lcs_lengths
+from catalith.functions.fuzzy import lcs_lengths, with_fuzzy_scores
 from catalith.functions.lists import distinct_labels
 
 
@@ -28,23 +28,27 @@ def test_year_hint(one, raw, want):
     assert one(lambda: t.year_hint(F.col("s")), s=raw) == want
 
 
-@pytest.mark.parametrize(
-    "a, b, check",
-    [
-        ("60 Seconds!", "60 Seconds Santa Run", lambda s: s < 90),
-        ("Doom", "Doom (2016)", lambda s: s == 100),
-        ("Borderlands", "Borderlands Game of the Year Enhanced", lambda s: s == 100),
-        ("Doom 3", "Doom 2016", lambda s: s < 90),
-        ("kitten", "sitting", lambda s: s == 61),
-        ("", "", lambda s: s == 100),
-        ("", "abc", lambda s: s == 0),
-        ("Creed Directors Cut Assassins", "Assassins Creed", lambda s: s >= 68),
-    ],
-)
-def test_fuzzy_score(one, a, b, check):
-    ab = one(lambda: fuzzy_score(F.col("a"), F.col("b")), a=a, b=b)
-    ba = one(lambda: fuzzy_score(F.col("b"), F.col("a")), a=a, b=b)
-    assert ab == ba and check(ab)
+FUZZY = [
+    ("60 Seconds!", "60 Seconds Santa Run", lambda s: s < 90),
+    ("Doom", "Doom (2016)", lambda s: s == 100),
+    ("Borderlands", "Borderlands Game of the Year Enhanced", lambda s: s == 100),
+    ("Doom 3", "Doom 2016", lambda s: s < 90),
+    ("kitten", "sitting", lambda s: s == 61),
+    ("", "", lambda s: s == 100),
+    ("", "abc", lambda s: s == 0),
+    ("", "2016", lambda s: s == 0),
+    ("Creed Directors Cut Assassins", "Assassins Creed", lambda s: s >= 68),
+    ("x" * 90 + " 2", "x" * 90 + " 3", lambda s: s == 98),
+]
+
+
+def test_fuzzy_score(spark):
+    rows = [(i, a, b) for i, (a, b, _) in enumerate(FUZZY)]
+    df = with_fuzzy_scores(spark.createDataFrame(rows, "i int, a string, b string"), {"ab": ("a", "b"), "ba": ("b", "a")})
+    got = {r.i: (r.ab, r.ba) for r in df.collect()}
+    for i, (a, b, check) in enumerate(FUZZY):
+        assert got[i][0] == got[i][1], (a, b)
+        assert check(got[i][0]), (a, b, got[i])
 
 
 def _lcs_table(a, b):
@@ -66,13 +70,24 @@ def test_lcs_against_table():
     assert list(got) == [_lcs_table(a, b) for a, b in pairs]
 
 
-def test_series_number_variants(one):
-    words = ["40", "000", "007", "3", "2016", "51", "0"]
-    assert one(lambda: t.match_series_numbers(F.col("w")), w=words) == ["40", "3"]
-    assert one(lambda: t.report_series_numbers(F.col("w")), w=words) == [3, 7]
-    assert one(lambda: t.import_series_numbers(F.col("w")), w=words) == [3]
-    assert one(lambda: t.store_has_series_number(F.col("w")), w=["1", "0", "100"]) is False
-    assert one(lambda: t.non_year_numbers(F.col("w")), w=words) == ["40", "000", "007", "3", "51", "0"]
+def test_series_number_variants(spark):
+    df = spark.createDataFrame([("40 000 007 3 2016 51 0", "1 0 100")], "w string, v string")
+    got = df.select(
+        t.match_series_numbers(F.col("w")).alias("match"),
+        t.report_series_numbers(F.col("w")).alias("report"),
+        t.import_series_numbers(F.col("w")).alias("imported"),
+        t.store_has_series_number(F.col("v")).alias("store"),
+        t.non_year_numbers(F.col("w")).alias("numbers"),
+        t.has_other_number(F.lit("doom 2016")).alias("other"),
+        t.plain_words(F.lit("doom 2 2 doom eternal")).alias("plain"),
+    ).first()
+    assert got.match == ["3", "40"]
+    assert got.report == [3, 7]
+    assert got.imported == [3]
+    assert got.store is False
+    assert got.numbers == ["40", "000", "007", "3", "51", "0"]
+    assert got.other is False
+    assert got.plain == ["doom", "eternal"]
 
 
 def test_editions(one):
