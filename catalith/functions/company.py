@@ -27,13 +27,12 @@ def normalize_company(c: Column) -> Column:
 
     A name carries a handful of stacked suffixes at most, so a few unrolled passes reach the fixed point.
     """
-    s = text(c)
-    s = F.when(F.lower(s).isin("nan", "none", "null"), "").otherwise(s)
-    s = strip(F.regexp_replace(s, r"\s*\([^)]*\)\s*$", ""))
+    s = F.regexp_replace(text(c), r"^(?i:nan|none|null)$", "")
+    s = F.regexp_replace(s, r"\s*\([^)]*\)\s*$", "")
     for _ in range(_TAIL_PASSES):
-        s = strip(F.rtrim(strip(F.regexp_replace(s, _LEGAL_TAIL, "")), F.lit(",")))
+        s = F.rtrim(F.regexp_replace(F.rtrim(s), _LEGAL_TAIL, ""), F.lit(" ,"))
     s = strip(F.regexp_replace(s, r"\s{2,}", " "))
-    return F.when(s.rlike("[A-Za-z]"), s).otherwise("")
+    return F.regexp_replace(s, "^[^A-Za-z]*$", "")
 
 
 def key_of_normalized(s: Column) -> Column:
@@ -41,13 +40,18 @@ def key_of_normalized(s: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(s, "(?i)[^a-z0-9]+", " ")))
 
 
+def fold_key(name: Column) -> Column:
+    """Comparison key of a normalised name."""
+    return key_of_normalized(fold_accents(F.translate(name, _MARKS, "")))
+
+
 def company_key(c: Column) -> Column:
     """Comparison key: normalised name without marks, accents and punctuation, lower-case.
 
     Accent folding runs in Python for non-ASCII names only, so this form cannot stand inside an array lambda; lists
     go through :func:`company_key_set`.
     """
-    return key_of_normalized(fold_accents(F.translate(normalize_company(c), _MARKS, "")))
+    return fold_key(normalize_company(c))
 
 
 def _key_variants(key: Column) -> Column:
@@ -65,8 +69,8 @@ def _key_variants(key: Column) -> Column:
 
 
 def company_keys(c: Column) -> Column:
-    """Key of a company plus the keys left when generic trailing words are dropped one by one."""
-    return _key_variants(company_key(c))
+    """Key of a company plus the keys left when generic trailing words are dropped one by one; sorted."""
+    return company_key_set(F.array(c))
 
 
 def company_key_set(names: Column) -> Column:
@@ -97,9 +101,13 @@ def is_porting_label(name: Column) -> Column:
 
 def wanted_company(label: Column, include_porting_labels: bool = True) -> Column:
     """Whether a label is a company worth tallying rather than markup, a place or a platform."""
-    n = F.lower(normalize_company(label))
-    ok = ~F.contains(label, F.lit("'''")) & ~company_key(label).isin(*IGNORED_COMPANY_KEYS)
-    ok = ok & (n != "") & ~n.startswith("and ")
+    return wanted_normalized(label, normalize_company(label), company_key(label), include_porting_labels)
+
+
+def wanted_normalized(label: Column, name: Column, key: Column, include_porting_labels: bool = True) -> Column:
+    """:func:`wanted_company` with the normalised name and key at hand."""
+    n = F.lower(name)
+    ok = ~F.contains(label, F.lit("'''")) & ~key.isin(*IGNORED_COMPANY_KEYS) & (n != "") & ~n.startswith("and ")
     return ok if include_porting_labels else ok & ~n.isin(*LOW_SIGNAL_COMPANIES)
 
 

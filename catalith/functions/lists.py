@@ -75,5 +75,6 @@ def overlaps(a: Column, b: Column) -> Column:
     return F.arrays_overlap(a, b)
 
 
-def fold(items: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
-    return F.aggregate(items, start, step)
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

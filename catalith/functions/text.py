@@ -220,29 +220,25 @@ def base_of_subtitle(title: Column) -> Column:
 
 
 @F.arrow_udf(T.StringType())
-def _nfkc(values: pa.Array) -> pa.Array:
-    return pa.array([None if v is None else unicodedata.normalize("NFKC", v) for v in values.to_pylist()], pa.string())
+def nfkc(values: pa.Array) -> pa.Array:
+    """Compatibility-composed text; plain ASCII is handed back as it is."""
 
+    def compose(v):
+        return v if v is None or v.isascii() else unicodedata.normalize("NFKC", v)
 
-@F.arrow_udf(T.StringType())
-def _fold_accents(values: pa.Array) -> pa.Array:
-    def fold(v):
-        return "".join(ch for ch in unicodedata.normalize("NFKD", v) if not unicodedata.combining(ch))
-
-    return pa.array([None if v is None else fold(v) for v in values.to_pylist()], pa.string())
-
+    return pa.array([compose(v) for v in values.to_pylist()], pa.string())
 
-def _non_ascii_only(c: Column) -> Column:
-    """NULL for plain ASCII text, so that the Python side has nothing to do for it."""
-    return F.when(c.rlike(r"[^\x00-\x7f]"), c)
 
+@F.arrow_udf(T.StringType())
+def fold_accents(values: pa.Array) -> pa.Array:
+    """Text without combining marks; plain ASCII is handed back as it is."""
 
-def nfkc(c: Column) -> Column:
-    return F.coalesce(_nfkc(_non_ascii_only(c)), c)
-
+    def fold(v):
+        if v is None or v.isascii():
+            return v
+        return "".join(ch for ch in unicodedata.normalize("NFKD", v) if not unicodedata.combining(ch))
 
-def fold_accents(c: Column) -> Column:
-    return F.coalesce(_fold_accents(_non_ascii_only(c)), c)
+    return pa.array([fold(v) for v in values.to_pylist()], pa.string())
 
 
 def search_text(title: Column) -> Column:

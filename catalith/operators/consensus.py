@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions.fuzzy import with_scores
-from catalith.functions.lists import clean_list, compact, is_blank, strings, tag_if, text
+from catalith.functions.lists import bind, clean_list, compact, is_blank, strings, tag_if, text
 from catalith.functions.company import without_low_signal
 from catalith.functions.text import normalize_title
 
@@ -112,16 +112,15 @@ def consensus_tags(c: Column) -> Column:
     )
 
 
-def _counted(values: Column, item: Column) -> Column:
-    return F.size(F.filter(values, lambda v: v == item))
-
-
 def majority_value(values: Column, min_voters: int = 2) -> Column:
     """Value held by more than half of the non-null voters; NULL without one or with too few voters."""
-    votes = F.array_compact(values)
-    n = F.size(votes)
-    winners = F.filter(votes, lambda v: _counted(votes, v) * 2 > n)
-    return F.when(n >= min_voters, F.get(winners, F.lit(0)))
+
+    def decide(votes: Column) -> Column:
+        n = F.size(votes)
+        winners = F.filter(votes, lambda v: F.size(F.filter(votes, lambda w: w == v)) * 2 > n)
+        return F.when(n >= min_voters, F.get(winners, F.lit(0)))
+
+    return bind(F.array_compact(values), decide)
 
 
 def year_votes(years: dict[str, str], ignore: tuple[str, ...] = YEARLESS) -> Column:
@@ -132,50 +131,54 @@ def year_votes(years: dict[str, str], ignore: tuple[str, ...] = YEARLESS) -> Col
 def year_outlier_tags(years: dict[str, str], max_diff: int = 1, ignore: tuple[str, ...] = YEARLESS) -> Column:
     """``year_outlier:<p>`` against the strict-majority year, or ``year_no_consensus``; ignored voters can be outliers."""
     votes = year_votes(years, ignore)
-    majority = majority_value(votes)
-    outliers = compact(
-        *[tag_if(F.abs(F.col(c) - majority) > max_diff, f"year_outlier:{p}") for p, c in years.items()]
-    )
-    return (
-        F.when(F.size(votes) < 2, strings(()))
-        .when(majority.isNull(), F.array(F.lit("year_no_consensus")))
-        .otherwise(outliers)
-    )
+
+    def tags(majority: Column) -> Column:
+        outliers = compact(*[tag_if(F.abs(F.col(c) - majority) > max_diff, f"year_outlier:{p}") for p, c in years.items()])
+        return F.when(majority.isNull(), F.array(F.lit("year_no_consensus"))).otherwise(outliers)
+
+    return F.when(F.size(votes) < 2, strings(())).otherwise(bind(majority_value(votes), tags))
+
+
+def _filled_sets(sets: dict[str, str]) -> Column:
+    return F.filter(F.array(*[F.coalesce(F.col(c), strings(())) for c in sets.values()]), lambda s: F.size(s) > 0)
 
 
-def set_vote(sets: dict[str, str]) -> tuple[Column, Column]:
-    """(number of voters, items held by more than half of the voters with a non-empty set)."""
-    filled = F.filter(F.array(*[F.coalesce(F.col(c), strings(())) for c in sets.values()]), lambda s: F.size(s) > 0)
+def majority_items(filled: Column) -> Column:
+    """Items held by more than half of a list of non-empty sets."""
     n = F.size(filled)
     items = F.array_distinct(F.flatten(filled))
-    held = F.filter(items, lambda b: F.size(F.filter(filled, lambda s: F.array_contains(s, b))) * 2 > n)
-    return n, held
+    return F.filter(items, lambda b: F.size(F.filter(filled, lambda s: F.array_contains(s, b))) * 2 > n)
 
 
 def set_outlier_tags(sets: dict[str, str], kind: str) -> Column:
     """``<kind>_outlier:<p>`` for voters sharing nothing with the majority items, or ``<kind>_no_consensus``."""
-    n, held = set_vote(sets)
-    outliers = compact(
-        *[
-            tag_if((F.size(F.col(c)) > 0) & ~F.arrays_overlap(F.col(c), held), f"{kind}_outlier:{p}")
-            for p, c in sets.items()
-        ]
-    )
-    return (
-        F.when(n < 2, strings(()))
-        .when(F.size(held) == 0, F.array(F.lit(f"{kind}_no_consensus")))
-        .otherwise(outliers)
+
+    def tags(held: Column) -> Column:
+        outliers = compact(
+            *[
+                tag_if((F.size(F.col(c)) > 0) & ~F.arrays_overlap(F.col(c), held), f"{kind}_outlier:{p}")
+                for p, c in sets.items()
+            ]
+        )
+        return F.when(F.size(held) == 0, F.array(F.lit(f"{kind}_no_consensus"))).otherwise(outliers)
+
+    return bind(
+        _filled_sets(sets), lambda f: F.when(F.size(f) < 2, strings(())).otherwise(bind(majority_items(f), tags))
     )
 
 
 def intersection(sets: dict[str, str], min_voters: int = 2) -> Column:
     """Items common to all non-empty sets, sorted; empty with too few voters."""
-    filled = F.filter(F.array(*[F.coalesce(F.col(c), strings(())) for c in sets.values()]), lambda s: F.size(s) > 0)
-    common = F.aggregate(filled, F.get(filled, F.lit(0)), lambda acc, s: F.array_intersect(acc, s))
-    return F.when(F.size(filled) >= min_voters, F.sort_array(common)).otherwise(strings(()))
+
+    def common(f: Column) -> Column:
+        shared = F.aggregate(f, F.get(f, F.lit(0)), lambda acc, s: F.array_intersect(acc, s))
+        return F.when(F.size(f) >= min_voters, F.sort_array(shared)).otherwise(strings(()))
+
+    return bind(_filled_sets(sets), common)
 
 
 def _company_component(sets: dict[str, Column]) -> tuple[list[str], Column, Column]:
+    """(provider names, mask of the largest overlap component, providers with companies)."""
     names = sorted(sets)
     present = [F.size(sets[p]) > 0 for p in names]
     edge = {
@@ -183,17 +186,30 @@ def _company_component(sets: dict[str, Column]) -> tuple[list[str], Column, Colu
         for i, j in combinations(range(len(names)), 2)
     }
     have = compact(*[F.when(present[i], F.lit(p)) for i, p in enumerate(names)])
-    return names, _joined_names(names, _largest_component(present, edge)), have
+    return names, _largest_component(present, edge), have
 
 
-def company_majority(sets: dict[str, str]) -> tuple[Column, Column]:
-    """(providers, shared keys) of the strict-majority overlap component with a non-empty common part."""
+def company_majority(sets: dict[str, str]) -> Column:
+    """Struct ``providers, keys`` of the strict-majority overlap component with a non-empty common part."""
     cols = {p: F.coalesce(F.col(c), strings(())) for p, c in sets.items()}
-    names, best, have = _company_component(cols)
-    members = F.array_compact(F.array(*[F.when(F.array_contains(best, p), cols[p]) for p in names]))
-    common = F.sort_array(F.aggregate(members, F.get(members, F.lit(0)), lambda acc, s: F.array_intersect(acc, s)))
-    ok = (F.size(have) >= 2) & (F.size(best) * 2 > F.size(have)) & (F.size(common) > 0)
-    return F.when(ok, best).otherwise(strings(())), F.when(ok, common).otherwise(strings(()))
+    names, mask, have = _company_component(cols)
+    none = F.struct(strings(()).alias("providers"), strings(()).alias("keys"))
+
+    def decide(best: Column) -> Column:
+        members = F.array_compact(F.array(*[F.when(_bit(best, i), cols[p]) for i, p in enumerate(names)]))
+        common = bind(
+            members, lambda ms: F.sort_array(F.aggregate(ms, F.get(ms, F.lit(0)), lambda acc, s: F.array_intersect(acc, s)))
+        )
+        agreed = (F.size(have) >= 2) & (F.bit_count(best) * 2 > F.size(have))
+        found = bind(
+            common,
+            lambda keys: F.when(
+                F.size(keys) > 0, F.struct(_joined_names(names, best).alias("providers"), keys.alias("keys"))
+            ).otherwise(none),
+        )
+        return F.when(agreed, found).otherwise(none)
+
+    return bind(mask, decide)
 
 
 def company_tags(sets: dict[str, str], kind: str, min_providers: int = 2) -> Column:
@@ -202,13 +218,18 @@ def company_tags(sets: dict[str, str], kind: str, min_providers: int = 2) -> Col
     With three or more voters a strict-majority component is needed.
     """
     cols = {p: without_low_signal(F.coalesce(F.col(c), strings(()))) for p, c in sets.items()}
-    _, best, have = _company_component(cols)
-    n = F.size(have)
-    split = (n >= min_providers) & (F.size(best) < n)
-    has = F.size(best) * 2 > n
-    outliers = F.transform(F.array_except(have, best), lambda p: F.concat(F.lit(f"{kind}_outlier:"), p))
-    tags = F.when(has, F.concat(F.array(F.lit(f"{kind}_disagree")), outliers)).otherwise(F.array(F.lit(f"{kind}_disagree")))
-    return F.when(split & (has | (n < 3)), tags).otherwise(strings(()))
+    names, mask, have = _company_component(cols)
+
+    def decide(best: Column) -> Column:
+        n, size = F.size(have), F.bit_count(best)
+        outliers = F.transform(
+            F.array_except(have, _joined_names(names, best)), lambda p: F.concat(F.lit(f"{kind}_outlier:"), p)
+        )
+        split = F.array(F.lit(f"{kind}_disagree"))
+        tags = F.when(size * 2 > n, F.concat(split, outliers)).otherwise(split)
+        return F.when((n >= min_providers) & (size < n) & ((size * 2 > n) | (n < 3)), tags).otherwise(strings(()))
+
+    return bind(mask, decide)
 
 
 def _after(tags: Column, prefix: str) -> Column:
@@ -259,23 +280,29 @@ def canonical_title(titles: dict[str, str]) -> Column:
             ]
         )
     )
-    def sized(e: Column) -> Column:
-        same = F.filter(entries, lambda o: o["norm"] == e["norm"])
+
+    def choose(es: Column) -> Column:
+        def sized(e: Column) -> Column:
+            same = F.filter(es, lambda o: o["norm"] == e["norm"])
+            return F.struct(
+                F.size(same).alias("count"),
+                e["rank"].alias("rank"),
+                e["source"].alias("source"),
+                e["title"].alias("title"),
+                F.sort_array(F.transform(same, lambda o: o["source"])).alias("members"),
+            )
+
+        return F.array_max(F.transform(es, sized))
+
+    def shown(best: Column) -> Column:
         return F.struct(
-            F.size(same).alias("count"),
-            e["rank"].alias("rank"),
-            e["source"].alias("source"),
-            e["title"].alias("title"),
-            F.sort_array(F.transform(same, lambda o: o["source"])).alias("members"),
+            F.coalesce(best["title"], F.lit("")).alias("title"),
+            F.coalesce(best["source"], F.lit("")).alias("source"),
+            F.coalesce(best["count"], F.lit(0)).alias("count"),
+            F.when(best["count"] >= 2, F.array_join(best["members"], "+")).otherwise("").alias("sources"),
         )
 
-    best = F.array_max(F.transform(entries, sized))
-    return F.struct(
-        F.coalesce(best["title"], F.lit("")).alias("title"),
-        F.coalesce(best["source"], F.lit("")).alias("source"),
-        F.coalesce(best["count"], F.lit(0)).alias("count"),
-        F.when(best["count"] >= 2, F.array_join(best["members"], "+")).otherwise("").alias("sources"),
-    )
+    return bind(bind(entries, choose), shown)
 
 
 def main_genre(genres: dict[str, str]) -> Column:
@@ -283,29 +310,34 @@ def main_genre(genres: dict[str, str]) -> Column:
 
     ``genres`` maps provider to list column in fallback priority order; labels come from their first mention in it.
     """
-    mentions = F.flatten(
-        F.array(
-            *[
-                F.filter(
-                    F.transform(
-                        clean_list(F.col(c)),
-                        lambda g, p=p: F.struct(normalize_title(g).alias("norm"), g.alias("label"), F.lit(p).alias("provider")),
-                    ),
-                    lambda m: m["norm"] != "",
-                )
-                for p, c in genres.items()
-            ]
+    def mentioned(provider: str, c: str) -> Column:
+        def entry(g: Column) -> Column:
+            return F.struct(normalize_title(g).alias("norm"), g.alias("label"), F.lit(provider).alias("provider"))
+
+        return F.filter(F.transform(clean_list(F.col(c)), entry), lambda m: m["norm"] != "")
+
+    mentions = F.flatten(F.array(*[mentioned(p, c) for p, c in genres.items()]))
+
+    def choose(ms: Column) -> Column:
+        def providers(norm: Column) -> Column:
+            return F.sort_array(
+                F.array_distinct(F.transform(F.filter(ms, lambda m: m["norm"] == norm), lambda m: m["provider"]))
+            )
+
+        counted = F.transform(
+            F.array_distinct(F.transform(ms, lambda m: m["norm"])),
+            lambda n: F.struct((-F.size(providers(n))).alias("fewer"), n.alias("norm")),
         )
-    )
+        first = F.get(ms, F.lit(0))["norm"]
+        best = bind(F.array_min(counted), lambda top: F.when(top["fewer"] <= -2, top["norm"]).otherwise(first))
 
-    def of(norm: Column) -> Column:
-        return F.sort_array(F.array_distinct(F.transform(F.filter(mentions, lambda m: m["norm"] == norm), lambda m: m["provider"])))
+        def shown(norm: Column) -> Column:
+            label = F.get(F.filter(ms, lambda m: m["norm"] == norm), F.lit(0))["label"]
+            return F.struct(
+                F.coalesce(label, F.lit("")).alias("label"),
+                F.coalesce(F.array_join(providers(norm), "+"), F.lit("")).alias("sources"),
+            )
 
-    counted = F.transform(
-        F.array_distinct(F.transform(mentions, lambda m: m["norm"])),
-        lambda n: F.struct((-F.size(of(n))).alias("fewer"), n.alias("norm")),
-    )
-    top = F.array_min(counted)
-    best = F.when(top["fewer"] <= -2, top["norm"]).otherwise(F.get(mentions, F.lit(0))["norm"])
-    label = F.get(F.filter(mentions, lambda m: m["norm"] == best), F.lit(0))["label"]
-    return F.struct(F.coalesce(label, F.lit("")).alias("label"), F.coalesce(F.array_join(of(best), "+"), F.lit("")).alias("sources"))
+        return bind(best, shown)
+
+    return bind(mentions, choose)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalith.constants import MODDING_NEEDLES, REPLAY_NEEDLES, REPLAY_POINTS, SIGNALS, STORE_TYPE_CONTENT, SignalConfig
 from catalith.functions.company import company_name_set, normalize_company
-from catalith.functions.lists import clean_list, compact, contains_any, is_blank, strings, tag_if, text
+from catalith.functions.lists import clean_list, compact, contains_any, is_blank, tag_if, text
 from catalith.functions.parse import owner_range, positive_hours
 from catalith.functions.scores import blend, half_even, log_scale, log_weight, sum_if_any, within_0_100
 from catalith.functions.text import normalize_tag, tag_text
@@ -203,17 +203,24 @@ def modding_score(categories_text: Column) -> tuple[Column, Column, Column]:
     )
 
 
-def keyword_metrics(m: Inputs) -> dict[str, Column]:
-    """Replayability and modding."""
-    combined = tag_text(
-        *[
-            m(k)
-            for k in ("steam.categories", "steamspy.popularity.tags", "igdb.game_modes", "rawg.tags", "rawg.genres", "igdb.genres")
-        ]
+KEYWORD_KEYS = (
+    "steam.categories", "steamspy.popularity.tags", "igdb.game_modes", "rawg.tags", "rawg.genres", "igdb.genres",
+)
+
+
+def with_keyword_text(df: DataFrame, registry: Registry) -> DataFrame:
+    """Add the searchable tag texts ``__keywords`` and ``__categories`` once, for the many needles to come."""
+    m = Inputs(df, registry)
+    return df.withColumns(
+        {"__keywords": tag_text(*[m(k) for k in KEYWORD_KEYS]), "__categories": tag_text(m("steam.categories"))}
     )
+
+
+def keyword_metrics(m: Inputs) -> dict[str, Column]:
+    """Replayability and modding of a frame with :func:`with_keyword_text` columns."""
     hours = [positive_hours(m(f"hltb.time.{k}").cast("string")) for k in ("main", "extra", "completionist")]
-    score, signals = replay_score(combined, *hours)
-    workshop, mod_score, mod_signals = modding_score(tag_text(m("steam.categories")))
+    score, signals = replay_score(F.col("__keywords"), *hours)
+    workshop, mod_score, mod_signals = modding_score(F.col("__categories"))
     return {
         "derived.replayability.score_100": score,
         "derived.replayability.source_signals": signals,
@@ -231,8 +238,8 @@ def with_company_consensus(df: DataFrame, registry: Registry) -> DataFrame:
         lists = {p: m(f"{p}.{kind}") for p in COMPANY_PROVIDERS}
         work = {f"__c_{p}": company_name_set(c) for p, c in lists.items()}
         out = out.withColumns(work)
-        providers, keys = company_majority({p: f"__c_{p}" for p in COMPANY_PROVIDERS})
-        out = out.withColumns({"__providers": providers, "__keys": keys})
+        out = out.withColumn("__shared", company_majority({p: f"__c_{p}" for p in COMPANY_PROVIDERS}))
+        out = out.withColumns({"__providers": F.col("__shared.providers"), "__keys": F.col("__shared.keys")}).drop("__shared")
         spelled = F.flatten(
             F.array(
                 *[
@@ -279,6 +286,7 @@ def with_signals(df: DataFrame, registry: Registry, cfg: SignalConfig = SIGNALS)
     """All derived and composite metrics except the production tier; stale values are replaced."""
     stale = [c for k, (c, _t) in registry.by_key.items() if k.startswith(("derived.", "composite."))]
     out = with_main_genre(with_company_consensus(df.drop(*stale), registry), registry)
+    out = with_keyword_text(out, registry)
     m = Inputs(out, registry)
     metrics = {
         **reach_metrics(m, cfg),
@@ -287,11 +295,5 @@ def with_signals(df: DataFrame, registry: Registry, cfg: SignalConfig = SIGNALS)
         **keyword_metrics(m),
         **now_metrics(m, cfg),
     }
-    return out.withColumns({registry.by_key[k][0]: v for k, v in metrics.items() if k in registry.by_key})
-
-
-def missing_company_lists(df: DataFrame, registry: Registry) -> Column:
-    """Whether a row names no company at all."""
-    m = Inputs(df, registry)
-    lists = [clean_list(m(f"{p}.{k}")) for p in COMPANY_PROVIDERS for k in ("publishers", "developers")]
-    return F.size(F.flatten(F.array(*lists))) == 0 if lists else F.size(strings(())) == 0
+    scored = out.withColumns({registry.by_key[k][0]: v for k, v in metrics.items() if k in registry.by_key})
+    return scored.drop("__keywords", "__categories")

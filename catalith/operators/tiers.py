@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.constants import TIER_RANK
-from catalith.functions.company import company_key, is_porting_label, normalize_company, wanted_company
+from catalith.functions.company import fold_key, is_porting_label, normalize_company, wanted_normalized
 from catalith.functions.lists import clean_list, text
 from catalith.operators.keys import first_n
 from catalith.operators.signals import COMPANY_PROVIDERS, Inputs
@@ -17,13 +17,15 @@ from catalith.sources.tables import tier_dimension
 def company_mentions(df: DataFrame, registry: Registry, key: str = "RowId", extra: list[str] | None = None) -> DataFrame:
     """Every company named by a row, publishers before developers and providers in priority order."""
     m = Inputs(df, registry)
+
+    def mentions(kind: str, provider: str, base: int) -> Column:
+        def entry(n: Column, i: Column) -> Column:
+            return F.struct((i + base).alias("rank"), F.lit(kind).alias("kind"), n.alias("company"))
+
+        return F.transform(clean_list(m(f"{provider}.{kind}s")), entry)
+
     lists = [
-        F.transform(
-            clean_list(m(f"{p}.{kind}s")),
-            lambda n, i, kind=kind, base=100_000 * (len(COMPANY_PROVIDERS) * k + j): F.struct(
-                (i + base).alias("rank"), F.lit(kind).alias("kind"), n.alias("company")
-            ),
-        )
+        mentions(kind, p, 100_000 * (len(COMPANY_PROVIDERS) * k + j))
         for k, kind in enumerate(("publisher", "developer"))
         for j, p in enumerate(COMPANY_PROVIDERS)
     ]
@@ -35,9 +37,10 @@ def production_tier(df: DataFrame, tiers: DataFrame, registry: Registry, key: st
 
     The tier map is left to Spark to broadcast while it is below the broadcast threshold; beyond it the join shuffles.
     """
-    named = company_mentions(df, registry, key).withColumn("company_key", company_key(F.col("company")))
+    named = company_mentions(df, registry, key).withColumn("__n", normalize_company(F.col("company")))
+    named = named.withColumn("company_key", fold_key(F.col("__n")))
     looked_up = named.join(tier_dimension(tiers), ["kind", "company_key"], "left")
-    tier = F.when(~is_porting_label(normalize_company(F.col("company"))), F.nullif(F.col("tier"), F.lit("")))
+    tier = F.when(~is_porting_label(F.col("__n")), F.nullif(F.col("tier"), F.lit("")))
     reason = F.concat(F.col("kind"), F.lit(":"), F.coalesce(F.nullif(F.col("tier_label"), F.lit("")), F.col("company")))
     hit = F.struct(F.col("rank"), tier.alias("tier"), reason.alias("reason"))
     found = looked_up.groupBy(key).agg(
@@ -72,18 +75,20 @@ def collect_tiers(
     ``mentions``: ``kind, company, title, ord`` with a total order ``ord``. Everything is pre-aggregated or cut
     map-side, so one company in a third of the rows costs no single task. Sorted by count, then first mention.
     """
-    wanted = mentions.withColumn("company", text(F.col("company"))).where(
-        wanted_company(F.col("company"), include_porting_labels)
+    # Mentions shrink to distinct raw labels before any name is normalised.
+    raw = mentions.groupBy("kind", text(F.col("company")).alias("company"), text(F.col("title")).alias("title")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord")
     )
-    keyed = wanted.withColumn("company_key", company_key(F.col("company"))).where("company_key <> ''")
-    tally = keyed.groupBy("kind", "company_key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("ord").alias("first_ord"),
-        F.min_by(normalize_company(F.col("company")), F.col("ord")).alias("label"),
+    labels = raw.groupBy("kind", "company").agg(F.sum("n").alias("n"), F.min("ord").alias("ord"))
+    labels = labels.withColumn("__n", normalize_company(F.col("company"))).withColumn("company_key", fold_key(F.col("__n")))
+    wanted = labels.where(
+        wanted_normalized(F.col("company"), F.col("__n"), F.col("company_key"), include_porting_labels) & (F.col("company_key") != "")
     )
-    titles = keyed.where(text(F.col("title")) != "").groupBy("kind", "company_key", text(F.col("title")).alias("title")).agg(
-        F.min("ord").alias("ord")
+    tally = wanted.groupBy("kind", "company_key").agg(
+        F.sum("n").alias("n"), F.min("ord").alias("first_ord"), F.min_by("__n", "ord").alias("label")
     )
+    named = raw.where("title <> ''").join(wanted.select("kind", "company", "company_key"), ["kind", "company"])
+    titles = named.groupBy("kind", "company_key", "title").agg(F.min("ord").alias("ord"))
     few = first_n(titles, ["kind", "company_key"], [F.col("ord").asc()], max_examples)
     examples = few.groupBy("kind", "company_key").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "title"))), lambda s: s["title"]).alias("examples")
@@ -100,9 +105,8 @@ def collect_tiers(
     )
 
 
-def label_penalty(label: Column) -> Column:
-    """Readability order of label variants, least first (fixed weights)."""
-    s = normalize_company(label)
+def label_penalty(s: Column) -> Column:
+    """Readability order of normalised label variants, least first (fixed weights)."""
     letters = s.rlike(r"\p{L}")
     points = (
         F.when(s == "", 100).otherwise(0)
@@ -124,10 +128,10 @@ def dedupe_tiers(tiers: DataFrame) -> DataFrame:
     """One row per company key: most readable label, best tier, and whether labels merged or tiers conflicted."""
     rank = F.create_map(*[x for t, r in TIER_RANK.items() for x in (F.lit(t), F.lit(r))])
     keyed = tiers.where(text(F.col("tier")).isin(*TIER_RANK)).select(
-        "kind", "label", text(F.col("tier")).alias("tier"), company_key(F.col("label")).alias("company_key")
-    ).where("company_key <> ''")
+        "kind", "label", text(F.col("tier")).alias("tier"), normalize_company(F.col("label")).alias("__n")
+    ).withColumn("company_key", fold_key(F.col("__n"))).where("company_key <> ''")
     return keyed.groupBy("kind", "company_key").agg(
-        F.min_by("label", F.struct(label_penalty(F.col("label")).alias("p"), F.col("label").alias("raw"))).alias("label"),
+        F.min_by("label", F.struct(label_penalty(F.col("__n")).alias("p"), F.col("label").alias("raw"))).alias("label"),
         F.max_by("tier", F.try_element_at(rank, F.col("tier"))).alias("tier"),
         (F.min("label") != F.max("label")).alias("merged"),
         (F.min("tier") != F.max("tier")).alias("conflict"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalith.constants import PIN_COLUMNS, PROVIDER_PREFIX
-from catalith.functions.company import company_key, normalize_company
+from catalith.functions.company import fold_key, normalize_company
 from catalith.functions.lists import is_blank, strip, text
 from catalith.operators.columns import provider_columns
 
@@ -96,16 +96,13 @@ def tier_dimension(tiers: DataFrame) -> DataFrame:
 
     When several labels share a key the last one in label order stands.
     """
-    keyed = tiers.select(
-        "kind",
-        company_key(F.col("label")).alias("company_key"),
-        text(F.col("tier")).alias("tier"),
-        strip(F.col("label")).alias("tier_label"),
-        normalize_company(F.col("label")).alias("__n"),
-    ).where((F.col("tier") != "") & (F.col("__n") != ""))
+    named = tiers.select(
+        "kind", text(F.col("tier")).alias("tier"), strip(F.col("label")).alias("tier_label"), normalize_company(F.col("label")).alias("__n")
+    )
+    keyed = named.where((F.col("tier") != "") & (F.col("__n") != "")).withColumn("company_key", fold_key(F.col("__n")))
     return (
         keyed.groupBy("kind", "company_key")
-        .agg(F.max_by(F.struct("tier", "tier_label"), F.col("tier_label")).alias("t"))
+        .agg(F.max(F.struct("tier_label", "tier")).alias("t"))
         .select("kind", "company_key", "t.tier", "t.tier_label")
     )
 
