@@ -5,7 +5,7 @@ from catalith.workload.registry import ORACLES, QUERIES
 
 def load() -> None:
     """Import every query module, which fills the two tables above."""
-    from catalith.workload import companies, scores, texts, votes  # noqa: F401
+    from catalith.workload import companies, extraction, joins, matching, quality, scores, series, texts, votes  # noqa: F401
 
 
 __all__ = ["ORACLES", "QUERIES", "load"]
