@@ -79,7 +79,8 @@ def review_queue(
 ) -> DataFrame:
     """The first ``max_rows`` rows by urgency, then name: a distributed top-k, no full sort.
 
-    Rows are chosen before the enriched context is joined, so only the queue itself is widened.
+    Rows are chosen before the enriched context is joined, so only the queue itself is widened. The catalog should be a
+    stored table: the filter reads its tags.
     """
     cols = catalog.columns
     blank = F.lit("")

@@ -91,7 +91,7 @@ def validation_report(df: DataFrame, enabled: set[str] | None = None, cfg: Repor
     }
     for kind in ("Developers", "Publishers"):
         for p in ("Steam", "RAWG", "IGDB", "Wikidata"):
-            base[f"__{kind[0]}_{p.lower()}"] = company_key_set(items(f"{p}_{kind}"))
+            base[f"__{kind[:3].lower()}_{p.lower()}"] = company_key_set(items(f"{p}_{kind}"))
     work = df.withColumns(base)
     work = work.withColumns(
         {
@@ -213,8 +213,8 @@ def validation_report(df: DataFrame, enabled: set[str] | None = None, cfg: Repor
     companies = ("steam", "rawg", "igdb", "wikidata")
     tags = F.concat(
         F.array_compact(F.array(*missing_tags, *flags)),
-        company_tags({p: f"__D_{p}" for p in companies}, "developer"),
-        company_tags({p: f"__P_{p}" for p in companies}, "publisher"),
+        company_tags({p: f"__dev_{p}" for p in companies}, "developer"),
+        company_tags({p: f"__pub_{p}" for p in companies}, "publisher"),
         consensus_tags(F.col("__cons")),
         F.col("__pt"),
         F.col("__yt"),

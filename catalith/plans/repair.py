@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions.lists import is_blank
+from catalith.session import materialize
 from catalith.operators.crosswalk import resolve_by_ids
 from catalith.operators.diagnostics import review_tags
 from catalith.operators.resolve import (
@@ -36,8 +37,9 @@ def resolve_pins(
     ``searchers`` maps provider to ``queries(row_id, name, year_hint) -> (row_id, id, new_name, new_year)``; ``titles``
     are list columns of known titles of a row besides the majority's, in order of trust.
     """
-    tagged = review_tags(catalog, sources)
-    work = with_majority(tagged)
+    # Written once: the steps below filter on tags and majorities, which must not be recomputed inside every filter.
+    work = materialize(with_majority(materialize(review_tags(catalog, sources), "tagged")), "majority")
+    tagged = work.drop("majority_title", "majority_year")
     targets = retry_targets(work, tuple(p for p in ("steam", "rawg", "igdb") if p in searchers), retry_missing)
     rows = work.where(F.col("majority_title").isNotNull())
     listed = [F.array(F.col("majority_title")), *(titles or [])]

@@ -10,6 +10,7 @@ from catalith.operators.diagnostics import review_tags
 from catalith.operators.resolve import auto_unpin, plan_actions, resolve_stats, retry_query, retry_targets, with_majority
 from catalith.operators.review import review_queue
 from catalith.operators.validation import validation_report
+from catalith.session import materialize
 from catalith.sources.registry import default_registry
 from catalith.workload import sql as s
 from catalith.workload.frames import SOURCES, duck, spark_frame
@@ -130,6 +131,14 @@ def import_tags(spark, sf):
     return review_tags(_diagnosed(spark, sf)).select("RowId", "ReviewTags", "MatchConfidence")
 
 
+def _tagged(spark, sf, majority: bool = False):
+    """Tagged titles as an import stores them: written once, so later filters meet plain columns."""
+    years = {"RAWG_MatchedYear": "RAWG_Year", "IGDB_MatchedYear": "IGDB_Year", "Steam_MatchedYear": "Steam_ReleaseYear", "HLTB_MatchedYear": "HLTB_ReleaseYear"}
+    tagged = review_tags(_diagnosed(spark, sf)).withColumns({c: F.col(y) for c, y in years.items()})
+    stored = materialize(tagged, "tagged")
+    return materialize(with_majority(stored), "majority") if majority else stored
+
+
 _POINTS = """list_sum(list_transform(list_concat([''], tags), lambda t: CASE WHEN starts_with(t, 'likely_wrong:') THEN 40 WHEN starts_with(t, 'provider_outlier:') THEN 12
     WHEN t IN ('steam_appid_disagree:igdb', 'steam_appid_disagree:rawg', 'steam_rejected') THEN 10 WHEN starts_with(t, 'year_outlier:') OR starts_with(t, 'platform_outlier:') THEN 6
     WHEN t IN ('genre_disagree', 'ambiguous_title_year') THEN 4 ELSE 0 END)) + CASE conf WHEN 'LOW' THEN 50 WHEN 'MEDIUM' THEN 20 ELSE 0 END"""
@@ -147,7 +156,7 @@ _SUGGEST = " ".join(f"WHEN {p}_Name <> '' AND {s.norm(p + '_Name')} <> {s.norm('
 )
 def queue_for_review(spark, sf):
     """The review queue is a top-200 by design. It carries a context column from the enriched table."""
-    tagged = review_tags(_diagnosed(spark, sf)).select(
+    tagged = _tagged(spark, sf).select(
         "RowId", "Name", "Disabled", "ReviewTags", "MatchConfidence", "Steam_AppID", "HLTB_ID", *[f"{p}_MatchedName" for p in ("RAWG", "IGDB", "Steam", "HLTB")]
     )
     enriched = spark_frame(spark, sf, SOURCES).select("RowId", F.col("p_partkey").alias("RAWG_Website"))
@@ -170,7 +179,7 @@ for _p, _pin in (("steam", "Steam_AppID"), ("rawg", "RAWG_ID"), ("igdb", "IGDB_I
     CASE WHEN {_wrong('igdb', 'IGDB_ID')} THEN '' ELSE IGDB_Name END AS IGDB_MatchedName, {tag_list_sql(_UNPIN_TAGS)} AS ReviewTags FROM tagged""",
 )
 def unpinned(spark, sf):
-    out = auto_unpin(review_tags(_diagnosed(spark, sf)))
+    out = auto_unpin(_tagged(spark, sf))
     pins = [F.coalesce(c, F.lit("")).alias(c) for c in ("Steam_AppID", "RAWG_ID", "IGDB_ID", "HLTB_ID", "IGDB_MatchedName")]
     return out.select("RowId", *pins, "ReviewTags")
 
@@ -194,8 +203,7 @@ def majority_titles(spark, sf):
 
 
 def _resolution(spark, sf):
-    df = _diagnosed(spark, sf).withColumns({"RAWG_MatchedYear": F.col("RAWG_Year"), "IGDB_MatchedYear": F.col("IGDB_Year"), "Steam_MatchedYear": F.col("Steam_ReleaseYear")})
-    work = with_majority(review_tags(df))
+    work = _tagged(spark, sf, majority=True)
     targets = retry_targets(work, retry_missing=True)
     rows = work.where(F.col("majority_title").isNotNull())
     queries = retry_query(rows, [F.array("majority_title"), F.array("Steam_Name", "RAWG_Name"), F.array("IGDB_Name")], F.col("majority_title"))
