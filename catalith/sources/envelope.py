@@ -262,9 +262,8 @@ def registered_view(envelope: DataFrame, registry: Registry, keys: list[str] | N
     )
 
 
-def _export_value(column: str, manifest: Manifest, registry: Registry) -> tuple[Column, str | None]:
-    key = manifest.column_to_key.get(column) or (registry.by_column[column][0] if column in registry.by_column else None)
-    return (_metric(key) if key else F.lit(None).cast("variant")), key
+def _metric_key(column: str, manifest: Manifest, registry: Registry) -> str | None:
+    return manifest.column_to_key.get(column) or (registry.by_column[column][0] if column in registry.by_column else None)
 
 
 def export_values(envelope: DataFrame, manifest: Manifest, registry: Registry) -> DataFrame:
@@ -277,7 +276,8 @@ def export_values(envelope: DataFrame, manifest: Manifest, registry: Registry) -
         if c == "RowId":
             out.append(F.to_variant_object(F.struct(strip(F.col("row_id")).alias("v"))).alias(c))
             continue
-        metric, _ = _export_value(c, manifest, registry)
+        key = _metric_key(c, manifest, registry)
+        metric = _metric(key) if key else F.lit(None).cast("variant")
         own = F.lit(c)
 
         def wrapped(m: str, own: Column = own) -> Column:
@@ -290,8 +290,10 @@ def export_values(envelope: DataFrame, manifest: Manifest, registry: Registry) -
     return envelope.where(~is_blank(F.col("row_id"))).select(*out)
 
 
-def _rendered_variant(c: str) -> Column:
+def _rendered_variant(c: str, type_: str | None) -> Column:
     v = F.try_variant_get(c, "$.v", "variant")
+    if type_ == "float":
+        return F.coalesce(F.try_variant_get(v, "$", "double").cast("string"), F.lit("")).alias(c)
     kind = F.schema_of_variant(v)
     as_text = F.try_variant_get(v, "$", "string")
     flat = strip(F.regexp_replace(F.translate(as_text, "\r\n\t", "   "), r"\s{2,}", " "))
@@ -313,7 +315,8 @@ def _rendered_variant(c: str) -> Column:
 def export_csv_view(envelope: DataFrame, manifest: Manifest, registry: Registry) -> DataFrame:
     """Spreadsheet view: manifest order, every value rendered as a cell."""
     values = export_values(envelope, manifest, registry)
-    return values.select(*[F.coalesce(_rendered_variant(c), F.lit("")).alias(c) for c in manifest.columns])
+    types = {c: registry.by_key[k][1] for c in manifest.columns if (k := _metric_key(c, manifest, registry)) in registry.by_key}
+    return values.select(*[F.coalesce(_rendered_variant(c, types.get(c)), F.lit("")).alias(c) for c in manifest.columns])
 
 
 def export_json_view(envelope: DataFrame, manifest: Manifest, registry: Registry) -> DataFrame:
