@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.constants import DEPRECATED_COLUMNS, NOT_FOUND, PIN_COLUMNS, PROVIDER_PREFIX
-from catalith.functions.lists import is_blank, text
+from catalith.functions.lists import clean_list, is_blank, text
 from catalith.functions.parse import is_yes
-from catalith.functions.text import year_hint
+from catalith.functions.text import valid_year, year_hint
 from catalith.sources.registry import Registry
 
 _PREFIXES = tuple(PROVIDER_PREFIX.values())
@@ -61,6 +61,16 @@ def fill_year_hint(df: DataFrame) -> DataFrame:
     )
 
 
+def derived_year_hint(year_hint_column: Column, rawg: Column, igdb: Column, steam: Column) -> Column:
+    """Year to search with: the user's hint, else the year of the RAWG, IGDB or store payload, in that order."""
+    return F.coalesce(*[valid_year(c.cast("string")) for c in (year_hint_column, rawg, igdb, steam)])
+
+
+def fallback_titles(steam: Column, rawg: Column, igdb: Column) -> Column:
+    """Titles to try next: the store's, RAWG's and IGDB's names, distinct and non-blank."""
+    return F.array_distinct(clean_list(F.array(steam, rawg, igdb)))
+
+
 def personal_base(df: DataFrame, diagnostic_columns: set[str]) -> DataFrame:
     """User columns and pins only: what a fresh enrichment starts from."""
     keep = {"RowId", "Name", *PIN_COLUMNS}

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalith.operators.columns import clear_when_not_found, is_processed, active_rows, fill_year_hint
+from catalith.operators.columns import (
+    active_rows,
+    clear_when_not_found,
+    derived_year_hint,
+    fallback_titles,
+    fill_year_hint,
+    is_processed,
+)
 from catalith.operators.crosswalk import infer_store_ids, linked_labels, resolve_by_ids, store_id_from_external
 from catalith.operators.keys import duplicate_ids, ensure_row_ids, keep_ids, last_per_key, lookup, missing_rows
 from catalith.operators.overlay import carry_columns, overlay_providers, sync_back, sync_envelope, with_recomputed
@@ -282,3 +289,18 @@ def known_missing(spark, sf):
 )
 def overrides(spark, sf):
     return identity_overrides(spark_frame(spark, sf, SOURCES))
+
+
+@query(
+    "fallback_titles",
+    f"""SELECT RowId, coalesce(CASE WHEN p_size % 10 = 0 THEN 1999 END, RAWG_Year, IGDB_Year, Steam_ReleaseYear) AS year,
+    CASE WHEN Steam_Name = '' THEN '' ELSE Steam_Name END || CASE WHEN RAWG_Name = '' OR RAWG_Name = Steam_Name THEN '' ELSE
+        CASE WHEN Steam_Name = '' THEN '' ELSE '|' END || RAWG_Name END || CASE WHEN IGDB_Name = '' OR IGDB_Name IN (Steam_Name, RAWG_Name) THEN '' ELSE
+        CASE WHEN Steam_Name = '' AND RAWG_Name = '' THEN '' ELSE '|' END || IGDB_Name END AS titles FROM {duck(SOURCES)}""",
+)
+def titles_to_try(spark, sf):
+    hint = F.when(F.col("p_size") % 10 == 0, "1999").otherwise("")
+    return spark_frame(spark, sf, SOURCES).select(
+        "RowId", derived_year_hint(hint, F.col("RAWG_Year"), F.col("IGDB_Year"), F.col("Steam_ReleaseYear")).alias("year"),
+        F.array_join(fallback_titles(F.col("Steam_Name"), F.col("RAWG_Name"), F.col("IGDB_Name")), "|").alias("titles"),
+    )
