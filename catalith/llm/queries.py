@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from catalith.llm import lines, mixing, packing, quality
+from catalith.llm import jaccard, lines, mixing, packing, quality
 from catalith.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +62,12 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *quality.NAMES, "base_failed", "kept", "host_docs", "host_failed")
 
 
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's set size and component of similar documents; SQL would have to expand the shingles of all texts against each other."""
+    return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
 _LINES_SQL = r"""
 WITH l AS (
   SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line, len(ls) AS n FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)
