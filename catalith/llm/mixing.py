@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalith.llm.common import WORD, stored
+from catalith.llm.common import WORD, stored, values
 
 #: Fixed value: the fractional part of the golden ratio.
 GOLDEN = 0.6180339887498949
@@ -172,3 +175,29 @@ def mixed_documents(docs: DataFrame, config: MixConfig = MixConfig(), key: str =
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
     rows = rows.join(t, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     return rows.select(key, "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def taken_texts(rows: DataFrame, spans: str, text: str = "text") -> DataFrame:
+    """``rows`` with the text cut to its ``spans``, a list of (round, first, last) in words: the rounds' parts follow each other, a line feed between."""
+    word = re.compile(WORD)
+    keep = [c for c in rows.columns if c != spans]
+
+    def cut(body: str, first: int, last: int) -> str:
+        start, end = (0 if not first else None), len(body)
+        for k, m in enumerate(word.finditer(body)):
+            if k == first and first:
+                start = m.start()
+            if k == last:
+                end = before
+                break
+            before = m.end()
+        return body[start:end]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = []
+            for body, parts in zip(values(batch, text), values(batch, spans), strict=True):
+                bodies.append("\n".join(cut(body, p["first"], p["last"]) for p in parts))
+            yield pa.RecordBatch.from_arrays([pa.array(bodies, pa.string()) if c == text else batch.column(c) for c in keep], names=keep)
+
+    return rows.mapInArrow(run, rows.select(*keep).schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalith.llm import jaccard, lines, mixing, packing, quality
+from catalith.llm import jaccard, lines, mixing, packing, quality, vectors
 from catalith.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,25 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+_VECTORS_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_aggregate([x::DOUBLE * x FOR x IN embedding], 'sum') > 0 AND isfinite(list_aggregate([coalesce(x, 'nan'::FLOAT)::DOUBLE FOR x IN embedding], 'sum'))
+), u AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+  WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), r(a, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, u.b FROM r JOIN u ON u.a = r.c)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT a AS vec_id, min(c) AS component_id FROM r GROUP BY 1) JOIN (SELECT e.vec_id, count(u.b) AS n_links FROM embeddings e LEFT JOIN u ON u.a = e.vec_id GROUP BY 1) USING (vec_id)
+"""
+
+
+@query("op4_vector_dedup", _VECTORS_SQL)
+def op4_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's links and component."""
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 _QUALITY_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
