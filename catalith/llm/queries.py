@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalith.llm import jaccard, lines, mixing, packing, quality, vectors
+from catalith.llm import hosts, jaccard, licences, lines, mixing, packing, quality, vectors
 from catalith.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,6 +114,60 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "text", "n_lines", "n_chunks", "removed_chunks", "removed_lines")
 
 
+_HOSTS_SQL = r"""
+WITH RECURSIVE u AS (
+  SELECT page_id, html, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), rules AS (
+  SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) t(verdict, h, rp)
+), m AS (
+  SELECT p.page_id, p.host, p.path, arg_max(h || rp, length(h || rp)) AS rule, arg_max(verdict, length(h || rp)) AS ruled
+  FROM p LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, rp) GROUP BY ALL
+), seeds AS (
+  SELECT host, count(*) FILTER (ruled = 'allow') AS good, count(*) FILTER (ruled = 'block') AS bad FROM m WHERE ruled IS NOT NULL GROUP BY 1
+), a AS (
+  SELECT host AS src, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]*)', 1)) AS href FROM p WHERE host <> ''
+), l AS (
+  SELECT src, dst, count(*) AS w FROM (SELECT src, translate(regexp_extract(href, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]+)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM a)
+  WHERE dst <> '' AND dst <> src GROUP BY 1, 2
+), up(low, high) AS (
+  SELECT DISTINCT host, substr(host, position('.' IN host) + 1) FROM p WHERE host LIKE '%.%.%'
+  UNION SELECT high, substr(high, position('.' IN high) + 1) FROM up WHERE high LIKE '%.%.%'
+), e AS (
+  SELECT src, dst, sum(w) AS w FROM (SELECT * FROM l UNION ALL SELECT low, high, 1 FROM up UNION ALL SELECT high, low, 1 FROM up) GROUP BY 1, 2
+), b AS (SELECT true AS t, src, dst, w FROM e UNION ALL SELECT false, dst, src, w FROM e),
+n AS (SELECT t, src, dst, w / sum(w) OVER (PARTITION BY t, src) AS part FROM b),
+s AS (
+  SELECT host, true AS t, good / (SELECT sum(good) FROM seeds) AS score FROM seeds WHERE good > 0
+  UNION ALL SELECT host, false, bad / (SELECT sum(bad) FROM seeds) FROM seeds WHERE bad > 0
+), r(k, host, t, score) AS (
+  SELECT 0, host, t, score FROM s
+  UNION ALL
+  SELECT k, host, t, sum(score) FROM (
+    SELECT r.k + 1 AS k, n.dst AS host, r.t, 0.85 * r.score * n.part AS score FROM r JOIN n ON n.t = r.t AND n.src = r.host WHERE r.k < 20
+    UNION ALL SELECT q.k + 1, s.host, s.t, 0.15 * s.score FROM s, (SELECT DISTINCT k FROM r WHERE k < 20) q
+  ) GROUP BY 1, 2, 3
+), f AS (SELECT host, coalesce(sum(score) FILTER (t), 0) AS trust, coalesce(sum(score) FILTER (NOT t), 0) AS distrust FROM r WHERE k = 20 GROUP BY 1)
+SELECT page_id, m.host, path, rule, coalesce(ruled, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM m LEFT JOIN f ON f.host = m.host
+"""
+
+
+@query("op7_url_filters", _HOSTS_SQL)
+def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's rule and verdict."""
+    pages = table(spark, folder, "pages")
+    return hosts.judged_pages(pages, hosts.default_rules(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op9_licence_scans", licences.licence_sql())
+def op9_licence_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's licence sentences and licences."""
+    return licences.licence_scan(table(spark, folder, "documents"))
+
+
 @query("op8_sequence_packing")
 def op8_sequence_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces and their places in sequences."""
