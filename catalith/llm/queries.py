@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from catalith.llm import hosts, jaccard, licences, lines, mixing, packing, quality, vectors
+from catalith.llm import calls, hosts, jaccard, licences, lines, mixing, packing, quality, tokens, vectors
 from catalith.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,53 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's words and word pieces; SQL has no longest match against a vocabulary file."""
+    return tokens.token_counts(table(spark, folder, "documents"))
+
+
+_CALLS_SQL = r"""
+WITH s AS (
+  SELECT conv_id, turn, role, generate_subscripts(p, 1) - 1 AS k, unnest(p) AS s
+  FROM (SELECT *, list_filter(regexp_split_to_array(text, '[.!?]+[ \n]+|\n+'), lambda x: trim(x) <> '') AS p FROM conversations)
+), a AS (SELECT *, len(regexp_split_to_array(trim(s), ' +')) AS words FROM s WHERE role = 'user'),
+c AS (SELECT conv_id, turn, k, turn || '.' || k AS call_id, s, words, CASE WHEN words <= 6 THEN 'lookup' ELSE 'search' END AS name FROM a),
+e AS (
+  SELECT conv_id, turn, k, turn || '.' || (k // 2) AS dep, turn AS dep_turn FROM c WHERE k > 0
+  UNION ALL SELECT conv_id, turn, k, (turn - 2) || '.0', turn - 2 FROM c WHERE k = 0 AND turn >= 2
+), v AS (
+  SELECT c.*, row_number() OVER (PARTITION BY conv_id ORDER BY turn, CASE WHEN k = 0 THEN 0 ELSE floor(log2(k)) + 1 END, call_id) - 1 AS position,
+         list_sort(list_filter([
+           CASE WHEN NOT EXISTS (SELECT 1 FROM c x JOIN e ON e.conv_id = x.conv_id AND e.dep = x.call_id WHERE e.conv_id = c.conv_id AND e.turn = c.turn AND e.k = c.k)
+                 AND (k > 0 OR turn >= 2) THEN 'unknown call ' || CASE WHEN k > 0 THEN turn || '.' || (k // 2) ELSE (turn - 2) || '.0' END END,
+           CASE WHEN name = 'lookup' AND length(s) > 40 THEN 'bound query' END,
+           CASE WHEN name = 'search' AND words > 40 THEN 'bound words' END,
+           CASE WHEN name = 'search' AND k > 5 THEN 'bound place' END
+         ], lambda x: x IS NOT NULL)) AS errors
+  FROM c
+), r AS (SELECT conv_id, turn AS result_turn, (turn - 1) || '.' || k AS call_id, s AS content FROM s WHERE role = 'assistant')
+SELECT conv_id, call_id, coalesce(v.turn, result_turn) AS turn, position,
+       CASE WHEN position IS NULL THEN 'orphan' WHEN content IS NULL THEN 'open' ELSE 'linked' END AS status, (content IS NOT NULL)::BIGINT AS n_results,
+       coalesce(array_to_string(errors, '; '), '') AS errors,
+       '{' || CASE WHEN position IS NULL THEN '' ELSE '"arguments":{' || CASE WHEN name = 'search' THEN '"place":' || k || ',' ELSE '' END
+              || '"query":' || to_json(s)::VARCHAR || ',"words":' || words || '},' END
+       || '"conv_id":' || conv_id || ',"id":"' || call_id || '",'
+       || CASE WHEN position IS NULL THEN '' ELSE '"name":"' || name || '","position":' || position || ',' END
+       || '"result":' || coalesce(to_json(content)::VARCHAR, 'null') || ',"status":"'
+       || CASE WHEN position IS NULL THEN 'orphan' WHEN content IS NULL THEN 'open' ELSE 'linked' END || '"}' AS record
+FROM v FULL JOIN r USING (conv_id, call_id)
+"""
+
+
+@query("op2_tool_calls", _CALLS_SQL)
+def op2_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation's sentences as linked, ordered and checked calls."""
+    made, told = calls.sentence_calls(table(spark, folder, "conversations"))
+    out = calls.linked_calls(made, told, calls.SENTENCE_SCHEMAS)
+    return out.withColumn("errors", F.array_join("errors", "; "))
+
+
 _VECTORS_SQL = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
