@@ -92,42 +92,42 @@ def deduped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     fresh = ("n_lines", "n_chunks", "removed_chunks", "removed_lines")
     docs = docs.drop(*(c for c in fresh if c not in (key, text)))
     found = repeated_chunks(chunk_keys(docs, key, text), key)
-    lists = found.groupBy(F.col(key).alias("_key"), F.col("text_digest").alias("_digest")).agg(
-        F.sort_array(F.collect_list(F.struct("chunk", "first"))).alias("_found")
+    lists = found.groupBy(F.col(key).alias("__key"), F.col("text_digest").alias("__digest")).agg(
+        F.sort_array(F.collect_list(F.struct("chunk", "first"))).alias("__found")
     )
     digest = F.unhex(F.md5(F.col(text).cast("binary")))
-    joined = docs.withColumn("_own", digest).join(
-        lists, (F.col("_own") == F.col("_digest")) & F.col(key).eqNullSafe(F.col("_key")), "left"
-    ).drop("_key", "_digest")
+    joined = docs.withColumn("__own", digest).join(
+        lists, (F.col("__own") == F.col("__digest")) & F.col(key).eqNullSafe(F.col("__key")), "left"
+    ).drop("__key", "__digest")
     joined = stored(joined, "marked-texts")
 
-    texts = stored(_found_texts(joined.where("_found is not null"), key, text), "chunk-texts")
+    texts = stored(_found_texts(joined.where("__found is not null"), key, text), "chunk-texts")
     first = texts.where("first").select(F.col("chunk_digest").alias("_c"), F.col("bytes").alias("_b")).dropDuplicates(["_c"])
     differ = texts.where("not first").join(first, (F.col("chunk_digest") == F.col("_c")) & (F.col("bytes") != F.col("_b")))
-    differ = stored(differ.groupBy("own", F.col("key").alias("_key")).agg(F.collect_set("chunk").alias("_other")), "unequal-chunks")
-    whole = joined.join(differ, (F.col("_own") == F.col("own")) & F.col(key).eqNullSafe(F.col("_key")), "left").drop("own", "_key")
+    differ = stored(differ.groupBy(F.col("own").alias("__whose"), F.col("key").alias("__key")).agg(F.collect_set("chunk").alias("__other")), "unequal-chunks")
+    whole = joined.join(differ, (F.col("__own") == F.col("__whose")) & F.col(key).eqNullSafe(F.col("__key")), "left").drop("__whose", "__key")
     return _without(whole, docs.columns, text, fresh)
 
 
 def _found_texts(marked: DataFrame, key: str, text: str) -> DataFrame:
-    own = marked.select(F.col(key).alias("key"), F.col("_own").alias("own")).schema
+    own = marked.select(F.col(key).alias("key"), F.col("__own").alias("own")).schema
     schema = widened(own, "chunk bigint, first boolean, chunk_digest binary, bytes binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, rows = [], []
-            for i, (body, found) in enumerate(zip(values(batch, text), values(batch, "_found"), strict=True)):
+            for i, (body, found) in enumerate(zip(values(batch, text), values(batch, "__found"), strict=True)):
                 chunks = line_chunks(body)
                 for f in found:
                     raw = b"\n".join(chunks[f["chunk"]])
                     at.append(i)
                     rows.append((f["chunk"], f["first"], hashlib.md5(raw).digest(), raw))
             take = pa.array(at, pa.int32())
-            columns = [batch.column(key).take(take), batch.column("_own").take(take)]
+            columns = [batch.column(key).take(take), batch.column("__own").take(take)]
             columns += [pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.bool_(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return marked.select(key, text, "_own", "_found").mapInArrow(run, schema)
+    return marked.select(key, text, "__own", "__found").mapInArrow(run, schema)
 
 
 def _without(whole: DataFrame, columns: list[str], text: str, fresh: tuple[str, ...]) -> DataFrame:
@@ -136,7 +136,7 @@ def _without(whole: DataFrame, columns: list[str], text: str, fresh: tuple[str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies, counts = [], []
-            for body, found, other in zip(values(batch, text), values(batch, "_found"), values(batch, "_other"), strict=True):
+            for body, found, other in zip(values(batch, text), values(batch, "__found"), values(batch, "__other"), strict=True):
                 chunks = [] if body is None else line_chunks(body)
                 gone = {f["chunk"] for f in found or () if not f["first"]} - set(other or ())
                 if gone:
@@ -147,4 +147,4 @@ def _without(whole: DataFrame, columns: list[str], text: str, fresh: tuple[str,
             arrays += [pa.array([c[j] for c in counts], pa.int64()) for j in range(len(fresh))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *fresh])
 
-    return whole.select(*columns, "_found", "_other").mapInArrow(run, schema)
+    return whole.select(*columns, "__found", "__other").mapInArrow(run, schema)

@@ -117,6 +117,6 @@ def host_rules(docs: DataFrame, config: QualityConfig = QualityConfig(), host: s
     fresh = (*NAMES, "base_failed", "host_docs", "host_failed", "host_rate", "host_kept", "kept")
     docs = docs.drop(*(c for c in fresh if c not in (host, text)))
     judged = stored(text_measures(docs, text).withColumn("base_failed", base_failed(config)), "quality")
-    hosts = stored(host_verdicts(judged, host, config), "host-verdicts").withColumnRenamed(host, "_host")
-    joined = judged.join(hosts, F.col(host).eqNullSafe(F.col("_host"))).drop("_host")
+    hosts = stored(host_verdicts(judged, host, config), "host-verdicts").withColumnRenamed(host, "__host")
+    joined = judged.join(hosts, F.col(host).eqNullSafe(F.col("__host"))).drop("__host")
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
