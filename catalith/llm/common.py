@@ -70,14 +70,15 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), purpose
     )
     mark = _fingerprint(now)
+    files = 1 + mark[0] // 500_000
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, purpose)
+        large = stored(large.coalesce(files), purpose)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
-        now = stored(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct(), purpose)
+        now = stored(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct().coalesce(files), purpose)
         mark, before = _fingerprint(now), mark
         if mark == before:
             break
@@ -98,3 +99,36 @@ def spread(seed: int, *columns: str) -> Column:
 def widened(schema: T.StructType, ddl: str) -> T.StructType:
     """``schema`` with the fields of ``ddl`` after its own."""
     return T.StructType(schema.fields + T.StructType.fromDDL(ddl).fields)
+
+
+def run_pairs(starts: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j, inside each run [start, end) of rows, some at a time."""
+    rows = np.arange(starts[0], ends[-1]) if len(starts) else np.zeros(0, np.int64)
+    partners = np.repeat(ends, ends - starts) - rows - 1
+    total = np.cumsum(partners)
+    at = 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        own = partners[at:to]
+        i = np.repeat(rows[at:to], own)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own) + i + 1
+        yield i, j
+        at = to
+
+
+def finished_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], least: int = 4096) -> Iterator[pa.Table]:
+    """Rows that come sorted by ``keys``, in tables of ``least`` rows or more that hold whole groups only; the last may be smaller."""
+    left: pa.Table | None = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        left = t if left is None else pa.concat_tables([left, t])
+        if left.num_rows < least:
+            continue
+        left = left.combine_chunks()
+        differs = np.flatnonzero(np.any([(c := left[k].to_numpy()) != c[-1] for k in keys], 0))
+        if len(differs):
+            cut = int(differs[-1]) + 1
+            yield left.slice(0, cut).combine_chunks()
+            left = left.slice(cut)
+    if left is not None and left.num_rows:
+        yield left.combine_chunks()

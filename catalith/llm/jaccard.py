@@ -2,8 +2,8 @@
 
 Documents with one set are one class. Classes that are alike are linked to a leader first, found by equal minimum hashes. Then every class posts the
 front of its tokens, in one order for all sets, to an index; pairs meet at a token that both hold in front. Skipped are: tokens of one
-component only; blocks of a token's list whose sizes or positions cannot reach the threshold; and pairs that the answers of their leaders
-decide (Jaccard distance is a metric, so a set near its leader has nearly its leader's distances). What is left is computed from the whole texts.
+component only; blocks of a token's list whose sizes or positions cannot reach the threshold; pairs whose token parities differ by too
+much; and pairs that the answers of their leaders decide (Jaccard distance is a metric, so a set near its leader has nearly its leader's distances). What is left is computed from the whole texts.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalith.llm.common import components, list_column, small_batches, stored, values, widened
+from catalith.llm.common import components, finished_groups, list_column, run_pairs, small_batches, stored, values, widened
 
 #: Odd multipliers that mix the hashes of a shingle's words, and those that permute tokens for the minimum hashes.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -32,7 +32,8 @@ class JaccardConfig:
     """Two sets link when ``per`` * intersection >= ``share`` * union. ``words`` make a shingle.
 
     ``front`` is the part of the token space in which common tokens are put behind rare ones; a token is common when more than ``common`` classes hold it.
-    ``front``, ``common`` and ``memory`` (words a worker remembers) change the work, never the result.
+    Rows of an index list beyond ``block`` are dealt in blocks. ``front``, ``common``, ``block`` and ``memory`` (words a worker remembers) change the work,
+    never the result.
     """
 
     words: int = 5
@@ -40,6 +41,7 @@ class JaccardConfig:
     per: int = 100
     front: float = 0.25
     common: int = 16
+    block: int = 1024
     memory: int = 1 << 20
 
 
@@ -80,9 +82,30 @@ def _front(n: int, config: JaccardConfig) -> int:
     return n - -(-config.share * n // config.per) + 1
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """Which of the low bits' values an odd number of tokens has, as bits; about one bit a token, by powers of two from 256 to 8192.
+
+    Where the parities of two sets differ, so do the sets: the differing bits are never more than the tokens by which the sets differ.
+    """
+    width = min(8192, max(256, 1 << (len(tokens) - 1).bit_length()))
+    odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def parity_rows(raw: list[bytes]) -> np.ndarray:
+    """Parities as rows of 64-bit words, all folded to the narrowest among them: a bit of a narrower one is the parity of the bits that fall on it."""
+    least = min(map(len, raw))
+    out = np.zeros((len(raw), least // 8), np.uint64)
+    for width in set(map(len, raw)):
+        rows = [i for i, r in enumerate(raw) if len(r) == width]
+        words = np.frombuffer(b"".join([raw[i] for i in rows]), "<u8").reshape(len(rows), width // least, least // 8)
+        out[rows] = np.bitwise_xor.reduce(words, axis=1)
+    return out
+
+
 def sketches(docs: DataFrame, config: JaccardConfig, key: str, text: str) -> DataFrame:
-    """Per row: key, n (size of its set), digest of the set, mins (minimum hashes), below (tokens in the front part of the space), tokens (to post)."""
-    schema = widened(docs.select(key).schema, "n bigint, digest binary, mins array<bigint>, below bigint, tokens array<bigint>")
+    """Per row: key, n (size of its set), digest of the set, odd (its parities), mins (minimum hashes), below (tokens in the front part of the space), tokens (to post)."""
+    schema = widened(docs.select(key).schema, "n bigint, digest binary, odd binary, mins array<bigint>, below bigint, tokens array<bigint>")
     cut = np.uint64(int(config.front * (1 << 63)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +118,7 @@ def sketches(docs: DataFrame, config: JaccardConfig, key: str, text: str) -> Dat
                 [
                     batch.column(key), pa.array([len(s) for s in rows], pa.int64()),
                     pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in rows], pa.binary()),
-                    list_column(mins), pa.array(below, pa.int64()), list_column(posts),
+                    pa.array([parities(s) if len(s) else None for s in rows], pa.binary()), list_column(mins), pa.array(below, pa.int64()), list_column(posts),
                 ],
                 names=schema.names,
             )
@@ -119,11 +142,6 @@ def _sizes_fit(config: JaccardConfig, a: Column, b: Column) -> Column:
     return (config.per * F.least(a, b) >= config.share * F.greatest(a, b))
 
 
-def _room(config: JaccardConfig, a: Column, b: Column) -> Column:
-    """The most tokens by which linked sets of these sizes differ: sizes less twice the least intersection."""
-    return a + b - 2 * F.ceil(config.share * (a + b) / (config.share + config.per))
-
-
 def leader_candidates(classes: DataFrame, config: JaccardConfig) -> DataFrame:
     """(a, b): class b and the smallest class a that has one of b's minimum hashes. The minimum is aggregated, never a group gathered."""
     hashes = classes.select("sid", "n", F.posexplode("mins").alias("k", "m"))
@@ -190,32 +208,79 @@ def front_entries(classes: DataFrame, config: JaccardConfig) -> DataFrame:
     return rows.select("token", "sid", "comp", "n", place.cast("long").alias("place"), "common").where(F.col("place") < front)
 
 
-def candidate_pairs(entries: DataFrame, config: JaccardConfig) -> DataFrame:
-    """(a, b), a < b: classes of different components that meet at a token in front where size and position allow a link.
+def index_blocks(entries: DataFrame, config: JaccardConfig) -> DataFrame:
+    """Entries dealt to (token, block_a, block_b): any two entries of a token that may make a pair meet in one group of at most about two blocks.
 
-    At the first token that two linked sets share, their places add up to no more than what they differ by; so one place at least is near. Near entries probe
-    the lists. Lists of common tokens lie in blocks by size and by near or far place, and a probe goes to the blocks that it can reach.
+    At the first token that two linked sets share, their places add up to no more than what they differ by; so one place at least is near. A short list is one
+    group. A long one lies in blocks by size and by near or far place, cut further by a hash; an entry goes to its block's pairs with the blocks that
+    it can reach, and skips all others: those of a size too far off, and far ones for far entries.
     """
     ratio = config.per / config.share
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(ratio)) + 1e-9)
-    # Half the room of a set and a partner of the greatest size.
-    reach = F.col("n") * (1 + ratio) * (config.per - config.share) / (config.per + config.share)
-    rows = entries.withColumn("near", F.col("place") <= reach / 2 + 1).withColumn("band", band)
-    block = F.when(F.col("common"), 2 * F.col("band") + F.col("near").cast("int")).otherwise(F.lit(0))
-    index = rows.select("token", block.alias("block"), "sid", "comp", "n", "place", "near")
-    bands = F.array(*[F.col("band") + d for d in (-1, 0, 1)])
-    nearest = F.transform(bands, lambda x: 2 * x + 1)
-    far = F.transform(bands, lambda x: 2 * x)
-    reached = F.when(~F.col("common"), F.array(F.lit(0).cast("long"))).when(F.col("place") <= reach / 2, F.concat(nearest, far)).otherwise(nearest)
-    probe = rows.where("near").select(
-        "token", F.explode(reached).alias("block"), F.col("sid").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("place").alias("px")
-    )
-    fits = (
-        (F.col("comp") != F.col("cx")) & _sizes_fit(config, F.col("n"), F.col("nx"))
-        & (F.col("place") + F.col("px") <= _room(config, F.col("n"), F.col("nx"))) & (~F.col("near") | (F.col("x") < F.col("sid")))
-    )
-    met = probe.join(index, (probe.token == index.token) & (probe.block == index.block) & fits)
-    return met.select(F.least("x", "sid").alias("a"), F.greatest("x", "sid").alias("b")).distinct()
+    # Half of what a set and a partner of the greatest size may differ by.
+    reach = F.col("n") * (1 + ratio) * (config.per - config.share) / (config.per + config.share) / 2
+    rows = entries.withColumn("near", F.col("place") <= reach + 1).withColumn("kind", (2 * band + F.col("near").cast("int")).cast("long"))
+    counts = rows.groupBy("token", "kind").agg(F.count("*").alias("held"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    cuts = F.ceil(F.col("held") / config.block).cast("long")
+    lists = counts.groupBy("token").agg(
+        F.sum("held").alias("held"), F.min("c0").alias("c0"), F.max("c1").alias("c1"), F.map_from_entries(F.collect_list(F.struct("kind", cuts.alias("cuts")))).alias("cuts")
+    ).where("c0 <> c1").select("token", (F.col("held") > config.block).alias("long"), "cuts")
+    rows = rows.join(lists, "token")
+    kind = F.col("kind")
+    met = F.filter(F.map_keys("cuts"), lambda k: (F.abs(F.floor(k / 2) - F.floor(kind / 2)) <= 1) & ((k % 2 == 1) | (kind % 2 == 1)))
+    own = kind * (1 << 32) + F.pmod(F.xxhash64("sid"), F.element_at("cuts", kind))
+    blocks = F.flatten(F.transform(met, lambda k: F.transform(F.sequence(F.lit(0).cast("long"), F.element_at("cuts", k) - 1), lambda c: k * (1 << 32) + c)))
+    none = F.lit(-1).cast("long")
+    rows = rows.withColumn("own", F.when(F.col("long"), own).otherwise(none))
+    rows = rows.withColumn("other", F.explode(F.when(F.col("long"), blocks).otherwise(F.array(none)))).drop("long", "cuts", "kind")
+    return rows.withColumn("block_a", F.least("own", "other")).withColumn("block_b", F.greatest("own", "other")).drop("other", "common")
+
+
+def candidate_pairs(blocks: DataFrame, config: JaccardConfig) -> DataFrame:
+    """(a, b), a < b: classes of different components that meet at a token where size, places and parities allow a link.
+
+    Pairs are made and tried inside the workers, so only those that pass become rows.
+    """
+    rows = blocks.repartition("token", "block_a", "block_b").sortWithinPartitions("token", "block_a", "block_b", "n", "sid")
+    share, per = config.share, config.per
+
+    def work(t: pa.Table, seen: set[tuple[int, int]]) -> list[tuple[int, int]]:
+        sid, comp, n, place, own, near = (t[c].to_numpy(zero_copy_only=False) for c in ("sid", "comp", "n", "place", "own", "near"))
+        keys = np.stack([t[c].to_numpy() for c in ("token", "block_a", "block_b")], 1)
+        two = keys[:, 1] != keys[:, 2]
+        odd = t["odd"].to_pylist()
+        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
+        words = parity_rows(odd)
+        found = []
+        for i, j in run_pairs(starts, np.r_[starts[1:], len(sid)], 200_000):
+            room = n[i] + n[j] - 2 * -(-share * (n[i] + n[j]) // (share + per))
+            small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
+            fits = (comp[i] != comp[j]) & (near[i] | near[j]) & (per * small >= share * large) & (place[i] + place[j] <= room) & (~two[i] | (own[i] != own[j]))
+            i, j, room = i[fits], j[fits], room[fits]
+            close = np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) <= room
+            i, j, room = i[close], j[close], room[close]
+            for a, b, x, y, most in zip(sid[i].tolist(), sid[j].tolist(), i.tolist(), j.tolist(), room.tolist(), strict=True):
+                pair = (a, b) if a < b else (b, a)
+                if pair in seen:
+                    continue
+                seen.add(pair)
+                if len(odd[x]) > words.shape[1] * 8 and len(odd[y]) > words.shape[1] * 8:
+                    both = parity_rows([odd[x], odd[y]])
+                    if np.bitwise_count(both[0] ^ both[1]).sum() > most:
+                        continue
+                found.append(pair)
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for t in finished_groups(batches, ("token", "block_a", "block_b")):
+            if len(seen) > 500_000:
+                seen.clear()
+            found = work(t, seen)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,7 +293,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     rows = docs.withColumn("_digest", F.xxhash64(text))
     made = stored(_sketched(rows, config, key, text), "sketches")
     sets = made.where(F.col("n") > 0).where(F.col(key).isNotNull())
-    least = F.min(F.struct(F.col(key).alias("low"), "text_digest", "n", "below", "mins", "tokens")).alias("least")
+    least = F.min(F.struct(F.col(key).alias("low"), "text_digest", "n", "below", "odd", "mins", "tokens")).alias("least")
     classes = sets.groupBy("digest").agg(least).select("digest", "least.*").withColumn("sid", F.monotonically_increasing_id())
     classes = stored(classes, "classes")
     _release()
@@ -248,9 +313,10 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
 
     # Pairs that the index brings together.
     known = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
-    entries = stored(front_entries(known.select("sid", "comp", "n", "below", "tokens"), config), "entries")
+    entries = front_entries(known.select("sid", "comp", "n", "below", "tokens"), config).join(classes.select("sid", "odd"), "sid")
+    entries = stored(entries, "entries")
     _release()
-    met = stored(candidate_pairs(entries, config), "met")
+    met = stored(candidate_pairs(index_blocks(entries, config), config), "met")
 
     # Leaders' answers first, then the pairs that they leave open.
     near = leaders.select(F.col("b").alias("sid"), F.col("near.lead").alias("lead"), F.col("near.far").alias("far"))
@@ -288,7 +354,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
 
 def _sketched(rows: DataFrame, config: JaccardConfig, key: str, text: str) -> DataFrame:
     made = sketches(rows.withColumn("_pair", F.struct(F.col(key).alias("key"), F.col("_digest").alias("text_digest"))).select("_pair", text), config, "_pair", text)
-    return made.select(F.col("_pair.key").alias(key), F.col("_pair.text_digest").alias("text_digest"), "n", "digest", "mins", "below", "tokens")
+    return made.select(F.col("_pair.key").alias(key), F.col("_pair.text_digest").alias("text_digest"), "n", "digest", "odd", "mins", "below", "tokens")
 
 
 def _contracted(links: DataFrame, comps: DataFrame) -> DataFrame:

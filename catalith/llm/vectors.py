@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalith.llm.common import components, long_column, stored, values, widened
+from catalith.llm.common import components, finished_groups, long_column, run_pairs, stored, values, widened
 
 
 @dataclass(frozen=True)
@@ -176,21 +176,6 @@ def bucket_blocks(coded: DataFrame, config: VectorConfig) -> DataFrame:
     return rows.withColumn("block_a", F.least("own", "other")).withColumn("block_b", F.greatest("own", "other")).drop("other")
 
 
-def _pairs(starts: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j), i < j, inside each run [start, end) of rows, some at a time."""
-    rows = np.arange(starts[0], ends[-1]) if len(starts) else np.zeros(0, np.int64)
-    partners = np.repeat(ends, ends - starts) - rows - 1
-    total = np.cumsum(partners)
-    at = 0
-    while at < len(rows):
-        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
-        own = partners[at:to]
-        i = np.repeat(rows[at:to], own)
-        j = np.arange(len(i)) - np.repeat(np.cumsum(own) - own, own) + i + 1
-        yield i, j
-        at = to
-
-
 def _labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """The smallest row that each row is joined to by the pairs."""
     label = np.arange(n)
@@ -223,7 +208,7 @@ def linked_blocks(blocks: DataFrame, plan: Plan, config: VectorConfig) -> DataFr
         queries, bound = Queries.of(x, plan), margin(factors, plan.width, config.slack)
         starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(1)])
         links, ei, ej = np.zeros(len(x), np.int64), [], []
-        for i, j in _pairs(starts, np.r_[starts[1:], len(x)], 200_000):
+        for i, j in run_pairs(starts, np.r_[starts[1:], len(x)], 200_000):
             fine = ~two[i] | (own[i] != own[j])
             i, j = i[fine], j[fine]
             hopeful = estimates(words, factors, queries, i, j, plan.width) + bound[i] >= config.threshold
@@ -244,22 +229,8 @@ def linked_blocks(blocks: DataFrame, plan: Plan, config: VectorConfig) -> DataFr
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: pa.Table | None = None
-        names = ("table", "key", "block_a", "block_b")
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            left = t if left is None else pa.concat_tables([left, t])
-            if left.num_rows < 4096:
-                continue
-            left = left.combine_chunks()
-            cols = [left[c].to_numpy() for c in names]
-            differs = np.flatnonzero(np.any([c != c[-1] for c in cols], 0))
-            if len(differs):
-                cut = int(differs[-1]) + 1
-                yield from work(left.slice(0, cut).combine_chunks())
-                left = left.slice(cut)
-        if left is not None and left.num_rows:
-            yield from work(left.combine_chunks())
+        for t in finished_groups(batches, ("table", "key", "block_a", "block_b")):
+            yield from work(t)
 
     return rows.mapInArrow(run, "sid bigint, links bigint, edge bigint")
 
