@@ -16,21 +16,17 @@ from catalith.constants import (
 from catalith.functions.lists import clean_list, strings, strip, text
 from catalith.functions.text import fold_accents
 
-_LEGAL_TAIL = r"(?i)(?:,?\s+|\s*,\s*)(?:" + "|".join(LEGAL_SUFFIXES) + r")\s*$"
-_TAIL_PASSES = 3
+#: Any number of legal suffixes at the end, each after white space or a comma.
+_LEGAL_TAIL = r"(?i)(?:(?:,?\s+|\s*,\s*)(?:" + "|".join(LEGAL_SUFFIXES) + r")[\s,]*)+$"
 _SEP = "\x1f"
 _MARKS = "™®℠"
 
 
 def normalize_company(c: Column) -> Column:
-    """Company name without a trailing parenthetical and legal suffixes; blank unless a letter is left.
-
-    A name carries a handful of stacked suffixes at most, so a few unrolled passes reach the fixed point.
-    """
+    """Company name without a trailing parenthetical and legal suffixes, however many are stacked; blank unless a letter is left."""
     s = F.regexp_replace(text(c), r"^(?i:nan|none|null)$", "")
     s = F.regexp_replace(s, r"\s*\([^)]*\)\s*$", "")
-    for _ in range(_TAIL_PASSES):
-        s = F.rtrim(F.regexp_replace(F.rtrim(s), _LEGAL_TAIL, ""), F.lit(" ,"))
+    s = F.rtrim(F.regexp_replace(F.rtrim(s), _LEGAL_TAIL, ""), F.lit(" ,"))
     s = strip(F.regexp_replace(s, r"\s{2,}", " "))
     return F.regexp_replace(s, "^[^A-Za-z]*$", "")
 

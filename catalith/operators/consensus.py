@@ -47,10 +47,9 @@ def _largest_component(present: list[Column], edge: dict[tuple[int, int], Column
 
         return F.transform(acc, reach)
 
-    # Squaring the neighbourhood twice covers paths of length four, enough for five sources.
-    closed = F.aggregate(
-        F.array(F.lit(0), F.lit(1)), F.array(*masks), widen
-    )
+    # Each squaring doubles the length of the paths covered; the longest has one edge less than there are sources.
+    rounds = max(1, (n - 2).bit_length())
+    closed = F.aggregate(F.array(*[F.lit(k) for k in range(rounds)]), F.array(*masks), widen)
     ranked = F.transform(closed, lambda m, i: F.struct(F.bit_count(m).alias("size"), (-i).alias("first"), m.alias("mask")))
     return F.array_max(ranked)["mask"]
 
@@ -234,7 +233,7 @@ def company_tags(sets: dict[str, str], kind: str, min_providers: int = 2) -> Col
 
 def _after(tags: Column, prefix: str) -> Column:
     kept = F.filter(tags, lambda t: t.startswith(prefix))
-    return F.transform(kept, lambda t: F.substring(t, len(prefix) + 1, 100))
+    return F.transform(kept, lambda t: F.substr(t, F.lit(len(prefix) + 1)))
 
 
 def actionable_tags(

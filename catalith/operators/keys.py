@@ -56,10 +56,10 @@ def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return picked.select(key, "__row.*").select(*df.columns)
 
 
-def ensure_row_ids(df: DataFrame, order: str, name: str = "Name", col: str = "RowId") -> DataFrame:
-    """Fill blank row ids and re-id every repeat but the first; new ids come from name and ordinal.
+def ensure_row_ids(df: DataFrame, order: str, name: str = "Name", col: str = "RowId", salt: str = "") -> DataFrame:
+    """Fill blank row ids and re-id every repeat but the first; new ids come from name, ordinal and the run's ``salt``.
 
-    The first holder of each id is found by a pre-aggregated minimum and matched on (id, ordinal), a pair that is
+    An id made that a row holds already (it was made for the same name and ordinal, and its row moved) is made anew from itself. The first holder of each id is found by a pre-aggregated minimum and matched on (id, ordinal), a pair that is
     unique, so neither blank nor repeated ids gather in one task. ``__new_id`` marks the created ids.
     """
     base = df.withColumn(col, text(F.col(col))) if col in df.columns else df.withColumn(col, F.lit(""))
@@ -71,11 +71,16 @@ def ensure_row_ids(df: DataFrame, order: str, name: str = "Name", col: str = "Ro
     )
     marked = base.join(firsts, (F.col(col) == F.col("__fid")) & (F.col(order) == F.col("__ford")), "left")
     keep = F.coalesce(F.col("__first"), F.lit(False))
-    fresh = F.concat(F.lit("rid:"), F.substring(F.sha2(F.concat_ws("|", text(F.col(name)), F.col(order).cast("string")), 256), 1, 32))
-    return marked.select(
-        *[F.when(keep, F.col(col)).otherwise(fresh).alias(c) if c == col else F.col(c) for c in base.columns],
-        (~keep).alias("__new_id"),
-    )
+
+    def made(*parts: Column) -> Column:
+        return F.concat(F.lit("rid:"), F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 32))
+
+    fresh = made(text(F.col(name)), F.col(order).cast("string"), *([F.lit(salt)] if salt else []))
+    given = marked.select("*", F.when(keep, F.col(col)).otherwise(fresh).alias("__id"), (~keep).alias("__new_id"))
+    held = firsts.select(F.col("__fid").alias("__held"))
+    met = given.join(held, F.col("__new_id") & (F.col("__id") == F.col("__held")), "left")
+    unique = F.when(F.col("__held").isNotNull(), made(F.col("__id"), F.lit("again"))).otherwise(F.col("__id"))
+    return met.select(*[unique.alias(c) if c == col else F.col(c) for c in base.columns], "__new_id")
 
 
 def duplicate_ids(df: DataFrame, col: str = "RowId") -> DataFrame:

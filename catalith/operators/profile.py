@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalith.session import materialize
+
 
 def _type_name(v: Column) -> Column:
     kind = F.schema_of_variant(v)
@@ -20,18 +22,21 @@ def _type_name(v: Column) -> Column:
     )
 
 
-def path_types(docs: DataFrame, payload: str = "payload", max_depth: int = 8, array_sample: int = 5) -> DataFrame:
-    """``(path, types)`` over all documents: types sorted, arrays sampled to their first items.
+def path_types(docs: DataFrame, payload: str = "payload", array_sample: int = 5) -> DataFrame:
+    """``(path, types)`` over all documents, at any depth: types sorted, arrays sampled to their first items.
 
-    One narrow round per nesting level, all in one plan; each level reduces to distinct (path, type) pairs map-side.
+    One narrow round per nesting level, each over the level before it as stored in the shared folder, until a level is empty; a level reduces to
+    distinct (path, type) pairs map-side.
     """
-    level = docs.select(F.lit("").alias("path"), F.col(payload).alias("v")).where("v is not null")
+    level = materialize(docs.select(F.lit("").alias("path"), F.col(payload).alias("v")).where("v is not null"), "json-level")
     seen: DataFrame | None = None
-    for _ in range(max_depth):
+    while True:
         here = level.select(
             F.when(F.col("path") == "", "<root>").otherwise(F.col("path")).alias("path"), _type_name(F.col("v")).alias("type")
         ).distinct()
         seen = here if seen is None else seen.unionByName(here)
+        if level.isEmpty():
+            break
         kind = F.schema_of_variant("v")
         dot = F.when(F.col("path") == "", "").otherwise(F.concat("path", F.lit(".")))
         fields = level.where(kind.startswith("OBJECT")).select(
@@ -41,5 +46,5 @@ def path_types(docs: DataFrame, payload: str = "payload", max_depth: int = 8, ar
             F.concat("path", F.lit("[]")).alias("path"),
             F.explode(F.slice(F.try_variant_get("v", "$", "array<variant>"), 1, array_sample)).alias("v"),
         )
-        level = fields.unionByName(items)
+        level = materialize(fields.unionByName(items), "json-level")
     return seen.groupBy("path").agg(F.array_sort(F.collect_set("type")).alias("types"))

@@ -1,7 +1,7 @@
 """Per-provider selection rules over candidate tables.
 
 Inputs: ``queries(row_id, name, year_hint)`` and ``hits(query, pos, id, ..)``, the stored search results keyed by query
-text. Each selector joins hits by query text and ends in one aggregate per row.
+text; or ``hits(row_id, pos, id, ..)``, results keyed by the row that asked. Each selector ends in one aggregate per row.
 """
 
 from __future__ import annotations
@@ -48,7 +48,9 @@ def _near(year: Column, hint: Column, tolerance: int) -> Column:
 
 
 def search_hits(queries: DataFrame, hits: DataFrame, term: str = "term") -> DataFrame:
-    """Candidates of each query row: an equi-join on the search text, skewed texts split by adaptive execution."""
+    """Candidates of each query row: an equi-join on the row that asked where hits name it, which spreads like the rows; else on the search text."""
+    if "query" not in hits.columns:
+        return queries.join(hits, "row_id")
     return queries.join(hits.withColumnRenamed("query", "__query"), F.col(term) == F.col("__query")).drop("__query")
 
 

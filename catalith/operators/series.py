@@ -27,17 +27,30 @@ def dense_days(series: DataFrame, bounds: DataFrame, key: str, value: str = "vie
     )
 
 
-def trailing_sums(series: DataFrame, key: str, end: Column, days: Iterable[int] = (30, 90, 365), value: str = "views") -> DataFrame:
+def last_day(series: DataFrame) -> Column:
+    """The newest day of a series, as a constant: one small aggregate."""
+    return F.lit(series.agg(F.max("day")).first()[0]).cast("date")
+
+
+def _zeros(sums: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``sums`` for every key; a key without a day in any window has 0, as a series of empty days sums to."""
+    values = [c for c in sums.columns if c != key]
+    return keys.select(key).distinct().join(sums, key, "left").select(key, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in values])
+
+
+def trailing_sums(
+    series: DataFrame, key: str, end: Column, days: Iterable[int] = (30, 90, 365), value: str = "views", keys: DataFrame | None = None
+) -> DataFrame:
     """Sums over the last N days up to ``end`` inclusive: one pre-aggregated pass, all windows at once.
 
-    Missing days count as zero, so no dense series is needed. Keys without a day in the longest window are absent.
+    Missing days count as zero, so no dense series is needed. ``keys`` lists the keys with a stored series; without it, they are those of ``series``.
     """
     days = list(days)
-    longest = max(days)
-    recent = series.where((F.col("day") <= end) & (F.col("day") > F.date_sub(end, longest)))
-    return recent.groupBy(key).agg(
+    recent = series.where((F.col("day") <= end) & (F.col("day") > F.date_sub(end, max(days))))
+    sums = recent.groupBy(key).agg(
         *[F.sum(F.when(F.col("day") > F.date_sub(end, n), F.col(value)).otherwise(0)).alias(f"{value}_{n}d") for n in days]
     )
+    return _zeros(sums, series if keys is None else keys, key)
 
 
 def launch_sums(
@@ -51,17 +64,17 @@ def launch_sums(
 ) -> DataFrame:
     """Sums over the first N days since release, for releases between ``earliest`` and ``end``.
 
-    ``releases``: ``key, release`` (DATE). An equi-join on the key with a range on the day; keys whose window holds no
-    data are absent.
+    ``releases``: ``key, release`` (DATE), the keys with a stored series. An equi-join on the key with a range on the day; a window without data sums to 0.
     """
     days = list(days)
     eligible = releases.where((F.col("release") >= F.lit(earliest).cast("date")) & (F.col("release") <= end))
     joined = series.join(eligible.select(key, "release"), key)
     age = F.date_diff(F.col("day"), F.col("release"))
     inside = joined.where((age >= 0) & (age < max(days)) & (F.col("day") <= end))
-    return inside.groupBy(key).agg(
+    sums = inside.groupBy(key).agg(
         *[F.sum(F.when(age < n, F.col(value)).otherwise(0)).alias(f"{value}_first_{n}d") for n in days]
     )
+    return _zeros(sums, eligible, key)
 
 
 def latest_windows(keys: DataFrame, column: str = "request_key") -> DataFrame:

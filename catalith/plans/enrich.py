@@ -111,6 +111,7 @@ def with_pageviews(
     ).distinct()
     recent = trailing_sums(series, "article", as_of, (30, 90, 365))
     dated = tasks.withColumn("release", iso_date(F.col("release_text"))).where("release is not null")
+    dated = dated.join(series.select("article").distinct(), "article", "left_semi")
     keyed = series.join(dated.select("article", "release_text", "release"), "article").withColumn(
         "task", F.concat_ws("|", "article", "release_text")
     )

@@ -17,6 +17,7 @@ from catalith.functions.lists import is_blank, strip, text
 from catalith.functions.parse import strict_float, strict_int
 from catalith.operators.columns import auto_metric_key, is_metric_candidate, personal_columns, selected_columns
 from catalith.operators.keys import last_per_key
+from catalith.session import materialize
 from catalith.sources.registry import SPARK_TYPES, Registry
 from catalith.sources.tables import rendered
 
@@ -332,18 +333,18 @@ def write_json_lines(view: DataFrame, path: str) -> None:
 
 
 def json_document(view: DataFrame) -> DataFrame:
-    """Lines of one JSON array over all rows, in order across the part files a text writer makes of them.
+    """Lines of one JSON array over all rows, in the rows' order, across the part files a text writer makes of them.
 
-    Rows are range-sorted, so no task holds the array; only the smallest row, which takes no comma, is looked up first.
+    Rows are numbered as they are read and stored once, so the number that takes no comma is looked up on what is written; rows are range-sorted by
+    number, and no task holds the array.
     """
-    first = view.agg(F.min("value")).first()[0]
-    body = view.select(
-        F.lit(1).alias("part"),
-        F.col("value").alias("sort"),
-        F.when(F.col("value") == first, F.col("value")).otherwise(F.concat(F.lit(","), F.col("value"))).alias("value"),
+    rows = materialize(view.select(F.monotonically_increasing_id().alias("ordinal"), "value"), "json-rows")
+    first = rows.agg(F.min("ordinal")).first()[0]
+    body = rows.select(
+        F.lit(1).alias("part"), "ordinal", F.when(F.col("ordinal") == first, F.col("value")).otherwise(F.concat(F.lit(","), F.col("value"))).alias("value")
     )
-    edges = view.sparkSession.createDataFrame([(0, "", "["), (2, "", "]")], "part int, sort string, value string")
-    return edges.unionByName(body).orderBy("part", "sort").select("value")
+    edges = view.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "part int, ordinal bigint, value string")
+    return edges.unionByName(body).orderBy("part", "ordinal").select("value")
 
 
 def provider_view(envelope: DataFrame, provider: str, registry: Registry) -> DataFrame:

@@ -283,18 +283,32 @@ def event_numbers(spark, sf):
 _DOCS = """SELECT o_orderkey, o_orderstatus, CAST(o_custkey AS BIGINT) AS o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS note FROM {orders}"""
 
 
+_DEEP = 10
+
+
+def _deep_paths(depth: int = _DEEP) -> str:
+    """Rows (path, type) of the chain a.a. .. .a under ``deep``, whose end is a number or, in orders of even key, a text."""
+    inner = " UNION ALL ".join(f"SELECT 'deep{'.a' * k}', 'dict' FROM orders" for k in range(depth))
+    return f"{inner} UNION ALL SELECT 'deep{'.a' * depth}', CASE WHEN o_orderkey % 2 = 1 THEN 'int' ELSE 'str' END FROM orders"
+
+
 @query(
     "json_profile",
-    """SELECT * FROM (VALUES ('<root>', 'dict'), ('key', 'int'), ('lines', 'list'), ('lines[]', 'dict'), ('lines[].status', 'str'), ('lines[].mixed', 'int, str'), ('note', 'str'))
-    t(path, types) WHERE (SELECT count(*) FROM orders) > 0""",
+    f"""SELECT path, string_agg(DISTINCT type, ', ' ORDER BY type) AS types FROM (
+    SELECT unnest(['<root>', 'lines', 'lines[]']) AS path, unnest(['dict', 'list', 'dict']) AS type FROM orders
+    UNION ALL SELECT 'key', 'int' FROM orders WHERE o_orderkey IS NOT NULL
+    UNION ALL SELECT 'lines[].status', 'str' FROM orders WHERE o_orderstatus IS NOT NULL
+    UNION ALL SELECT 'lines[].mixed', CASE WHEN o_orderkey % 2 = 1 THEN 'int' ELSE 'str' END FROM orders
+    UNION ALL SELECT 'note', 'str' FROM {duck(_DOCS)} WHERE note IS NOT NULL UNION ALL {_deep_paths()}) GROUP BY path""",
 )
 def json_profile(spark, sf):
-    """Paths and types of JSON made from all orders."""
+    """Paths and types of JSON made from all orders, ten levels deep."""
     odd = F.col("o_orderkey") % 2 == 1
-    item = F.struct(
-        F.col("o_orderstatus").alias("status"),
-        F.when(odd, F.parse_json(F.lit("1"))).otherwise(F.parse_json(F.lit('"x"'))).alias("mixed"),
-    )
-    body = F.struct(F.col("o_orderkey").alias("key"), F.array(item, item).alias("lines"), F.col("note"))
+    mixed = F.when(odd, F.parse_json(F.lit("1"))).otherwise(F.parse_json(F.lit('"x"')))
+    item = F.struct(F.col("o_orderstatus").alias("status"), mixed.alias("mixed"))
+    deep = mixed
+    for _ in range(_DEEP):
+        deep = F.struct(deep.alias("a"))
+    body = F.struct(F.col("o_orderkey").alias("key"), F.array(item, item).alias("lines"), F.col("note"), deep.alias("deep"))
     docs = spark_frame(spark, sf, _DOCS).select(F.parse_json(F.to_json(body)).alias("payload"))
-    return path_types(docs, max_depth=4).select("path", F.array_join("types", ", ").alias("types"))
+    return path_types(docs).select("path", F.array_join("types", ", ").alias("types"))

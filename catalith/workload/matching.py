@@ -21,16 +21,12 @@ def _pairs(spark, sf):
     return spark_frame(spark, sf, SEARCHES).join(hits, "row_id")
 
 
-def _stored_hits(spark, sf, *columns: str):
-    """Hits keyed by the search text, one stored list per distinct text: the hits of its smallest order."""
-    searches = spark_frame(spark, sf, SEARCHES)
-    first = searches.groupBy(F.col("name").alias("query")).agg(F.min("row_id").alias("row_id"))
-    return first.join(spark_frame(spark, sf, HITS), "row_id").select("query", F.col("id").alias("pos"), "id", "cand_name", *columns)
+def _own_hits(spark, sf, *columns: str):
+    """Every order's own lines as the hits of its search."""
+    return spark_frame(spark, sf, HITS).select("row_id", F.col("id").alias("pos"), "id", "cand_name", *columns).distinct()
 
 
-_STORED = f"""searches AS {duck(SEARCHES)},
-    stored AS (SELECT f.query, h.id AS pos, h.* EXCLUDE (row_id) FROM
-        (SELECT name AS query, min(row_id) AS row_id FROM searches GROUP BY name) f JOIN {duck(HITS)} h USING (row_id))"""
+_STORED = f"searches AS {duck(SEARCHES)}, stored AS (SELECT *, id AS pos FROM {duck(HITS)})"
 
 
 @query(
@@ -117,7 +113,7 @@ def narrowed_candidates(spark, sf):
     return kept.select("row_id", "id", "cand_name", "released")
 
 
-_RAWG_ROWS = "(SELECT row_id, name, year_hint, id, pos, cand_name, cand_year, released FROM searches JOIN stored ON query = name)"
+_RAWG_ROWS = "(SELECT row_id, name, year_hint, id, pos, cand_name, cand_year, released FROM searches JOIN stored USING (row_id))"
 
 
 @query(
@@ -129,13 +125,13 @@ _RAWG_ROWS = "(SELECT row_id, name, year_hint, id, pos, cand_name, cand_year, re
     SELECT * FROM f WHERE score >= 65""",
 )
 def rawg_selection(spark, sf):
-    hits = _stored_hits(spark, sf, "released").distinct()
+    hits = _own_hits(spark, sf, "released")
     return select_rawg(spark_frame(spark, sf, SEARCHES), hits)
 
 
 _IGDB_ROWS = (
     "(SELECT row_id, name, year_hint, id, pos, cand_name, cand_year, CASE WHEN id % 3 = 0 THEN 0 WHEN id % 3 = 1 THEN 4 END AS category "
-    "FROM searches JOIN stored ON query = name)"
+    "FROM searches JOIN stored USING (row_id))"
 )
 _WINDOW = "year_hint IS NOT NULL AND cand_year BETWEEN year_hint - 1 AND year_hint + 1"
 
@@ -148,17 +144,17 @@ _WINDOW = "year_hint IS NOT NULL AND cand_year BETWEEN year_hint - 1 AND year_hi
     SELECT row_id, id, cand_name, adj AS score FROM r WHERE rn = 1 AND adj >= 65""",
 )
 def igdb_selection(spark, sf):
-    hits = _stored_hits(spark, sf, "cand_year").distinct()
+    hits = _own_hits(spark, sf, "cand_year")
     seconds = F.date_diff(F.make_date("cand_year", F.lit(6), F.lit(1)), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400
     category = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, 4)
-    hits = hits.select("query", "pos", "id", "cand_name", seconds.alias("first_release_date"), category.alias("category"))
+    hits = hits.select("row_id", "pos", "id", "cand_name", seconds.alias("first_release_date"), category.alias("category"))
     return select_igdb(spark_frame(spark, sf, SEARCHES), hits)
 
 
 _VARIANT_ROWS = f"""v AS (SELECT row_id, name, 0 AS no, false AS cased, name AS term FROM searches
         UNION ALL SELECT row_id, name, 1000, true, lower(name) FROM searches WHERE lower(name) <> name
         UNION ALL SELECT row_id, name, 1001, true, upper(name) FROM searches WHERE upper(name) <> name),
-    am0 AS (SELECT v.*, pos, id, cand_name, {s.norm('name')} AS a, {s.norm('cand_name')} AS b FROM v JOIN stored ON query = term)"""
+    am0 AS (SELECT v.*, pos, id, cand_name, {s.norm('name')} AS a, {s.norm('cand_name')} AS b FROM v JOIN (SELECT DISTINCT row_id, pos, id, cand_name FROM stored) USING (row_id))"""
 
 
 @query(
@@ -172,14 +168,14 @@ _VARIANT_ROWS = f"""v AS (SELECT row_id, name, 0 AS no, false AS cased, name AS
 )
 def playtime_selection(spark, sf):
     """Order titles carry no year, colon or roman numeral, so their only plain variant is themselves."""
-    hits = _stored_hits(spark, sf).distinct()
+    hits = _own_hits(spark, sf)
     return select_playtime(spark_frame(spark, sf, SEARCHES).select("row_id", "name"), hits)
 
 
 @query("select_store")
 def store_selection(spark, sf):
     """Checked against brute force on a small fixture in the tests; too slow as SQL on whole tables."""
-    hits = _stored_hits(spark, sf).distinct().withColumn("cand_type", F.when(F.col("id") % 5 == 0, "sub").otherwise("app"))
+    hits = _own_hits(spark, sf).withColumn("cand_type", F.when(F.col("id") % 5 == 0, "sub").otherwise("app"))
     titles = spark_frame(spark, sf, TITLES)
     details = titles.select(
         F.col("p_partkey").alias("id"),
@@ -196,7 +192,7 @@ def store_selection(spark, sf):
 @query("select_entity")
 def entity_selection(spark, sf):
     """Checked against brute force on a small fixture in the tests; too slow as SQL on whole tables."""
-    hits = _stored_hits(spark, sf).distinct().withColumnRenamed("cand_name", "label")
+    hits = _own_hits(spark, sf).withColumnRenamed("cand_name", "label")
     kind = F.when(F.col("id") % 4 == 0, "1995 video game").when(F.col("id") % 4 == 1, "film").when(F.col("id") % 4 == 2, "demo of a video game")
     instances = spark_frame(spark, sf, TITLES).select(
         F.col("p_partkey").alias("id"),

@@ -220,12 +220,10 @@ def company_names_shared(spark, sf):
 @query(
     "enriched_scores",
     f"""SELECT RowId, Name, coalesce({_REACH}, -1) AS Reach_Composite, coalesce({_COMMUNITY}, -1) AS CommunityRating_Composite_100,
-    coalesce({_CRITIC}, -1) AS CriticRating_Composite_100, coalesce({_NOW}, -1) AS Now_Composite FROM {duck(SOURCES)}
-    ORDER BY Reach_Composite DESC, RowId LIMIT 200""",
+    coalesce({_CRITIC}, -1) AS CriticRating_Composite_100, coalesce({_NOW}, -1) AS Now_Composite FROM {duck(SOURCES)}""",
 )
 def enriched_scores(spark, sf):
-    """Flagship: all signals of every title, the 200 with the widest reach."""
+    """Flagship: the four composites of every title."""
     scored = with_signals(spark_frame(spark, sf, SOURCES), default_registry())
     columns = ("Reach_Composite", "CommunityRating_Composite_100", "CriticRating_Composite_100", "Now_Composite")
-    filled = scored.select("RowId", "Name", *[F.coalesce(F.col(c), F.lit(-1).cast("bigint")).alias(c) for c in columns])
-    return filled.orderBy(F.desc("Reach_Composite"), F.asc("RowId")).limit(200)
+    return scored.select("RowId", "Name", *[F.coalesce(F.col(c), F.lit(-1).cast("bigint")).alias(c) for c in columns])

@@ -5,22 +5,27 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalith.functions.parse import date_stamp
-from catalith.operators.series import daily_items, dense_days, latest_windows, launch_sums, trailing_sums
+from catalith.operators.series import daily_items, dense_days, last_day, latest_windows, launch_sums, trailing_sums
 from catalith.workload.frames import duck, spark_frame
 from catalith.workload.registry import query
 
 _DAILY = "SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, count(*) AS views FROM {orders} GROUP BY o_custkey, CAST(o_orderdate AS DATE)"
-_END = "2000-12-31"
+_EARLIEST = "1900-01-01"
 
 
 @query(
     "trailing_views",
-    f"""SELECT o_custkey, CAST(sum(CASE WHEN day > DATE '{_END}' - 30 THEN views ELSE 0 END) AS BIGINT) AS views_30d,
-    CAST(sum(CASE WHEN day > DATE '{_END}' - 90 THEN views ELSE 0 END) AS BIGINT) AS views_90d, CAST(sum(views) AS BIGINT) AS views_365d
-    FROM {duck(_DAILY)} WHERE day <= DATE '{_END}' AND day > DATE '{_END}' - 365 GROUP BY o_custkey""",
+    f"""WITH d AS {duck(_DAILY)}, e AS (SELECT max(day) AS last FROM d)
+    SELECT c_custkey AS o_custkey, CAST(coalesce(sum(CASE WHEN day > last - 30 THEN views END), 0) AS BIGINT) AS views_30d,
+    CAST(coalesce(sum(CASE WHEN day > last - 90 THEN views END), 0) AS BIGINT) AS views_90d,
+    CAST(coalesce(sum(CASE WHEN day > last - 365 THEN views END), 0) AS BIGINT) AS views_365d
+    FROM customer CROSS JOIN e LEFT JOIN d ON o_custkey = c_custkey GROUP BY c_custkey""",
 )
 def trailing_views(spark, sf):
-    return trailing_sums(spark_frame(spark, sf, _DAILY), "o_custkey", F.lit(_END).cast("date"))
+    """Every customer, also those without an order on any day of the windows."""
+    daily = spark_frame(spark, sf, _DAILY)
+    keys = spark_frame(spark, sf, "SELECT c_custkey AS o_custkey FROM {customer}")
+    return trailing_sums(daily, "o_custkey", last_day(daily), keys=keys)
 
 
 _SHIPPED = "SELECT l_orderkey, CAST(l_shipdate AS DATE) AS day, count(*) AS views FROM {lineitem} GROUP BY l_orderkey, CAST(l_shipdate AS DATE)"
@@ -29,14 +34,14 @@ _RELEASES = "SELECT o_orderkey AS l_orderkey, CAST(o_orderdate AS DATE) AS relea
 
 @query(
     "launch_views",
-    f"""SELECT l_orderkey, CAST(sum(CASE WHEN day < release + 30 THEN views ELSE 0 END) AS BIGINT) AS views_first_30d, CAST(sum(views) AS BIGINT) AS views_first_90d
-    FROM {duck(_SHIPPED)} JOIN {duck(_RELEASES)} USING (l_orderkey)
-    WHERE release >= DATE '1996-07-01' AND release <= DATE '{_END}' AND day >= release AND day < release + 90 AND day <= DATE '{_END}' GROUP BY l_orderkey""",
+    f"""WITH d AS {duck(_SHIPPED)}, r AS {duck(_RELEASES)}, e AS (SELECT max(day) AS last FROM d)
+    SELECT r.l_orderkey, CAST(coalesce(sum(CASE WHEN day >= release AND day < release + 30 THEN views END), 0) AS BIGINT) AS views_first_30d,
+    CAST(coalesce(sum(CASE WHEN day >= release AND day < release + 90 THEN views END), 0) AS BIGINT) AS views_first_90d
+    FROM r CROSS JOIN e LEFT JOIN d ON d.l_orderkey = r.l_orderkey AND day <= last WHERE release <= last GROUP BY r.l_orderkey""",
 )
 def launch_views(spark, sf):
-    return launch_sums(
-        spark_frame(spark, sf, _SHIPPED), spark_frame(spark, sf, _RELEASES), "l_orderkey", F.lit(_END).cast("date"), earliest="1996-07-01"
-    )
+    shipped = spark_frame(spark, sf, _SHIPPED)
+    return launch_sums(shipped, spark_frame(spark, sf, _RELEASES), "l_orderkey", last_day(shipped), earliest=_EARLIEST)
 
 
 _EVENT_DAYS = "SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS views FROM {events} GROUP BY user_id, CAST(ts AS DATE)"

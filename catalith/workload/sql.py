@@ -125,13 +125,12 @@ def editions(n: str) -> str:
     return f"list_sort(list_distinct(list_concat(list_concat({found}, {goty}), {cut})))"
 
 
-_SUFFIX = "(?i)(?:,?\\s+|\\s*,\\s*)(?:" + "|".join(LEGAL_SUFFIXES) + ")\\s*$"
+_SUFFIX = "(?i)(?:(?:,?\\s+|\\s*,\\s*)(?:" + "|".join(LEGAL_SUFFIXES) + ")[\\s,]*)+$"
 
 
 def company(x: str) -> str:
     s = f"trim(regexp_replace(trim({x}), '\\s*\\([^)]*\\)\\s*$', ''))"
-    for _ in range(3):
-        s = f"trim(rtrim(trim(regexp_replace({s}, {lit(_SUFFIX)}, '')), ','))"
+    s = f"trim(rtrim(regexp_replace({s}, {lit(_SUFFIX)}, ''), ' ,'))"
     s = f"trim(regexp_replace({s}, '\\s{{2,}}', ' ', 'g'))"
     return f"(CASE WHEN regexp_matches({s}, '[A-Za-z]') THEN {s} ELSE '' END)"
 
