@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalith.constants import PROVIDER_DLC_TOKENS
+from catalith.constants import PROVIDER_DLC_TOKENS, STORE_EDITION_TOKENS
 from catalith.functions.fuzzy import with_fuzzy_scores
 from catalith.functions.text import provider_dlc_like, title_tokens
 from catalith.operators.matching import narrow, pick_best, ranked, with_alternatives
@@ -172,9 +172,64 @@ def playtime_selection(spark, sf):
     return select_playtime(spark_frame(spark, sf, SEARCHES).select("row_id", "name"), hits)
 
 
-@query("select_store")
+_EDITIONS = s.words(STORE_EDITION_TOKENS)
+_STORE_NUMBER = "len(list_filter({tokens}, lambda t: regexp_full_match(t, '\\d{{1,2}}') AND t NOT IN ('0', '1'))) > 0"
+
+
+def _bare(norm: str) -> str:
+    return f"array_to_string(list_filter({s.tokens(norm)}, lambda t: NOT list_contains({_EDITIONS}, t)), ' ')"
+
+
+def _store_number(norm: str) -> str:
+    return _STORE_NUMBER.format(tokens=s.tokens(norm))
+
+
+def _best(rows: str, order: str, columns: str, keys: str = "row_id") -> str:
+    """Best candidate per key of a sub-select, as a nested statement of its own."""
+    return f"""(WITH {s.adjusted_cte(rows)}, r AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM scored)
+        SELECT {columns} FROM r WHERE rn = 1)"""
+
+
+_DETAILS = """SELECT p_partkey AS did, title AS d_name, CASE WHEN p_type = 'SMALL' THEN 'dlc' ELSE 'game' END AS d_type, p_size % 8 + 1994 AS d_year FROM titles"""
+_CODE = f"""(CASE WHEN b = a THEN 8 ELSE 0 END + CASE WHEN b = a THEN 4 ELSE 0 END + CASE WHEN {_bare('a')} <> '' AND NOT {_store_number(_bare('a'))}
+    AND {_bare('b')} = {_bare('a')} AND NOT {_store_number('b')} THEN 2 ELSE 0 END + CASE WHEN {_DLC_A} OR NOT {_DLC_B} THEN 1 ELSE 0 END)"""
+_D_DLC = s.overlap(s.tokens(s.norm("d_name")), s.words(PROVIDER_DLC_TOKENS))
+_SECOND_ROWS = "(SELECT row_id, name, year_hint, did AS id, pos, d_name AS cand_name, d_year AS cand_year FROM sample)"
+_MEMBER_ROWS = "(SELECT row_id, name, year_hint, did AS id, app_no AS pos, d_name AS cand_name, d_year AS cand_year FROM members)"
+
+
+@query(
+    "select_store",
+    f"""WITH {_STORED}, titles AS {duck(TITLES)}, details AS ({_DETAILS}),
+    found AS (SELECT row_id, name, year_hint, id, pos, cand_name, year_hint IS NOT NULL AS dated, TRY_CAST(regexp_extract(cand_name, '(?:19|20)\\d\\d') AS INT) AS cand_year
+        FROM searches JOIN (SELECT DISTINCT row_id, pos, id, cand_name FROM stored) USING (row_id)),
+    apps AS (SELECT * FROM found WHERE id % 5 <> 0),
+    cand AS (SELECT *, {_CODE} AS code FROM (SELECT *, {s.norm('name')} AS a, {s.norm('cand_name')} AS b FROM apps)),
+    best AS {_best('cand', f'code DESC, {s.RANK}, pos', f'row_id, name, year_hint, a, b, code, id, cand_name, adj AS score, {_DLC_A} AS q_dlc, {_DLC_B} AS c_dlc, list_sort(qs) <> list_sort(cs) AS other_number')},
+    first AS (SELECT *, CASE WHEN NOT q_dlc THEN d_type = 'game' AND NOT {_D_DLC} END AS valid FROM best JOIN details ON did = id),
+    doubt AS (SELECT row_id, code AS top FROM first WHERE year_hint IS NOT NULL OR score < 90 OR (c_dlc AND NOT q_dlc) OR NOT coalesce(valid, true) OR other_number),
+    few AS (SELECT * FROM (SELECT cand.*, row_number() OVER (PARTITION BY row_id ORDER BY pos) AS k FROM cand JOIN doubt USING (row_id) WHERE code = top) WHERE k <= 10),
+    sample AS (SELECT row_id, name, year_hint, pos, did, d_name, d_year FROM few JOIN details ON did = id WHERE d_type = 'game' AND ({_DLC_A} OR NOT {_D_DLC})),
+    second AS {_best(_SECOND_ROWS, f'{s.RANK}, pos', 'row_id, id AS id2, cand_name AS name2, adj AS score2')},
+    swap AS (SELECT first.* EXCLUDE (did, d_name, d_type, d_year), id2, name2, score2,
+        coalesce(score2 >= 65 AND (NOT coalesce(valid, true) OR score2 >= greatest(score, 65)), false) AS swapped FROM first LEFT JOIN second USING (row_id)),
+    pick AS (SELECT row_id, q_dlc, CASE WHEN swapped THEN id2 ELSE id END AS id, CASE WHEN swapped THEN name2 ELSE cand_name END AS cand_name,
+        CASE WHEN swapped THEN score2 ELSE score END AS score FROM swap),
+    judged AS (SELECT *, CASE WHEN NOT q_dlc AND d_type <> 'game' THEN 'type_' || d_type
+        WHEN NOT q_dlc AND ({_D_DLC} OR {s.overlap(s.tokens(s.norm('cand_name')), s.words(PROVIDER_DLC_TOKENS))}) THEN 'dlc_like'
+        WHEN score < 65 THEN 'low_score' END AS reason FROM pick JOIN details ON did = id),
+    subs AS (SELECT found.*, t.no AS term_no FROM found JOIN (VALUES (0), (1)) t(no) ON t.no = 0 OR dated WHERE id % 5 = 0 AND row_id NOT IN (SELECT row_id FROM apps)),
+    packs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY term_no, pos) AS k FROM subs) WHERE k <= 10),
+    once AS (SELECT row_id, name, year_hint, app, min((k, app_pos)) AS seen FROM (SELECT *, id + app_pos AS app FROM packs JOIN (VALUES (0), (1), (2)) o(app_pos) ON true)
+        WHERE id IN (SELECT did FROM details) GROUP BY ALL),
+    tried AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY seen) AS app_no FROM once),
+    members AS (SELECT * FROM tried JOIN details ON did = app WHERE app_no <= 10 AND d_type = 'game'),
+    bought AS {_best(_MEMBER_ROWS, f'{s.RANK}, pos', 'row_id, id, cand_name, adj AS score, cand_year AS release_year')}
+    SELECT row_id, CAST(CASE WHEN reason IS NULL THEN id END AS VARCHAR) AS id, CASE WHEN reason IS NULL THEN cand_name END AS cand_name,
+    CASE WHEN reason IS NULL THEN score END AS score, CASE WHEN reason IS NULL THEN d_year END AS release_year, coalesce(reason, '') AS rejected_reason FROM judged
+    UNION ALL SELECT row_id, CAST(id AS VARCHAR), cand_name, score, release_year, '' FROM bought WHERE score >= 65""",
+)
 def store_selection(spark, sf):
-    """Checked against brute force on a small fixture in the tests; too slow as SQL on whole tables."""
     hits = _own_hits(spark, sf).withColumn("cand_type", F.when(F.col("id") % 5 == 0, "sub").otherwise("app"))
     titles = spark_frame(spark, sf, TITLES)
     details = titles.select(
@@ -186,12 +241,37 @@ def store_selection(spark, sf):
     packages = titles.select(
         F.col("p_partkey").alias("package_id"), F.posexplode(F.sequence("p_partkey", F.col("p_partkey") + 2)).alias("pos", "app_id")
     )
-    return select_store(spark_frame(spark, sf, SEARCHES), hits, details, packages)
+    found = select_store(spark_frame(spark, sf, SEARCHES), hits, details, packages)
+    return found.withColumn("id", F.col("id").cast("string"))
 
 
-@query("select_entity")
+_ENTITY_ROWS = """(SELECT row_id, term_no, term AS name, year_hint, id, pos, cand_name, CASE WHEN id % 4 = 0 THEN 1995 END AS cand_year,
+        CASE id % 4 WHEN 0 THEN 'game' WHEN 1 THEN 'film' WHEN 2 THEN 'demo' ELSE '' END AS kind, p_type <> 'PROMO' AS real
+        FROM tries JOIN (SELECT DISTINCT row_id, pos, id, cand_name FROM stored) USING (row_id) JOIN part ON p_partkey = id)"""
+
+
+@query(
+    "select_entity",
+    f"""WITH {_STORED}, tries AS (SELECT row_id, year_hint, no AS term_no, name || suffix AS term FROM searches
+        JOIN (VALUES (0, ''), (1, ' video game'), (2, ' (video game)')) t(no, suffix) ON true),
+    {s.adjusted_cte(_ENTITY_ROWS)},
+    w AS (SELECT *, len(list_filter(regexp_extract_all(lower(cand_name), '[a-z0-9]+'), lambda t: NOT list_contains(regexp_extract_all(lower(name), '[a-z0-9]+'), t))) > 0 AS adds,
+        row_number() OVER (PARTITION BY row_id, term_no ORDER BY {s.RANK}, pos) AS k, row_number() OVER (PARTITION BY row_id, term_no ORDER BY raw DESC, pos) AS near FROM scored),
+    g AS (SELECT row_id, term_no, list(struct_pack(id := id, label := cand_name, adj := adj, adds := adds, kind := kind, real := real) ORDER BY k) AS l,
+        min(k) FILTER (kind = 'game') AS kp, min(k) FILTER (kind IN ('game', 'demo')) AS kg, min(k) FILTER (NOT adds) AS ks, min(k) FILTER (near <= 10 AND real) AS kv
+        FROM w GROUP BY row_id, term_no),
+    f AS (SELECT *, CASE WHEN coalesce(l[kp].adj >= 65, false) THEN kp ELSE coalesce(kg, 1) END AS k1 FROM g),
+    u AS (SELECT *, CASE WHEN l[k1].adj < 90 AND l[k1].adds AND coalesce(l[ks].adj >= 65, false) THEN ks ELSE k1 END AS k2 FROM f),
+    v AS (SELECT *, CASE WHEN l[k2].kind <> 'film' THEN k2 WHEN l[kv].adj >= 65 THEN kv WHEN l[kg].adj >= 65 THEN kg END AS k3 FROM u),
+    x AS (SELECT *, CASE WHEN l[k3].real THEN k3 WHEN l[kv].adj >= 65 AND l[kv].id <> l[k3].id THEN kv END AS k4 FROM v),
+    o AS (SELECT *, CASE WHEN l[k2].adj < 65 THEN 'retry' WHEN k3 IS NULL THEN 'reject' WHEN NOT l[k3].real THEN CASE WHEN k4 IS NULL THEN 'retry' ELSE 'accepted' END
+        ELSE 'accepted' END AS outcome FROM x),
+    own AS (SELECT row_id, outcome, l[k4] AS hit FROM o WHERE term_no = 0),
+    again AS (SELECT row_id, arg_min(l[k4], term_no) AS hit FROM o WHERE term_no > 0 AND outcome = 'accepted' GROUP BY row_id),
+    r AS (SELECT row_id, CASE WHEN outcome = 'accepted' THEN own.hit WHEN outcome = 'retry' THEN again.hit END AS hit FROM own LEFT JOIN again USING (row_id))
+    SELECT row_id, hit.id AS id, hit.label AS label, hit.adj AS score FROM r WHERE hit IS NOT NULL""",
+)
 def entity_selection(spark, sf):
-    """Checked against brute force on a small fixture in the tests; too slow as SQL on whole tables."""
     hits = _own_hits(spark, sf).withColumnRenamed("cand_name", "label")
     kind = F.when(F.col("id") % 4 == 0, "1995 video game").when(F.col("id") % 4 == 1, "film").when(F.col("id") % 4 == 2, "demo of a video game")
     instances = spark_frame(spark, sf, TITLES).select(
