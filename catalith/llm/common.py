@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalith.session import materialize
+from catalith.session import shared_dir
 
 #: The ASCII white space that separates words everywhere in this package; ``bytes.split()`` splits at the same characters.
 SPACES = " \t\n\x0b\x0c\r"
@@ -24,7 +25,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe when executors are lost."""
-    return materialize(df, purpose)
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that ``stored`` returned, once all that reads them is stored itself."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(frame._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release() -> None:
+    """Let Spark drop the shuffle files of finished steps."""
+    gc.collect()
+    SparkSession.active().sparkContext._jvm.System.gc()
 
 
 def values(batch: pa.RecordBatch, name: str) -> list:
@@ -75,12 +94,13 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large.coalesce(files), purpose)
+        large, before = stored(large.coalesce(files), purpose), now
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         now = stored(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct().coalesce(files), purpose)
-        mark, before = _fingerprint(now), mark
-        if mark == before:
+        discard(large, before)
+        mark, last = _fingerprint(now), mark
+        if mark == last:
             break
     parents = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return parents.unionByName(parents.select(F.col("component").alias("node"), "component").distinct())

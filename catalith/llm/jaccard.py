@@ -8,7 +8,6 @@ much; and pairs that the answers of their leaders decide (Jaccard distance is a
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from catalith.llm.common import components, finished_groups, list_column, run_pairs, small_batches, stored, values, widened
+from catalith.llm.common import components, discard, finished_groups, list_column, release, run_pairs, small_batches, stored, values, widened
 
 #: Odd multipliers that mix the hashes of a shingle's words, and those that permute tokens for the minimum hashes.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -126,14 +125,6 @@ def sketches(docs: DataFrame, config: JaccardConfig, key: str, text: str) -> Dat
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def _release() -> None:
-    """Let Spark drop the shuffle files of finished steps."""
-    from pyspark.sql import SparkSession
-
-    gc.collect()
-    SparkSession.active().sparkContext._jvm.System.gc()
-
-
 def _links(config: JaccardConfig, both: Column, a: Column, b: Column) -> Column:
     return config.per * both >= config.share * (a + b - both)
 
@@ -185,18 +176,20 @@ def texts_of(docs: DataFrame, sids: DataFrame, classes: DataFrame, key: str, tex
     wanted = classes.join(sids.select("sid").distinct(), "sid", "left_semi").select("sid", F.col("low").alias("_key"), "text_digest")
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(wanted, F.col("_k") == F.col("_key"))
     rows = rows.where(F.xxhash64("text") == F.col("text_digest")).select("sid", "text")
-    return stored(rows, "texts").dropDuplicates(["sid"])
+    return stored(rows.dropDuplicates(["sid"]), "texts")
 
 
 def front_entries(classes: DataFrame, config: JaccardConfig) -> DataFrame:
-    """Entries (token, sid, comp, n, place, common) of the index: tokens in front that classes of more than one component hold.
+    """Entries (token, sid, comp, n, odd, place, common) of the index: tokens in front that classes of more than one component hold.
 
     Order of tokens: the front part of the space before the rest; inside it common tokens last; then by hash. Counts per token are aggregated before
     they are shuffled and joined back, so no task holds the list of a token.
     """
-    posts = classes.select("sid", "comp", "n", "below", F.posexplode("tokens").alias("pos", "token"))
-    shared = posts.groupBy("token").agg(F.count("*").alias("df"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+    counted = classes.select("comp", F.explode("tokens").alias("token")).groupBy("token")
+    shared = counted.agg(F.count("*").alias("df"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+    posts = classes.select("sid", F.posexplode("tokens").alias("pos", "token"))
     held = posts.join(shared.select("token", (F.col("df") > config.common).alias("common")), "token")
+    held = held.join(classes.select("sid", "comp", "n", "below", "odd"), "sid")
     behind = F.col("common") & (F.col("pos") < F.col("below"))
     rows = held.withColumn("behind", behind.cast("int"))
     whole = Window.partitionBy("sid")
@@ -205,7 +198,7 @@ def front_entries(classes: DataFrame, config: JaccardConfig) -> DataFrame:
     place = F.when(F.col("behind") == 1, F.col("below") - F.col("all") + F.col("before")).when(
         F.col("pos") < F.col("below"), F.col("pos") - F.col("before")).otherwise(F.col("pos"))
     front = F.col("n") - F.ceil(config.share * F.col("n") / config.per) + 1
-    return rows.select("token", "sid", "comp", "n", place.cast("long").alias("place"), "common").where(F.col("place") < front)
+    return rows.select("token", "sid", "comp", "n", "odd", place.cast("long").alias("place"), "common").where(F.col("place") < front)
 
 
 def index_blocks(entries: DataFrame, config: JaccardConfig) -> DataFrame:
@@ -290,33 +283,35 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     are one node: their sets' links are all its own. Other columns are not read. An empty table gives an empty result.
     """
     docs = docs.select(key, text)
-    rows = docs.withColumn("_digest", F.xxhash64(text))
-    made = stored(_sketched(rows, config, key, text), "sketches")
+    made = stored(_sketched(docs.withColumn("_digest", F.xxhash64(text)), config, key, text), "sketches")
     sets = made.where(F.col("n") > 0).where(F.col(key).isNotNull())
     least = F.min(F.struct(F.col(key).alias("low"), "text_digest", "n", "below", "odd", "mins", "tokens")).alias("least")
     classes = sets.groupBy("digest").agg(least).select("digest", "least.*").withColumn("sid", F.monotonically_increasing_id())
     classes = stored(classes, "classes")
-    _release()
+    rows = stored(made.select(key, F.col("n").alias("n_shingles"), "digest"), "rows")
+    discard(made)
+    release()
 
     # Alike classes and their leaders.
     pairs = stored(leader_candidates(classes, config), "leader-pairs")
     texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")), classes, key, text)
     compared = stored(compare_texts(pairs, texts, config), "leader-answers")
+    discard(pairs, texts)
     stars = compared.where(_links(config, F.col("both"), F.col("na"), F.col("nb")))
     far = (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far")
     leaders = stored(stars.select("b", F.struct(far, F.col("a").alias("lead")).alias("near")).groupBy("b").agg(F.min("near").alias("near")), "leaders")
-    same_key = made.where(F.col("n") > 0).select(key, "digest").distinct().join(classes.select("digest", "sid"), "digest")
+    same_key = rows.where("n_shingles > 0").select(key, "digest").distinct().join(classes.select("digest", "sid"), "digest")
     first = same_key.groupBy(key).agg(F.min("sid").alias("a"), F.max("sid").alias("z")).where("a <> z").select(key, "a")
     repeats = same_key.join(first, key).select("a", F.col("sid").alias("b"))
     comps = stored(components(stars.select("a", "b").unionByName(repeats)), "components")
-    _release()
+    release()
 
     # Pairs that the index brings together.
     known = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
-    entries = front_entries(known.select("sid", "comp", "n", "below", "tokens"), config).join(classes.select("sid", "odd"), "sid")
-    entries = stored(entries, "entries")
-    _release()
+    entries = stored(front_entries(known, config), "entries")
+    release()
     met = stored(candidate_pairs(index_blocks(entries, config), config), "met")
+    discard(entries)
 
     # Leaders' answers first, then the pairs that they leave open.
     near = leaders.select(F.col("b").alias("sid"), F.col("near.lead").alias("lead"), F.col("near.far").alias("far"))
@@ -335,9 +330,10 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     open_pairs = led.where("a <> u or b <> v").where("not (a = v and b = u)").join(apart, ["u", "v"], "left")
     open_pairs = open_pairs.where(F.col("apart").isNull() | (F.col("apart") <= 1 - config.share / config.per + F.col("far") + 1e-9))
     open_pairs = _different(open_pairs.select("a", "b"), comps, joined)
-    more = stored(compare_texts(open_pairs, texts, config), "open-answers").where(linked)
-    final = stored(_contracted(answers.where(linked).select("a", "b").unionByName(more.select("a", "b")), comps), "joined")
-    _release()
+    more = stored(compare_texts(open_pairs, texts, config), "open-answers")
+    final = stored(_contracted(answers.where(linked).select("a", "b").unionByName(more.where(linked).select("a", "b")), comps), "joined")
+    discard(met, led, texts)
+    release()
 
     # Every row's component by its class.
     ids = classes.select("digest", "sid", "low").join(comps.withColumnRenamed("node", "sid"), "sid", "left").select(
@@ -346,10 +342,10 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     ids = stored(ids, "class-components")
     lowest = ids.groupBy("comp").agg(F.min("low").alias("component_id"))
     labels = stored(ids.join(lowest, "comp").select(F.col("digest").alias("_digest"), "component_id"), "labels")
-    result = made.select(key, F.col("n").alias("n_shingles"), "digest").join(
-        labels, (F.col("digest") == F.col("_digest")) & F.col(key).isNotNull(), "left"
-    )
-    return result.select(key, "n_shingles", F.coalesce("component_id", F.col(key)).alias("component_id"))
+    result = rows.join(labels, (F.col("digest") == F.col("_digest")) & F.col(key).isNotNull(), "left")
+    result = stored(result.select(key, "n_shingles", F.coalesce("component_id", F.col(key)).alias("component_id")), "similar")
+    discard(rows, classes, compared, leaders, comps, answers, joined, more, final, ids, labels)
+    return result
 
 
 def _sketched(rows: DataFrame, config: JaccardConfig, key: str, text: str) -> DataFrame:

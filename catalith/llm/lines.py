@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalith.llm.common import stored, values, widened
+from catalith.llm.common import discard, release, stored, values, widened
 
 #: Fixed values of the rolling hash over two neighbouring line hashes.
 MULTIPLIER, MODULUS = 31, 4294967291
@@ -66,8 +66,9 @@ def chunk_keys(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def repeated_chunks(chunks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The chunks whose digest is found elsewhere, with ``first`` set on the one that stays: that of the smallest (key, text, place), NULL keys last.
+def repeated_chunks(chunks: DataFrame, key: str = "doc_id") -> tuple[DataFrame, tuple[DataFrame, ...]]:
+    """(The chunks whose digest is found elsewhere, the stored tables behind them). ``first`` is set on the one that stays: that of the smallest
+    (key, text, place), NULL keys last.
 
     The first of a digest is a minimum with partial aggregation and meets the other chunks in a join, so a chunk that stands in a third of all documents is
     no group in one task.
@@ -76,8 +77,9 @@ def repeated_chunks(chunks: DataFrame, key: str = "doc_id") -> DataFrame:
     chunks = stored(chunks.distinct(), "chunks")
     firsts = stored(
         chunks.groupBy("chunk_digest").agg(F.count("*").alias("n"), F.min(place).alias("at")).where("n > 1").drop("n"), "first-chunks"
-    ).withColumnRenamed("chunk_digest", "_c")
-    return chunks.join(firsts, F.col("chunk_digest") == F.col("_c")).select(*chunks.columns, (F.col("at") == place).alias("first"))
+    )
+    met = chunks.join(firsts.withColumnRenamed("chunk_digest", "_c"), F.col("chunk_digest") == F.col("_c"))
+    return met.select(*chunks.columns, (F.col("at") == place).alias("first")), (chunks, firsts)
 
 
 def deduped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -87,24 +89,27 @@ def deduped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     chunk without a word. Rows equal in key and text are one document and share its result. Columns of the counts' names are replaced.
 
     Chunks are found by digest, and removed only when the bytes of the first chunk of that digest are the same: documents with repeated chunks send those
-    chunks' texts, and no others, to the comparison. Texts are shuffled once.
+    chunks' texts, and no others, to the comparison. Whole texts meet their lists of chunks twice, for the comparison and for the result; no copy
+    of the texts is written.
     """
     fresh = ("n_lines", "n_chunks", "removed_chunks", "removed_lines")
     docs = docs.drop(*(c for c in fresh if c not in (key, text)))
-    found = repeated_chunks(chunk_keys(docs, key, text), key)
-    lists = found.groupBy(F.col(key).alias("__key"), F.col("text_digest").alias("__digest")).agg(
+    found, used = repeated_chunks(chunk_keys(docs, key, text), key)
+    lists = stored(found.groupBy(F.col(key).alias("__key"), F.col("text_digest").alias("__digest")).agg(
         F.sort_array(F.collect_list(F.struct("chunk", "first"))).alias("__found")
-    )
+    ), "chunk-lists")
+    discard(*used)
     digest = F.unhex(F.md5(F.col(text).cast("binary")))
     joined = docs.withColumn("__own", digest).join(
         lists, (F.col("__own") == F.col("__digest")) & F.col(key).eqNullSafe(F.col("__key")), "left"
     ).drop("__key", "__digest")
-    joined = stored(joined, "marked-texts")
 
     texts = stored(_found_texts(joined.where("__found is not null"), key, text), "chunk-texts")
     first = texts.where("first").select(F.col("chunk_digest").alias("_c"), F.col("bytes").alias("_b")).dropDuplicates(["_c"])
     differ = texts.where("not first").join(first, (F.col("chunk_digest") == F.col("_c")) & (F.col("bytes") != F.col("_b")))
     differ = stored(differ.groupBy(F.col("own").alias("__whose"), F.col("key").alias("__key")).agg(F.collect_set("chunk").alias("__other")), "unequal-chunks")
+    discard(texts)
+    release()
     whole = joined.join(differ, (F.col("__own") == F.col("__whose")) & F.col(key).eqNullSafe(F.col("__key")), "left").drop("__whose", "__key")
     return _without(whole, docs.columns, text, fresh)
 
