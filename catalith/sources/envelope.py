@@ -19,7 +19,7 @@ from catalith.operators.columns import auto_metric_key, is_metric_candidate, per
 from catalith.operators.keys import last_per_key
 from catalith.session import materialize
 from catalith.sources.registry import SPARK_TYPES, Registry
-from catalith.sources.tables import rendered
+from catalith.sources.tables import read_csv, rendered
 
 ENVELOPE_SCHEMA = (
     "row_id string, personal map<string,string>, pins map<string,string>, metrics variant, "
@@ -255,6 +255,26 @@ def catalog_view(envelope: DataFrame, include_diagnostics: bool = True, columns:
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def load_catalog(
+    spark: SparkSession, csv_path: str, registry: Registry, columns: dict[str, list[str]] | None = None, use_lines: bool = True
+) -> DataFrame:
+    """Catalog of ``x.csv``: the envelope lines ``jsonl/x.jsonl`` beside it when there are any, read strictly and validated; else the CSV.
+
+    ``columns`` names the user columns, as for :func:`catalog_view`. Paths may be of any file system that Spark reads.
+    """
+    folder, _, name = csv_path.rpartition("/")
+    lines = f"{folder}/jsonl/{name.removesuffix('.csv')}.jsonl"
+    if use_lines and _exists(spark, lines):
+        rows = require_valid(read_envelope_strict(spark, lines), registry, name)
+        return catalog_view(rows, True, columns)
+    return read_csv(spark, csv_path, multiline=True)
+
+
 def registered_view(envelope: DataFrame, registry: Registry, keys: list[str] | None = None) -> DataFrame:
     """Envelope to typed metric columns named by the registry."""
     wanted = {k: registry.by_key[k] for k in (keys or registry.by_key)}

@@ -12,10 +12,11 @@ from catalith.functions.lists import is_blank, strip, text
 from catalith.operators.columns import provider_columns
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with a header, every column text, empty cells as empty text.
 
-    ``multiline=False`` lets Spark split large files that hold no line breaks inside cells.
+    Rendered cells hold no line breaks, so large files are split. ``multiline=True`` is for others' files with line breaks inside cells; then one
+    task reads a file.
     """
     df = (
         spark.read.option("header", True)
@@ -67,7 +68,7 @@ def write_provider_csv(df: DataFrame, path: str, provider: str, extra: tuple[str
 def read_edited(spark: SparkSession, path: str) -> DataFrame:
     """Edited export: CSV, or JSON (array of objects or JSON lines) read as text columns."""
     if not path.lower().endswith((".json", ".jsonl")):
-        return read_csv(spark, path)
+        return read_csv(spark, path, multiline=True)
     whole = path.lower().endswith(".json")
     return spark.read.option("multiLine", whole).option("primitivesAsString", True).json(path)
 

@@ -48,6 +48,20 @@ def best_matches(spark, sf):
     return pick_best(_pairs(spark, sf), ["row_id"], "name", "cand_name", "id", ["id", "cand_name"], "year_hint", "cand_year")
 
 
+_RANK_BY_ID = "adj DESC, raw DESC, exact DESC, id, dist, dlc, odiff, ydiff, length(cand_name)"
+
+
+@query(
+    "best_matches_by_id",
+    f"""WITH {s.adjusted_cte(_ROWS)}, r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY {_RANK_BY_ID}, cand_year) AS rn FROM scored)
+    SELECT row_id, id, cand_name, adj AS score, raw AS raw_score FROM r WHERE rn = 1""",
+)
+def best_matches_by_id(spark, sf):
+    """Ties after exactness go to the smallest id, whatever the year."""
+    columns = ["id", "cand_name"]
+    return pick_best(_pairs(spark, sf), ["row_id"], "name", "cand_name", "id", columns, "year_hint", "cand_year", legacy_tiebreak=True)
+
+
 @query(
     "match_alternatives",
     f"""WITH rows_ AS (SELECT DISTINCT row_id, name, NULL::INT AS year_hint, id, cand_name, NULL::INT AS cand_year FROM {_ROWS}),
