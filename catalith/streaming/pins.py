@@ -29,6 +29,17 @@ def fresh_pins(pins: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     return pins.where(~is_blank(F.col(key))).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def distinct_tasks(rows: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
+    """Each task (the values of ``keys``) once within the watermark, however many rows ask for it."""
+    asked = rows.where(~is_blank(F.col(keys[0]).cast("string"))).select(*keys, time)
+    return asked.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def drained(rows: DataFrame, results: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the result of their task; a task that was answered twice counts once."""
+    return rows.join(results.dropDuplicates(keys), keys, "left")
+
+
 def enrich_batches(
     pins: DataFrame, payloads: DataFrame, pin: str, row_key: str, out: str, checkpoint: str, done: str | None = None
 ) -> StreamingQuery:
@@ -56,7 +67,7 @@ def latest_view(spark: SparkSession, out: str, row_key: str) -> DataFrame:
 
 
 def task_totals(tasks: DataFrame, time: str, delay: str, keys: list[str], window: str) -> DataFrame:
-    """Distinct tasks per event-time window: duplicates and late rows are settled by the watermark."""
+    """Rows per event-time window and key; late rows are settled by the watermark."""
     marked = tasks.withWatermark(time, delay)
     return marked.groupBy(F.window(time, window), *keys).agg(F.count(F.lit(1)).alias("n"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalith.session import shared_dir
-from catalith.streaming.pins import append_output, enrich_batches, fresh_pins, latest_view, read_stream, task_totals
+from catalith.streaming.pins import append_output, distinct_tasks, drained, enrich_batches, fresh_pins, latest_view, read_stream, task_totals
 from catalith.workload.frames import table
 from catalith.workload.registry import query
 
@@ -48,3 +48,37 @@ def stream_task_totals(spark, sf):
     out = shared_dir(spark, "totals")
     append_output(totals.select(F.col("window.start").alias("start"), "event_type", "n"), out, shared_dir(spark, "totals-state")).awaitTermination()
     return spark.read.parquet(out).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+@query(
+    "stream_article_tasks",
+    """SELECT event_id, event_type AS title, strftime(ts, '%Y-%m-%d') AS release, count(*) OVER (PARTITION BY event_type, ts::DATE) AS views FROM events""",
+)
+def stream_article_tasks(spark, sf):
+    """Tasks by (title, release date), each looked up once, drained to all rows that asked for them."""
+    rows = _events(spark, sf).select("event_id", F.col("event_type").alias("title"), F.date_format("ts", "yyyy-MM-dd").alias("release"), "ts")
+    out = shared_dir(spark, "tasks")
+    tasks = distinct_tasks(rows, ["title", "release"], "ts", "60 days").select("title", "release")
+    append_output(tasks, out, shared_dir(spark, "tasks-state")).awaitTermination()
+    still = table(spark, sf, "events").select("event_id", F.col("event_type").alias("title"), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("release"))
+    views = still.groupBy("title", "release").agg(F.count("*").alias("views"))
+    results = spark.read.parquet(out).join(views, ["title", "release"])
+    return drained(still, results, ["title", "release"]).select("event_id", "title", "release", F.coalesce("views", F.lit(0)).alias("views"))
+
+
+@query(
+    "stream_restart",
+    """SELECT event_id, CAST(user_id AS VARCHAR) AS pin, p_name, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS run FROM events JOIN part ON p_partkey = user_id
+    WHERE event_id % 5 <> 0""",
+)
+def stream_restart(spark, sf):
+    """Two runs on one checkpoint, with new files in between; rows that an earlier output holds are passed over in both."""
+    source, out, state, done = (shared_dir(spark, n) for n in ("files", "restart", "restart-state", "done"))
+    pins = table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("pin"))
+    titles = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_name")
+    pins.where("event_id % 5 = 0").select("event_id").write.parquet(done)
+    for run in (0, 1):
+        pins.where(F.col("event_id") % 2 == run).write.mode("append").parquet(source)
+        enrich_batches(read_stream(spark, source, pins.schema), titles, "pin", "event_id", out, state, done).awaitTermination()
+    rows = spark.read.parquet(out).where("p_name is not null")
+    return rows.select(F.col("event_id").cast("bigint").alias("event_id"), "pin", "p_name", (F.col("batch") + 1).cast("int").alias("run"))
