@@ -65,18 +65,25 @@ def source_targets(sizes: DataFrame, config: MixConfig = MixConfig()) -> DataFra
 def shuffled_stream(sized: DataFrame, key: str = "doc_id") -> DataFrame:
     """``sized`` with ``start``: the words before the row in its source's own shuffled order.
 
-    The order is that of a digest of the key (then the key, then the size). Running sums are taken in two steps, over a source's 65,536 digest
-    buckets and inside each bucket, so that no task holds a source.
+    The order is that of a digest of the key (then the key, then the size). Running sums are taken in three steps: over the 256 parts of a source by the
+    digest's first byte, over the 256 of each part by the second, and inside those; so no task holds a source.
     """
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    rows = sized.withColumn("digest", digest).withColumn("bucket", F.conv(F.substring("digest", 1, 4), 16, 10).cast("int"))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inner = Window.partitionBy("source", "bucket").orderBy("digest", F.col(key).asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    joined = rows.join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
-    return joined.withColumn("start", F.col("base") + F.col("inside")).drop("digest", "bucket", "_s", "_b", "base", "inside")
+    rows = sized.withColumn("digest", digest).withColumn("b1", F.substring("digest", 1, 2)).withColumn("b2", F.substring("digest", 3, 2))
+    below = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    fine = rows.groupBy("source", "b1", "b2").agg(F.sum("size").alias("n"))
+    coarse = fine.groupBy("source", "b1").agg(F.sum("n").alias("n"))
+    coarse = coarse.select(
+        F.col("source").alias("_s"), F.col("b1").alias("_b"), F.coalesce(F.sum("n").over(below("source").orderBy("b1")), F.lit(0)).alias("far")
+    )
+    fine = fine.withColumn("near", F.coalesce(F.sum("n").over(below("source", "b1").orderBy("b2")), F.lit(0)))
+    fine = fine.join(coarse, F.col("source").eqNullSafe(F.col("_s")) & (F.col("b1") == F.col("_b"))).select(
+        F.col("source").alias("_t"), F.col("b1").alias("_1"), F.col("b2").alias("_2"), (F.col("far") + F.col("near")).alias("base")
+    )
+    order = below("source", "b1", "b2").orderBy("digest", F.col(key).asc_nulls_last(), "size")
+    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(order), F.lit(0)))
+    joined = rows.join(fine, F.col("source").eqNullSafe(F.col("_t")) & (F.col("b1") == F.col("_1")) & (F.col("b2") == F.col("_2")))
+    return joined.withColumn("start", F.col("base") + F.col("inside")).drop("digest", "b1", "b2", "_t", "_1", "_2", "base", "inside")
 
 
 def slot_schedule(targets: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
