@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85   　"
 
@@ -78,3 +79,14 @@ def overlaps(a: Column, b: Column) -> Column:
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def tag_pairs(c: Column) -> Column:
+    """A list of (tag, count) as the VARIANT ``[[tag, count], ..]``, which is how such lists are stored and exported."""
+    quoted = lambda t: F.regexp_replace(F.to_json(F.array(t["tag"])), r"^\[|\]$", "")
+    pairs = F.transform(c, lambda t: F.concat(F.lit("["), quoted(t), F.lit(","), F.coalesce(t["count"].cast("string"), F.lit("null")), F.lit("]")))
+    return F.parse_json(F.concat(F.lit("["), F.array_join(pairs, ","), F.lit("]")))
+
+
+def is_tag_list(kind: T.DataType) -> bool:
+    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and kind.elementType.names == ["tag", "count"]

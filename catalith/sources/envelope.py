@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalith.constants import PIN_COLUMNS, PROVIDER_PREFIX
-from catalith.functions.lists import is_blank, strip, text
+from catalith.functions.lists import is_blank, is_tag_list, strip, tag_pairs, text
 from catalith.functions.parse import strict_float, strict_int
 from catalith.operators.columns import auto_metric_key, is_metric_candidate, personal_columns, selected_columns
 from catalith.operators.keys import last_per_key
@@ -26,6 +26,8 @@ ENVELOPE_SCHEMA = (
     "diagnostics map<string,string>, meta map<string,string>"
 )
 _NO_TEXT = "map<string,string>"
+#: Metrics that are lists of [tag, count].
+TAG_LISTS = ("steamspy.popularity.tags_top",)
 
 
 @dataclass(frozen=True)
@@ -122,6 +124,8 @@ def to_envelope(
         value = coerce(df, c, type_)
         if df.schema[c].dataType.typeName() in ("array", "map"):
             value = F.when(F.size(value) > 0, value)
+        if is_tag_list(df.schema[c].dataType):
+            value = F.when(F.size(F.col(f"`{c}`")) > 0, tag_pairs(F.col(f"`{c}`")))
         fields.append(value.alias(key))
 
     def filled(cols: list[str]) -> Column:
@@ -189,6 +193,9 @@ def typed_metric(key: str, type_: str) -> Column:
         return strict_int(_metric(key))
     if type_ == "float":
         return strict_float(_metric(key))
+    if key in TAG_LISTS:
+        items = _metric(key, "array<variant>")
+        return F.transform(items, lambda v: F.struct(F.try_variant_get(v, "$[0]", "string").alias("tag"), F.try_variant_get(v, "$[1]", "bigint").alias("count")))
     return _metric(key, SPARK_TYPES.get(type_, "string"))
 
 

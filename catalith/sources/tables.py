@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from catalith.constants import PIN_COLUMNS, PROVIDER_PREFIX
 from catalith.functions.company import fold_key, normalize_company
-from catalith.functions.lists import is_blank, strip, text
+from catalith.functions.lists import is_blank, is_tag_list, strip, tag_pairs, text
 from catalith.operators.columns import provider_columns
 
 
@@ -40,6 +40,8 @@ def cell(df: DataFrame, c: str) -> Column:
     elif isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.ArrayType, T.StructType, T.MapType)):
         items = F.transform(col, lambda x: strip(x.cast("string")))
         out = F.array_join(F.filter(items, lambda x: x != ""), ", ")
+    elif is_tag_list(kind):
+        out = F.to_json(tag_pairs(col))
     elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
         out = F.to_json(col)
     elif isinstance(kind, (T.DoubleType, T.FloatType)):

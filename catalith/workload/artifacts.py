@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalith.operators.columns import drop_deprecated, drop_diagnostics, personal_base, provider_columns, reorder, select_registered
+from catalith.operators.extract import extract
 from catalith.session import shared_dir
 from catalith.sources import envelope as ev
 from catalith.sources.registry import default_registry
-from catalith.sources.tables import query_rows, read_csv, read_edited, write_csv, write_provider_csv
+from catalith.sources.tables import query_rows, read_csv, read_edited, rendered, write_csv, write_provider_csv
 from catalith.workload.frames import SOURCES, duck, spark_frame, table
 from catalith.workload.registry import query
 from catalith.workload.schema import _wide
@@ -118,3 +119,26 @@ def column_steps(spark, sf):
     names = lambda c: F.lit(",".join(c))
     front = F.concat_ws("/", *base.columns[1:3])
     return base.select("RowId", names(base.columns).alias("base"), names(slice_).alias("slice"), front.alias("front"), names(chosen.columns).alias("selected"))
+
+
+_PAIRS = "CASE WHEN p_size >= 25 THEN '[[\"Fast \\\\\"1\\\\\"\",' || p_size || '],[\"Old\",25]]' ELSE '[[\"Old\",25],[\"Fast \\\\\"1\\\\\"\",' || p_size || ']]' END"
+
+
+@query(
+    "exported_tag_counts",
+    f"""SELECT CAST(p_partkey AS VARCHAR) AS id, replace({_PAIRS}, repeat(chr(92), 2), chr(92)) AS exported, replace({_PAIRS}, repeat(chr(92), 2), chr(92)) AS cell,
+    CASE WHEN p_size >= 25 THEN 'Fast "1"' ELSE 'Old' END AS first, greatest(p_size, 25)::BIGINT AS most FROM part""",
+)
+def exported_tag_counts(spark, sf):
+    """Tags by count: pairs in the JSON export and in CSV cells, and typed again when read back."""
+    registry = default_registry()
+    tags = F.create_map(F.lit("Old"), F.lit(25), F.lit('Fast "1"'), F.col("p_size"))
+    payloads = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), F.parse_json(F.to_json(F.struct(tags.alias("tags")))).alias("payload"))
+    wide = extract(payloads, "steamspy", registry).select(F.col("id").alias("RowId"), "SteamSpy_TagsTop")
+    envelope = ev.to_envelope(wide, registry)
+    json_view = ev.export_json_view(envelope, ev.manifest_of(["RowId", "SteamSpy_TagsTop"], registry), registry)
+    exported = json_view.select(F.get_json_object("value", "$.RowId").alias("id"), F.get_json_object("value", "$.SteamSpy_TagsTop").alias("exported"))
+    cells = rendered(wide).select(F.col("RowId").alias("id"), F.col("SteamSpy_TagsTop").alias("cell"))
+    back = ev.registered_view(envelope, registry, ["steamspy.popularity.tags_top"])
+    typed = back.select(F.col("RowId").alias("id"), F.col("SteamSpy_TagsTop")[0]["tag"].alias("first"), F.col("SteamSpy_TagsTop")[0]["count"].alias("most"))
+    return exported.join(cells, "id").join(typed, "id")
