@@ -180,7 +180,7 @@ def texts_of(docs: DataFrame, sids: DataFrame, classes: DataFrame, key: str, tex
 
 
 def front_entries(classes: DataFrame, config: JaccardConfig) -> DataFrame:
-    """Entries (token, sid, comp, n, odd, place, common) of the index: tokens in front that classes of more than one component hold.
+    """Entries (token, sid, comp, n, place, common) of the index: tokens in front that classes of more than one component hold.
 
     Order of tokens: the front part of the space before the rest; inside it common tokens last; then by hash. Counts per token are aggregated before
     they are shuffled and joined back, so no task holds the list of a token.
@@ -189,7 +189,7 @@ def front_entries(classes: DataFrame, config: JaccardConfig) -> DataFrame:
     shared = counted.agg(F.count("*").alias("df"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
     posts = classes.select("sid", F.posexplode("tokens").alias("pos", "token"))
     held = posts.join(shared.select("token", (F.col("df") > config.common).alias("common")), "token")
-    held = held.join(classes.select("sid", "comp", "n", "below", "odd"), "sid")
+    held = held.join(classes.select("sid", "comp", "n", "below"), "sid")
     behind = F.col("common") & (F.col("pos") < F.col("below"))
     rows = held.withColumn("behind", behind.cast("int"))
     whole = Window.partitionBy("sid")
@@ -198,7 +198,7 @@ def front_entries(classes: DataFrame, config: JaccardConfig) -> DataFrame:
     place = F.when(F.col("behind") == 1, F.col("below") - F.col("all") + F.col("before")).when(
         F.col("pos") < F.col("below"), F.col("pos") - F.col("before")).otherwise(F.col("pos"))
     front = F.col("n") - F.ceil(config.share * F.col("n") / config.per) + 1
-    return rows.select("token", "sid", "comp", "n", "odd", place.cast("long").alias("place"), "common").where(F.col("place") < front)
+    return rows.select("token", "sid", "comp", "n", place.cast("long").alias("place"), "common").where(F.col("place") < front)
 
 
 def index_blocks(entries: DataFrame, config: JaccardConfig) -> DataFrame:
@@ -229,12 +229,12 @@ def index_blocks(entries: DataFrame, config: JaccardConfig) -> DataFrame:
     return rows.withColumn("block_a", F.least("own", "other")).withColumn("block_b", F.greatest("own", "other")).drop("other", "common")
 
 
-def candidate_pairs(blocks: DataFrame, config: JaccardConfig) -> DataFrame:
-    """(a, b), a < b: classes of different components that meet at a token where size, places and parities allow a link.
+def candidate_pairs(blocks: DataFrame, odd: DataFrame, config: JaccardConfig) -> DataFrame:
+    """(a, b), a < b: classes of different components that meet at a token where size, places and parities (``odd``: sid, odd) allow a link.
 
     Pairs are made and tried inside the workers, so only those that pass become rows.
     """
-    rows = blocks.repartition("token", "block_a", "block_b").sortWithinPartitions("token", "block_a", "block_b", "n", "sid")
+    rows = blocks.join(odd, "sid").repartition("token", "block_a", "block_b").sortWithinPartitions("token", "block_a", "block_b", "n", "sid")
     share, per = config.share, config.per
 
     def work(t: pa.Table, seen: set[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -310,7 +310,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     known = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
     entries = stored(front_entries(known, config), "entries")
     release()
-    met = stored(candidate_pairs(index_blocks(entries, config), config), "met")
+    met = stored(candidate_pairs(index_blocks(entries, config), classes.select("sid", "odd"), config), "met")
     discard(entries)
 
     # Leaders' answers first, then the pairs that they leave open.
