@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,7 +70,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], name: str, most: int = 8 <<
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(name))
         start, size = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(column).to_pylist()):
+        for i, n in enumerate(pc.binary_length(column).to_pylist()):
             if i > start and size + (n or 0) > most:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
@@ -111,11 +112,6 @@ def _fingerprint(pairs: DataFrame) -> tuple:
     return tuple(row)
 
 
-def spread(seed: int, *columns: str) -> Column:
-    """A column that is even over [0, 1) and depends on the named columns only."""
-    return (F.xxhash64(F.lit(seed), *columns).bitwiseAND((1 << 52) - 1) / float(1 << 52)).cast("double")
-
-
 def widened(schema: T.StructType, ddl: str) -> T.StructType:
     """``schema`` with the fields of ``ddl`` after its own."""
     return T.StructType(schema.fields + T.StructType.fromDDL(ddl).fields)

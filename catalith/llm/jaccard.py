@@ -3,7 +3,8 @@
 Documents with one set are one class. Classes that are alike are linked to a leader first, found by equal minimum hashes. Then every class posts the
 front of its tokens, in one order for all sets, to an index; pairs meet at a token that both hold in front. Skipped are: tokens of one
 component only; blocks of a token's list whose sizes or positions cannot reach the threshold; pairs whose token parities differ by too
-much; and pairs that the answers of their leaders decide (Jaccard distance is a metric, so a set near its leader has nearly its leader's distances). What is left is computed from the whole texts.
+much; and pairs that the answers of their leaders decide (Jaccard distance is a metric, so a set near its leader has nearly its leader's
+distances). What is left is computed from the whole texts.
 """
 
 from __future__ import annotations
