@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from catalith.constants import ReviewConfig
 from catalith.functions.text import genre_set, platform_import_set
 from catalith.operators.diagnostics import review_tags
+from catalith.operators.matching import pick_best
 from catalith.operators.resolve import auto_unpin, plan_actions, resolve_stats, retry_query, retry_targets, with_majority
 from catalith.operators.review import review_queue
 from catalith.operators.validation import validation_report
 from catalith.session import materialize
 from catalith.sources.registry import default_registry
 from catalith.workload import sql as s
-from catalith.workload.frames import SOURCES, duck, spark_frame
+from catalith.workload.frames import SOURCES, duck, spark_frame, table
 from catalith.workload.registry import query
 from catalith.workload.votes import (
     ACTIONABLE,
@@ -222,6 +223,52 @@ def stats_of_resolution(spark, sf):
     return resolve_stats(_resolution(spark, sf))
 
 
+_RETRY = f"""o AS (SELECT RowId, Name AS target, unnest([RAWG_Name, IGDB_Name, Steam_Name, HLTB_Name]) AS title, unnest([0, 1, 2, 3]) AS pos FROM src),
+    n AS (SELECT *, {s.norm('target')} AS a, {s.norm('title')} AS b FROM o WHERE trim(title) <> '')"""
+
+
+@query(
+    "retry_queries",
+    f"""WITH src AS {duck(SOURCES)}, {_RETRY}, {s.fuzzy_cte('SELECT a, b FROM n')}
+    SELECT RowId, arg_max(title, (score, -length(title), -pos)) AS retry_query FROM n JOIN fuzzy USING (a, b) GROUP BY RowId""",
+)
+def retry_queries(spark, sf):
+    """The sources' title nearest to the row's own, as the text to search again with."""
+    titles = [F.array("RAWG_Name", "IGDB_Name"), F.array("Steam_Name", "HLTB_Name")]
+    return retry_query(spark_frame(spark, sf, SOURCES), titles, F.col("Name"))
+
+
+_TARGETS = f"""SELECT RowId, p_partkey, Name, CASE WHEN p_size % 9 = 0 THEN NULL ELSE IGDB_Name END AS majority_title, CAST(RAWG_Year AS INT) AS majority_year,
+    CASE p_size % 3 WHEN 0 THEN 'fix_wrong_pin' WHEN 1 THEN 'fill_after_unpin' ELSE 'fill_missing' END AS reason FROM ({SOURCES}) s WHERE RAWG_Year IS NOT NULL"""
+_OFFERS = """SELECT RowId, p_partkey, Name, majority_title, majority_year, q.k AS id, q.cand_name, CASE WHEN q.k % 4 = 0 THEN NULL ELSE 1992 + q.k % 7 END AS cand_year
+    FROM t JOIN (SELECT p_partkey AS k, p_name AS cand_name FROM part) q ON q.k BETWEEN t.p_partkey - 1 AND t.p_partkey + 1 AND t.p_partkey % 10 <> 0"""
+_GOAL = "coalesce(nullif(majority_title, ''), Name)"
+
+
+@query(
+    "resolve_plan",
+    f"""WITH t AS {duck(_TARGETS)}, offers AS ({_OFFERS}),
+    best AS (SELECT * FROM (WITH {s.adjusted_cte(f"(SELECT RowId AS row_id, {_GOAL} AS name, majority_year AS year_hint, id, cand_name, cand_year FROM offers)")},
+        r AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY {s.RANK}) AS rn FROM scored) SELECT row_id, id, cand_name, cand_year, raw FROM r WHERE rn = 1)),
+    j AS (SELECT t.*, id, cand_name, id IS NOT NULL AND (coalesce(raw, 0) >= 90 OR coalesce(abs(cand_year - majority_year) <= 1, true)) AS repin FROM t LEFT JOIN best ON row_id = RowId)
+    SELECT RowId, reason, CASE WHEN repin THEN 'repin' WHEN reason = 'fix_wrong_pin' THEN 'unpin' ELSE 'keep' END AS action,
+    coalesce(CASE WHEN repin THEN CAST(id AS VARCHAR) END, '') AS new_id, coalesce(CASE WHEN repin THEN cand_name END, '') AS new_name FROM j""",
+)
+def resolve_plan(spark, sf):
+    """Pins tried again with the ranking search over the titles near by: repinned when title or year is near, else taken off or kept."""
+    targets = spark_frame(spark, sf, _TARGETS).withColumn("provider", F.lit("igdb"))
+    titles = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("cand_name"))
+    near = targets.where("p_partkey % 10 <> 0").withColumn("id", F.explode(F.sequence(F.col("p_partkey") - 1, F.col("p_partkey") + 1)))
+    offers = near.join(titles, "id").withColumns(
+        {"goal": F.coalesce(F.nullif("majority_title", F.lit("")), F.col("Name")), "cand_year": F.when(F.col("id") % 4 != 0, 1992 + F.col("id") % 7).cast("int")}
+    )
+    found = pick_best(offers, ["RowId"], "goal", "cand_name", "id", ["id", "cand_name", "cand_year"], "majority_year", "cand_year").select(
+        "RowId", F.lit("igdb").alias("provider"), F.col("id").cast("string").alias("new_id"), F.col("cand_name").alias("new_name"), F.col("cand_year").alias("new_year")
+    )
+    actions = plan_actions(targets.drop("p_partkey"), found)
+    return actions.select("RowId", "reason", "action", F.coalesce("new_id", F.lit("")).alias("new_id"), F.coalesce("new_name", F.lit("")).alias("new_name"))
+
+
 _REPORT_FAMILY = """CASE WHEN contains(lower(x), 'pc') OR contains(lower(x), 'windows') THEN 'pc' WHEN contains(lower(x), 'playstation') OR starts_with(lower(x), 'ps') THEN 'playstation'
     WHEN contains(lower(x), 'xbox') THEN 'xbox' WHEN contains(lower(x), 'nintendo') OR contains(lower(x), 'switch') OR contains(lower(x), 'wii') THEN 'nintendo'
     WHEN contains(lower(x), 'mac') THEN 'mac' WHEN contains(lower(x), 'linux') THEN 'linux' ELSE lower(trim(x)) END"""
