@@ -41,7 +41,8 @@ class JaccardConfig:
     per: int = 100
     front: float = 0.25
     common: int = 16
-    block: int = 1024
+    rounds: int = 4
+    block: int = 8192
     memory: int = 1 << 20
 
 
@@ -134,12 +135,21 @@ def _sizes_fit(config: JaccardConfig, a: Column, b: Column) -> Column:
     return (config.per * F.least(a, b) >= config.share * F.greatest(a, b))
 
 
-def leader_candidates(classes: DataFrame, config: JaccardConfig) -> DataFrame:
-    """(a, b): class b and the smallest class a that has one of b's minimum hashes. The minimum is aggregated, never a group gathered."""
-    hashes = classes.select("sid", "n", F.posexplode("mins").alias("k", "m"))
-    least = hashes.groupBy("k", "m").agg(F.min(F.struct("sid", "n")).alias("lead"), F.count("*").alias("held")).where("held > 1")
-    joined = hashes.join(least, ["k", "m"]).where((F.col("sid") != F.col("lead.sid")) & _sizes_fit(config, F.col("n"), F.col("lead.n")))
-    return joined.select(F.col("lead.sid").alias("a"), F.col("sid").alias("b")).distinct()
+def leader_candidates(classes: DataFrame, comps: DataFrame | None, draw: int, config: JaccardConfig) -> DataFrame:
+    """(a, b): class b and a class a, of another component, that has one of b's minimum hashes.
+
+    The first draw takes the smallest class of each hash, later ones the smallest by a hash of its own; a minimum is aggregated, never a group gathered.
+    """
+    known = classes.select("sid", "n", "mins", F.col("sid").alias("comp"))
+    if comps is not None:
+        known = known.drop("comp").join(comps.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "n", "mins", F.coalesce("component", "sid").alias("comp"))
+    hashes = known.select("sid", "n", "comp", F.posexplode("mins").alias("k", "m"))
+    order = F.xxhash64(F.lit(draw), "sid") if draw else F.col("sid")
+    least = hashes.groupBy("k", "m").agg(
+        F.min(F.struct(order.alias("order"), "sid", "n", "comp")).alias("lead"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
+    ).where("c0 <> c1")
+    joined = hashes.join(least, ["k", "m"]).where((F.col("comp") != F.col("lead.comp")) & _sizes_fit(config, F.col("n"), F.col("lead.n")))
+    return joined.select(F.least("lead.sid", "sid").alias("a"), F.greatest("lead.sid", "sid").alias("b")).distinct()
 
 
 def compare_texts(pairs: DataFrame, texts: DataFrame, config: JaccardConfig) -> DataFrame:
@@ -268,7 +278,7 @@ def candidate_pairs(blocks: DataFrame, odd: DataFrame, config: JaccardConfig) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for t in finished_groups(batches, ("token", "block_a", "block_b")):
-            if len(seen) > 500_000:
+            if len(seen) > 100_000:
                 seen.clear()
             found = work(t, seen)
             if found:
@@ -293,18 +303,29 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     discard(made)
     release()
 
-    # Alike classes and their leaders.
-    pairs = stored(leader_candidates(classes, config), "leader-pairs")
-    texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")), classes, key, text)
-    compared = stored(compare_texts(pairs, texts, config), "leader-answers")
-    discard(pairs, texts)
+    # Alike classes and their leaders. Later draws join what the first left apart: groups whose members link with each other but not with one leader.
+    same_key = rows.where("n_shingles > 0").select(key, "digest").distinct().join(classes.select("digest", "sid"), "digest")
+    first = same_key.groupBy(key).agg(F.min("sid").alias("a"), F.max("sid").alias("z")).where("a <> z").select(key, "a")
+    links = same_key.join(first, key).select("a", F.col("sid").alias("b"))
+    comps, texts, answered = None, None, []
+    for draw in range(config.rounds):
+        pairs = stored(leader_candidates(classes, comps, draw, config), "leader-pairs")
+        if texts is None:
+            texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")), classes, key, text)
+        answered.append(stored(compare_texts(pairs, texts, config), "leader-answers"))
+        discard(pairs)
+        stars = answered[-1].where(_links(config, F.col("both"), F.col("na"), F.col("nb")))
+        if draw and stars.isEmpty():
+            break
+        links = links.unionByName(stars.select("a", "b"))
+        comps = stored(components(links), "components")
+    discard(texts)
+    compared = answered[0]
+    for more in answered[1:]:
+        compared = compared.unionByName(more)
     stars = compared.where(_links(config, F.col("both"), F.col("na"), F.col("nb")))
     far = (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far")
     leaders = stored(stars.select("b", F.struct(far, F.col("a").alias("lead")).alias("near")).groupBy("b").agg(F.min("near").alias("near")), "leaders")
-    same_key = rows.where("n_shingles > 0").select(key, "digest").distinct().join(classes.select("digest", "sid"), "digest")
-    first = same_key.groupBy(key).agg(F.min("sid").alias("a"), F.max("sid").alias("z")).where("a <> z").select(key, "a")
-    repeats = same_key.join(first, key).select("a", F.col("sid").alias("b"))
-    comps = stored(components(stars.select("a", "b").unionByName(repeats)), "components")
     release()
 
     # Pairs that the index brings together.
@@ -345,7 +366,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     labels = stored(ids.join(lowest, "comp").select(F.col("digest").alias("_digest"), "component_id"), "labels")
     result = rows.join(labels, (F.col("digest") == F.col("_digest")) & F.col(key).isNotNull(), "left")
     result = stored(result.select(key, "n_shingles", F.coalesce("component_id", F.col(key)).alias("component_id")), "similar")
-    discard(rows, classes, compared, leaders, comps, answers, joined, more, final, ids, labels)
+    discard(rows, classes, *answered, leaders, comps, answers, joined, more, final, ids, labels)
     return result
 
 
