@@ -84,11 +84,11 @@ def _front(n: int, config: JaccardConfig) -> int:
 
 
 def parities(tokens: np.ndarray) -> bytes:
-    """Which of the low bits' values an odd number of tokens has, as bits; about one bit a token, by powers of two from 256 to 8192.
+    """Which of the low bits' values an odd number of tokens has, as bits; a bit a token or more, by powers of two from 1024 to 8192.
 
     Where the parities of two sets differ, so do the sets: the differing bits are never more than the tokens by which the sets differ.
     """
-    width = min(8192, max(256, 1 << (len(tokens) - 1).bit_length()))
+    width = min(8192, max(1024, 1 << (len(tokens) - 1).bit_length()))
     odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
