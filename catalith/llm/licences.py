@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,34 +61,90 @@ RULES = (
     ("BSD", ("bsd-grant", "as-is")),
     ("All-Rights-Reserved", ("reserved",)),
 )
+_GPL = "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"
+_FSF = _GPL + " as published by the free software foundation"
+_RECEIVED = "you should have received a copy of the gnu general public license along with this program"
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the"
+    " software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the"
+    " software and to permit persons to whom the software is furnished to do so subject to the following conditions"
+)
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+_COMPLY = "you may not use this file except in compliance with the license"
+#: The complete sentences of canonical licence texts, normalised, by identifiers. A blank line inside a sentence is two line feeds.
+WHOLE_SENTENCES = {
+    ("apache-grant", "apache-comply"): (
+        f"licensed under the apache license version 2.0 the license {_COMPLY}",
+        f"the asf licenses this file to you under the apache license version 2.0 the license {_COMPLY}",
+    ),
+    ("apache-copy",): tuple(
+        f"you may obtain a copy of the license at{gap}{http} www.apache.org licenses license 2.0" for gap in (" ", "\n\n") for http in ("http", "https")
+    ),
+    ("mit-grant",): (_MIT,),
+    ("mit-grant", "mit-notice"): (f"{_MIT} {SENTENCES['mit-notice'][0]}",),
+    ("gpl3-name",): (
+        f"{_FSF} either version 3 of the license or at your option any later version", f"{_FSF} version 3 of the license", f"{_FSF} version 3",
+        f"{_GPL} version 3 as published by the free software foundation",
+    ),
+    ("gpl2-name",): (
+        f"{_FSF} either version 2 of the license or at your option any later version", f"{_FSF} version 2 of the license", f"{_FSF} version 2",
+        f"{_GPL} version 2 as published by the free software foundation",
+    ),
+    ("gpl-received",): (
+        *(f"{_RECEIVED} if not see {http} www.gnu.org licenses" for http in ("http", "https")),
+        f"{_RECEIVED} if not write to the free software foundation inc. 51 franklin street fifth floor boston ma 02110 1301 usa",
+        f"{_RECEIVED} if not write to the free software foundation inc. 59 temple place suite 330 boston ma 02111 1307 usa",
+        f"{_RECEIVED} if not write to the free software foundation inc. 675 mass ave cambridge ma 02139 usa",
+    ),
+    ("bsd-grant",): (f"{_BSD} 1",),
+    ("as-is",): (
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for"
+        " a particular purpose and noninfringement",
+        *(
+            f"this software is provided by {who} as is and any express or implied warranties including but not limited to the implied warranties of"
+            " merchantability and fitness for a particular purpose are disclaimed"
+            for who in (
+                "the copyright holders and contributors", "the copyright holder and contributors", "the regents and contributors", "the author and contributors",
+            )
+        ),
+    ),
+}
 END = "\x01"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
 class LicenceTables:
-    """Known sentences and rules. Both are tables of fixed size that go into the plan as constants; texts are never shuffled."""
+    """Known sentences and rules. All are tables of fixed size that go into the plan as constants; texts are never shuffled."""
 
     sentences: tuple[tuple[str, tuple[str, ...]], ...] = tuple(SENTENCES.items())
     rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES
+    whole: tuple[tuple[tuple[str, ...], tuple[str, ...]], ...] = tuple(WHOLE_SENTENCES.items())
 
 
-def normal_sentences(text: Column) -> Column:
-    """The sentences of a text, in order: A-Z lower-cased, ended by a full stop, question or exclamation mark before white space, or by a line feed.
+def normal_text(text: Column) -> Column:
+    """A text with A-Z lower-cased and ``END`` for a full stop, question or exclamation mark before white space; line feeds stay.
 
-    Of all other characters letters a-z, digits and stops inside a word or number stay, the rest become single spaces.
+    Of all other characters letters a-z, digits and stops inside a word or number stay, the rest become single spaces, none beside an end or a line feed.
     """
-    ended = F.regexp_replace(F.translate(text, UPPER + END, LOWER + " "), r"[.!?]+(?:\s+|$)|\n+", END)
-    plain = F.regexp_replace(ended, "[^a-z0-9." + END + "]+", " ")
-    return F.transform(F.split(plain, END), lambda s: F.trim(s))
+    ended = F.regexp_replace(F.translate(text, UPPER + END, LOWER + " "), r"[.!?]+(?:\s+|$)", END)
+    plain = F.regexp_replace(ended, "[^a-z0-9.\n" + END + "]+", " ")
+    return F.trim(F.regexp_replace(plain, f" *([\n{END}]) *", "$1"))
 
 
 def identifier_sequence(text: Column, tables: LicenceTables) -> Column:
-    """Identifiers of a text's known sentences as one string, each in angle brackets; sentences that are not known are passed over."""
-    known = {s: name for name, group in tables.sentences for s in group}
-    table = F.create_map(*[F.lit(x) for s in sorted(known) for x in (s, f"<{known[s]}>")])
-    found = F.transform(normal_sentences(text), lambda s: F.try_element_at(table, s))
-    return F.array_join(F.filter(found, lambda x: x.isNotNull()), "")
+    """Identifiers of a text's known sentences as one string, each in angle brackets; sentences that are not known are passed over.
+
+    A known sentence is found where it fills whole lines or ends at an end: a line feed may close it or stand for one of its spaces. Of two known
+    sentences that start at one place the longer is taken.
+    """
+    known = {s: f"<{name}>" for name, group in tables.sentences for s in group}
+    known |= {s: "".join(f"<{x}>" for x in names) for names, group in tables.whole for s in group}
+    table = F.create_map(*[F.lit(x) for s, names in sorted({s.replace("\n\n", " "): names for s, names in known.items()}.items()) for x in (s, names)])
+    any_of = "|".join(r"\n+".join(r"[ \n]".join(map(re.escape, part.split(" "))) for part in s.split("\n\n")) for s in sorted(known, key=lambda s: (-len(s), s)))
+    pattern = rf"(?<![^\n{END}])(?:{any_of})(?![^\n{END}])"
+    found = F.regexp_extract_all(normal_text(text), F.lit(pattern), F.lit(0))
+    return F.array_join(F.transform(found, lambda s: F.try_element_at(table, F.regexp_replace(s, r"\n+", " "))), "")
 
 
 def licence_scan(docs: DataFrame, tables: LicenceTables = LicenceTables(), key: str = "doc_id", text: str = "text") -> DataFrame:
