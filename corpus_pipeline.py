@@ -35,12 +35,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of similar documents; of rows that repeat an id, one."""
-    found = jaccard.similar_documents(docs)
-    kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_d")).agg((F.count("*") > 1).alias("_again"))
-    joined = docs.select(*COLUMNS).join(kept, F.col("doc_id") == F.col("_d"))
+    """The document of the smallest id, and of its texts the smallest hash, of each group of similar documents; of rows equal in id and text, the smallest."""
+    rows = docs.where("doc_id is not null").select(*COLUMNS).withColumn("_row", _row())
+    found = jaccard.similar_documents(rows, key="_row")
+    kept = found.where("_row = component_id").groupBy(F.col("_row").alias("_r")).agg((F.count("*") > 1).alias("_again"))
+    joined = rows.join(kept, F.col("_row") == F.col("_r"))
     once = joined.where("not _again").select(*COLUMNS)
-    return once.unionByName(joined.where("_again").select(*COLUMNS).dropDuplicates(["doc_id"])).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    again = joined.where("_again").groupBy("_row").agg(F.min(F.struct(*COLUMNS)).alias("_least")).select("_least.*")
+    return once.unionByName(again).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,13 @@ def test_stages_take_odd_tables(spark, tmp_path):
             out.write.parquet(f"{tmp_path}/{k}-{name}")
             docs = spark.read.parquet(f"{tmp_path}/{k}-{name}")
         assert {r["doc_id"] for r in docs.collect()} == ({None, 5} if k == 0 else set())
+
+
+def test_near_duplicates_where_ids_repeat(spark, tmp_path):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    one, two, three = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(3, one, "en", "s", 1), (3, two, "en", "s", 2), (5, two, "en", "s", 2), (4, three, "en", "t", 3), (4, three, "en", "s", 3), (4, three + " more", "en", "s", 4)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, schema), str(tmp_path))
+    hashed = lambda r: np.uint64(xxhash.xxh64_intdigest(r[1].encode(), seed=42)).astype(np.int64)
+    fourth = min((r for r in rows if r[0] == 4), key=lambda r: (hashed(r), r[3]))
+    assert sorted(tuple(r) for r in got.collect()) == sorted([rows[0], rows[1], fourth])
