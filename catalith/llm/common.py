@@ -148,3 +148,33 @@ def finished_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], le
             left = left.slice(cut)
     if left is not None and left.num_rows:
         yield left.combine_chunks()
+
+
+def whole_vectors(vectors: DataFrame, key: str, column: str, scale: int) -> DataFrame:
+    """(key, x, width): every entry as floor(scale * entry), for rows whose vector and entries are neither NULL nor non-finite.
+
+    Entries beyond the range of a long become the nearest long. The key keeps its type under the name ``key``.
+    """
+    real = F.transform(column, lambda v: v.cast("double"))
+    fine = F.forall(real, lambda v: v.isNotNull() & (F.abs(v) < float("inf")))  # NaN is above infinity to Spark
+    kept = vectors.where(F.col(column).isNotNull() & fine)
+    return kept.select(F.col(key).alias("key"), F.transform(real, lambda v: F.floor(v * float(scale))).alias("x"), F.size(column).alias("width"))
+
+
+def join_width(rows: DataFrame, facts: DataFrame, salts: int = 32) -> DataFrame:
+    """``rows`` with the one row of ``facts`` of their width.
+
+    Most tables hold a single width, so where ``facts`` is too large for Spark to broadcast its rows are repeated under ``salts`` numbers and rows dealt
+    among them.
+    """
+    each = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", (F.monotonically_increasing_id() % salts).cast("int")).join(each, ["width", "_salt"]).drop("_salt")
+
+
+def matrices(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, matrix) for each width of a column of lists of numbers."""
+    widths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    for width in np.unique(widths):
+        at = np.flatnonzero(widths == width)
+        part = column if len(at) == len(column) else column.take(pa.array(at))
+        yield at, part.flatten().to_numpy(zero_copy_only=False).reshape(len(at), width)

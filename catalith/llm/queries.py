@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import calls, hosts, jaccard, licences, lines, mixing, packing, quality, tokens, vectors
+from catalith.llm import calls, hosts, jaccard, licences, lines, merkle, mixing, packing, quality, tokens, topk, vectors, whitening
 from catalith.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,3 +251,73 @@ FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source
 def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mixed_documents(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_vector_whitening")
+def op11_vector_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector along the first four directions of the covariance; SQL has no eigenvectors."""
+    return whitening.whitened_vectors(table(spark, folder, "embeddings"))
+
+
+_MERKLE_SQL = r"""
+WITH RECURSIVE c AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')]), lambda s, b:
+    list_reduce(list_prepend(xor(s, b), range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1))))) % 3 = 0 AS hit
+  FROM documents
+), b AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+            || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS told FROM c
+), d AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(told) || ':' || told, '-')) AS other FROM b
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d
+), t(level, lang, i, h, n) AS (
+  SELECT 0, lang, i, leaf, n FROM o
+  UNION ALL SELECT level + 1, lang, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8) FROM t WHERE n > 1 GROUP BY level, lang, i // 8
+), s AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u(level, i, h, n) AS (
+  SELECT 0, i, subroot, n FROM s
+  UNION ALL SELECT level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8) FROM u WHERE n > 1 GROUP BY level, i // 8
+), sides AS (
+  SELECT o.lang, o.i, level, coalesce(string_agg(h, '' ORDER BY t.i) FILTER (t.i < o.i >> (3 * level)), '') AS l, coalesce(string_agg(h, '' ORDER BY t.i) FILTER (t.i > o.i >> (3 * level)), '') AS r
+  FROM o JOIN t ON t.lang IS NOT DISTINCT FROM o.lang AND t.n > 1 AND t.i >> 3 = o.i >> (3 * level + 3) GROUP BY 1, 2, 3
+), tops AS (
+  SELECT s.lang, level, coalesce(string_agg(h, '' ORDER BY u.i) FILTER (u.i < s.i >> (3 * level)), '') AS l, coalesce(string_agg(h, '' ORDER BY u.i) FILTER (u.i > s.i >> (3 * level)), '') AS r
+  FROM s JOIN u ON u.n > 1 AND u.i >> 3 = s.i >> (3 * level + 3) GROUP BY 1, 2
+), p AS (
+  SELECT lang, i, row_number() OVER (PARTITION BY lang, i ORDER BY level) AS step, l, r FROM (
+    SELECT * FROM sides UNION ALL SELECT o.lang, o.i, 100 + level, l, r FROM o JOIN tops ON tops.lang IS NOT DISTINCT FROM o.lang)
+), f(lang, i, step, node) AS (
+  SELECT lang, i, 0, other FROM o
+  UNION ALL SELECT f.lang, f.i, p.step, sha256(l || node || r) FROM f JOIN p ON p.lang IS NOT DISTINCT FROM f.lang AND p.i = f.i AND p.step = f.step + 1
+), e AS (SELECT lang, i, arg_max(node, step) AS folded_root FROM f GROUP BY 1, 2),
+q AS (SELECT lang, i, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM p GROUP BY 1, 2)
+SELECT o.doc_id, o.leaf, s.subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+       folded_root = (SELECT h FROM u WHERE n = 1) AS verified
+FROM o JOIN s ON s.lang IS NOT DISTINCT FROM o.lang JOIN e ON e.lang IS NOT DISTINCT FROM o.lang AND e.i = o.i
+LEFT JOIN q ON q.lang IS NOT DISTINCT FROM o.lang AND q.i = o.i
+"""
+
+
+@query("op12_merkle_manifest", _MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf and proof, and the root its copy, lower-cased for a third of ids, folds to."""
+    return merkle.audited_documents(table(spark, folder, "documents"))
+
+
+_TOP_SQL = r"""
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS row, [floor(64 * x::DOUBLE) FOR x IN embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, a.row, b.vec_id, list_inner_product(a.x, b.x)::BIGINT AS score FROM v a JOIN v b ON a.row <> b.row AND len(a.x) = len(b.x) WHERE a.vec_id % 20 = 0
+)
+SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s WINDOW w AS (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER w <= 20
+"""
+
+
+@query("op13_exact_top", _TOP_SQL)
+def op13_exact_top(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors of the highest inner product with every 20th vector."""
+    return topk.top_scores(table(spark, folder, "embeddings"))
