@@ -20,54 +20,55 @@ from catalith.functions.text import normalize_title, tokens
 _WORD = 64
 
 
-def _lcs_long(a: str, b: str) -> int:
-    full = (1 << len(a)) - 1
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    v = full
-    for ch in b:
-        u = v & masks.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - v.bit_count()
-
-
 def _codes(texts: list[str], width: int) -> np.ndarray:
     padded = "".join(t.ljust(width, "\0") for t in texts)
     return np.frombuffer(padded.encode("utf-32-le"), dtype="<u4").reshape(len(texts), width)
 
 
-def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
-    """LCS length of each pair; pairs whose shorter text fits a machine word are done together."""
-    out = np.zeros(len(a), dtype=np.int64)
-    short, small = [], []
-    for i, (x, y) in enumerate(zip(a, b)):
-        if len(x) > len(y):
-            x, y = y, x
-        if not x:
-            continue
-        if len(x) > _WORD:
-            out[i] = _lcs_long(x, y)
-        else:
-            short.append(i)
-            small.append((x, y))
-    if not small:
-        return out
-    n = len(small)
-    x_len = np.array([len(x) for x, _ in small])
-    y_width = max(len(y) for _, y in small)
-    xs = np.full((n, _WORD), 0xFFFFFFFF, dtype=np.uint32)
-    codes = _codes([x for x, _ in small], int(x_len.max()))
+def _lcs_words(pairs: list[tuple[str, str]], words: int) -> np.ndarray:
+    """LCS lengths of pairs whose first text fits ``words`` machine words; a bit per character of it, all pairs advance together.
+
+    A step adds the matched bits to the open ones; the carry of that sum runs from word to word.
+    """
+    n, width = len(pairs), words * _WORD
+    x_len = np.array([len(x) for x, _ in pairs])
+    y_width = max(len(y) for _, y in pairs)
+    xs = np.full((n, width), 0xFFFFFFFF, dtype=np.uint32)
+    codes = _codes([x for x, _ in pairs], int(x_len.max()))
     inside = np.arange(codes.shape[1]) < x_len[:, None]
     xs[:, : codes.shape[1]][inside] = codes[inside]
-    ys = _codes([y for _, y in small], y_width)
-    v = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
+    ys = _codes([y for _, y in pairs], y_width)
+    v = np.full((words, n), np.iinfo(np.uint64).max, dtype=np.uint64)
     for j in range(y_width):
-        hit = np.packbits(xs == ys[:, j : j + 1], axis=1, bitorder="little").view("<u8").ravel()
-        u = v & hit
-        v = (v + u) | (v - u)
-    kept = np.where(x_len == _WORD, np.iinfo(np.uint64).max, (np.uint64(1) << (x_len % _WORD).astype(np.uint64)) - np.uint64(1))
-    out[short] = np.bitwise_count(~v & kept)
+        hit = np.packbits(xs == ys[:, j : j + 1], axis=1, bitorder="little").view("<u8").T
+        carry = np.zeros(n, bool)
+        for w in range(words):
+            u = v[w] & hit[w]
+            total = v[w] + u
+            over = total < u
+            if w:
+                total = total + carry
+                over |= carry & (total == 0)
+            v[w] = total | (v[w] - u)
+            carry = over
+    left = np.clip(x_len[None, :] - _WORD * np.arange(words)[:, None], 0, _WORD)
+    kept = np.where(left == _WORD, np.iinfo(np.uint64).max, (np.uint64(1) << (left % _WORD).astype(np.uint64)) - np.uint64(1))
+    return np.bitwise_count(~v & kept).sum(0)
+
+
+def lcs_lengths(a: list[str], b: list[str], cells: int = 1 << 22) -> np.ndarray:
+    """LCS length of each pair, in runs of pairs whose shorter texts take equally many machine words; a run holds about ``cells`` characters."""
+    out = np.zeros(len(a), dtype=np.int64)
+    sized: dict[int, list[int]] = {}
+    pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b)]
+    for i, (x, _) in enumerate(pairs):
+        if x:
+            sized.setdefault(-(-len(x) // _WORD), []).append(i)
+    for words, at in sized.items():
+        at.sort(key=lambda i: len(pairs[i][1]))
+        most = max(1, cells // (words * _WORD))
+        for k in range(0, len(at), most):
+            out[at[k : k + most]] = _lcs_words([pairs[i] for i in at[k : k + most]], words)
     return out
 
 
@@ -85,33 +86,34 @@ def _lcs(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(values, pa.int32(), mask=~known)
 
 
-def _best_window(x: str, y: str) -> float:
-    """Best similarity of the shorter text against windows of its length, clipped ones included."""
-    if len(x) > len(y):
-        x, y = y, x
-    if not x:
-        return 0.0
-    n, m = len(x), len(y)
-    windows = {y[max(0, i) : i + n] for i in range(1 - n, m)}
-    windows.discard("")
-    ordered = list(windows)
-    lengths = lcs_lengths([x] * len(ordered), ordered)
-    sizes = np.array([len(w) for w in ordered])
-    total = n + sizes
-    return float(np.max((1.0 - (total - 2 * lengths) / total) * 100.0))
+def window_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """Best similarity of each pair's shorter text against the longer one's windows of its length, clipped ones included; all pairs in one LCS run."""
+    shorter, windows, ends = [], [], np.zeros(len(a) + 1, np.int64)
+    for k, (x, y) in enumerate(zip(a, b)):
+        if len(x) > len(y):
+            x, y = y, x
+        found = dict.fromkeys(y[max(0, i) : i + len(x)] for i in range(1 - len(x), len(y))) if x else {}
+        found.pop("", None)
+        shorter += [x] * len(found)
+        windows += found
+        ends[k + 1] = ends[k] + len(found)
+    total = np.array([len(x) + len(w) for x, w in zip(shorter, windows)], float)
+    ratios = (1.0 - (total - 2 * lcs_lengths(shorter, windows)) / np.maximum(total, 1)) * 100.0
+    out = np.zeros(len(a))
+    some = np.flatnonzero(np.diff(ends))
+    if len(some):
+        out[some] = np.maximum.reduceat(ratios, ends[some])
+    return out
 
 
 @F.arrow_udf(T.DoubleType())
 def _window_ratio(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if x is None or y is None else _best_window(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())],
-        pa.float64(),
-    )
-
-
-def _indel_ratio(len_a: Column, len_b: Column, lcs: Column) -> Column:
-    total = (len_a + len_b).cast("double")
-    return (F.lit(1.0) - (total - lcs * 2) / total) * 100.0
+    xs, ys = a.to_pylist(), b.to_pylist()
+    void = np.array([x is None or y is None for x, y in zip(xs, ys)], bool)
+    asked = [(x, y) for x, y in zip(xs, ys) if x is not None and y is not None]
+    values = np.zeros(len(xs))
+    values[~void] = window_ratios([x for x, _ in asked], [y for _, y in asked])
+    return pa.array(values, pa.float64(), mask=void)
 
 
 _ONLY_YEARS = r"^(?:(?:19\d{2}|20\d{2}|2100)(?: |$))+$"

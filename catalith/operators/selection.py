@@ -71,17 +71,20 @@ def with_name_predicates(df: DataFrame, name: str = "cand_name", term: str = "te
     ).drop("__q", "__c")
 
 
+def rawg_terms(queries: DataFrame) -> DataFrame:
+    """Texts that RAWG is searched with: the title, and the text before its colon."""
+    stripped = strip_trailing_year(F.col("name"))
+    terms = queries.withColumn("__terms", F.array_compact(F.array(stripped, base_of_subtitle(stripped))))
+    return terms.select("*", F.posexplode("__terms").alias("term_no", "term")).drop("__terms")
+
+
 def select_rawg(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING, legacy_tiebreak: bool = False) -> DataFrame:
     """RAWG rule: exact, unnumbered, non-add-on, near year, same numbers; then ranking.
 
     ``hits``: ``query, pos, id, cand_name, released``. The text before a colon is tried too when the full title scores
     below the minimum. Result: ``row_id, id, cand_name, score`` for accepted rows.
     """
-    stripped = strip_trailing_year(F.col("name"))
-    base = base_of_subtitle(stripped)
-    terms = queries.withColumn("__terms", F.array_compact(F.array(stripped, base)))
-    terms = terms.select("*", F.posexplode("__terms").alias("term_no", "term")).drop("__terms")
-    cand = search_hits(terms, hits).withColumn("cand_year", leading_year(F.col("released")))
+    cand = search_hits(rawg_terms(queries), hits).withColumn("cand_year", leading_year(F.col("released")))
     cand = with_name_predicates(cand)
     near = _near(F.col("cand_year"), F.col("year_hint"), cfg.year_tolerance)
     best = pick_best(
@@ -105,6 +108,11 @@ def select_rawg(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
     return best_per_group(best, ["row_id"], order, ["id", "cand_name", "score"]).where(F.col("score") >= cfg.min_score)
 
 
+def igdb_terms(queries: DataFrame) -> DataFrame:
+    """The text that IGDB is searched with: the title without its year."""
+    return queries.withColumn("term", strip_trailing_year(F.col("name")))
+
+
 def year_window(year_hint: Column, released_seconds: Column) -> Column:
     """Release between 1 January of the year before the hint and 31 December of the year after."""
     year = year_from_epoch(released_seconds)
@@ -116,8 +124,7 @@ def select_igdb(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
 
     ``hits``: ``query, pos, id, cand_name, first_release_date (seconds), category``.
     """
-    terms = queries.withColumn("term", strip_trailing_year(F.col("name")))
-    cand = search_hits(terms, hits).withColumn("cand_year", year_from_epoch(F.col("first_release_date")))
+    cand = search_hits(igdb_terms(queries), hits).withColumn("cand_year", year_from_epoch(F.col("first_release_date")))
     cand = with_name_predicates(cand)
     main = _is_dlc(F.col("term")) | F.coalesce(F.col("category").cast("string") == "0", F.lit(True))
     best = pick_best(
@@ -143,7 +150,8 @@ def select_igdb(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
     return best.where(F.col("score") >= cfg.min_score).select("row_id", "id", "cand_name", "score")
 
 
-def _store_terms(queries: DataFrame) -> DataFrame:
+def store_terms(queries: DataFrame) -> DataFrame:
+    """Texts that the store is searched with: the title without year, without edition words, as it is, and with the hinted year."""
     name = text(F.col("name"))
     stripped = strip_trailing_year(F.col("name"))
     dated = F.when(F.col("year_hint").isNotNull(), F.concat(stripped, F.lit(" "), F.col("year_hint").cast("string")))
@@ -166,7 +174,7 @@ def select_store(
     most ten candidates by their details when it looks suspicious, and refused when it is no game in the end. Result:
     ``row_id, id, cand_name, score, release_year, rejected_reason``; refused rows keep the reason and no id.
     """
-    terms = _store_terms(queries)
+    terms = store_terms(queries)
     found = search_hits(terms, hits)
     kind = F.lower(text(F.col("cand_type")))
     apps = found.where(kind.isin("", "app", "game") & (text(F.col("id")) != ""))
@@ -290,12 +298,8 @@ def expand_packages(subs: DataFrame, packages: DataFrame, facts: DataFrame, cfg:
     )
 
 
-def select_playtime(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING) -> DataFrame:
-    """Playtime-site rule: query variants in order, raw score against the title, stop at the first variant reaching 95.
-
-    ``queries`` may carry ``query`` (the search text to vary) next to ``name``; ``hits``: ``query, pos, id, cand_name``.
-    Lower- and upper-case variants count only when no other variant found anything.
-    """
+def playtime_terms(queries: DataFrame) -> DataFrame:
+    """Texts that the playtime site is searched with, in trial order; lower and upper case are marked as ``cased``."""
     src = queries if "query" in queries.columns else queries.withColumn("query", F.col("name"))
     base = F.coalesce(F.nullif(text(F.col("query")), F.lit("")), text(F.col("name")))
     plain = query_variants(base)
@@ -304,8 +308,16 @@ def select_playtime(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATC
         F.transform(plain, lambda v, i: F.struct(v.alias("term"), i.alias("no"), F.lit(False).alias("cased"))),
         F.transform(cased, lambda v, i: F.struct(v.alias("term"), (i + 1000).alias("no"), F.lit(True).alias("cased"))),
     )
-    terms = src.select("row_id", F.col("name").alias("__name"), F.inline(variants))
-    cand = with_fuzzy_scores(search_hits(terms, hits), {"score": ("__name", "cand_name")})
+    return src.select("row_id", F.col("name").alias("__name"), F.inline(variants))
+
+
+def select_playtime(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING) -> DataFrame:
+    """Playtime-site rule: query variants in order, raw score against the title, stop at the first variant reaching 95.
+
+    ``queries`` may carry ``query`` (the search text to vary) next to ``name``; ``hits``: ``query, pos, id, cand_name``.
+    Lower- and upper-case variants count only when no other variant found anything.
+    """
+    cand = with_fuzzy_scores(search_hits(playtime_terms(queries), hits), {"score": ("__name", "cand_name")})
     hit = (F.col("score") >= cfg.early_stop_score) & ~F.col("cased")
     order = [
         (~F.col("cased")).alias("plain"),
@@ -320,6 +332,18 @@ def select_playtime(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATC
     )
 
 
+def entity_terms(queries: DataFrame) -> DataFrame:
+    """Texts that the knowledge base is searched with: the title, then with a "video game" suffix."""
+    plain = queries.withColumn("term", text(F.col("name")))
+    suffixes = F.array(
+        F.struct(F.lit(1).alias("no"), F.concat(F.col("term"), F.lit(" video game")).alias("t")),
+        F.struct(F.lit(2).alias("no"), F.concat(F.col("term"), F.lit(" (video game)")).alias("t")),
+    )
+    own = F.array(F.struct(F.lit(0).alias("no"), F.col("term").alias("t")))
+    tries = F.when(F.contains(F.lower("term"), F.lit("video game")), own).otherwise(F.concat(own, suffixes))
+    return plain.withColumn("__tries", tries).select("row_id", "year_hint", F.inline("__tries").alias("term_no", "term"))
+
+
 def select_entity(
     queries: DataFrame, hits: DataFrame, instances: DataFrame, cfg: MatchConfig = MATCHING, legacy_tiebreak: bool = False
 ) -> DataFrame:
@@ -328,15 +352,7 @@ def select_entity(
     ``hits``: ``query, pos, id, label, description``; ``instances``: ``id, instance_of (list), description``. Titles
     without an accepted match are tried again with a "video game" suffix.
     """
-    plain = queries.withColumn("term", text(F.col("name")))
-    suffixes = F.array(
-        F.struct(F.lit(1).alias("no"), F.concat(F.col("term"), F.lit(" video game")).alias("t")),
-        F.struct(F.lit(2).alias("no"), F.concat(F.col("term"), F.lit(" (video game)")).alias("t")),
-    )
-    own = F.array(F.struct(F.lit(0).alias("no"), F.col("term").alias("t")))
-    tries = F.when(F.contains(F.lower("term"), F.lit("video game")), own).otherwise(F.concat(own, suffixes))
-    terms = plain.withColumn("__tries", tries).select("row_id", "year_hint", F.inline("__tries").alias("term_no", "term"))
-    picked = _entity_pick(terms, hits, instances, cfg, legacy_tiebreak)
+    picked = _entity_pick(entity_terms(queries), hits, instances, cfg, legacy_tiebreak)
     hit = F.struct("id", "label", "score")
     own_try = F.col("term_no") == 0
     rows = picked.groupBy("row_id").agg(

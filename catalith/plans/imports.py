@@ -9,11 +9,12 @@ from catalith.constants import NOT_FOUND, PIN_COLUMNS
 from catalith.functions.fuzzy import with_fuzzy_scores
 from catalith.functions.lists import is_blank, text
 from catalith.functions.parse import is_game_type, is_yes
-from catalith.functions.text import pc_like, row_year_hint, year_hint
+from catalith.functions.text import pc_like, row_year_hint
 from catalith.operators.columns import active_rows, fill_year_hint, with_missing_columns
 from catalith.operators.crosswalk import infer_store_ids
 from catalith.operators.diagnostics import review_tags
 from catalith.operators.keys import ensure_row_ids, lookup, occurrence_number, require_unique
+from catalith.session import materialize
 
 CARRIED = ("RowId", "Disabled", "YearHint", *PIN_COLUMNS)
 LABELS = {"rawg": "RAWG", "igdb": "IGDB", "steam": "Steam", "hltb": "HLTB", "wikidata": "Wikidata"}
@@ -70,17 +71,19 @@ def match_pins(
 ) -> DataFrame:
     """Pin the selected ids and write the matching diagnostics of active rows.
 
-    ``selected``: ``row_id, id``; ``facts``: ``id, m_name, m_year`` (+ columns used by ``extra``). Sentinel rows get blank
-    diagnostics, pinned rows are looked up, the rest take the search result.
+    ``selected``: ``row_id, id`` (+ ``rejected_reason`` where a rule refuses hits); ``facts``: ``id, m_name, m_year`` (+ columns used by ``extra``).
+    Sentinel rows get blank diagnostics, pinned rows are looked up, the rest take the search result.
     """
     pin, label = PIN[provider], LABELS[provider]
     name_col = "Wikidata_MatchedLabel" if provider == "wikidata" else f"{label}_MatchedName"
-    side = selected.select(F.col("row_id").alias("__sk"), F.col("id").cast("string").alias("__sid"))
+    refuses = "rejected_reason" in selected.columns
+    why = F.col("rejected_reason") if refuses else F.lit(None).cast("string")
+    side = selected.select(F.col("row_id").alias("__sk"), F.col("id").cast("string").alias("__sid"), why.alias("__why"))
     joined = catalog.join(side, F.col("RowId") == F.col("__sk"), "left").drop("__sk")
     usable = ~is_blank(F.col("Name")) & (~is_yes(F.col("Disabled")) if "Disabled" in catalog.columns else F.lit(True))
     own = text(F.col(pin))
     joined = joined.withColumn(pin, F.when((own == "") & usable, F.coalesce(F.col("__sid"), F.lit(""))).otherwise(own)).drop("__sid")
-    joined = joined.withColumn("__ask", F.when(usable & (F.col(pin) != NOT_FOUND), F.col(pin)))
+    joined = joined.withColumn("__ask", F.when(usable & (F.col(pin) != NOT_FOUND) & (F.col(pin) != ""), F.col(pin)))
     known = lookup(joined, facts, "__ask", "id", "RowId")
     scored = with_fuzzy_scores(known, {"__score": ("Name", "m_name")})
     found = F.col("m_name").isNotNull()
@@ -95,8 +98,11 @@ def match_pins(
     for c, value in new.items():
         kept = text(F.col(c)) if c in catalog.columns else F.lit("")
         writes[c] = F.when(gone, "").when(found, value).otherwise(kept)
+    if refuses:
+        reason = f"{label}_RejectedReason"
+        writes[reason] = F.coalesce("__why", F.when(F.col(pin) == "", text(F.col(reason)) if reason in catalog.columns else F.lit("")).otherwise(""))
     facts_only = [c for c in facts.columns if c != "id"]
-    return scored.withColumns(writes).drop("__ask", "__score", *facts_only)
+    return scored.withColumns(writes).drop("__ask", "__score", "__why", *facts_only)
 
 
 def drop_invalid_store_pins(catalog: DataFrame, details: DataFrame) -> DataFrame:
@@ -127,10 +133,6 @@ def infer_store_pins(catalog: DataFrame, cross_ids: DataFrame, details: DataFram
     return joined.withColumn("Steam_AppID", F.when(own == "", F.coalesce("__id", F.lit(""))).otherwise(own)).drop("__rk", "__id")
 
 
-def store_year(date_text: Column) -> Column:
-    return year_hint(date_text)
-
-
 def import_catalog(
     df: DataFrame,
     order: str,
@@ -142,12 +144,14 @@ def import_catalog(
     payload_facts=None,
     sources: set[str] | None = None,
 ) -> DataFrame:
-    """Import in two stages: RAWG and IGDB first, then store, playtimes and entities, then tags.
+    """Import in stages: RAWG and IGDB, then the store, playtimes and entities, then tags.
 
-    ``selectors`` maps provider to ``queries -> (row_id, id, ..)``; ``facts`` maps provider to ``id, m_name, m_year``;
-    ``cross_ids`` and ``payload_facts`` are ``catalog -> DataFrame`` functions keyed by ``RowId``.
+    Before the store's stage, pins that name no game are dropped, and ids implied by the payloads of the first stages are put in; what is blank then is
+    searched for, dropped pins included. ``selectors`` maps provider to ``queries -> (row_id, id, ..)`` (see ``operators.search.indexed_search``);
+    ``facts`` maps provider to ``id, m_name, m_year``; ``cross_ids`` and ``payload_facts`` are ``catalog -> DataFrame`` functions keyed by ``RowId``. Each
+    stage is written once, as the next one asks about it in several steps.
     """
-    out = fill_year_hint(normalize_catalog(df, order, previous))
+    out = materialize(fill_year_hint(normalize_catalog(df, order, previous)), "normalized")
     for provider in ("rawg", "igdb", "steam", "hltb", "wikidata"):
         if provider not in selectors:
             continue
@@ -155,9 +159,9 @@ def import_catalog(
             if store_details is not None:
                 out = drop_invalid_store_pins(out, store_details)
             if cross_ids is not None and store_details is not None:
-                out = infer_store_pins(out, cross_ids(out), store_details)
+                out = materialize(infer_store_pins(out, cross_ids(out), store_details), "inferred")
         queries = match_queries(out, PIN[provider], provider == "steam")
-        out = match_pins(out, provider, selectors[provider](queries), facts[provider])
+        out = materialize(match_pins(out, provider, selectors[provider](queries), facts[provider]), provider)
     if payload_facts is not None:
         extra = payload_facts(out).withColumnRenamed("RowId", "__fk")
         names = [c for c in extra.columns if c != "__fk"]

@@ -22,17 +22,16 @@ from catalith.operators.resolve import (
 )
 
 
-def resolve_pins(
+def planned_repairs(
     catalog: DataFrame,
     searchers: dict[str, Callable[[DataFrame], DataFrame]],
     titles: list[Column] | None = None,
     claims: DataFrame | None = None,
     entities: DataFrame | None = None,
     retry_missing: bool = False,
-    apply: bool = False,
     sources: set[str] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Repaired catalog (unchanged but for fresh tags unless ``apply``) and one row of statistics.
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(tagged catalog, one action per pin to try again, entity hints).
 
     ``searchers`` maps provider to ``queries(row_id, name, year_hint) -> (row_id, id, new_name, new_year)``; ``titles``
     are list columns of known titles of a row besides the majority's, in order of trust.
@@ -45,7 +44,7 @@ def resolve_pins(
     listed = [F.array(F.col("majority_title")), *(titles or [])]
     target = F.coalesce(F.nullif(F.col("majority_title"), F.lit("")), F.col("Name"))
     queries = retry_query(rows, listed, target).join(rows.select("RowId", search_year(catalog.columns).alias("year_hint")), "RowId")
-    queries = queries.select(F.col("RowId").alias("row_id"), F.col("retry_query").alias("name"), "year_hint")
+    queries = materialize(queries.select(F.col("RowId").alias("row_id"), F.col("retry_query").alias("name"), "year_hint"), "retries")
     found: DataFrame | None = None
     for provider, search in searchers.items():
         asked = targets.where(F.col("provider") == provider).select(F.col("RowId").alias("row_id")).distinct()
@@ -54,13 +53,21 @@ def resolve_pins(
             F.col("row_id").alias("RowId"), F.lit(provider).alias("provider"), F.col("id").cast("string").alias("new_id"), "new_name", "new_year"
         )
         found = named if found is None else found.unionByName(named)
-    actions = plan_actions(targets, found)
+    actions = materialize(plan_actions(targets, found), "actions")
     hints = None
     if claims is not None and entities is not None:
         lacking = rows.where(is_blank(F.col("Wikidata_QID"))).select(
             F.col("RowId").alias("row_id"), F.col("Steam_AppID").alias("store_id"), F.col("IGDB_ID").alias("game_db_id")
         )
         hints = resolve_by_ids(lacking, claims, entities).select(F.col("row_id").alias("RowId"), "qid")
+    return tagged, actions, hints
+
+
+def resolve_pins(
+    catalog: DataFrame, searchers: dict[str, Callable[[DataFrame], DataFrame]], apply: bool = False, sources: set[str] | None = None, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Repaired catalog (unchanged but for fresh tags unless ``apply``) and one row of statistics; ``options`` as for :func:`planned_repairs`."""
+    tagged, actions, hints = planned_repairs(catalog, searchers, sources=sources, **options)
     stats = resolve_stats(actions, hints)
     if not apply:
         return tagged, stats

@@ -268,18 +268,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_catalog(
-    spark: SparkSession, csv_path: str, registry: Registry, columns: dict[str, list[str]] | None = None, use_lines: bool = True
+    spark: SparkSession, csv_path: str, registry: Registry, columns: dict[str, list[str]] | None = None, use_lines: bool = True, multiline: bool = False
 ) -> DataFrame:
     """Catalog of ``x.csv``: the envelope lines ``jsonl/x.jsonl`` beside it when there are any, read strictly and validated; else the CSV.
 
-    ``columns`` names the user columns, as for :func:`catalog_view`. Paths may be of any file system that Spark reads.
+    ``columns`` names the user columns, as for :func:`catalog_view`. A blank cell is an empty text from either source. ``multiline`` is for CSV files whose
+    cells hold line breaks, which the library's own never do; such a file is read by one task. Paths may be of any file system that Spark reads.
     """
     folder, _, name = csv_path.rpartition("/")
     lines = f"{folder}/jsonl/{name.removesuffix('.csv')}.jsonl"
     if use_lines and _exists(spark, lines):
         rows = require_valid(read_envelope_strict(spark, lines), registry, name)
-        return catalog_view(rows, True, columns)
-    return read_csv(spark, csv_path, multiline=True)
+        view = catalog_view(rows, True, columns)
+        return view.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in view.columns])
+    return read_csv(spark, csv_path, multiline=multiline)
 
 
 def registered_view(envelope: DataFrame, registry: Registry, keys: list[str] | None = None) -> DataFrame:

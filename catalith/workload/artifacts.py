@@ -48,7 +48,7 @@ def lenient_lines(spark, sf):
 @query("json_array", f"SELECT p_size AS size, count(*) AS n, sum(CASE WHEN p_partkey = m THEN 0 ELSE 1 END)::BIGINT AS commas FROM part, (SELECT min(p_partkey) AS m FROM part) GROUP BY p_size")
 def json_array(spark, sf):
     """One JSON document of values that repeat: its rows read back, all but the first behind a comma."""
-    view = table(spark, sf, "part").coalesce(1).orderBy("p_partkey").select(F.to_json(F.struct("p_size")).alias("value"))
+    view = table(spark, sf, "part").orderBy("p_partkey").select(F.to_json(F.struct("p_size")).alias("value"))
     rows = ev.json_document(view).where("value not in ('[', ']')")
     size = F.get_json_object(F.regexp_replace("value", "^,", ""), "$.p_size").cast("int").alias("size")
     return rows.select(size, F.col("value").startswith(",").cast("long").alias("comma")).groupBy("size").agg(F.count("*").alias("n"), F.sum("comma").alias("commas"))

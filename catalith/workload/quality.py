@@ -8,11 +8,13 @@ from catalith.constants import ReviewConfig
 from catalith.functions.text import genre_set, platform_import_set
 from catalith.operators.diagnostics import review_tags
 from catalith.operators.matching import pick_best
-from catalith.operators.resolve import auto_unpin, plan_actions, resolve_stats, retry_query, retry_targets, with_majority
+from catalith.operators.resolve import auto_unpin, plan_actions, retry_query, with_majority
 from catalith.operators.review import review_queue
 from catalith.operators.validation import validation_report
+from catalith.plans.repair import planned_repairs, resolve_pins
 from catalith.session import materialize
 from catalith.sources.registry import default_registry
+from catalith.workload import imports
 from catalith.workload import sql as s
 from catalith.workload.frames import SOURCES, duck, spark_frame, table
 from catalith.workload.registry import query
@@ -189,38 +191,111 @@ _MAJ_NODES = "(SELECT RowId, p, t FROM (SELECT RowId, p, v AS t FROM (SELECT Row
 _NAME_PAIRS = f"SELECT {s.norm('src.Name')} AS a, {s.norm('n.t')} AS b FROM src JOIN {_MAJ_NODES} n ON n.RowId = src.RowId"
 
 
+_YEAR_OF = {"rawg": "RAWG_Year", "igdb": "IGDB_Year", "hltb": "HLTB_ReleaseYear"}
+_VOTES = " UNION ALL ".join(f"SELECT src.RowId, {y} AS v FROM src JOIN cbest c ON c.RowId = src.RowId WHERE has AND list_contains(members, '{p}') AND {y} IS NOT NULL" for p, y in _YEAR_OF.items())
+
 @query(
     "majority_titles",
     f"""WITH RECURSIVE src AS {duck(_MATCHED)}, {provider_ctes(2)},
     f2 AS (SELECT * FROM (WITH {s.fuzzy_cte(_NAME_PAIRS)} SELECT a, b, score FROM fuzzy)),
     m AS (SELECT c.RowId, n.t, n.p, score FROM cbest c JOIN {_MAJ_NODES} n ON n.RowId = c.RowId AND list_contains(members, n.p) JOIN src ON src.RowId = c.RowId
         JOIN f2 ON f2.a = {s.norm('src.Name')} AND f2.b = {s.norm('n.t')} WHERE has),
-    t AS (SELECT RowId, arg_max(t, (score, CASE p WHEN 'hltb' THEN 4 WHEN 'igdb' THEN 3 WHEN 'rawg' THEN 2 ELSE 1 END)) AS majority_title FROM m GROUP BY RowId)
-    SELECT src.RowId, coalesce(majority_title, '') AS majority_title FROM src LEFT JOIN t ON t.RowId = src.RowId""",
+    t AS (SELECT RowId, arg_max(t, (score, CASE p WHEN 'hltb' THEN 4 WHEN 'igdb' THEN 3 WHEN 'rawg' THEN 2 ELSE 1 END)) AS majority_title FROM m GROUP BY RowId),
+    v AS ({_VOTES}), y AS (SELECT RowId, CASE WHEN max(n) >= 2 THEN max(v) FILTER (c * 2 > n) END AS majority_year FROM
+        (SELECT RowId, v, count(*) AS c, sum(count(*)) OVER (PARTITION BY RowId) AS n FROM v GROUP BY RowId, v) GROUP BY RowId)
+    SELECT src.RowId, coalesce(majority_title, '') AS majority_title, CAST(majority_year AS INT) AS majority_year FROM src LEFT JOIN t ON t.RowId = src.RowId LEFT JOIN y ON y.RowId = src.RowId""",
 )
 def majority_titles(spark, sf):
     df = _diagnosed(spark, sf).withColumns({f"{p}_MatchedYear": F.col(c) for p, c in (("RAWG", "RAWG_Year"), ("IGDB", "IGDB_Year"), ("Steam", "Steam_ReleaseYear"), ("HLTB", "HLTB_ReleaseYear"))})
-    return with_majority(df).select("RowId", F.coalesce("majority_title", F.lit("")).alias("majority_title"))
+    return with_majority(df).select("RowId", F.coalesce("majority_title", F.lit("")).alias("majority_title"), "majority_year")
+
+
+_MAJORITY = f"""maj AS (WITH RECURSIVE src AS {duck(_MATCHED)}, {provider_ctes(2)},
+    f2 AS (SELECT * FROM (WITH {s.fuzzy_cte(_NAME_PAIRS)} SELECT a, b, score FROM fuzzy)),
+    m AS (SELECT c.RowId, n.t, n.p, score FROM cbest c JOIN {_MAJ_NODES} n ON n.RowId = c.RowId AND list_contains(members, n.p) JOIN src ON src.RowId = c.RowId
+        JOIN f2 ON f2.a = {s.norm('src.Name')} AND f2.b = {s.norm('n.t')} WHERE has),
+    t AS (SELECT RowId, arg_max(t, (score, CASE p WHEN 'hltb' THEN 4 WHEN 'igdb' THEN 3 WHEN 'rawg' THEN 2 ELSE 1 END)) AS majority_title FROM m GROUP BY RowId),
+    v AS ({_VOTES}), y AS (SELECT RowId, CASE WHEN max(n) >= 2 THEN max(v) FILTER (c * 2 > n) END AS majority_year FROM
+        (SELECT RowId, v, count(*) AS c, sum(count(*)) OVER (PARTITION BY RowId) AS n FROM v GROUP BY RowId, v) GROUP BY RowId)
+    SELECT t.RowId, majority_title, majority_year FROM t LEFT JOIN y USING (RowId))"""
+_PIN_NAMES = {"steam": "Steam_AppID", "rawg": "RAWG_ID", "igdb": "IGDB_ID"}
+_TARGET_ROWS = " UNION ALL ".join(
+    f"""SELECT RowId, Name, '{p}' AS provider, majority_title, majority_year, CASE WHEN {_wrong(p, pin)} THEN 'fix_wrong_pin'
+        WHEN {pin} = '' AND list_contains(tags, 'autounpinned:{p}') THEN 'fill_after_unpin' WHEN {pin} = '' THEN 'fill_missing' END AS reason
+        FROM tagged JOIN maj USING (RowId) WHERE Disabled <> 'YES'""" for p, pin in _PIN_NAMES.items()
+)
+_RETRIES = f"""rq AS (SELECT RowId, majority_title AS target, unnest([majority_title, Steam_Name, RAWG_Name, IGDB_Name]) AS title, unnest([0, 1, 2, 3]) AS pos FROM tagged JOIN maj USING (RowId)),
+    rn_ AS (SELECT *, {s.norm('target')} AS a, {s.norm('title')} AS b FROM rq WHERE trim(title) <> ''),
+    rf AS (WITH {s.fuzzy_cte('SELECT a, b FROM rn_')} SELECT * FROM fuzzy),
+    retry AS (SELECT RowId, arg_max(title, (score, -length(title), -pos)) AS name FROM rn_ JOIN rf USING (a, b) GROUP BY RowId),
+    ask AS (SELECT retry.RowId, retry.name, coalesce(majority_year, TRY_CAST(nullif(regexp_extract(src.Name, '\\((19\\d\\d|20\\d\\d)\\)', 1), '') AS INT)) AS year_hint
+        FROM retry JOIN maj USING (RowId) JOIN src USING (RowId)),
+    {', '.join(f"ask_{p} AS (SELECT DISTINCT name || '|' || coalesce(CAST(year_hint AS VARCHAR), '') AS row_id, name, year_hint FROM ask JOIN (SELECT RowId FROM target WHERE provider = '{p}') USING (RowId))" for p in _PIN_NAMES)}"""
+_OFFERED = " UNION ALL ".join(
+    f"""SELECT RowId, '{p}' AS provider, f.id, m_name, m_year FROM ask JOIN sel_{p} s ON s.row_id = name || '|' || coalesce(CAST(year_hint AS VARCHAR), '')
+        JOIN {duck(imports.FACTS[p])} f ON f.id = s.id""" for p in _PIN_NAMES
+)
+_NEAR_PAIRS = f"SELECT {s.norm('majority_title')} AS a, {s.norm('m_name')} AS b FROM offered UNION SELECT {s.norm('Name')}, {s.norm('m_name')} FROM offered"
+_ACTIONS = f"""{_TAGGED_CTES}, {_MAJORITY}, target AS (SELECT * FROM ({_TARGET_ROWS}) WHERE reason IS NOT NULL), {_RETRIES},
+    {imports.rawg_sql()}, {imports.igdb_sql()}, {imports.steam_sql()},
+    offered AS (SELECT t.*, o.id, m_name, m_year FROM target t JOIN ({_OFFERED}) o USING (RowId, provider)), nf AS (WITH {s.fuzzy_cte(_NEAR_PAIRS)} SELECT * FROM fuzzy),
+    judged AS (SELECT o.RowId, o.provider, o.id, m_name, m_year, g.score >= 90 OR coalesce(abs(m_year - majority_year) <= 1, true) AS repin, w.score AS own
+        FROM offered o JOIN nf g ON g.a = {s.norm('majority_title')} AND g.b = {s.norm('m_name')} JOIN nf w ON w.a = {s.norm('o.Name')} AND w.b = {s.norm('m_name')}),
+    acts AS (SELECT t.RowId, t.provider, reason, CASE WHEN coalesce(repin, false) THEN 'repin' WHEN reason = 'fix_wrong_pin' THEN 'unpin' ELSE 'keep' END AS action,
+        CASE WHEN repin THEN id END AS new_id, CASE WHEN repin THEN m_name END AS new_name, CASE WHEN repin THEN CAST(m_year AS VARCHAR) END AS new_year, CASE WHEN repin THEN own END AS new_score
+        FROM target t LEFT JOIN judged j ON j.RowId = t.RowId AND j.provider = t.provider)"""
+
+
+def _repairs(spark, sf) -> dict:
+    """Arguments of a resolve run over all titles: re-matches are searched in the three stores of an import by the index of title words."""
+    years = {"RAWG_MatchedYear": "RAWG_Year", "IGDB_MatchedYear": "IGDB_Year", "Steam_MatchedYear": "Steam_ReleaseYear", "HLTB_MatchedYear": "HLTB_ReleaseYear"}
+    catalog = _diagnosed(spark, sf).withColumns({c: F.col(y) for c, y in years.items()})
 
+    def named(provider, search):
+        facts = spark_frame(spark, sf, imports.FACTS[provider]).select(F.col("id").alias("_id"), F.col("m_name").alias("new_name"), F.col("m_year").alias("new_year"))
+        return lambda queries: search(queries).join(facts, F.col("id").cast("string") == F.col("_id"))
 
-def _resolution(spark, sf):
-    work = _tagged(spark, sf, majority=True)
-    targets = retry_targets(work, retry_missing=True)
-    rows = work.where(F.col("majority_title").isNotNull())
-    queries = retry_query(rows, [F.array("majority_title"), F.array("Steam_Name", "RAWG_Name"), F.array("IGDB_Name")], F.col("majority_title"))
-    found = queries.select("RowId", F.explode(F.array(F.lit("igdb"), F.lit("steam"))).alias("provider"), F.sha2("retry_query", 256).alias("new_id"), F.col("retry_query").alias("new_name"), F.lit(None).cast("int").alias("new_year"))
-    return plan_actions(targets, found)
+    searches = {p: named(p, search) for p, search in imports.searchers(spark, sf, tuple(_PIN_NAMES)).items()}
+    return {"catalog": catalog, "searchers": searches, "titles": [F.array("Steam_Name", "RAWG_Name"), F.array("IGDB_Name")], "retry_missing": True}
 
 
-@query("resolve_actions")
+@query(
+    "resolve_actions",
+    f"WITH RECURSIVE {_ACTIONS} SELECT RowId, provider, reason, action, coalesce(new_id, '') AS new_id, coalesce(new_name, '') AS new_name, coalesce(new_year, '') AS new_year, new_score FROM acts",
+)
 def resolve_actions(spark, sf):
-    """Planned repins and unpins; the search is stood in for by the retry query itself. Checked on fixtures in the tests."""
-    return _resolution(spark, sf).select("RowId", "provider", "reason", "action", F.coalesce("new_name", F.lit("")).alias("new_name"))
+    """Every pin that is contradicted, was taken off or is missing: what its search among all records of its store leads to."""
+    _, actions, _ = planned_repairs(**_repairs(spark, sf))
+    texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("new_id", "new_name", "new_year")]
+    return actions.select("RowId", "provider", "reason", "action", *texts, "new_score")
 
 
-@query("resolve_stats")
+@query(
+    "resolve_stats",
+    f"""WITH RECURSIVE {_ACTIONS} SELECT count(*) AS attempted, count(*) FILTER (action = 'repin') AS repinned, count(*) FILTER (action = 'unpin') AS unpinned,
+    count(*) FILTER (action = 'keep') AS kept, 0::BIGINT AS wikidata_hint_added FROM acts""",
+)
 def stats_of_resolution(spark, sf):
-    return resolve_stats(_resolution(spark, sf))
+    """Counts of a run that changes nothing."""
+    return resolve_pins(**_repairs(spark, sf))[1]
+
+
+def _applied(p: str, pin: str) -> str:
+    label = {"steam": "Steam", "rawg": "RAWG", "igdb": "IGDB"}[p]
+    return f"""coalesce(CASE {p}.action WHEN 'repin' THEN {p}.new_id WHEN 'unpin' THEN '' ELSE {pin} END, {pin}) AS {pin},
+        coalesce(CASE {p}.action WHEN 'repin' THEN {p}.new_name WHEN 'unpin' THEN '' ELSE {label}_Name END, {label}_Name) AS {label}_MatchedName"""
+
+
+@query(
+    "resolved_catalog",
+    f"""WITH RECURSIVE {_ACTIONS} SELECT src.RowId, {', '.join(_applied(p, pin) for p, pin in _PIN_NAMES.items())}
+    FROM src {' '.join(f"LEFT JOIN acts {p} ON {p}.RowId = src.RowId AND {p}.provider = '{p}'" for p in _PIN_NAMES)}""",
+)
+def resolved_catalog(spark, sf):
+    """The catalog after a run that writes its repairs: pins and matched names of every row."""
+    out = resolve_pins(**_repairs(spark, sf), apply=True)[0]
+    columns = [c for p, pin in _PIN_NAMES.items() for c in (pin, f"{imports.LABELS[p]}_MatchedName")]
+    return out.select("RowId", *[F.coalesce(c, F.lit("")).alias(c) for c in columns])
 
 
 _RETRY = f"""o AS (SELECT RowId, Name AS target, unnest([RAWG_Name, IGDB_Name, Steam_Name, HLTB_Name]) AS title, unnest([0, 1, 2, 3]) AS pos FROM src),
