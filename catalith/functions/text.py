@@ -353,7 +353,10 @@ def platform_report_bucket(c: Column) -> Column:
 
 def platform_import_bucket(c: Column) -> Column:
     """Platform family for import tags; unknown names give NULL."""
-    n = normalize_title(c)
+    return _import_bucket(normalize_title(c))
+
+
+def _import_bucket(n: Column) -> Column:
     return (
         F.when(contains_any(n, ("pc", "windows", "mac", "osx", "linux")), "pc")
         .when(F.contains(n, F.lit("playstation")) | n.startswith("ps"), "playstation")
@@ -368,7 +371,7 @@ def platform_report_set(c: Column) -> Column:
 
 
 def platform_import_set(c: Column) -> Column:
-    return F.sort_array(F.array_distinct(F.array_compact(F.transform(clean_list(c), platform_import_bucket))))
+    return F.sort_array(F.array_distinct(F.array_compact(F.transform(F.transform(clean_list(c), normalize_title), _import_bucket))))
 
 
 def pc_like(platform: Column) -> Column:

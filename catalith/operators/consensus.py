@@ -28,30 +28,37 @@ def _joined_names(names: list[str], mask: Column) -> Column:
 
 
 def _largest_component(present: list[Column], edge: dict[tuple[int, int], Column]) -> Column:
-    """Bit mask of the largest connected component; among equals the one holding the first source."""
-    n = len(present)
-    masks = []
-    for i in range(n):
-        mask = F.when(present[i], F.lit(1 << i)).otherwise(F.lit(0))
-        for j in range(n):
-            if i != j:
-                mask = mask.bitwiseOR(F.when(edge[min(i, j), max(i, j)], F.lit(1 << j)).otherwise(F.lit(0)))
-        masks.append(mask)
-
-    def widen(acc: Column, _: Column) -> Column:
-        def reach(m: Column) -> Column:
-            out = m
-            for i in range(n):
-                out = out.bitwiseOR(F.when(_bit(m, i), F.get(acc, F.lit(i))).otherwise(F.lit(0)))
-            return out
-
-        return F.transform(acc, reach)
+    """Bit mask of the largest connected component; among equals the one holding the first source.
 
+    Presence and edges are bound once as an array, so that their expressions are not copied into every mask.
+    """
+    n, at = len(present), {pair: len(present) + k for k, pair in enumerate(edge)}
     # Each squaring doubles the length of the paths covered; the longest has one edge less than there are sources.
     rounds = max(1, (n - 2).bit_length())
-    closed = F.aggregate(F.array(*[F.lit(k) for k in range(rounds)]), F.array(*masks), widen)
-    ranked = F.transform(closed, lambda m, i: F.struct(F.bit_count(m).alias("size"), (-i).alias("first"), m.alias("mask")))
-    return F.array_max(ranked)["mask"]
+
+    def largest(flags: Column) -> Column:
+        masks = []
+        for i in range(n):
+            mask = F.when(F.get(flags, F.lit(i)), F.lit(1 << i)).otherwise(F.lit(0))
+            for j in range(n):
+                if i != j:
+                    mask = mask.bitwiseOR(F.when(F.get(flags, F.lit(at[min(i, j), max(i, j)])), F.lit(1 << j)).otherwise(F.lit(0)))
+            masks.append(mask)
+
+        def widen(acc: Column, _: Column) -> Column:
+            def reach(m: Column) -> Column:
+                out = m
+                for i in range(n):
+                    out = out.bitwiseOR(F.when(_bit(m, i), F.get(acc, F.lit(i))).otherwise(F.lit(0)))
+                return out
+
+            return F.transform(acc, reach)
+
+        closed = F.aggregate(F.array(*[F.lit(k) for k in range(rounds)]), F.array(*masks), widen)
+        ranked = F.transform(closed, lambda m, i: F.struct(F.bit_count(m).alias("size"), (-i).alias("first"), m.alias("mask")))
+        return F.array_max(ranked)["mask"]
+
+    return bind(F.array(*present, *edge.values()), largest)
 
 
 def provider_consensus(
@@ -82,22 +89,26 @@ def provider_consensus(
         if a in years and b in years and a not in yearless and b not in yearless:
             close = F.coalesce(F.abs(F.col(years[a]) - F.col(years[b])) <= year_tolerance, F.lit(True))
         edge[i, j] = present[i] & present[j] & (F.coalesce(F.col(f"__s_{i}_{j}"), F.lit(0)) >= threshold) & close
-    work = work.withColumn("__best", _largest_component(present, edge))
     have = compact(*[F.when(present[i], F.lit(p)) for i, p in enumerate(names)])
-    best = _joined_names(names, F.col("__best"))
-    n = F.size(have)
-    # One source alone forms no group, so it never has a majority.
-    has = (n >= 2) & (F.size(best) * 2 > n)
-    value = F.when(
-        n >= min_providers,
-        F.struct(
-            have.alias("present"),
-            F.when(has, best).otherwise(strings(())).alias("majority"),
-            F.when(has, F.array_except(have, best)).otherwise(strings(())).alias("outliers"),
-            has.alias("has_majority"),
-        ),
-    )
-    return work.withColumn(out, value).drop("__best", *norm.values(), *scores)
+
+    def verdict(sets: Column) -> Column:
+        here, best = sets["here"], sets["best"]
+        n = F.size(here)
+        # One source alone forms no group, so it never has a majority.
+        has = (n >= 2) & (F.size(best) * 2 > n)
+        return F.when(
+            n >= min_providers,
+            F.struct(
+                here.alias("present"),
+                F.when(has, best).otherwise(strings(())).alias("majority"),
+                F.when(has, F.array_except(here, best)).otherwise(strings(())).alias("outliers"),
+                has.alias("has_majority"),
+            ),
+        )
+
+    members = bind(_largest_component(present, edge), lambda mask: _joined_names(names, mask))
+    value = bind(F.struct(have.alias("here"), members.alias("best")), verdict)
+    return work.withColumn(out, value).drop(*norm.values(), *scores)
 
 
 def consensus_tags(c: Column) -> Column:
