@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalith.llm.common import discard, release, stored, values, widened
+from catalith.llm.common import discard, release, small_batches, stored, values, widened
 
 #: Fixed values of the rolling hash over two neighbouring line hashes.
 MULTIPLIER, MODULUS = 31, 4294967291
@@ -45,7 +45,7 @@ def chunk_keys(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     schema = widened(docs.select(key).schema, "text_digest binary, chunk bigint, chunk_digest binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text):
             at, whole, number, digests = [], [], [], []
             for i, body in enumerate(values(batch, text)):
                 if body is None or "\n" not in body:
@@ -89,8 +89,9 @@ def deduped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     chunk without a word. Rows equal in key and text are one document and share its result. Columns of the counts' names are replaced.
 
     Chunks are found by digest, and removed only when the bytes of the first chunk of that digest are the same: documents with repeated chunks send those
-    chunks' texts, and no others, to the comparison. Whole texts meet their lists of chunks twice, for the comparison and for the result; no copy
-    of the texts is written.
+    chunks' texts, and no others, to the comparison, which is a minimum and a maximum per digest, aggregated before they are shuffled. Only where those differ
+    are chunks compared with the first one by one. Whole texts meet their lists of chunks twice, by a merge join at every size: those with line feeds for the
+    comparison, and all for the result. A very long text is held whole, as lines, by the task that has its row.
     """
     fresh = ("n_lines", "n_chunks", "removed_chunks", "removed_lines")
     docs = docs.drop(*(c for c in fresh if c not in (key, text)))
@@ -99,19 +100,25 @@ def deduped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.sort_array(F.collect_list(F.struct("chunk", "first"))).alias("__found")
     ), "chunk-lists")
     discard(*used)
-    digest = F.unhex(F.md5(F.col(text).cast("binary")))
-    joined = docs.withColumn("__own", digest).join(
-        lists, (F.col("__own") == F.col("__digest")) & F.col(key).eqNullSafe(F.col("__key")), "left"
-    ).drop("__key", "__digest")
-
-    texts = stored(_found_texts(joined.where("__found is not null"), key, text), "chunk-texts")
-    first = texts.where("first").select(F.col("chunk_digest").alias("_c"), F.col("bytes").alias("_b")).dropDuplicates(["_c"])
-    differ = texts.where("not first").join(first, (F.col("chunk_digest") == F.col("_c")) & (F.col("bytes") != F.col("_b")))
-    differ = stored(differ.groupBy(F.col("own").alias("__whose"), F.col("key").alias("__key")).agg(F.collect_set("chunk").alias("__other")), "unequal-chunks")
-    discard(texts)
+    marked = _with_lists(docs.where(F.contains(text, F.lit("\n"))), lists, key, text, "inner")
+    texts = stored(_found_texts(marked, key, text), "chunk-texts")
+    sides = texts.groupBy("chunk_digest").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high"))
+    unequal = texts.join(sides.where("low <> high").select("chunk_digest"), "chunk_digest", "left_semi")
+    first = unequal.where("first").select(F.col("chunk_digest").alias("_c"), F.col("bytes").alias("_b")).dropDuplicates(["_c"])
+    differ = unequal.where("not first").join(first, (F.col("chunk_digest") == F.col("_c")) & (F.col("bytes") != F.col("_b")))
+    differ = differ.groupBy(F.col("own").alias("__whose"), F.col("key").alias("__of")).agg(F.collect_set("chunk").alias("__other"))
+    kept = F.when(F.col("__other").isNull(), F.col("__found")).otherwise(F.filter("__found", lambda f: ~F.array_contains("__other", f["chunk"])))
+    checked = lists.join(differ, (F.col("__digest") == F.col("__whose")) & F.col("__key").eqNullSafe(F.col("__of")), "left")
+    checked = stored(checked.select("__key", "__digest", kept.alias("__found")), "checked-lists")
+    discard(texts, lists)
     release()
-    whole = joined.join(differ, (F.col("__own") == F.col("__whose")) & F.col(key).eqNullSafe(F.col("__key")), "left").drop("__whose", "__key")
-    return _without(whole, docs.columns, text, fresh)
+    return _without(_with_lists(docs, checked, key, text, "left"), docs.columns, text, fresh)
+
+
+def _with_lists(docs: DataFrame, lists: DataFrame, key: str, text: str, how: str) -> DataFrame:
+    own = docs.withColumn("__own", F.unhex(F.md5(F.col(text).cast("binary"))))
+    same = (F.col("__own") == F.col("__digest")) & F.col(key).eqNullSafe(F.col("__key"))
+    return own.join(lists.hint("merge"), same, how).drop("__key", "__digest")
 
 
 def _found_texts(marked: DataFrame, key: str, text: str) -> DataFrame:
@@ -119,7 +126,7 @@ def _found_texts(marked: DataFrame, key: str, text: str) -> DataFrame:
     schema = widened(own, "chunk bigint, first boolean, chunk_digest binary, bytes binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text):
             at, rows = [], []
             for i, (body, found) in enumerate(zip(values(batch, text), values(batch, "__found"), strict=True)):
                 chunks = line_chunks(body)
@@ -139,11 +146,11 @@ def _without(whole: DataFrame, columns: list[str], text: str, fresh: tuple[str,
     schema = widened(whole.select(*columns).schema, ", ".join(f"{name} bigint" for name in fresh))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text):
             bodies, counts = [], []
-            for body, found, other in zip(values(batch, text), values(batch, "__found"), values(batch, "__other"), strict=True):
+            for body, found in zip(values(batch, text), values(batch, "__found"), strict=True):
                 chunks = [] if body is None else line_chunks(body)
-                gone = {f["chunk"] for f in found or () if not f["first"]} - set(other or ())
+                gone = {f["chunk"] for f in found or () if not f["first"]}
                 if gone:
                     body = b"\n".join([x for k, lines in enumerate(chunks) if k not in gone for x in lines]).decode()
                 bodies.append(body)
@@ -152,4 +159,4 @@ def _without(whole: DataFrame, columns: list[str], text: str, fresh: tuple[str,
             arrays += [pa.array([c[j] for c in counts], pa.int64()) for j in range(len(fresh))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, *fresh])
 
-    return whole.select(*columns, "__found", "__other").mapInArrow(run, schema)
+    return whole.select(*columns, "__found").mapInArrow(run, schema)
