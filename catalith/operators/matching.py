@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catalith.functions.fuzzy import with_scores
 from catalith.functions.text import (
@@ -40,28 +41,54 @@ def year_adjustment(delta: Column) -> Column:
     )
 
 
+def score_bounds(q: Column, c: Column, qt: Column, ct: Column) -> tuple[Column, Column]:
+    """(least, greatest) raw score that two normalised titles with these words can have, without their longest common subsequence.
+
+    Words in common stand in both sorted titles in one order, so their letters and the spaces between them are a common subsequence. No subsequence is longer
+    than what is left of a title without the characters that the other lacks. Where one title's words are all the other's, the partial match may give 100.
+    """
+    total = (F.length(q) + F.length(c)).cast("double")
+
+    def ratio(lcs: Column) -> Column:
+        return F.floor((F.lit(1.0) - (total - lcs * 2) / total) * 100.0).cast("int")
+
+    def within(a: Column, b: Column) -> Column:
+        return F.length(a) - F.length(F.call_function("translate", a, b, F.lit("")))
+
+    common = F.array_intersect(qt, ct)
+    shared = F.aggregate(common, F.lit(-1), lambda n, w: n + 1 + F.length(w))
+    some = (q != "") & (c != "")
+    least = F.when(q == c, 100).when(some & (F.size(common) > 0), ratio(shared)).otherwise(0)
+    inside = (F.size(common) == F.size(qt)) | (F.size(common) == F.size(ct))
+    most = F.when((q == c) | (some & inside), 100).when(some, ratio(F.least(within(q, c), within(c, q)))).otherwise(0)
+    return least, most
+
+
 def score_candidates(
-    df: DataFrame, query: str, name: str, year_hint: str | None = None, candidate_year: str | None = None, prefix: str = "m_"
+    df: DataFrame,
+    query: str,
+    name: str,
+    year_hint: str | None = None,
+    candidate_year: str | None = None,
+    prefix: str = "m_",
+    keys: list[str] | None = None,
+    code: Column | None = None,
 ) -> DataFrame:
     """Add the ranking facts of each (query, candidate) row: raw and adjusted score, exactness, add-on flag, differences.
 
-    ``year_hint``/``candidate_year`` are optional INT columns; a hint without a candidate year costs 8 points.
+    ``year_hint``/``candidate_year`` are optional INT columns; a hint without a candidate year costs 8 points. With ``keys``, the groups of which only the best
+    is wanted (by ``code`` and then by adjusted score), a candidate whose greatest possible score is below the least possible of another one of its group is
+    not scored: its scores are NULL. The rows of a group then meet in one task, in a window.
     """
     q, c = f"{prefix}q", f"{prefix}c"
     out = df.withColumns({q: normalize_title(F.col(query)), c: normalize_title(F.coalesce(F.col(name), F.lit("")))})
-    out = with_scores(out, {f"{prefix}raw": (q, c)})
     out = out.withColumns(
         {f"{prefix}qt": F.array_distinct(tokens(F.col(q))), f"{prefix}ct": F.array_distinct(tokens(F.col(c)))}
     )
-    qt, ct, raw = F.col(f"{prefix}qt"), F.col(f"{prefix}ct"), F.col(f"{prefix}raw")
+    qt, ct = F.col(f"{prefix}qt"), F.col(f"{prefix}ct")
     q_has, c_has = has_series_number(F.col(q)), has_series_number(F.col(c))
     apart = q_has & c_has & ~F.arrays_overlap(match_series_numbers(F.col(q)), match_series_numbers(F.col(c)))
-    series = F.when(~q_has & c_has, 15).when(apart, 20).otherwise(0)
-    dlc = match_dlc_like(ct)
     differing = F.array_union(F.array_except(qt, ct), F.array_except(ct, qt))
-    year_diff = count_year_words(differing)
-    other_diff = F.size(differing) - year_diff
-    bonus = F.when(has_other_number(F.col(q)) & F.startswith(F.col(c), F.col(q)), 25).otherwise(0)
     if year_hint and candidate_year:
         delta = F.abs(F.col(candidate_year) - F.col(year_hint))
         year_points = (
@@ -69,17 +96,38 @@ def score_candidates(
         )
     else:
         delta, year_points = F.lit(None).cast("int"), F.lit(0)
-    exact = (raw >= 100) & (other_diff == 0) & (year_diff == 0) & (series == 0) & ~dlc
-    blended = F.greatest(raw - series - F.when(dlc, 20).otherwise(0), F.lit(0)) + bonus + year_points
-    adjusted = F.when(exact, 100).otherwise(F.greatest(F.least(blended, F.lit(100)), F.lit(0)))
+    facts = {
+        f"{prefix}series": F.when(~q_has & c_has, 15).when(apart, 20).otherwise(0),
+        f"{prefix}dlc": match_dlc_like(ct),
+        f"{prefix}year_diff": count_year_words(differing),
+        f"{prefix}differ": F.size(differing),
+        f"{prefix}bonus": F.when(has_other_number(F.col(q)) & F.startswith(F.col(c), F.col(q)), 25).otherwise(0) + year_points,
+        f"{prefix}delta": delta.cast("int"),
+    }
+    out = out.withColumns(facts)
+    series, dlc, bonus = (F.col(f"{prefix}{k}") for k in ("series", "dlc", "bonus"))
+    same_words = (F.col(f"{prefix}differ") == 0) & (series == 0) & ~dlc
+
+    def adjusted(raw: Column) -> Column:
+        blended = F.greatest(raw - series - F.when(dlc, 20).otherwise(0), F.lit(0)) + bonus
+        return F.when((raw >= 100) & same_words, 100).otherwise(F.greatest(F.least(blended, F.lit(100)), F.lit(0))).cast("int")
+
+    scored = c
+    if keys:
+        least, most = score_bounds(F.col(q), F.col(c), qt, ct)
+        first = (code if code is not None else F.lit(0)).alias("code")
+        out = out.withColumns({f"{prefix}low": F.struct(first, adjusted(least).alias("s")), f"{prefix}high": F.struct(first, adjusted(most).alias("s"))})
+        out = out.withColumn(f"{prefix}top", F.max(f"{prefix}low").over(Window.partitionBy(*keys)))
+        scored = f"{prefix}scored"
+        out = out.withColumn(scored, F.when(F.col(f"{prefix}high") >= F.col(f"{prefix}top"), F.col(c)))
+        out = out.drop(f"{prefix}low", f"{prefix}high", f"{prefix}top")
+    raw = F.col(f"{prefix}raw")
+    out = with_scores(out, {f"{prefix}raw": (q, scored)})
     return out.withColumns(
         {
-            f"{prefix}adjusted": adjusted.cast("int"),
-            f"{prefix}exact": exact,
-            f"{prefix}dlc": dlc,
-            f"{prefix}other_diff": other_diff,
-            f"{prefix}year_diff": year_diff,
-            f"{prefix}delta": delta.cast("int"),
+            f"{prefix}adjusted": F.when(raw.isNotNull(), adjusted(raw)),
+            f"{prefix}exact": (raw >= 100) & same_words,
+            f"{prefix}other_diff": F.col(f"{prefix}differ") - F.col(f"{prefix}year_diff"),
         }
     )
 
@@ -150,11 +198,16 @@ def pick_best(
     predicates: list[Column] | None = None,
     legacy_tiebreak: bool = False,
     pos: str | None = None,
+    prune: bool = False,
 ) -> DataFrame:
-    """Best candidate per group with its adjusted (``score``) and raw (``raw_score``) scores."""
-    scored = score_candidates(df, query, name, year_hint, candidate_year)
+    """Best candidate per group with its adjusted (``score``) and raw (``raw_score``) scores.
+
+    ``prune`` scores only the candidates that bounds leave in question, at the price of a window over each group; for groups that are pages of hits.
+    """
+    code = preference(*(predicates or []))
+    scored = score_candidates(df, query, name, year_hint, candidate_year, keys=keys if prune else None, code=code)
     order = [
-        preference(*(predicates or [])).alias("k_code"),
+        code.alias("k_code"),
         *rank_key(name, id_, F.col(pos) if pos else None, legacy_tiebreak=legacy_tiebreak),
     ]
     scored = scored.withColumns({"score": F.col("m_adjusted"), "raw_score": F.col("m_raw")})

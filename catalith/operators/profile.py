@@ -2,49 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalith.session import materialize
+_LONG = 1 << 63
+
 
+def _type_name(v: object) -> str:
+    if v is None:
+        return "null"
+    if isinstance(v, bool):
+        return "bool"
+    if isinstance(v, int):
+        return "int" if -_LONG <= v < _LONG else "float"
+    return {float: "float", str: "str", list: "list", dict: "dict"}[type(v)]
 
-def _type_name(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
-    return (
-        F.when(kind == "VOID", "null")
-        .when(kind == "BIGINT", "int")
-        .when(kind.rlike("^(DOUBLE|FLOAT|DECIMAL)"), "float")
-        .when(kind == "BOOLEAN", "bool")
-        .when(kind == "STRING", "str")
-        .when(kind.startswith("ARRAY"), "list")
-        .when(kind.startswith("OBJECT"), "dict")
-        .otherwise(F.lower(kind))
-    )
 
+def document_paths(doc: object, array_sample: int) -> Iterator[tuple[str, str]]:
+    """(path, type) of every value of a document; of an array the first items only."""
+    open_ = [("", doc)]
+    while open_:
+        path, v = open_.pop()
+        yield path or "<root>", _type_name(v)
+        if isinstance(v, dict):
+            open_ += [(f"{path}.{k}" if path else k, item) for k, item in v.items()]
+        elif isinstance(v, list):
+            open_ += [(f"{path}[]", item) for item in v[:array_sample]]
 
-def path_types(docs: DataFrame, payload: str = "payload", array_sample: int = 5) -> DataFrame:
+
+def path_types(docs: DataFrame, payload: str = "payload", array_sample: int = 5, held: int = 100_000) -> DataFrame:
     """``(path, types)`` over all documents, at any depth: types sorted, arrays sampled to their first items.
 
-    One narrow round per nesting level, each over the level before it as stored in the shared folder, until a level is empty; a level reduces to
-    distinct (path, type) pairs map-side.
+    One scan and one shuffle. A task walks its documents and lets each (path, type) out once, or again after ``held`` others, so what is shuffled is about as
+    large as the profile. Documents that are NULL have no path.
     """
-    level = materialize(docs.select(F.lit("").alias("path"), F.col(payload).alias("v")).where("v is not null"), "json-level")
-    seen: DataFrame | None = None
-    while True:
-        here = level.select(
-            F.when(F.col("path") == "", "<root>").otherwise(F.col("path")).alias("path"), _type_name(F.col("v")).alias("type")
-        ).distinct()
-        seen = here if seen is None else seen.unionByName(here)
-        if level.isEmpty():
-            break
-        kind = F.schema_of_variant("v")
-        dot = F.when(F.col("path") == "", "").otherwise(F.concat("path", F.lit(".")))
-        fields = level.where(kind.startswith("OBJECT")).select(
-            dot.alias("p"), F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("k", "v")
-        ).select(F.concat("p", "k").alias("path"), "v")
-        items = level.where(kind.startswith("ARRAY")).select(
-            F.concat("path", F.lit("[]")).alias("path"),
-            F.explode(F.slice(F.try_variant_get("v", "$", "array<variant>"), 1, array_sample)).alias("v"),
-        )
-        level = materialize(fields.unionByName(items), "json-level")
-    return seen.groupBy("path").agg(F.array_sort(F.collect_set("type")).alias("types"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, str]] = set()
+        for batch in batches:
+            found: list[tuple[str, str]] = []
+            for text in batch.column(0).to_pylist():
+                for pair in document_paths(json.loads(text), array_sample):
+                    if pair not in seen:
+                        seen.add(pair)
+                        found.append(pair)
+                if len(seen) > held:
+                    seen.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.string()) for k in (0, 1)], names=["path", "type"])
+
+    texts = docs.where(F.col(payload).isNotNull()).select(F.to_json(F.col(payload)).alias("doc"))
+    return texts.mapInArrow(run, "path string, type string").groupBy("path").agg(F.array_sort(F.collect_set("type")).alias("types"))

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catalith.constants import EARLIEST_PAGEVIEWS
 from catalith.functions.parse import stamp_date, window_key
@@ -64,17 +65,21 @@ def launch_sums(
 ) -> DataFrame:
     """Sums over the first N days since release, for releases between ``earliest`` and ``end``.
 
-    ``releases``: ``key, release`` (DATE), the keys with a stored series. An equi-join on the key with a range on the day; a window without data sums to 0.
+    ``releases``: ``key, release`` (DATE), the keys with a stored series; a window without data sums to 0. No day is joined with a release: the ends of the
+    windows are put among a key's days, a running sum of views passes over both, and a window is the difference of two of its values. A key has a row a day
+    at most, so its running sum is short.
     """
     days = list(days)
     eligible = releases.where((F.col("release") >= F.lit(earliest).cast("date")) & (F.col("release") <= end))
-    joined = series.join(eligible.select(key, "release"), key)
-    age = F.date_diff(F.col("day"), F.col("release"))
-    inside = joined.where((age >= 0) & (age < max(days)) & (F.col("day") <= end))
-    sums = inside.groupBy(key).agg(
-        *[F.sum(F.when(age < n, F.col(value)).otherwise(0)).alias(f"{value}_first_{n}d") for n in days]
+    ends = [F.date_sub("release", 1), *[F.least(F.date_add("release", n - 1), end) for n in days]]
+    marks = eligible.select(key, F.posexplode(F.array(*ends)).alias("mark", "day"))
+    both = series.select(key, "day", F.col(value).alias("__v"), F.lit(-1).alias("mark")).unionByName(marks.withColumn("__v", F.lit(0).cast("bigint")))
+    so_far = Window.partitionBy(key).orderBy("day", "mark").rowsBetween(Window.unboundedPreceding, 0)
+    passed = both.withColumn("__sum", F.sum("__v").over(so_far)).where("mark >= 0")
+    start = F.sum(F.when(F.col("mark") == 0, F.col("__sum")))
+    return passed.groupBy(key).agg(
+        *[(F.sum(F.when(F.col("mark") == k, F.col("__sum"))) - start).cast("bigint").alias(f"{value}_first_{n}d") for k, n in enumerate(days, 1)]
     )
-    return _zeros(sums, eligible, key)
 
 
 def latest_windows(keys: DataFrame, column: str = "request_key") -> DataFrame:

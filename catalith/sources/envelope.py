@@ -8,9 +8,10 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from catalith.constants import PIN_COLUMNS, PROVIDER_PREFIX
 from catalith.functions.lists import is_blank, is_tag_list, strip, tag_pairs, text
@@ -168,14 +169,56 @@ def read_envelope(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(ok).select("r.*")
 
 
-def read_envelope_strict(spark: SparkSession, path: str) -> DataFrame:
-    """Strict reader: the first broken or non-object line fails the job and is quoted in the error."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    body = lines.withColumn("value", strip(F.col("value"))).where("value <> ''")
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank lines as (value, ok, file, start, at): ``start`` is the split's place in its file, and ``at`` grows along a split without gaps in all its lines."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")
+    )
+    body = lines.withColumn("value", strip(F.col("value")))
     ok = F.col("value").startswith("{") & F.try_parse_json("value").isNotNull()
-    problem = F.concat(F.lit("invalid envelope line in "), F.col("file"), F.lit(": "), F.substring("value", 1, 200))
-    checked = body.select(F.when(ok, F.col("value")).otherwise(F.raise_error(problem).cast("string")).alias("value"))
-    return checked.select(F.from_json("value", ENVELOPE_SCHEMA).alias("r")).select("r.*")
+    return body.withColumn("ok", (F.col("value") == "") | ok)
+
+
+def broken_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value) of the lines that are no JSON objects, counted from 1 in each file; blank lines count but are not broken.
+
+    Files are read in splits, so a line's number is its place in its split behind the lines of the splits before it: one count per split, summed along each
+    file. Only broken lines meet the counts.
+    """
+    lines = _numbered(spark, path)
+    splits = lines.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "start", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    line = (F.col("before") + F.col("at") - F.col("first") + 1).alias("line")
+    return lines.where(~F.col("ok")).join(splits, ["file", "start"]).select("file", line, "value")
+
+
+def _refuse(spark: SparkSession, path: str) -> None:
+    """Raise with file, line and text of the first broken line."""
+    bad = broken_lines(spark, path).orderBy("file", "line").head(1)
+    if bad:
+        raise ValueError(f"invalid envelope line {bad[0].line} in {bad[0].file}: {bad[0].value[:200]}")
+
+
+def _checked_once(spark: SparkSession, path: str, registry: Registry | None, context: str) -> DataFrame:
+    """Envelope rows, parsed and type-checked while they are written to the shared folder; the lines are read once, and again only to name a broken one."""
+    seen = Observation()
+    rows = _numbered(spark, path).where("value <> ''").withColumn("r", F.from_json("value", ENVELOPE_SCHEMA)).select("ok", "r.*")
+    wrong = F.get(row_violations(registry), F.lit(0)) if registry else F.lit(None).cast(_VIOLATION)
+    first = F.min(F.when(F.col("ok") & F.col("__wrong").isNotNull(), F.col("__wrong"))).alias("wrong")
+    watched = rows.withColumn("__wrong", wrong).observe(seen, F.count_if(~F.col("ok")).alias("broken"), first).drop("__wrong")
+    stored = materialize(watched.where("ok").drop("ok"), "envelope")
+    if seen.get["broken"]:
+        _refuse(spark, path)
+    bad = seen.get["wrong"]
+    if bad is not None:
+        raise ValueError(f"{context}: metric {bad['metric_key'] or bad['row_id']} expected {bad['expected']}, got {bad['got']}")
+    return stored
+
+
+def read_envelope_strict(spark: SparkSession, path: str) -> DataFrame:
+    """Strict reader: a broken or non-object line fails the job with its file and line number. The rows are stored as they are checked."""
+    return _checked_once(spark, path, None, path)
 
 
 def latest_rows(envelope: DataFrame, order: str) -> DataFrame:
@@ -199,37 +242,46 @@ def typed_metric(key: str, type_: str) -> Column:
     return _metric(key, SPARK_TYPES.get(type_, "string"))
 
 
-def violations(envelope: DataFrame, registry: Registry) -> DataFrame:
-    """Type check of envelopes against the registry as ``(row_id, metric_key, expected, got)`` rows."""
-    reg = registry.frame(envelope.sparkSession).where("section = 'metrics'").select("metric_key", F.col("type").alias("expected"))
-    no_id = envelope.where(is_blank(F.col("row_id"))).select(
-        F.lit("").alias("row_id"), F.lit("").alias("metric_key"), F.lit("row_id").alias("expected"), F.lit("missing").alias("got")
-    )
+_VIOLATION = "struct<row_id: string, metric_key: string, expected: string, got: string>"
+
+
+def row_violations(registry: Registry) -> Column:
+    """A row's departures from the registry's types as a list of (row_id, metric_key, expected, got); no join, as the registry's types are a literal map."""
+    row_id = F.coalesce("row_id", F.lit(""))
+    types = F.create_map(*[F.lit(x) for key, (_, kind) in sorted(registry.by_key.items()) for x in (key, kind)])
     kind = F.schema_of_variant("metrics")
-    shape = envelope.where(F.col("metrics").isNotNull() & ~kind.startswith("OBJECT") & (kind != "VOID")).select(
-        "row_id", F.lit("").alias("metric_key"), F.lit("object").alias("expected"), kind.alias("got")
-    )
-    objects = envelope.where(kind.startswith("OBJECT"))
-    values = objects.select("row_id", F.explode(F.try_variant_get("metrics", "$", "map<string,variant>")).alias("metric_key", "v"))
-    got = F.schema_of_variant("v")
-    number = got.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    fits = (
-        F.when(F.col("expected") == "string", got == "STRING")
-        .when(F.col("expected") == "int", strict_int(F.col("v")).isNotNull())
-        .when(F.col("expected") == "float", number)
-        .when(F.col("expected") == "bool", got == "BOOLEAN")
-        .when(F.col("expected") == "json", got.rlike("^(ARRAY|OBJECT)"))
-        .when(F.col("expected") == "list_csv", got.startswith("ARRAY"))
-        .otherwise(True)
-    )
-    wrong = (
-        values.withColumn("got", got)
-        .where(F.col("got") != "VOID")
-        .join(reg, "metric_key")
-        .where(~fits)
-        .select("row_id", "metric_key", "expected", "got")
+
+    def wrong(id_: Column, key: Column, expected: Column, got: Column) -> Column:
+        return F.struct(id_.alias("row_id"), key.alias("metric_key"), expected.alias("expected"), got.alias("got")).cast(_VIOLATION)
+
+    def fits(expected: Column, got: Column, v: Column) -> Column:
+        return (
+            F.when(expected == "string", got == "STRING")
+            .when(expected == "int", strict_int(v).isNotNull())
+            .when(expected == "float", got.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"))
+            .when(expected == "bool", got == "BOOLEAN")
+            .when(expected == "json", got.rlike("^(ARRAY|OBJECT)"))
+            .when(expected == "list_csv", got.startswith("ARRAY"))
+            .otherwise(True)
+        )
+
+    def judged(e: Column) -> Column:
+        got, expected = F.schema_of_variant(e["value"]), F.try_element_at(types, e["key"])
+        return F.when((got != "VOID") & ~fits(expected, got, e["value"]), wrong(row_id, e["key"], expected, got))
+
+    values = F.map_entries(F.when(kind.startswith("OBJECT"), F.try_variant_get("metrics", "$", "map<string,variant>")))
+    named = F.filter(values, lambda e: F.try_element_at(types, e["key"]).isNotNull())
+    no_id = F.when(is_blank(F.col("row_id")), wrong(F.lit(""), F.lit(""), F.lit("row_id"), F.lit("missing")))
+    shape = F.when(
+        F.col("metrics").isNotNull() & ~kind.startswith("OBJECT") & (kind != "VOID"), wrong(row_id, F.lit(""), F.lit("object"), kind)
     )
-    return no_id.unionByName(shape).unionByName(wrong)
+    own = F.coalesce(F.transform(named, judged), F.array().cast(f"array<{_VIOLATION}>"))
+    return F.array_compact(F.concat(F.array(no_id, shape), own))
+
+
+def violations(envelope: DataFrame, registry: Registry) -> DataFrame:
+    """Type check of envelopes against the registry as ``(row_id, metric_key, expected, got)`` rows."""
+    return envelope.select(F.inline(row_violations(registry)))
 
 
 def require_valid(envelope: DataFrame, registry: Registry, context: str) -> DataFrame:
@@ -278,8 +330,7 @@ def load_catalog(
     folder, _, name = csv_path.rpartition("/")
     lines = f"{folder}/jsonl/{name.removesuffix('.csv')}.jsonl"
     if use_lines and _exists(spark, lines):
-        rows = require_valid(read_envelope_strict(spark, lines), registry, name)
-        view = catalog_view(rows, True, columns)
+        view = catalog_view(_checked_once(spark, lines, registry, name), True, columns)
         return view.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in view.columns])
     return read_csv(spark, csv_path, multiline=multiline)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalith.operators.columns import drop_deprecated, drop_diagnostics, personal_base, provider_columns, reorder, select_registered
 from catalith.operators.extract import extract
-from catalith.session import shared_dir
+from catalith.session import materialize, shared_dir
 from catalith.sources import envelope as ev
 from catalith.sources.registry import default_registry
 from catalith.sources.tables import query_rows, read_csv, read_edited, rendered, write_csv, write_provider_csv
@@ -45,6 +45,26 @@ def lenient_lines(spark, sf):
     return ev.read_envelope(spark, path).select(F.col("row_id").alias("RowId"), F.try_element_at("personal", F.lit("Name")).alias("Name"))
 
 
+_BROKEN = """WITH l AS (SELECT row_number() OVER (ORDER BY p_partkey) AS line, p_partkey AS k, p_partkey % 7 AS kind FROM part)
+    SELECT line::BIGINT AS line, CASE kind WHEN 0 THEN '{"row_id": "' || k ELSE '[' || k || ']' END AS value FROM l WHERE kind IN (0, 3)"""
+
+
+@query("broken_lines", _BROKEN)
+def broken_lines(spark, sf):
+    """Line numbers of the broken lines of one file that is read in many splits."""
+    k = F.col("p_partkey")
+    text = F.concat(k.cast("string"), F.lit('", "personal": {"Name": "'), F.repeat(F.lit("long "), 100), F.lit('"}}'))
+    line = F.when(k % 7 == 0, F.concat(F.lit('{"row_id": "'), k.cast("string"))).when(k % 7 == 3, F.concat(F.lit("["), k.cast("string"), F.lit("]")))
+    line = F.when(k % 7 == 5, F.lit("  ")).otherwise(F.coalesce(line, F.concat(F.lit('{"row_id": "'), text)))
+    path, size = shared_dir(spark, "broken"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    table(spark, sf, "part").select("p_partkey", line.alias("value")).orderBy("p_partkey").coalesce(1).select("value").write.text(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        return materialize(ev.broken_lines(spark, path).select("line", "value"), "broken-lines")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 @query("json_array", f"SELECT p_size AS size, count(*) AS n, sum(CASE WHEN p_partkey = m THEN 0 ELSE 1 END)::BIGINT AS commas FROM part, (SELECT min(p_partkey) AS m FROM part) GROUP BY p_size")
 def json_array(spark, sf):
     """One JSON document of values that repeat: its rows read back, all but the first behind a comma."""

@@ -105,6 +105,8 @@ SOURCES = f"""SELECT 'rid:' || CAST(p_partkey AS STRING) AS RowId, p_partkey, p_
          THEN CAST(rev AS STRING) || ' .. ' || CAST(rev + qty * 2 + 1 AS STRING)
          ELSE CAST(rev * 2 AS STRING) || '-' || CAST(rev AS STRING) END AS SteamSpy_Owners,
     qty AS SteamSpy_CCU, CASE WHEN p_size % 2 = 1 THEN rev ELSE NULL END AS SteamSpy_Players2Weeks,
+    CASE WHEN p_size % 4 = 1 THEN NULL ELSE n * 13 % 90 END AS SteamSpy_PlaytimeAvg2Weeks, CASE WHEN p_size % 4 = 2 THEN NULL ELSE n * 7 % 60 END AS SteamSpy_PlaytimeMedian2Weeks,
+    CASE WHEN p_size % 5 = 1 THEN [['Strategy video game', 'action']] WHEN p_size % 5 = 2 THEN [['Indie', ' ']] ELSE [['']] END AS Wikidata_Genres,
     qty * 11 AS Wikidata_Pageviews30d, rev AS Wikidata_Pageviews365d,
     CASE WHEN p_size % 5 = 2 THEN NULL ELSE qty * 5 END AS Wikidata_PageviewsFirst90d,
     CASE WHEN p_size % 6 = 0 THEN NULL ELSE CAST(n AS DOUBLE) END AS HLTB_Main,

@@ -45,7 +45,8 @@ def fuzzy_scores(spark, sf):
     SELECT row_id, id, cand_name, adj AS score, raw AS raw_score FROM r WHERE rn = 1""",
 )
 def best_matches(spark, sf):
-    return pick_best(_pairs(spark, sf), ["row_id"], "name", "cand_name", "id", ["id", "cand_name"], "year_hint", "cand_year")
+    """Only candidates that bounds of their scores leave in question are scored."""
+    return pick_best(_pairs(spark, sf), ["row_id"], "name", "cand_name", "id", ["id", "cand_name"], "year_hint", "cand_year", prune=True)
 
 
 _RANK_BY_ID = "adj DESC, raw DESC, exact DESC, id, dist, dlc, odiff, ydiff, length(cand_name)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalith.constants import ReviewConfig
+from catalith.constants import REPORT_EDITION_TOKENS, ReviewConfig
 from catalith.functions.text import genre_set, platform_import_set
 from catalith.operators.diagnostics import review_tags
 from catalith.operators.matching import pick_best
@@ -19,12 +19,19 @@ from catalith.workload import sql as s
 from catalith.workload.frames import SOURCES, duck, spark_frame, table
 from catalith.workload.registry import query
 from catalith.workload.votes import (
+    _DEVELOPERS,
     ACTIONABLE,
+    CANON_CTE,
     CONS_TAGS,
     GENRE_COLUMNS,
     IMPORT_FAMILY,
     PLATFORM_COLUMNS,
+    PUBLISHERS,
+    SHARED_KEY,
     YEAR_TAGS_CTE,
+    company_nodes,
+    company_tags_sql,
+    component_ctes,
     provider_ctes,
     set_vote_ctes,
     tag_list_sql,
@@ -349,12 +356,6 @@ _REPORT_FAMILY = """CASE WHEN contains(lower(x), 'pc') OR contains(lower(x), 'wi
     WHEN contains(lower(x), 'mac') THEN 'mac' WHEN contains(lower(x), 'linux') THEN 'linux' ELSE lower(trim(x)) END"""
 
 
-@query("validation_report")
-def report(spark, sf):
-    """All findings; `validation_findings` checks the tag list and the simple columns against SQL."""
-    return validation_report(spark_frame(spark, sf, SOURCES)).drop("Name")
-
-
 _NAMES = ("RAWG", "IGDB", "Steam", "HLTB")
 _NORMS = ", ".join(f"{s.norm(p + '_Name')} AS n_{p}" for p in _NAMES)
 _ED = {p: s.editions(f"n_{p}") for p in _NAMES}
@@ -374,6 +375,95 @@ def _distinct_sets(parts: dict[str, str], shown: dict[str, str]) -> str:
     return f"len(list_distinct(list_filter([{items}], lambda t: t IS NOT NULL)))"
 
 
+_REPORT_PLATFORMS = {p.lower(): f"{p}_Platforms" for p in _NAMES}
+_SHOWN = " ".join(f"WHEN '{p.lower()}' THEN '{p}'" for p in _NAMES)
+_SCORED = " UNION ALL ".join(f"SELECT nn AS a, n_{p} AS b FROM src WHERE trim({p}_Name) <> ''" for p in _NAMES)
+_SCORES = ", ".join(f"(SELECT score FROM sc WHERE a = nn AND b = n_{p} AND trim({p}_Name) <> '') AS s_{p}" for p in _NAMES)
+_RANKED = ", ".join(f"CASE WHEN s_{p} IS NOT NULL THEN struct_pack(v := s_{p}, k := {k}, p := '{p}') END" for k, p in enumerate(_NAMES))
+_WORST = f"list_sort(list_filter([{_RANKED}], lambda t: t IS NOT NULL))[1]"
+_TITLED = {p: f"trim({p}_Name) <> ''" for p in _NAMES}
+_DATED = {"RAWG": "RAWG_Year", "IGDB": "IGDB_Year", "Steam": "Steam_ReleaseYear", "HLTB": "HLTB_ReleaseYear"}
+_YEARS_SHOWN = "array_to_string(list_filter([" + ", ".join(f"'{p}:' || {y}" for p, y in _DATED.items()) + "], lambda t: t IS NOT NULL), '; ')"
+_EDITION_OR_PORT = s.overlap(s.tokens("n_Steam"), s.words(REPORT_EDITION_TOKENS))
+
+
+def _set_texts(prefix: str, label: str) -> str:
+    """CTE ``<prefix>txt``: ``A:x,y; B:z`` of the sets of each row."""
+    return f"""{prefix}txt AS (SELECT RowId, string_agg({label} || ':' || xs, '; ' ORDER BY pi) AS txt, count(*) AS voters
+        FROM (SELECT RowId, pi, p, string_agg(x, ',' ORDER BY x) AS xs FROM {prefix}i GROUP BY RowId, pi, p) GROUP BY RowId)"""
+
+
+_SURE = "agreed OR (Steam_AppID <> '' AND IGDB_SteamAppID <> '' AND Steam_AppID = IGDB_SteamAppID)"
+_FLAGS = {
+    "title_mismatch": "title_apart", "year_disagree_rawg_igdb": "years_apart", "steam_year_disagree": "store_year_apart",
+    "platform_disagree": "platforms_apart", "steam_appid_mismatch": "ids_apart", "edition_disagree": "edition_apart", "steam_dlc_like": "store_dlc",
+    "series_disagree": "series_apart", "suggest_rename": f"renamed AND (title_apart OR years_apart OR platforms_apart OR ids_apart) AND ({_SURE})",
+    "needs_review": "reason <> ''",
+}
+_LACKING = {
+    "RAWG": "RAWG_ID = ''", "IGDB": "IGDB_ID = ''", "Steam": "Steam_AppID = ''", "HLTB": "HLTB_Main IS NULL",
+    "SteamSpy": "coalesce(SteamSpy_Owners, '') = '' AND Steam_AppID <> ''",
+}
+_MISSING_TAGS = ", ".join(
+    f"CASE WHEN {c} THEN " + ("CASE WHEN on_pc THEN 'missing:Steam' ELSE 'missing_ok:Steam' END" if p == "Steam" else f"'missing:{p}'") + " END"
+    for p, c in _LACKING.items()
+)
+_FLAG_TAGS = ", ".join(f"CASE WHEN {c} THEN '{t}' END" for t, c in _FLAGS.items())
+_MISSING_NAMES = ", ".join(f"CASE WHEN {c} THEN '{p}' END" for p, c in _LACKING.items())
+_TITLES_SHOWN = ", ".join(f"trim({p}_Name) AS {p}_Name" for p in _NAMES)
+_APART = " OR ".join(f"coalesce(s_{p} < 90, false)" for p in _NAMES)
+_REPORT_SQL = f"""WITH RECURSIVE src AS (SELECT *, {_NORMS}, {s.norm('Name')} AS nn FROM {duck(SOURCES)}), {YEAR_TAGS_CTE},
+    {set_vote_ctes('p', {k: v for k, v in _REPORT_PLATFORMS.items() if k != 'hltb'}, _REPORT_FAMILY, 'platform')}, {_set_texts('p', f'CASE p {_SHOWN} END')},
+    {set_vote_ctes('q', _REPORT_PLATFORMS, _REPORT_FAMILY, 'platform')}, {set_vote_ctes('g', GENRE_COLUMNS, _X, 'genre')}, {_set_texts('g', 'p')},
+    {provider_ctes(3)}, {component_ctes('d', company_nodes(_DEVELOPERS), SHARED_KEY, 2)}, {component_ctes('u', company_nodes(PUBLISHERS), SHARED_KEY, 2)},
+    {CANON_CTE}, sc AS (WITH {s.fuzzy_cte(_SCORED)} SELECT * FROM fuzzy),
+    b0 AS (SELECT src.*, {_SCORES}, cbest.RowId IS NOT NULL AS known, members, cbest.outliers AS outliers, cbest.present AS present, cbest.has AS has,
+        coalesce(ytags.tags, []) AS yt, qtags.tags AS pt, gtags.tags AS gt, {company_tags_sql('dbest', 'developer')} AS dt, {company_tags_sql('ubest', 'publisher')} AS ut,
+        coalesce(ptxt.txt, '') AS platforms, coalesce(ptxt.voters, 0) AS voters, pcommon.common AS p_common, coalesce(gtxt.txt, '') AS genres,
+        gcommon.common AS g_common, coalesce(canon.title, '') AS c_title, coalesce(canon.source, '') AS c_source, coalesce(canon.c, 0) AS c_count,
+        CASE WHEN canon.c >= 2 THEN canon.sources ELSE '' END AS c_sources, coalesce(canon.nrm, '') AS c_norm,
+        src.RowId IN (SELECT RowId FROM qi WHERE x = 'pc') AS on_pc,
+        CASE WHEN cbest.RowId IS NULL THEN []::VARCHAR[] WHEN NOT cbest.has THEN ['provider_no_consensus'] ELSE list_concat(['provider_consensus:' || array_to_string(members, '+')],
+            list_transform(cbest.outliers, lambda o: 'provider_outlier:' || o)) END AS ctags
+        FROM src LEFT JOIN cbest ON cbest.RowId = src.RowId LEFT JOIN ytags ON ytags.RowId = src.RowId JOIN qtags ON qtags.RowId = src.RowId
+        JOIN gtags ON gtags.RowId = src.RowId LEFT JOIN (SELECT RowId, n, has, outliers FROM dbest) dbest ON dbest.RowId = src.RowId
+        LEFT JOIN (SELECT RowId, n, has, outliers FROM ubest) ubest ON ubest.RowId = src.RowId
+        LEFT JOIN ptxt ON ptxt.RowId = src.RowId LEFT JOIN gtxt ON gtxt.RowId = src.RowId LEFT JOIN pcommon ON pcommon.RowId = src.RowId
+        LEFT JOIN gcommon ON gcommon.RowId = src.RowId LEFT JOIN canon ON canon.RowId = src.RowId),
+    b1 AS (SELECT *, CASE WHEN {_WORST}.v < 90 THEN {_WORST}.p ELSE '' END AS worst, {_APART} AS title_apart,
+        coalesce(abs(RAWG_Year - IGDB_Year) > 1, false) AS years_apart, Steam_ReleaseYear - coalesce(IGDB_Year, RAWG_Year) AS year_diff,
+        voters >= 2 AND p_common IS NULL AS platforms_apart, Steam_AppID <> '' AND IGDB_SteamAppID <> '' AND Steam_AppID <> IGDB_SteamAppID AS ids_apart,
+        {_distinct_sets(_ED, _TITLED)} >= 2 AS edition_apart, {_distinct_sets(_RS, {p: f'len({_RS[p]}) > 0' for p in _NAMES})} >= 2 AS series_apart,
+        {s.dlc('n_Steam', True)} OR list_contains(Steam_Categories, 'Downloadable Content') AS store_dlc, {ACTIONABLE} AS act,
+        c_title <> '' AND trim(Name) <> '' AND nn <> c_norm AS renamed, c_count >= 2 AS agreed,
+        len(list_filter(IGDB_Platforms, lambda x: contains(lower(x), 'web browser'))) > 0 AS browser FROM b0),
+    b2 AS (SELECT *, coalesce(abs(year_diff) > 1, false) AND NOT {_EDITION_OR_PORT} AS store_year_apart,
+        CASE WHEN ids_apart THEN CASE WHEN coalesce(worst, '') <> '' THEN worst WHEN coalesce(s_Steam >= 90, false) THEN 'IGDB' ELSE 'Steam' END
+            WHEN platforms_apart THEN CASE WHEN browser THEN 'IGDB' ELSE coalesce(worst, '') END
+            WHEN years_apart THEN CASE WHEN coalesce(abs(Steam_ReleaseYear - RAWG_Year) <= 1, false) THEN 'IGDB'
+                WHEN coalesce(abs(Steam_ReleaseYear - IGDB_Year) <= 1, false) THEN 'RAWG' ELSE 'RAWG/IGDB' END
+            WHEN title_apart THEN worst ELSE '' END AS culprit0,
+        coalesce(CASE WHEN renamed THEN CASE WHEN agreed THEN 'provider consensus (' || c_sources || ')'
+            WHEN c_source = 'Steam' AND Steam_AppID <> '' THEN 'steam appid present' WHEN ids_apart THEN 'steam appid mismatch'
+            WHEN title_apart THEN 'title mismatch' END END, CASE WHEN store_dlc THEN 'steam looks like dlc/demo' END, '') AS reason FROM b1)
+    SELECT RowId, coalesce(array_to_string(list_concat(list_filter([{_MISSING_TAGS},
+        CASE WHEN Steam_StoreType NOT IN ('', 'game') THEN 'store_type_not_game:' || Steam_StoreType END, {_FLAG_TAGS}], lambda t: t IS NOT NULL),
+        dt, ut, ctags, pt, yt, gt, act), ', '), '') AS ValidationTags,
+    coalesce(array_to_string(list_filter([{_MISSING_NAMES}], lambda t: t IS NOT NULL), ', '), '') AS MissingProviders, {_TITLES_SHOWN}, coalesce({_YEARS_SHOWN}, '') AS Years,
+    coalesce(CAST(year_diff AS VARCHAR), '') AS SteamYearDiffVsPrimary, {_summary(_ED)} AS EditionTokens, {_summary(_RS)} AS SeriesNumbers,
+    platforms AS Platforms, {tag_list_sql('p_common')} AS PlatformIntersection, genres AS Genres, {tag_list_sql('g_common')} AS GenreIntersection,
+    Steam_AppID AS SteamAppID, IGDB_SteamAppID,
+    CASE WHEN store_dlc THEN 'Steam' WHEN culprit0 = '' AND series_apart THEN 'RAWG/IGDB/Steam/HLTB' ELSE culprit0 END AS SuggestedCulprit,
+    c_title AS SuggestedCanonicalTitle, c_source AS SuggestedCanonicalSource, CASE WHEN reason <> '' THEN 'YES' ELSE '' END AS ReviewTitle,
+    reason AS ReviewTitleReason FROM b2"""
+
+
+@query("validation_report", _REPORT_SQL)
+def report(spark, sf):
+    """All findings of every row."""
+    return validation_report(spark_frame(spark, sf, SOURCES)).drop("Name")
+
+
 @query(
     "validation_findings",
     f"""WITH src AS (SELECT *, {_NORMS} FROM {duck(SOURCES)}), {set_vote_ctes('p', {p.lower(): f'{p}_Platforms' for p in ('RAWG', 'IGDB', 'Steam')}, _REPORT_FAMILY, 'platform')},

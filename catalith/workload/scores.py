@@ -22,7 +22,8 @@ from catalith.functions.text import normalize_tag
 from catalith.sources.registry import default_registry
 from catalith.workload import sql as s
 from catalith.workload.frames import SOURCES, duck, spark_frame, table
-from catalith.workload.registry import query
+from catalith.workload import votes  # noqa: F401  (its SQL is part of the flagship's)
+from catalith.workload.registry import ORACLES, query
 
 
 def _apply(df, metrics, registry):
@@ -100,7 +101,7 @@ _LAUNCH = f"CAST(round_even({s.log_scale('Wikidata_PageviewsFirst90d', SIGNALS.n
 
 @query(
     "interest_scores",
-    f"""SELECT RowId, CAST(-1 AS BIGINT) AS Now_SteamSpyPlaytimeAvg2Weeks, CAST(-1 AS BIGINT) AS Now_SteamSpyPlaytimeMedian2Weeks,
+    f"""SELECT RowId, coalesce(SteamSpy_PlaytimeAvg2Weeks, -1)::BIGINT AS Now_SteamSpyPlaytimeAvg2Weeks, coalesce(SteamSpy_PlaytimeMedian2Weeks, -1)::BIGINT AS Now_SteamSpyPlaytimeMedian2Weeks,
     coalesce({_NOW}, -1) AS Now_Composite, coalesce({_LAUNCH}, -1) AS Launch_Interest_100 FROM {duck(SOURCES)}""",
 )
 def interest_scores(spark, sf):
@@ -217,13 +218,28 @@ def company_names_shared(spark, sf):
     return df.select("RowId", F.coalesce(F.array_join("Developers_Consensus", "|"), F.lit("")).alias("names"))
 
 
-@query(
-    "enriched_scores",
-    f"""SELECT RowId, Name, coalesce({_REACH}, -1) AS Reach_Composite, coalesce({_COMMUNITY}, -1) AS CommunityRating_Composite_100,
-    coalesce({_CRITIC}, -1) AS CriticRating_Composite_100, coalesce({_NOW}, -1) AS Now_Composite FROM {duck(SOURCES)}""",
-)
+_PARTS = {
+    "reach_scores": "", "rating_scores": "", "interest_scores": "", "company_names_shared": "names AS Developers_Consensus",
+    "content_types": "content_type AS ContentType, voters AS ContentType_ConsensusProviders, signals AS ContentType_SourceSignals, conflict AS ContentType_Conflict, "
+                     "dlcs AS HasDLCs, expansions AS HasExpansions, ports AS HasPorts",
+    "keyword_scores": "Replayability_100, replay_signals AS Replayability_SourceSignals, HasWorkshop, ModdingSignal_100, mod_signals AS Modding_SourceSignals",
+    "main_genres": "label AS Genre_Main, sources AS Genre_MainSources",
+}
+_JOINED = " ".join(f"JOIN (SELECT RowId, {columns or '* EXCLUDE (RowId)'} FROM ({ORACLES[name]})) USING (RowId)" for name, columns in _PARTS.items())
+
+
+@query("enriched_scores", f"SELECT * FROM (SELECT RowId, Name FROM {duck(SOURCES)}) {_JOINED}")
 def enriched_scores(spark, sf):
-    """Flagship: the four composites of every title."""
-    scored = with_signals(spark_frame(spark, sf, SOURCES), default_registry())
-    columns = ("Reach_Composite", "CommunityRating_Composite_100", "CriticRating_Composite_100", "Now_Composite")
-    return scored.select("RowId", "Name", *[F.coalesce(F.col(c), F.lit(-1).cast("bigint")).alias(c) for c in columns])
+    """Flagship: reach, ratings, interest, content type, replayability, modding, main genre and shared developers of every title."""
+    registry = default_registry()
+    rows = spark_frame(spark, sf, SOURCES).withColumn("SteamSpy_Tags", F.when(F.col("p_size") % 2 == 1, F.col("Steam_Tags")))
+    scored = with_signals(rows, registry)
+    texts = ("ContentType", "ContentType_ConsensusProviders", "ContentType_SourceSignals", "ContentType_Conflict", "Replayability_SourceSignals", "Modding_SourceSignals",
+             "Genre_Main", "Genre_MainSources")
+    flags = ("HasDLCs", "HasExpansions", "HasPorts", "HasWorkshop")
+    numbers = [registry.column(k) for k in (*reach_metrics(Inputs(rows, registry)), *rating_metrics(Inputs(rows, registry)), *now_metrics(Inputs(rows, registry)))]
+    return scored.select(
+        "RowId", "Name", *[F.coalesce(F.col(c).cast("bigint"), F.lit(-1).cast("bigint")).alias(c) for c in numbers], "Replayability_100", "ModdingSignal_100",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in texts], *[F.coalesce(c, F.lit(False)).alias(c) for c in flags],
+        F.coalesce(F.array_join("Developers_Consensus", "|"), F.lit("")).alias("Developers_Consensus"),
+    )

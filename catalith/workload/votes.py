@@ -164,20 +164,32 @@ def provider_agreement(spark, sf):
 
 
 _DEVELOPERS = {p: f"{c}_Developers" for p, c in (("steam", "Steam"), ("rawg", "RAWG"), ("igdb", "IGDB"), ("wikidata", "Wikidata"))}
+PUBLISHERS = {p: c.replace("Developers", "Publishers") for p, c in _DEVELOPERS.items()}
 _DEV_ITEMS = f"(SELECT RowId, p, unnest(v) AS x FROM ({_long(_DEVELOPERS)}))"
 _KEYS = s.company_key("x")
 _GENERIC = "(games?|software|studios?|interactive|entertainment|publish(ing|er)|digital|media|productions?)"
-_DEV_NODES = f"""(SELECT RowId, p, list(DISTINCT k) AS ks FROM (
-    SELECT RowId, p, {_KEYS} AS k FROM {_DEV_ITEMS} i1 UNION SELECT RowId, p, regexp_replace({_KEYS}, ' {_GENERIC}$', '') FROM {_DEV_ITEMS} i2)
+
+
+def company_nodes(columns: dict[str, str]) -> str:
+    """(RowId, p, ks): company keys and their variants of every provider."""
+    listed = f"(SELECT RowId, p, unnest(v) AS x FROM ({_long(columns)}))"
+    return f"""(SELECT RowId, p, list(DISTINCT k) AS ks FROM (
+    SELECT RowId, p, {_KEYS} AS k FROM {listed} i1 UNION SELECT RowId, p, regexp_replace({_KEYS}, ' {_GENERIC}$', '') FROM {listed} i2)
     WHERE k <> '' AND k NOT IN ('feral interactive', 'aspyr', 'aspyr media') GROUP BY RowId, p)"""
 
 
+def company_tags_sql(best: str, kind: str) -> str:
+    return f"""CASE WHEN {best}.RowId IS NULL OR len({best}.outliers) = 0 OR ({best}.n >= 3 AND NOT {best}.has) THEN []::VARCHAR[]
+        WHEN {best}.has THEN list_concat(['{kind}_disagree'], list_transform({best}.outliers, lambda o: '{kind}_outlier:' || o)) ELSE ['{kind}_disagree'] END"""
+
+
+SHARED_KEY = "a.p <> b.p AND list_has_any(a.ks, b.ks)"
+
+
 @query(
     "company_disagreement",
-    f"""WITH RECURSIVE src AS {duck(SOURCES)}, {component_ctes('d', _DEV_NODES, "a.p <> b.p AND list_has_any(a.ks, b.ks)", 2)}
-    SELECT src.RowId, {tag_list_sql('''CASE WHEN dbest.RowId IS NULL OR len(outliers) = 0 OR (n >= 3 AND NOT has) THEN []::VARCHAR[]
-        WHEN has THEN list_concat(['developer_disagree'], list_transform(outliers, lambda o: 'developer_outlier:' || o))
-        ELSE ['developer_disagree'] END''')} AS tags FROM src LEFT JOIN dbest ON dbest.RowId = src.RowId""",
+    f"""WITH RECURSIVE src AS {duck(SOURCES)}, {component_ctes('d', company_nodes(_DEVELOPERS), SHARED_KEY, 2)}
+    SELECT src.RowId, {tag_list_sql(company_tags_sql('dbest', 'developer'))} AS tags FROM src LEFT JOIN dbest ON dbest.RowId = src.RowId""",
 )
 def company_disagreement(spark, sf):
     sets = {p: f"__{p}" for p in _DEVELOPERS}
@@ -206,23 +218,24 @@ def company_majorities(spark, sf):
 
 
 _CANON = {"Steam": "Steam_Name", "RAWG": "RAWG_Name", "IGDB": "IGDB_Name", "HLTB": "HLTB_Name"}
+CANON_CTE = f"""ct AS (SELECT RowId, pi, p, trim(v) AS title, {s.norm('v')} AS nrm FROM ({_long(_CANON)}) WHERE trim(v) <> ''),
+    cg AS (SELECT RowId, nrm, count(*) AS c, min(pi) AS best, arg_min(title, pi) AS title, arg_min(p, pi) AS source,
+        string_agg(p, '+' ORDER BY p) AS sources FROM ct GROUP BY RowId, nrm),
+    canon AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY RowId ORDER BY c DESC, best) AS rn FROM cg) WHERE rn = 1)"""
 
 
 @query(
     "canonical_titles",
-    f"""WITH src AS {duck(SOURCES)}, t AS (SELECT RowId, pi, p, trim(v) AS title, {s.norm('v')} AS nrm FROM ({_long(_CANON)}) WHERE trim(v) <> ''),
-    g AS (SELECT RowId, nrm, count(*) AS c, min(pi) AS best, arg_min(title, pi) AS title, arg_min(p, pi) AS source,
-        string_agg(p, '+' ORDER BY p) AS sources FROM t GROUP BY RowId, nrm),
-    r AS (SELECT *, row_number() OVER (PARTITION BY RowId ORDER BY c DESC, best) AS rn FROM g)
+    f"""WITH src AS {duck(SOURCES)}, {CANON_CTE}
     SELECT src.RowId, coalesce(title, '') AS title, coalesce(source, '') AS source, CAST(coalesce(c, 0) AS INT) AS n,
-        CASE WHEN c >= 2 THEN sources ELSE '' END AS sources FROM src LEFT JOIN r ON r.RowId = src.RowId AND rn = 1""",
+        CASE WHEN c >= 2 THEN sources ELSE '' END AS sources FROM src LEFT JOIN canon ON canon.RowId = src.RowId""",
 )
 def canonical_titles(spark, sf):
     df = spark_frame(spark, sf, SOURCES).withColumn("c", canonical_title(_CANON))
     return df.select("RowId", F.col("c.title").alias("title"), F.col("c.source").alias("source"), F.col("c.count").alias("n"), F.col("c.sources").alias("sources"))
 
 
-_GENRES = {"igdb": "IGDB_Genres", "rawg": "RAWG_Genres", "wikidata": "Wikidata_Publishers", "steam": "Steam_Tags"}
+_GENRES = {"igdb": "IGDB_Genres", "rawg": "RAWG_Genres", "wikidata": "Wikidata_Genres", "steam": "Steam_Tags"}
 
 
 @query(

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from catalith.functions.company import normalize_company
@@ -10,7 +12,9 @@ from catalith.operators.consensus import provider_consensus
 from catalith.operators.keys import ensure_row_ids
 from catalith.operators.profile import path_types
 from catalith.operators.series import launch_sums, trailing_sums
+from catalith.sources import envelope as ev
 from catalith.sources.envelope import json_document
+from catalith.sources.registry import default_registry
 
 
 def test_any_number_of_legal_suffixes(spark):
@@ -66,3 +70,50 @@ def test_metric_keys_of_unregistered_columns():
         "IGDB_": "igdb.value", "Reach Composite-ABCDef": "derived.reach_composite_abcdef", "Wikidata_Größe": "wikidata.grösse", "a__b": "derived.a_b",
     }
     assert {c: auto_metric_key(c) for c in cases} == cases
+
+
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    good = '{"row_id": "r", "personal": {"Name": "' + "x" * 300 + '"}}'
+    names = {"a.jsonl": {3, 700, 2000}, "b.jsonl": {1}, "c.jsonl": set()}
+    for name, bad in names.items():
+        lines = [("[1]" if k % 2 else "not json") if k in bad else "" if k % 11 == 0 else good for k in range(1, 2001)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = ev.broken_lines(spark, str(tmp_path)).collect()
+        assert {(r["file"].rsplit("/", 1)[1], r["line"]) for r in rows} == {(n, k) for n, bad in names.items() for k in bad}
+        with pytest.raises(ValueError, match=r"line 3 in .*a.jsonl: \[1\]"):
+            ev.read_envelope_strict(spark, str(tmp_path))
+        assert ev.read_envelope_strict(spark, str(tmp_path / "c.jsonl")).count() == 2000 - 2000 // 11
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_loader_checks_types_while_it_reads(spark, tmp_path):
+    (tmp_path / "jsonl").mkdir()
+    (tmp_path / "x.csv").write_text("RowId,Name,RAWG_ID\nr1,,\n")
+    lines = tmp_path / "jsonl" / "x.jsonl"
+    lines.write_text('{"row_id": "r1", "personal": {"Name": "Doom"}, "pins": {}, "metrics": {"rawg.year": "2016"}}\n')
+    names = {"personal": ["Name"], "pins": ["RAWG_ID"]}
+    with pytest.raises(ValueError, match="rawg.year expected int, got STRING"):
+        ev.load_catalog(spark, f"{tmp_path}/x.csv", default_registry(), names)
+    lines.write_text('{"row_id": "r1", "personal": {}, "pins": {}, "metrics": {"rawg.year": 2016}}\n')
+    from_lines = ev.load_catalog(spark, f"{tmp_path}/x.csv", default_registry(), names).select("RowId", "Name", "RAWG_ID").collect()
+    assert from_lines == ev.load_catalog(spark, f"{tmp_path}/x.csv", default_registry(), use_lines=False).collect()
+
+
+def test_profile_is_one_scan_and_one_shuffle(spark):
+    docs = spark.createDataFrame([('{"a": [1, 2.5, null, true, "x", {"late": 1}], "b": {}}',), ("[]",), (None,)], "t string").select(F.parse_json("t").alias("payload"))
+    got = {r["path"]: r["types"] for r in path_types(docs).collect()}
+    assert got == {"<root>": ["dict", "list"], "a": ["list"], "a[]": ["bool", "float", "int", "null", "str"], "b": ["dict"]}
+    assert path_types(docs)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_launch_windows_by_running_sums(spark):
+    days = [("a", f"2024-01-{d:02d}", d) for d in (1, 5, 30, 31)] + [("a", "2023-12-31", 1000), ("a", "2024-02-20", 7), ("b", "2024-01-10", 9)]
+    series = spark.createDataFrame(days, "k string, d string, views bigint").select("k", F.to_date("d").alias("day"), "views")
+    releases = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-11"), ("c", "2024-01-01"), ("d", "2024-09-09")], "k string, d string")
+    out = launch_sums(series, releases.select("k", F.to_date("d").alias("release")), "k", F.lit("2024-02-25").cast("date")).collect()
+    assert {tuple(r) for r in out} == {("a", 36, 74), ("b", 0, 0), ("c", 0, 0)}
+    plan = launch_sums(series, releases.select("k", F.to_date("d").alias("release")), "k", F.lit("2024-02-25").cast("date"))
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
