@@ -2,9 +2,9 @@
 
 Documents with one set are one class. Classes that are alike are linked to a leader first, found by equal minimum hashes. Then every class posts the
 front of its tokens, in one order for all sets, to an index; pairs meet at a token that both hold in front. Skipped are: tokens of one
-component only; blocks of a token's list whose sizes or positions cannot reach the threshold; pairs whose token parities differ by too
-much; and pairs that the answers of their leaders decide (Jaccard distance is a metric, so a set near its leader has nearly its leader's
-distances). What is left is computed from the whole texts.
+component only; blocks of a token's list whose sizes or positions cannot reach the threshold; and pairs whose token parities differ by too
+much. Classes that the pairs left open hold together are a group. There each set is taken as its differences to a leader, and a pair's answer is
+derived from the leader's and the two differences, all out of whole texts. A group's links leave as one edge per class.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ class JaccardConfig:
     """Two sets link when ``per`` * intersection >= ``share`` * union. ``words`` make a shingle.
 
     ``front`` is the part of the token space in which common tokens are put behind rare ones; a token is common when more than ``common`` classes hold it.
-    Rows of an index list beyond ``block`` are dealt in blocks. ``front``, ``common``, ``block`` and ``memory`` (words a worker remembers) change the work,
-    never the result.
+    Rows of an index list beyond ``block`` are dealt in blocks, and groups to compare in parts of ``members``. ``front``, ``common``, ``block``, ``members`` and
+    ``memory`` (words a worker remembers) change the work, never the result.
     """
 
     words: int = 5
@@ -43,6 +43,7 @@ class JaccardConfig:
     common: int = 16
     rounds: int = 4
     block: int = 8192
+    members: int = 2048
     memory: int = 1 << 20
 
 
@@ -240,22 +241,25 @@ def index_blocks(entries: DataFrame, config: JaccardConfig) -> DataFrame:
     return rows.withColumn("block_a", F.least("own", "other")).withColumn("block_b", F.greatest("own", "other")).drop("other", "common")
 
 
-def candidate_pairs(blocks: DataFrame, odd: DataFrame, config: JaccardConfig) -> DataFrame:
-    """(a, b), a < b: classes of different components that meet at a token where size, places and parities (``odd``: sid, odd) allow a link.
+def open_groups(blocks: DataFrame, odd: DataFrame, config: JaccardConfig) -> DataFrame:
+    """(group, sid): classes that pairs left open hold together; every pair that may link, and whose classes are of different components, is in a group.
 
-    Pairs are made and tried inside the workers, so only those that pass become rows.
+    Pairs are made and tried inside the workers: those that meet at a token and whose sizes, places and parities (``odd``: sid, odd) allow a link are open. What
+    leaves a worker is not the pairs but who is joined by them, a row per class; a group of more than ``members`` classes goes out as all pairs of its parts. The
+    same classes joined at several tokens are one group, so it is compared once.
     """
     rows = blocks.join(odd, "sid").repartition("token", "block_a", "block_b").sortWithinPartitions("token", "block_a", "block_b", "n", "sid")
     share, per = config.share, config.per
 
-    def work(t: pa.Table, seen: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    def open_pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         sid, comp, n, place, own, near = (t[c].to_numpy(zero_copy_only=False) for c in ("sid", "comp", "n", "place", "own", "near"))
         keys = np.stack([t[c].to_numpy() for c in ("token", "block_a", "block_b")], 1)
         two = keys[:, 1] != keys[:, 2]
         odd = t["odd"].to_pylist()
         starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)])
         words = parity_rows(odd)
-        found = []
+        wide = np.fromiter((len(v) > words.shape[1] * 8 for v in odd), bool, len(odd))
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i, j in run_pairs(starts, np.r_[starts[1:], len(sid)], 200_000):
             room = n[i] + n[j] - 2 * -(-share * (n[i] + n[j]) // (share + per))
             small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
@@ -263,28 +267,134 @@ def candidate_pairs(blocks: DataFrame, odd: DataFrame, config: JaccardConfig) ->
             i, j, room = i[fits], j[fits], room[fits]
             close = np.bitwise_count(words[i] ^ words[j]).sum(1, dtype=np.int64) <= room
             i, j, room = i[close], j[close], room[close]
-            for a, b, x, y, most in zip(sid[i].tolist(), sid[j].tolist(), i.tolist(), j.tolist(), room.tolist(), strict=True):
-                pair = (a, b) if a < b else (b, a)
-                if pair in seen:
-                    continue
-                seen.add(pair)
-                if len(odd[x]) > words.shape[1] * 8 and len(odd[y]) > words.shape[1] * 8:
-                    both = parity_rows([odd[x], odd[y]])
-                    if np.bitwise_count(both[0] ^ both[1]).sum() > most:
-                        continue
-                found.append(pair)
-        return found
+            for k in np.flatnonzero(wide[i] & wide[j]):
+                both = parity_rows([odd[i[k]], odd[j[k]]])
+                close_too = np.bitwise_count(both[0] ^ both[1]).sum() <= room[k]
+                if not close_too:
+                    i[k] = j[k]
+            left.append(i[i != j])
+            right.append(j[i != j])
+        return np.concatenate(left), np.concatenate(right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
         for t in finished_groups(batches, ("token", "block_a", "block_b")):
+            i, j = open_pairs(t)
+            if not len(i):
+                continue
             if len(seen) > 100_000:
                 seen.clear()
-            found = work(t, seen)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            groups, sids = [], []
+            for members in _clusters(t["sid"].to_numpy(), i, j):
+                parts = np.array_split(members, -(-len(members) // config.members))
+                for a, one in enumerate(parts):
+                    for other in parts[a + 1 :] or ([one] if len(parts) == 1 else []):
+                        both = one if other is one else np.concatenate([one, other])
+                        name = xxhash.xxh3_64_intdigest(both.tobytes()) >> 1
+                        if name not in seen:
+                            seen.add(name)
+                            groups.append(np.full(len(both), name, np.int64))
+                            sids.append(both)
+            if groups:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (groups, sids)], names=["group", "sid"])
+
+    return rows.mapInArrow(run, "group bigint, sid bigint").distinct()
+
+
+def _joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest row that each of ``n`` rows is joined to by pairs."""
+    label = np.arange(n)
+    while True:
+        before, low = label.copy(), np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+def _clusters(sid: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[np.ndarray]:
+    """Sorted distinct sids of each set of rows that pairs join."""
+    label = _joined(len(sid), i, j)
+    held = np.unique(np.concatenate([i, j]))
+    order = held[np.argsort(label[held], kind="stable")]
+    cuts = np.flatnonzero(np.diff(label[order])) + 1
+    for rows in np.split(order, cuts):
+        yield np.unique(sid[rows])
+
+
+class _Group:
+    """Classes of a group by what sets them apart from its first class, the leader: (tokens of the leader that they lack, tokens that they have beyond it).
+
+    With ``L`` the leader's set, a pair's intersection is |L| - |L - B| - |L - C| + the tokens that the two differences share: what the leader's set answers for
+    both is not looked at again.
+    """
+
+    def __init__(self, leader: np.ndarray) -> None:
+        self.leader, self.sids, self.sizes, self.lacks, self.apart = leader, [], [], [], []
+
+    def add(self, sid: int, tokens: np.ndarray) -> None:
+        apart = np.setxor1d(self.leader, tokens, assume_unique=True)
+        self.sids.append(sid)
+        self.sizes.append(len(tokens))
+        self.lacks.append((len(self.leader) + len(apart) - len(tokens)) // 2)
+        self.apart.append(apart)
+
+    def edges(self, config: JaccardConfig) -> tuple[list[int], list[int]]:
+        """One edge for each class that links, to the first class that links join it to."""
+        m = len(self.sids)
+        sizes, lacks = np.array(self.sizes), np.array(self.lacks)
+        flat = np.concatenate(self.apart) if m else np.zeros(0, np.uint64)
+        _, token = np.unique(flat, return_inverse=True)
+        owner = np.repeat(np.arange(m), [len(v) for v in self.apart])
+        order = np.argsort(token, kind="stable")
+        lists = np.searchsorted(token[order], np.arange(token.max(initial=-1) + 2))
+        ends = np.cumsum([0, *[len(v) for v in self.apart]])
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for row in range(m - 1):
+            own = token[ends[row] : ends[row + 1]]
+            from_, count = lists[own], lists[own + 1] - lists[own]
+            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(from_, count)
+            shared = np.bincount(owner[order[at]], minlength=m)
+            both = len(self.leader) - lacks[row] - lacks + shared
+            linked = np.flatnonzero(config.per * both >= config.share * (sizes[row] + sizes - both))
+            linked = linked[linked > row]
+            left.append(np.full(len(linked), row))
+            right.append(linked)
+        i, j = np.concatenate(left), np.concatenate(right)
+        label = _joined(m, i, j)
+        held = np.flatnonzero(label != np.arange(m))
+        sids = np.array(self.sids, np.int64)
+        return sids[label[held]].tolist(), sids[held].tolist()
+
+
+def group_links(groups: DataFrame, texts: DataFrame, config: JaccardConfig) -> DataFrame:
+    """(a, b): edges that join what links inside each of ``groups`` (group, sid), out of whole ``texts`` (sid, text); one per class and group at most.
+
+    A worker reads a group class by class and keeps differences to the leader only, never all texts.
+    """
+    rows = groups.join(texts, "sid").select("group", "sid", "text").repartition("group").sortWithinPartitions("group", "sid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, group = None, None
 
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+        def finished() -> pa.RecordBatch:
+            a, b = group.edges(config)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in small_batches(batches, "text"):
+            column = batch.column(2)
+            for i, (g, sid) in enumerate(zip(values(batch, "group"), values(batch, "sid"), strict=True)):
+                tokens = shingle_set(column[i].as_py(), config)
+                if g != name:
+                    if group is not None:
+                        yield finished()
+                    name, group = g, _Group(tokens)
+                group.add(sid, tokens)
+        if group is not None:
+            yield finished()
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
 
 
 def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -307,54 +417,29 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     same_key = rows.where("n_shingles > 0").select(key, "digest").distinct().join(classes.select("digest", "sid"), "digest")
     first = same_key.groupBy(key).agg(F.min("sid").alias("a"), F.max("sid").alias("z")).where("a <> z").select(key, "a")
     links = same_key.join(first, key).select("a", F.col("sid").alias("b"))
-    comps, texts, answered = None, None, []
+    comps, answered = None, []
     for draw in range(config.rounds):
         pairs = stored(leader_candidates(classes, comps, draw, config), "leader-pairs")
-        if texts is None:
-            texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")), classes, key, text)
+        texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")), classes, key, text)
         answered.append(stored(compare_texts(pairs, texts, config), "leader-answers"))
-        discard(pairs)
+        discard(pairs, texts)
         stars = answered[-1].where(_links(config, F.col("both"), F.col("na"), F.col("nb")))
         if draw and stars.isEmpty():
             break
         links = links.unionByName(stars.select("a", "b"))
         comps = stored(components(links), "components")
-    discard(texts)
-    compared = answered[0]
-    for more in answered[1:]:
-        compared = compared.unionByName(more)
-    stars = compared.where(_links(config, F.col("both"), F.col("na"), F.col("nb")))
-    far = (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far")
-    leaders = stored(stars.select("b", F.struct(far, F.col("a").alias("lead")).alias("near")).groupBy("b").agg(F.min("near").alias("near")), "leaders")
     release()
 
     # Pairs that the index brings together.
     known = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
     entries = stored(front_entries(known, config), "entries")
     release()
-    met = stored(candidate_pairs(index_blocks(entries, config), classes.select("sid", "odd"), config), "met")
+    met = stored(open_groups(index_blocks(entries, config), classes.select("sid", "odd"), config), "open-groups")
     discard(entries)
-
-    # Leaders' answers first, then the pairs that they leave open.
-    near = leaders.select(F.col("b").alias("sid"), F.col("near.lead").alias("lead"), F.col("near.far").alias("far"))
-    side = lambda s: near.select(F.col("sid").alias(s), F.col("lead").alias(f"lead_{s}"), F.col("far").alias(f"far_{s}"))
-    led = met.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    la, lb = F.coalesce("lead_a", "a"), F.coalesce("lead_b", "b")
-    led = stored(led.select(
-        "a", "b", F.least(la, lb).alias("u"), F.greatest(la, lb).alias("v"), (F.coalesce("far_a", F.lit(0.0)) + F.coalesce("far_b", F.lit(0.0))).alias("far")
-    ), "led")
-    texts = texts_of(docs, led.select(F.explode(F.array("a", "b", "u", "v")).alias("sid")), classes, key, text)
-    heads = led.select(F.col("u").alias("a"), F.col("v").alias("b")).where("a <> b").distinct()
-    answers = stored(compare_texts(heads, texts, config), "head-answers")
-    linked = _links(config, F.col("both"), F.col("na"), F.col("nb"))
-    joined = stored(_contracted(answers.where(linked), comps), "joined")
-    apart = answers.select(F.col("a").alias("u"), F.col("b").alias("v"), far.alias("apart"))
-    open_pairs = led.where("a <> u or b <> v").where("not (a = v and b = u)").join(apart, ["u", "v"], "left")
-    open_pairs = open_pairs.where(F.col("apart").isNull() | (F.col("apart") <= 1 - config.share / config.per + F.col("far") + 1e-9))
-    open_pairs = _different(open_pairs.select("a", "b"), comps, joined)
-    more = stored(compare_texts(open_pairs, texts, config), "open-answers")
-    final = stored(_contracted(answers.where(linked).select("a", "b").unionByName(more.where(linked).select("a", "b")), comps), "joined")
-    discard(met, led, texts)
+    texts = texts_of(docs, met, classes, key, text)
+    more = stored(group_links(met, texts, config), "group-links")
+    final = stored(_contracted(more, comps), "joined")
+    discard(met, texts)
     release()
 
     # Every row's component by its class.
@@ -366,7 +451,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     labels = stored(ids.join(lowest, "comp").select(F.col("digest").alias("_digest"), "component_id"), "labels")
     result = rows.join(labels, (F.col("digest") == F.col("_digest")) & F.col(key).isNotNull(), "left")
     result = stored(result.select(key, "n_shingles", F.coalesce("component_id", F.col(key)).alias("component_id")), "similar")
-    discard(rows, classes, *answered, leaders, comps, answers, joined, more, final, ids, labels)
+    discard(rows, classes, *answered, comps, more, final, ids, labels)
     return result
 
 
@@ -384,10 +469,3 @@ def _ends(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     side = lambda s: comps.select(F.col("node").alias(s), F.col("component").alias(f"of_{s}"))
     both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
     return both.select("a", "b", F.coalesce("of_a", "a").alias("ca"), F.coalesce("of_b", "b").alias("cb"))
-
-
-def _different(pairs: DataFrame, comps: DataFrame, joined: DataFrame) -> DataFrame:
-    """The pairs whose ends are not yet in one component."""
-    side = lambda s: joined.select(F.col("node").alias(f"c{s}"), F.col("component").alias(f"of_{s}"))
-    both = _ends(pairs, comps).join(side("a"), "ca", "left").join(side("b"), "cb", "left")
-    return both.where(F.coalesce("of_a", "ca") != F.coalesce("of_b", "cb")).select("a", "b")

@@ -1,8 +1,9 @@
 import random
 
-from brute import jaccard
+import numpy as np
+from brute import jaccard, smallest_reachable
 
-from catalith.llm.jaccard import JaccardConfig, similar_documents
+from catalith.llm.jaccard import JaccardConfig, _Group, shingle_set, similar_documents
 
 
 def _found(spark, rows, schema="doc_id bigint, text string", **config):
@@ -54,3 +55,43 @@ def test_null_and_repeated_keys_and_clashing_columns(spark):
     out = similar_documents(spark.createDataFrame(rows, "doc_id bigint, text string, n string").withColumnRenamed("n", "component_id"))
     got = sorted(((r["doc_id"], r["component_id"]) for r in out.collect()), key=str)
     assert got == sorted([(None, None), (3, 1), (2, 1), (3, 1), (1, 1), (1, 1)], key=str)
+
+
+def test_answers_derived_from_a_leader():
+    """Groups of sets around one set, and sets far from it: every pair's answer equals that of the whole sets."""
+    rng = np.random.default_rng(4)
+    for spread in (3, 12, 200):
+        base = rng.choice(1 << 40, 120, replace=False).astype(np.uint64)
+        sets = []
+        for _ in range(40):
+            kept = rng.random(120) >= spread / 240
+            sets.append(np.unique(np.r_[base[kept], rng.choice(1 << 10, spread // 2).astype(np.uint64)]))
+        group = _Group(sets[7])
+        for sid, tokens in enumerate(sets):
+            group.add(sid, tokens)
+        edges = [(a, b) for a in range(40) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
+        want = smallest_reachable(range(40), edges)
+        a, b = group.edges(JaccardConfig())
+        assert smallest_reachable(range(40), list(zip(a, b))) == want and len(a) == sum(k != v for k, v in want.items())
+
+
+def test_groups_in_parts_and_rows_grow_with_classes(spark):
+    """One large group of near copies of which no two link: what leaves the workers is a row per class and token list, not per pair."""
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(130)]
+    rows = []
+    for i in range(160):
+        own = list(words)
+        for at in rng.choice(len(own) - 4, 4, replace=False):
+            own[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join(words[:100] + [f"y{i}"] * (1 if i % 2 else 2))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = None
+    for config in (JaccardConfig(), JaccardConfig(members=7, rounds=1), JaccardConfig(block=16, rounds=1)):
+        got = {r["doc_id"]: r["component_id"] for r in similar_documents(docs, config).collect()}
+        want = want or got
+        assert got == want
+    sets = {k: shingle_set(t, JaccardConfig()) for k, t in rows}
+    edges = [(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
+    assert want == smallest_reachable(list(sets), edges)
