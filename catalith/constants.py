@@ -149,6 +149,16 @@ class MatchConfig:
     package_limit: int = 10
 
 
+@dataclass(frozen=True)
+class ListLimits:
+    """How many items the lists of a payload's metrics hold at most."""
+
+    websites: int = 5
+    tags: int = 15
+    top_tags: int = 50
+    aliases: int = 20
+
+
 @dataclass(frozen=True)
 class ReportConfig:
     title_score_warn: int = 90
@@ -185,6 +195,7 @@ class SignalConfig:
 
 
 MATCHING = MatchConfig()
+LIMITS = ListLimits()
 REPORT = ReportConfig()
 REVIEW = ReviewConfig()
 SIGNALS = SignalConfig()

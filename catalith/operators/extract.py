@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalith.constants import RELEASE_PROPERTY, LINK_PROPERTIES
+from catalith.constants import LIMITS, LINK_PROPERTIES, RELEASE_PROPERTY, ListLimits
 from catalith.functions.company import split_company_list
 from catalith.functions.lists import clean_list, distinct_labels, strings, text
 from catalith.functions.parse import (
@@ -94,7 +94,7 @@ def rawg_metrics(p: Column) -> dict[str, Column]:
     }
 
 
-def igdb_metrics(p: Column) -> dict[str, Column]:
+def igdb_metrics(p: Column, limits: ListLimits = LIMITS) -> dict[str, Column]:
     involved = F.filter(variant_at(p, "$.involved_companies", _INVOLVED), lambda x: text(x["company"]["name"]) != "")
 
     def role(name: str) -> Column:
@@ -115,7 +115,7 @@ def igdb_metrics(p: Column) -> dict[str, Column]:
         "igdb.name": _text(p, "$.name"),
         "igdb.year": year_from_epoch(_int(p, "$.first_release_date")).cast("bigint"),
         "igdb.summary": truncate(variant_at(p, "$.summary", "string"), 500, 500, "…"),
-        "igdb.websites": F.slice(F.array_distinct(clean_list(_field(p, "$.websites", "url"))), 1, 5),
+        "igdb.websites": F.slice(F.array_distinct(clean_list(_field(p, "$.websites", "url"))), 1, limits.websites),
         **parents,
         **{f"igdb.{k}": _names(p, f"$.{field}") for k, field in lists.items()},
         "igdb.cross_ids.steam_app_id": store_id_from_external(variant_at(p, "$.external_games", _EXTERNAL)),
@@ -167,7 +167,7 @@ def tag_cloud(tags: Column, limit: int) -> Column:
     return F.slice(F.transform(kept, lambda e: F.struct(e["name"].alias("tag"), (-e["c"]).alias("count"))), 1, limit)
 
 
-def steamspy_metrics(p: Column) -> dict[str, Column]:
+def steamspy_metrics(p: Column, limits: ListLimits = LIMITS) -> dict[str, Column]:
     def num(field: str) -> Column:
         return int_from_text(variant_at(p, f"$.{field}"))
 
@@ -192,9 +192,9 @@ def steamspy_metrics(p: Column) -> dict[str, Column]:
         "steamspy.developer": _text(p, "$.developer"),
         "steamspy.publisher": _text(p, "$.publisher"),
         "steamspy.popularity.tags": F.coalesce(
-            distinct_labels(F.transform(tag_cloud(tags, 15), lambda t: t["tag"])), strings(())
+            distinct_labels(F.transform(tag_cloud(tags, limits.tags), lambda t: t["tag"])), strings(())
         ),
-        "steamspy.popularity.tags_top": tag_cloud(tags, 50),
+        "steamspy.popularity.tags_top": tag_cloud(tags, limits.top_tags),
     }
 
 
@@ -290,22 +290,22 @@ def alternative_names(p: Column) -> Column:
     return F.array_distinct(clean_list(_field(p, "$.alternative_names", "name")))
 
 
-def entity_aliases(p: Column, language: str = "en", limit: int = 20) -> Column:
+def entity_aliases(p: Column, language: str = "en", limit: int = LIMITS.aliases) -> Column:
     """First aliases of one language, distinct."""
     return F.array_distinct(F.slice(clean_list(_field(p, f"$.aliases.{language}", "value")), 1, limit))
 
 
 EXTRACTORS = {
-    "rawg": lambda p, _id: rawg_metrics(p),
-    "igdb": lambda p, _id: igdb_metrics(p),
-    "steam": steam_metrics,
-    "steamspy": lambda p, _id: steamspy_metrics(p),
-    "hltb": lambda p, _id: hltb_metrics(p),
-    "wikidata": lambda p, _id: wikidata_metrics(p),
+    "rawg": lambda p, _id, _limits=LIMITS: rawg_metrics(p),
+    "igdb": lambda p, _id, limits=LIMITS: igdb_metrics(p, limits),
+    "steam": lambda p, id_, _limits=LIMITS: steam_metrics(p, id_),
+    "steamspy": lambda p, _id, limits=LIMITS: steamspy_metrics(p, limits),
+    "hltb": lambda p, _id, _limits=LIMITS: hltb_metrics(p),
+    "wikidata": lambda p, _id, _limits=LIMITS: wikidata_metrics(p),
 }
 
 
-def extract(payloads: DataFrame, provider: str, registry: Registry) -> DataFrame:
+def extract(payloads: DataFrame, provider: str, registry: Registry, limits: ListLimits = LIMITS) -> DataFrame:
     """Payload table ``(id, payload)`` to the provider's registered columns, keyed by ``id``."""
     known = payloads.where(F.col("payload").isNotNull())
-    return apply_registry(known, EXTRACTORS[provider](F.col("payload"), F.col("id")), registry).drop("payload", "provider")
+    return apply_registry(known, EXTRACTORS[provider](F.col("payload"), F.col("id"), limits), registry).drop("payload", "provider")

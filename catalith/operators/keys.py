@@ -22,6 +22,17 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spr
     return keyed.join(target, F.col("__k") == F.col("__rk"), "left").drop("__k", "__rk")
 
 
+def lookup_stored(left: DataFrame, store: DataFrame, left_key: str, right_key: str, spread_by: str) -> DataFrame:
+    """:func:`lookup` in a large table that is laid out by its key (``sources.tables.stored_payloads``), which is not shuffled.
+
+    The distinct pins, reduced before they are shuffled, meet the table where it lies; only what they find is joined to the rows. So a pin that a third of the
+    rows holds is asked once, and the table costs its scan.
+    """
+    asked = left.select(blank_to_null(F.col(left_key)).alias("__asked")).where("__asked is not null").distinct()
+    found = asked.join(store, F.col("__asked") == F.col(right_key)).drop("__asked")
+    return lookup(left, found, left_key, right_key, spread_by)
+
+
 def occurrence_number(df: DataFrame, keys: list[str], order: str, out: str = "occ", chunk_rows: int = 1_000_000) -> DataFrame:
     """Number the rows of each key from 0 in ``order`` (an integer ordinal), without one task per key.
 

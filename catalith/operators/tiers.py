@@ -10,6 +10,7 @@ from catalith.functions.company import fold_key, is_porting_label, normalize_com
 from catalith.functions.lists import clean_list, text
 from catalith.operators.keys import first_n
 from catalith.operators.signals import COMPANY_PROVIDERS, Inputs
+from catalith.session import materialize
 from catalith.sources.registry import Registry
 from catalith.sources.tables import tier_dimension
 
@@ -84,6 +85,8 @@ def collect_tiers(
     wanted = labels.where(
         wanted_normalized(F.col("company"), F.col("__n"), F.col("company_key"), include_porting_labels) & (F.col("company_key") != "")
     )
+    # Written once: the tally and the examples both ask for the names, whose accents are folded in Arrow.
+    wanted = materialize(wanted, "labels")
     tally = wanted.groupBy("kind", "company_key").agg(
         F.sum("n").alias("n"), F.min("ord").alias("first_ord"), F.min_by("__n", "ord").alias("label")
     )

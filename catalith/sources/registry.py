@@ -77,16 +77,20 @@ def registry_from_spec(spec: dict) -> Registry:
     return registry
 
 
-def load_registry(path: str) -> Registry:
-    """Registry from a JSON file, or from YAML where a YAML reader is installed."""
-    with open(path, encoding="utf-8") as f:
-        if path.endswith((".yaml", ".yml")):
-            try:
-                import yaml
-            except ImportError as e:
-                raise RuntimeError("reading YAML registries needs a YAML package; JSON needs none") from e
-            return registry_from_spec(yaml.safe_load(f) or {})
-        return registry_from_spec(json.load(f))
+def load_registry(path: str, spark: SparkSession | None = None) -> Registry:
+    """Registry from a JSON file, or from YAML where a YAML reader is installed. With ``spark`` the path may be of any file system that Spark reads."""
+    if spark is None:
+        with open(path, encoding="utf-8") as f:
+            raw = f.read()
+    else:
+        raw = "\n".join(r.value for r in spark.read.text(path).collect())  # one small document
+    if not path.endswith((".yaml", ".yml")):
+        return registry_from_spec(json.loads(raw))
+    try:
+        import yaml
+    except ImportError as e:
+        raise RuntimeError("reading YAML registries needs a YAML package; JSON needs none") from e
+    return registry_from_spec(yaml.safe_load(raw) or {})
 
 
 # Registered metrics as key: (column, type).

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from catalith.constants import PIN_COLUMNS, PROVIDER_PREFIX
 from catalith.functions.company import fold_key, normalize_company
 from catalith.functions.lists import is_blank, is_tag_list, strip, tag_pairs, text
+from catalith.session import shared_dir
 from catalith.operators.columns import provider_columns
 
 
@@ -124,6 +127,17 @@ def payload_rows(files: DataFrame, provider: str) -> DataFrame:
     )
 
 
+def stored_payloads(payloads: DataFrame, buckets: int = 64, key: str = "id") -> DataFrame:
+    """Payload rows as a table laid out by id, written once to the shared folder: look-ups by id find it partitioned and sorted (see ``keys.lookup_stored``).
+
+    Take about as many buckets as a look-up has shuffle partitions, or more; rows of one id lie in one bucket.
+    """
+    spark = payloads.sparkSession
+    name = f"payloads_{uuid.uuid4().hex}"
+    payloads.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", shared_dir(spark, "payloads")).saveAsTable(name)
+    return spark.table(name)
+
+
 def query_rows(files: DataFrame, provider: str) -> DataFrame:
     """Stored searches as ``(provider, query, pos, hit)``; a search without hits keeps one row with ``hit`` NULL."""
     doc = F.from_json("value", "by_query map<string, array<variant>>")

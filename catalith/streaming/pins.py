@@ -72,6 +72,15 @@ def task_totals(tasks: DataFrame, time: str, delay: str, keys: list[str], window
     return marked.groupBy(F.window(time, window), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def trailing_totals(rows: DataFrame, key: str, time: str, value: str, days: int, delay: str) -> DataFrame:
+    """Sums of ``value`` per key over the last ``days`` days, for every day: sliding event-time windows that close when the watermark passes their end.
+
+    A row that comes late still counts in the windows that are open, and in none that is closed. State is one sum per key and open window.
+    """
+    sliding = F.window(F.col(time), f"{days} days", "1 day").alias("window")
+    return rows.withWatermark(time, delay).groupBy(sliding, key).agg(F.sum(value).alias(value))
+
+
 def append_output(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Write a stream to Parquet until the available files are used up."""
     return (

@@ -5,7 +5,7 @@ from catalith.workload.registry import ORACLES, QUERIES
 
 def load() -> None:
     """Import every query module, which fills the two tables above."""
-    from catalith.workload import artifacts, companies, enrichment, extraction, imports, joins, matching, quality, schema, scores, series, streams, texts, votes  # noqa: F401
+    from catalith.workload import artifacts, companies, enrichment, extraction, imports, joins, matching, metrics, quality, schema, scores, series, streams, texts, votes  # noqa: F401
 
 
 __all__ = ["ORACLES", "QUERIES", "load"]

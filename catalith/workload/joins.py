@@ -13,10 +13,12 @@ from catalith.operators.columns import (
     is_processed,
 )
 from catalith.operators.crosswalk import infer_store_ids, linked_labels, resolve_by_ids, store_id_from_external
-from catalith.operators.keys import duplicate_ids, ensure_row_ids, keep_ids, last_per_key, lookup, missing_rows
+from catalith.operators.keys import duplicate_ids, ensure_row_ids, keep_ids, last_per_key, lookup, lookup_stored, missing_rows
 from catalith.operators.overlay import carry_columns, overlay_providers, sync_back, sync_envelope, with_recomputed
 from catalith.plans.imports import carry_by_occurrence, match_queries
-from catalith.sources.tables import identity_overrides, work_list
+from catalith.session import shared_dir
+from catalith.sources.buckets import read_buckets, sync_buckets, write_buckets
+from catalith.sources.tables import identity_overrides, stored_payloads, work_list
 from catalith.workload.frames import SOURCES, duck, spark_frame, table
 from catalith.workload.registry import query
 
@@ -139,6 +141,17 @@ def payload_lookup(spark, sf):
     return out.select("row_id", "pin", "l_suppkey", F.coalesce("p_name", F.lit("")).alias("p_name"), F.coalesce("p_brand", F.lit("")).alias("p_brand"))
 
 
+@query(
+    "stored_payload_lookup",
+    f"SELECT row_id, pin, l_suppkey, coalesce(p_name, '') AS p_name, coalesce(p_brand, '') AS p_brand FROM {duck(_PINNED)} LEFT JOIN {duck(_PAYLOADS)} ON pin = id",
+)
+def stored_payload_lookup(spark, sf):
+    """The same pins looked up in a payload table that is laid out by id and does not move."""
+    store = stored_payloads(spark_frame(spark, sf, _PAYLOADS), 16)
+    out = lookup_stored(spark_frame(spark, sf, _PINNED), store, "pin", "id", "row_id")
+    return out.select("row_id", "pin", "l_suppkey", F.coalesce("p_name", F.lit("")).alias("p_name"), F.coalesce("p_brand", F.lit("")).alias("p_brand"))
+
+
 _OLD = "SELECT 's' || CAST(s_suppkey AS STRING) AS RowId, s_name AS Name, '' AS Disabled, 'n' || CAST(s_nationkey AS STRING) AS Notes, CAST(s_suppkey AS STRING) AS RAWG_ID, 'tags' AS ReviewTags FROM {supplier}"
 _EDIT = """SELECT 's' || CAST(s_suppkey + 20 AS STRING) AS RowId, s_name || ' edited' AS Name, '' AS Disabled, CASE WHEN s_suppkey % 2 = 0 THEN '' ELSE 'kept' END AS Notes,
     CAST(s_suppkey AS STRING) AS RAWG_ID, 'p' AS Steam_Name, '9' AS Reach_Composite, CAST(s_acctbal AS STRING) AS MyRating FROM {supplier}"""
@@ -155,6 +168,27 @@ def sync_catalog(spark, sf):
     return sync_back(spark_frame(spark, sf, _OLD), spark_frame(spark, sf, _EDIT_SQL), "disable", {"ReviewTags"}, {"Reach_Composite"})
 
 
+_TWICE = "CASE WHEN s_suppkey % 50 = 0 THEN ' twice' ELSE '' END"
+
+
+@query(
+    "sync_by_change",
+    f"""SELECT coalesce(o.RowId, e.RowId) AS RowId, CASE WHEN e.RowId IS NULL THEN o.Name ELSE e.Name || more END AS Name, CASE WHEN e.RowId IS NULL THEN 'YES' ELSE e.Disabled END AS Disabled,
+    CASE WHEN e.RowId IS NULL THEN o.Notes ELSE e.Notes END AS Notes, CASE WHEN e.RowId IS NULL THEN o.RAWG_ID ELSE e.RAWG_ID END AS RAWG_ID,
+    coalesce(e.MyRating, '') AS MyRating FROM {duck(_OLD)} o FULL JOIN
+    (SELECT x.*, {_TWICE} AS more FROM {duck(_EDIT_SQL)} x JOIN supplier ON x.RowId = 's' || (s_suppkey + 20)) e ON e.RowId = o.RowId""",
+)
+def sync_by_change(spark, sf):
+    """Two edits of a catalog in buckets, of which the second differs in a few rows: only their buckets are read and written."""
+    path = shared_dir(spark, "buckets")
+    write_buckets(spark_frame(spark, sf, _OLD), path, 64)
+    first = spark_frame(spark, sf, _EDIT_SQL)
+    again = F.when((F.substring("RowId", 2, 20).cast("int") - 20) % 50 == 0, F.concat("Name", F.lit(" twice"))).otherwise(F.col("Name"))
+    sync_buckets(spark, path, first, 64, {"ReviewTags"}, {"Reach_Composite"})
+    sync_buckets(spark, path, first.withColumn("Name", again), 64, {"ReviewTags"}, {"Reach_Composite"})
+    return read_buckets(spark, path).select("RowId", "Name", "Disabled", "Notes", "RAWG_ID", "MyRating")
+
+
 @query(
     "sync_envelope",
     f"""SELECT e.RowId AS row_id, e.Name AS name, e.Notes AS notes, e.RAWG_ID AS rawg_id, coalesce(o.Name, '') AS old_metric, coalesce(o.Notes, '') AS untouched

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from catalith.session import shared_dir
 from catalith.sources import envelope as ev
-from catalith.sources.registry import default_registry
+from catalith.sources.registry import default_registry, load_registry
 from catalith.sources.tables import payload_rows, read_csv, rendered, write_csv
 from catalith.workload.frames import SOURCES, duck, spark_frame, table
 from catalith.workload.registry import query
@@ -70,6 +72,36 @@ def export_json(spark, sf):
     )
 
 
+_COUNTED = {
+    "RAWG_RatingsCount": "rawg.ratings_count", "IGDB_CriticScoreCount": "igdb.critic_score_count", "HLTB_Main": "hltb.time.main", "Steam_Name": "steam.name",
+    "IGDB_Genres": "igdb.genres", "RAWG_HypeScore2024": "rawg.hype_score_2024", "SteamSpy_Tier-Name": "steamspy.tier_name",
+}
+_FILLED = {
+    "Steam_Name": "nullif(Steam_Name, '')", "RAWG_HypeScore2024": "CASE WHEN p_size % 3 > 0 THEN 1 END", "SteamSpy_Tier-Name": "CASE WHEN p_size % 4 = 1 THEN 1 END",
+}
+
+
+@query(
+    "metric_coverage",
+    " UNION ALL ".join(
+        f"SELECT '{key}' AS metric_key, count({_FILLED.get(c, c)}) AS filled, {'false' if c in ('RAWG_HypeScore2024', 'SteamSpy_Tier-Name') else 'true'} AS registered FROM {duck(SOURCES)}"
+        for c, key in _COUNTED.items()
+    ),
+)
+def metric_coverage(spark, sf):
+    """How many rows fill each metric, by a registry read from a file; columns that it does not map go by keys derived from their names."""
+    registry, path = default_registry(), shared_dir(spark, "registry")
+    spec = {"version": 2, "metrics": {k: {"column": c, "type": t} for k, (c, t) in registry.by_key.items()}}
+    spark.createDataFrame([(json.dumps(spec),)], "value string").coalesce(1).write.text(path)
+    loaded = load_registry(path, spark)
+    extra = {"RAWG_HypeScore2024": F.when(F.col("p_size") % 3 > 0, "high").otherwise(" "), "SteamSpy_Tier-Name": F.when(F.col("p_size") % 4 == 1, "A")}
+    wide = spark_frame(spark, sf, SOURCES).withColumns(extra).select("RowId", "Name", *[f"`{c}`" for c in _COUNTED])
+    keys = F.map_keys(F.try_variant_get("metrics", "$", "map<string,variant>"))
+    counts = ev.to_envelope(wide, loaded, all_metrics=True).select(F.explode(keys).alias("metric_key")).groupBy("metric_key").agg(F.count("*").alias("filled"))
+    known = loaded.frame(spark).select("metric_key", F.lit(True).alias("registered"))
+    return counts.join(known, "metric_key", "left").select("metric_key", "filled", F.coalesce("registered", F.lit(False)).alias("registered"))
+
+
 _METRICS = """SELECT 'e' || CAST(event_id AS STRING) AS row_id, CASE event_id % 5 WHEN 0 THEN '{{"rawg.ratings_count": 3, "rawg.name": "x"}}'
     WHEN 1 THEN '{{"rawg.ratings_count": "3"}}' WHEN 2 THEN '{{"rawg.ratings_count": 3.0, "hltb.time.main": true}}' WHEN 3 THEN '{{"igdb.genres": "a", "unknown.key": 1}}'
     ELSE '[1]' END AS metrics FROM {events}"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalith.session import shared_dir
-from catalith.streaming.pins import append_output, distinct_tasks, drained, enrich_batches, fresh_pins, latest_view, read_stream, task_totals
+from catalith.streaming.pins import append_output, distinct_tasks, drained, enrich_batches, fresh_pins, latest_view, read_stream, task_totals, trailing_totals
 from catalith.workload.frames import table
 from catalith.workload.registry import query
 
@@ -82,3 +82,21 @@ def stream_restart(spark, sf):
         enrich_batches(read_stream(spark, source, pins.schema), titles, "pin", "event_id", out, state, done).awaitTermination()
     rows = spark.read.parquet(out).where("p_name is not null")
     return rows.select(F.col("event_id").cast("bigint").alias("event_id"), "pin", "p_name", (F.col("batch") + 1).cast("int").alias("run"))
+
+
+@query(
+    "stream_trailing_views",
+    """WITH e AS (SELECT *, event_id % 3 = 0 AS late FROM events), w AS (SELECT max(ts) FILTER (NOT late) - INTERVAL 1 HOUR AS first, max(ts) - INTERVAL 1 HOUR AS last FROM e),
+    d AS (SELECT event_type, late, date_trunc('day', ts) - to_days(k::INT) AS start FROM e, range(7) r(k))
+    SELECT strftime(start, '%Y-%m-%d') AS day, event_type, count(*) AS views FROM d, w
+    WHERE start + INTERVAL 7 DAY <= last AND (NOT late OR start + INTERVAL 7 DAY > first) GROUP BY ALL""",
+)
+def stream_trailing_views(spark, sf):
+    """Views of the last seven days for every day. A third of the rows comes in a second run: too late for the windows that the first run has closed."""
+    source, out, state = (shared_dir(spark, n) for n in ("views", "trailing", "trailing-state"))
+    rows = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.lit(1).cast("long").alias("views"))
+    for late in (False, True):
+        rows.where((F.col("event_id") % 3 == 0) == late).drop("event_id").write.mode("append").parquet(source)
+        sums = trailing_totals(read_stream(spark, source, rows.drop("event_id").schema), "event_type", "ts", "views", 7, "1 hour")
+        append_output(sums.select(F.col("window.start").alias("start"), "event_type", "views"), out, state).awaitTermination()
+    return spark.read.parquet(out).select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "views")

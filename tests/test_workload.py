@@ -18,7 +18,9 @@ NAMES = (
     "normalize_documents", "series_numbers", "text_numbers", "company_names", "company_tally", "production_tiers", "year_votes", "platform_votes",
     "provider_agreement", "canonical_titles", "reach_scores", "rating_scores", "enriched_scores", "best_matches", "select_rawg", "overlay_providers",
     "occurrence_carry", "row_ids", "sync_catalog", "linked_labels", "extract_rawg", "extract_wikidata", "launch_views", "dense_days", "import_tags",
-    "review_queue", "envelope_round_trip", "export_cells", "stream_enrichment", "stream_task_totals",
+    "review_queue", "envelope_round_trip", "export_cells", "stream_enrichment", "stream_task_totals", "catalog_from_lines", "catalog_from_csv", "json_array",
+    "title_search", "imported_catalog", "resolve_actions", "resolved_catalog", "majority_titles", "validation_report", "broken_lines", "json_profile", "metric_coverage",
+    "stored_payload_lookup", "stream_trailing_views", "rawg_metrics", "igdb_metrics", "steam_metrics", "steamspy_metrics", "hltb_metrics", "wikidata_metrics", "pageview_metrics",
 )
 
 
