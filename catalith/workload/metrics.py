@@ -7,16 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalith.constants import DEPRECATED_COLUMNS, LINK_PROPERTIES
+from catalith.constants import LINK_PROPERTIES
 from catalith.functions.lists import is_tag_list
 from catalith.operators.extract import EXTRACTORS, extract, wikidata_frame
 from catalith.operators.series import last_day
-from catalith.plans.enrich import PIN_OF, enrich, with_pageviews
-from catalith.session import materialize
+from catalith.plans.enrich import with_pageviews
 from catalith.sources.registry import default_registry
 from catalith.workload.extraction import _ORDER, _named, _payload
 from catalith.workload.frames import duck, spark_frame
-from catalith.workload.registry import ORACLES, query
+from catalith.workload.registry import query
 
 
 def _plain(df, columns: list[str]):
@@ -36,14 +35,9 @@ def _plain(df, columns: list[str]):
     return df.select(*out)
 
 
-#: Body of each provider's payloads, by the functions registered below.
-_BODIES: dict[str, Callable[[], dict[str, Column]]] = {}
-
-
 def _all_metrics(provider: str, body: Callable[[], dict[str, Column]], metrics: dict[str, str]) -> None:
     """Register ``<provider>_metrics``: ``metrics`` gives each registered key's value in SQL over :data:`_ORDER`."""
     columns = {default_registry().column(key): sql for key, sql in metrics.items()}
-    _BODIES[provider] = body
 
     @query(f"{provider}_metrics", "SELECT CAST(o_orderkey AS VARCHAR) AS id, " + ", ".join(f'{v} AS "{c}"' for c, v in columns.items()) + f" FROM {duck(_ORDER)}")
     def run(spark, sf):
@@ -166,7 +160,7 @@ _SPY_NUMBERS = {
 def _steamspy() -> dict[str, Column]:
     k, price = F.col("k"), F.col("price")
     numbers = {field: F.when(k != n % 5, (price + n).cast("string")).otherwise("n/a") for n, field in enumerate(_SPY_NUMBERS.values())}
-    tags = F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.struct(F.concat(F.lit("t"), i.cast("string")), (i * 10 + k).cast("string")))
+    tags = F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: F.struct(F.concat(F.lit("t"), i.cast("string")), (i * 10 + k).cast("string")))
     return {
         "owners": _cat(_s("price"), " .. ", (price * 2).cast("string")), **numbers, "positive": price, "negative": F.when(k != 0, F.col("o_custkey")),
         "developer": _cat("D ", _s("o_custkey")), "publisher": F.when(k != 3, F.lit("P")), "tags": F.map_from_entries(tags),
@@ -178,8 +172,8 @@ _all_metrics("steamspy", _steamspy, {
     "steamspy.positive": "price::DOUBLE", "steamspy.negative": "CASE WHEN k = 0 THEN -1 ELSE o_custkey END::DOUBLE",
     "steamspy.score_100": "CASE WHEN k = 0 OR price + o_custkey = 0 THEN -1.0 ELSE round_even(price / (price + o_custkey)::DOUBLE * 100.0::DOUBLE, 0) END",
     "steamspy.developer": "'D ' || o_custkey", "steamspy.publisher": "CASE WHEN k = 3 THEN '' ELSE 'P' END",
-    "steamspy.popularity.tags": "array_to_string(list_transform(range(60, 45, -1), lambda i: 't' || i), '|')",
-    "steamspy.popularity.tags_top": "array_to_string(list_transform(range(60, 10, -1), lambda i: 't' || i || '=' || (i * 10 + k)), '|')",
+    "steamspy.popularity.tags": "array_to_string(list_transform(range(6, 0, -1), lambda i: 't' || i), '|')",
+    "steamspy.popularity.tags_top": "array_to_string(list_transform(range(6, 0, -1), lambda i: 't' || i || '=' || (i * 10 + k)), '|')",
 })
 
 
@@ -282,45 +276,3 @@ def pageview_metrics(spark, sf):
     out = with_pageviews(frame, series, summaries, registry, last_day(series)).withColumn("id", _s("id"))
     keys = ("pageviews_30d", "pageviews_90d", "pageviews_365d", "pageviews_first_30d", "pageviews_first_90d", "summary", "thumbnail", "page_url")
     return _plain(out, [registry.column(f"wikipedia.{key}") for key in keys])
-
-
-_PINNED = """SELECT o_orderkey, 'o' || CAST(o_orderkey AS STRING) AS RowId, 'Order ' || CAST(o_orderkey AS STRING) AS Name, CASE WHEN o_orderkey % 13 = 12 THEN 'YES' ELSE '' END AS Disabled,
-    CASE WHEN o_orderkey % 7 = 0 THEN '' WHEN o_orderkey % 11 = 0 THEN '__NOT_FOUND__' ELSE CAST(o_orderkey AS STRING) END AS RAWG_ID,
-    CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE CAST(o_orderkey AS STRING) END AS IGDB_ID, CASE WHEN o_orderkey % 4 = 1 THEN '' ELSE CAST(o_orderkey AS STRING) END AS Steam_AppID,
-    CASE WHEN o_orderkey % 5 = 2 THEN '' ELSE CAST(o_orderkey AS STRING) END AS HLTB_ID, CASE WHEN o_orderkey % 6 = 3 THEN '' ELSE CAST(o_orderkey AS STRING) END AS Wikidata_QID
-    FROM {orders}"""
-_VISITS = "SELECT 'Page ' || CAST(l_orderkey AS STRING) AS article, CAST(l_shipdate AS DATE) AS day, count(*) AS views FROM {lineitem} GROUP BY l_orderkey, CAST(l_shipdate AS DATE)"
-_FILLED = [
-    c for c, _type in (v for key, v in default_registry().by_key.items() if key.split(".")[0] in PIN_OF) if c not in PIN_OF.values() and c not in DEPRECATED_COLUMNS
-]
-_NUMBERS = {c for c, kind in default_registry().by_key.values() if kind in ("int", "float")}
-
-
-def _shown_or(c: str) -> str:
-    return f'coalesce("{c}", {"-1.0" if c in _NUMBERS else "''"}) AS "{c}"'
-
-
-_TAKEN = " ".join(
-    f"LEFT JOIN (SELECT * EXCLUDE (id), id AS {p}_key FROM ({ORACLES[f'{p}_metrics']})) {p} ON {p}_key = c.{pin} AND c.Disabled <> 'YES'" for p, pin in PIN_OF.items()
-)
-_VIEWED = ", ".join(f"CASE WHEN wikidata_key IS NULL OR 'Page ' || wikidata_key NOT IN (SELECT article FROM s) THEN -1 ELSE coalesce((SELECT sum(views) FROM s WHERE article = 'Page ' || wikidata_key AND day > last - {n}), 0) END::DOUBLE AS views_{n}" for n in (30, 90, 365))
-
-
-@query(
-    "enriched_orders",
-    f"""WITH s AS {duck(_VISITS)}, l AS (SELECT max(day) AS last FROM s)
-    SELECT c.RowId AS id, {', '.join(_shown_or(c) for c in _FILLED)}, {_VIEWED},
-    CASE WHEN steam_key IS NOT NULL THEN 'AA' WHEN rawg_key IS NOT NULL THEN 'Indie'
-        WHEN igdb_key IS NOT NULL OR coalesce("Wikidata_Developers", '') <> '' OR coalesce("Wikidata_Publishers", '') <> '' THEN 'Unknown' ELSE '' END AS "Production_Tier"
-    FROM {duck(_PINNED)} c CROSS JOIN l {_TAKEN}""",
-)
-def enriched_orders(spark, sf):
-    """The whole enrichment: six providers' metrics by their pins, page views, and the tier of the companies named; not found and switched-off rows stay bare."""
-    registry = default_registry()
-    payloads = {p: _payload(spark, sf, body()) for p, body in (_BODIES | {"wikidata": _wikidata}).items()}
-    tiers = spark.createDataFrame([("publisher", "B", "AA"), ("developer", "shared, Inc.", "Indie")], "kind string, label string, tier string")
-    series = spark_frame(spark, sf, _VISITS)
-    catalog = spark_frame(spark, sf, _PINNED).drop("o_orderkey")
-    out = enrich(catalog, payloads, registry, "all", tiers=tiers, labels=spark_frame(spark, sf, _LABELS), series=series, as_of=last_day(series))
-    shown = _plain(materialize(out.withColumn("id", F.col("RowId")), "enriched"), [*_FILLED, *[registry.column(f"wikipedia.pageviews_{n}d") for n in (30, 90, 365)], "Production_Tier"])
-    return shown.withColumnsRenamed({registry.column(f"wikipedia.pageviews_{n}d"): f"views_{n}" for n in (30, 90, 365)})
