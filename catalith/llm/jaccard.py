@@ -421,8 +421,10 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     for draw in range(config.rounds):
         pairs = stored(leader_candidates(classes, comps, draw, config), "leader-pairs")
         texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")), classes, key, text)
+        release()
         answered.append(stored(compare_texts(pairs, texts, config), "leader-answers"))
         discard(pairs, texts)
+        release()
         stars = answered[-1].where(_links(config, F.col("both"), F.col("na"), F.col("nb")))
         if draw and stars.isEmpty():
             break
@@ -437,6 +439,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     met = stored(open_groups(index_blocks(entries, config), classes.select("sid", "odd"), config), "open-groups")
     discard(entries)
     texts = texts_of(docs, met, classes, key, text)
+    release()
     more = stored(group_links(met, texts, config), "group-links")
     final = stored(_contracted(more, comps), "joined")
     discard(met, texts)
