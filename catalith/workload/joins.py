@@ -86,7 +86,7 @@ def resume_carry(spark, sf):
 
 
 _NOW = "SELECT p_partkey AS ord, p_name AS Name, CASE WHEN p_size % 4 = 0 THEN 'pin' ELSE '' END AS RAWG_ID FROM {part}"
-_BEFORE = "SELECT p_size * 1000000 + p_partkey AS ord, p_name AS Name, 'rid:' || CAST(p_partkey AS STRING) AS RowId, p_brand AS RAWG_ID FROM {part}"
+_BEFORE = "SELECT CAST(p_size AS BIGINT) * 1000000000000 + p_partkey AS ord, p_name AS Name, 'rid:' || CAST(p_partkey AS STRING) AS RowId, p_brand AS RAWG_ID FROM {part}"
 
 
 @query(
