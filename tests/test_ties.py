@@ -39,3 +39,13 @@ def test_ordinals_of_many_parts_stay_apart(same):
     parts = "SELECT * REPLACE (i + 1000000 * (2 - s) AS p_partkey, 'ring' AS p_name, s::INT AS p_size) FROM (SELECT * FROM small_part LIMIT 1), range(40) t(i), range(1, 3) u(s)"
     con = same("occurrence_carry", part=parts)
     assert con.execute(f"SELECT count(*), count(DISTINCT ord) FROM {duck(_BEFORE)}").fetchone() == (80, 80)
+
+
+@pytest.mark.parametrize("name", ["tiered_companies", "production_tiers", "company_tally"])
+def test_last_label_of_a_company_key_gives_its_tier(same, name):
+    """Supplier 185 has the labels 'Supplier 185' (Indie) and 'Supplier 185 Inc' (AA); the last one in label order stands."""
+    same(
+        name,
+        supplier="SELECT * REPLACE (185 AS s_suppkey) FROM small_supplier LIMIT 1",
+        lineitem="SELECT * REPLACE (185 AS l_suppkey, 'N' AS l_returnflag) FROM small_lineitem LIMIT 200",
+    )
