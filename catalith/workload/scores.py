@@ -195,15 +195,22 @@ def document_keywords(spark, sf):
 
 @query(
     "weighted_ratings",
-    """SELECT l_suppkey, CAST(round_even((sum(CASE WHEN l_discount > 0 THEN l_quantity * l_discount END)
-        / sum(CASE WHEN l_discount > 0 THEN l_discount END))::DOUBLE, 0) AS BIGINT) AS rating
-    FROM lineitem GROUP BY l_suppkey HAVING sum(CASE WHEN l_discount > 0 THEN l_discount END) > 0""",
+    """SELECT l_suppkey, CAST(round_even(num::DOUBLE / (den * 100)::DOUBLE, 0) AS BIGINT) AS rating FROM
+    (SELECT l_suppkey, sum(CAST(round(l_quantity * 100) AS BIGINT) * CAST(round(l_discount * 100) AS BIGINT)) AS num,
+        sum(CAST(round(l_discount * 100) AS BIGINT)) AS den FROM lineitem WHERE l_discount > 0 GROUP BY l_suppkey) WHERE den > 0""",
 )
 def weighted_ratings(spark, sf):
-    """Weighted average in long form: rows are votes, weights at or below zero do not count."""
-    votes = table(spark, sf, "lineitem").where(F.col("l_discount") > 0)
-    sums = votes.groupBy("l_suppkey").agg(F.sum(F.col("l_quantity") * F.col("l_discount")).alias("num"), F.sum("l_discount").alias("den"))
-    return sums.where("den > 0").select("l_suppkey", half_even(F.col("num") / F.col("den")).alias("rating"))
+    """Weighted average in long form: rows are votes, weights at or below zero do not count.
+
+    Votes and weights have two decimals and are added up as hundredths: sums of doubles depend on their order, and so would an average that ends in .5.
+    """
+
+    def hundredths(c):
+        return F.round(F.col(c) * 100).cast("bigint")
+
+    votes = table(spark, sf, "lineitem").where(F.col("l_discount") > 0).select("l_suppkey", hundredths("l_quantity").alias("v"), hundredths("l_discount").alias("w"))
+    sums = votes.groupBy("l_suppkey").agg(F.sum(F.col("v") * F.col("w")).alias("num"), F.sum("w").alias("den"))
+    return sums.where("den > 0").select("l_suppkey", half_even(F.col("num") / (F.col("den") * 100)).alias("rating"))
 
 
 @query(

@@ -49,3 +49,12 @@ def test_last_label_of_a_company_key_gives_its_tier(same, name):
         supplier="SELECT * REPLACE (185 AS s_suppkey) FROM small_supplier LIMIT 1",
         lineitem="SELECT * REPLACE (185 AS l_suppkey, 'N' AS l_returnflag) FROM small_lineitem LIMIT 200",
     )
+
+
+def test_average_at_one_half_does_not_depend_on_order(same):
+    """(1 * 0.01 + 2 * 0.01) / 0.02 and their like end in .5; sums of doubles miss it, by an amount that depends on the order."""
+    rows = "SELECT * REPLACE (i // 3 AS l_suppkey, (i // 3 % 40 + [0, 1, 2][i % 3 + 1] * 0.5)::DOUBLE AS l_quantity, [0.07, 0.01, 0.07][i % 3 + 1]::DOUBLE AS l_discount)"
+    con = same("weighted_ratings", lineitem=f"{rows} FROM (SELECT * FROM small_lineitem LIMIT 1), range(600) t(i)")
+    exact = "round_even((sum((l_quantity * 10)::HUGEINT * (l_discount * 100)::HUGEINT) / (10 * sum((l_discount * 100)::HUGEINT)))::DOUBLE, 0)::BIGINT"
+    want = con.execute(f"SELECT l_suppkey, {exact} FROM lineitem GROUP BY 1 ORDER BY 1").fetchall()
+    assert con.execute(f"SELECT l_suppkey, rating FROM ({workload.ORACLES['weighted_ratings']}) ORDER BY 1").fetchall() == want
