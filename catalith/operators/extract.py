@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalith.constants import LIMITS, LINK_PROPERTIES, RELEASE_PROPERTY, ListLimits
 from catalith.functions.company import split_company_list
-from catalith.functions.lists import clean_list, distinct_labels, strings, text
+from catalith.functions.lists import bind, clean_list, distinct_labels, strings, text
 from catalith.functions.parse import (
     claim_date,
     claim_year,
@@ -44,12 +44,14 @@ def _int(p: Column, path: str) -> Column:
 
 def _names(p: Column, path: str) -> Column:
     """Names of a list of objects, or of a list of strings, or of one object."""
-    many = F.transform(variant_at(p, path, _NAMED), lambda x: x["name"])
-    one = variant_at(p, f"{path}.name", "string")
-    plain = F.when(
-        F.schema_of_variant(variant_at(p, path)) == "ARRAY<STRING>", variant_at(p, path, "array<string>")
-    )
-    return distinct_labels(F.coalesce(plain, many, F.when(one.isNotNull(), F.array(one))))
+
+    def found(v: Column) -> Column:
+        many = F.transform(variant_at(v, "$", _NAMED), lambda x: x["name"])
+        one = variant_at(v, "$.name", "string")
+        plain = F.when(F.schema_of_variant(v) == "ARRAY<STRING>", variant_at(v, "$", "array<string>"))
+        return F.coalesce(plain, many, F.when(one.isNotNull(), F.array(one)))
+
+    return distinct_labels(bind(variant_at(p, path), found))
 
 
 def _strings(p: Column, path: str) -> Column:

@@ -17,7 +17,8 @@ _ORDER = """SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(y
 
 
 def _payload(spark, sf, fields: dict):
-    df = spark_frame(spark, sf, _ORDER)
+    """Payloads of all orders. Small rows become long work, so they are dealt to all cores first: a file of a few MB is one split."""
+    df = spark_frame(spark, sf, _ORDER).repartition(4 * spark.sparkContext.defaultParallelism)
     body = F.struct(*[v.alias(k) for k, v in fields.items()])
     return df.select(F.col("o_orderkey").cast("string").alias("id"), F.parse_json(F.to_json(body)).alias("payload"))
 

@@ -114,3 +114,11 @@ def test_search_text_and_labels(one):
     assert one(lambda: t.first_store_id(F.col("w")), w=["https://a/b", "https://store/app/620/", "https://store/app/7"]) == "620"
     assert one(lambda: t.drop_cyrillic(F.col("w")), w=["RPG", "Экшен"]) == ["RPG"]
     assert one(lambda: t.normalize_tag(F.col("s")), s="Hack & Slash (Co-op)") == "hack and slash co-op"
+
+
+def test_items_of_a_list_are_computed_once(spark):
+    """A list's expression stands in the plan of its labels once, outside the lambda that compares spellings."""
+    rows = spark.createDataFrame([("a, A,b,, B ,c",), (None,)], "t string")
+    out = rows.select(distinct_labels(F.split(F.col("t"), ",")).alias("labels"))
+    assert [r["labels"] for r in out.collect()] == [["a", "b", "c"], []]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
