@@ -37,6 +37,7 @@ from catalith.functions.text import (
 )
 from catalith.operators.keys import first_n
 from catalith.operators.matching import best_per_group, pick_best, preference, rank_key, score_candidates
+from catalith.session import materialize
 
 
 def _is_dlc(title: Column) -> Column:
@@ -230,7 +231,8 @@ def select_store(
         | ~F.coalesce(F.col("valid_game"), F.lit(True))
         | (q_nums != c_nums)
     )
-    first = first.withColumn("suspicious", suspicious).drop("__id", "d_name", "d_type", "d_date")
+    # Written once: the second look and the choice both start from the first picks, each with the plan of all before it.
+    first = materialize(first.withColumn("suspicious", suspicious).drop("__id", "d_name", "d_type", "d_date"), "store-first")
 
     tops = first.where("suspicious").select("row_id", F.col("code").alias("top_code"))
     survivors = cand.join(tops, "row_id").where(F.col("code") == F.col("top_code"))
@@ -238,7 +240,7 @@ def select_store(
     sampled = with_details(sample.select("row_id", "query_text", "year_hint", "id", "pos")).where(d_type == "game")
     sampled = sampled.where(query_dlc | ~d_dlc).withColumn("d_year", year_in_text(F.col("d_date")))
     second = pick_best(
-        sampled, ["row_id"], "query_text", "d_name", "id", ["id", "d_name", "d_year"], "year_hint", "d_year",
+        materialize(sampled, "store-second"), ["row_id"], "query_text", "d_name", "id", ["id", "d_name", "d_year"], "year_hint", "d_year",
         legacy_tiebreak=legacy_tiebreak, pos="pos",
     ).select("row_id", F.col("id").alias("id2"), F.col("d_name").alias("name2"), F.col("score").alias("score2"))
 

@@ -58,3 +58,10 @@ def test_average_at_one_half_does_not_depend_on_order(same):
     exact = "round_even((sum((l_quantity * 10)::HUGEINT * (l_discount * 100)::HUGEINT) / (10 * sum((l_discount * 100)::HUGEINT)))::DOUBLE, 0)::BIGINT"
     want = con.execute(f"SELECT l_suppkey, {exact} FROM lineitem GROUP BY 1 ORDER BY 1").fetchall()
     assert con.execute(f"SELECT l_suppkey, rating FROM ({workload.ORACLES['weighted_ratings']}) ORDER BY 1").fetchall() == want
+
+
+def test_store_selection_hands_the_driver_a_short_plan(spark):
+    """First picks and second-look candidates are written once; the final plan held both of their plans again and again (239,247 characters)."""
+    workload.load()
+    plan = workload.QUERIES["select_store"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 120_000
