@@ -8,6 +8,8 @@ aggregate, combined map-side before the shuffle; no group is ever gathered.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +25,7 @@ from catalith.functions.text import (
     tokens,
 )
 from catalith.operators.keys import first_n
+from catalith.session import materialize
 
 NO_ID = 10**18
 NO_DELTA = 10**9
@@ -64,6 +67,46 @@ def score_bounds(q: Column, c: Column, qt: Column, ct: Column) -> tuple[Column,
     return least, most
 
 
+def once_per_pair(df: DataFrame, columns: list[str], add: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``df`` with what ``add`` derives from ``columns`` alone, derived once for each distinct combination of them.
+
+    Titles repeat in candidates: many rows ask for a name, and a record answers many. ``df`` is written once; its combinations, reduced before they are
+    shuffled, are judged and stored, and what was found is merged back. Both sides of that join are plain shuffles, so a combination that many rows hold is
+    split by adaptive skew handling. A hash goes before the texts, so that sorting compares numbers.
+    """
+    stored = materialize(df, "candidates")
+    found = add(stored.select(*columns).distinct())
+    side = materialize(found, "pairs").select(
+        F.xxhash64(*columns).alias("__pair"), *[F.col(c).alias(f"__same_{c}") for c in columns], *[c for c in found.columns if c not in columns]
+    )
+    same = F.xxhash64(*columns) == F.col("__pair")
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"__same_{c}"))
+    return stored.join(side.hint("merge"), same).drop("__pair", *[f"__same_{c}" for c in columns])
+
+
+def title_facts(df: DataFrame, query: str, name: str, prefix: str = "m_") -> DataFrame:
+    """Ranking facts that hang on the two titles alone: series points, add-on flag, differences, points for a leading title; and the normalised titles and words."""
+    q, c = f"{prefix}q", f"{prefix}c"
+    out = df.withColumns({q: normalize_title(F.col(query)), c: normalize_title(F.coalesce(F.col(name), F.lit("")))})
+    out = out.withColumns(
+        {f"{prefix}qt": F.array_distinct(tokens(F.col(q))), f"{prefix}ct": F.array_distinct(tokens(F.col(c)))}
+    )
+    qt, ct = F.col(f"{prefix}qt"), F.col(f"{prefix}ct")
+    q_has, c_has = has_series_number(F.col(q)), has_series_number(F.col(c))
+    apart = q_has & c_has & ~F.arrays_overlap(match_series_numbers(F.col(q)), match_series_numbers(F.col(c)))
+    differing = F.array_union(F.array_except(qt, ct), F.array_except(ct, qt))
+    return out.withColumns(
+        {
+            f"{prefix}series": F.when(~q_has & c_has, 15).when(apart, 20).otherwise(0),
+            f"{prefix}dlc": match_dlc_like(ct),
+            f"{prefix}year_diff": count_year_words(differing),
+            f"{prefix}differ": F.size(differing),
+            f"{prefix}leads": F.when(has_other_number(F.col(q)) & F.startswith(F.col(c), F.col(q)), 25).otherwise(0),
+        }
+    )
+
+
 def score_candidates(
     df: DataFrame,
     query: str,
@@ -73,22 +116,27 @@ def score_candidates(
     prefix: str = "m_",
     keys: list[str] | None = None,
     code: Column | None = None,
+    judge: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add the ranking facts of each (query, candidate) row: raw and adjusted score, exactness, add-on flag, differences.
 
-    ``year_hint``/``candidate_year`` are optional INT columns; a hint without a candidate year costs 8 points. With ``keys``, the groups of which only the best
-    is wanted (by ``code`` and then by adjusted score), a candidate whose greatest possible score is below the least possible of another one of its group is
+    ``year_hint``/``candidate_year`` are optional INT columns; a hint without a candidate year costs 8 points. Pairs of titles are scored once each, together
+    with the columns that ``judge`` derives from them (see :func:`once_per_pair`). With ``keys``, the groups of which only the best is wanted (by ``code`` and
+    then by adjusted score), rows are scored instead, and a candidate whose greatest possible score is below the least possible of another one of its group is
     not scored: its scores are NULL. The rows of a group then meet in one task, in a window.
     """
     q, c = f"{prefix}q", f"{prefix}c"
-    out = df.withColumns({q: normalize_title(F.col(query)), c: normalize_title(F.coalesce(F.col(name), F.lit("")))})
-    out = out.withColumns(
-        {f"{prefix}qt": F.array_distinct(tokens(F.col(q))), f"{prefix}ct": F.array_distinct(tokens(F.col(c)))}
-    )
-    qt, ct = F.col(f"{prefix}qt"), F.col(f"{prefix}ct")
-    q_has, c_has = has_series_number(F.col(q)), has_series_number(F.col(c))
-    apart = q_has & c_has & ~F.arrays_overlap(match_series_numbers(F.col(q)), match_series_numbers(F.col(c)))
-    differing = F.array_union(F.array_except(qt, ct), F.array_except(ct, qt))
+    inner = [q, c, f"{prefix}qt", f"{prefix}ct"]
+    titles = list(dict.fromkeys((query, name)))
+    if keys:
+        out = title_facts(judge(df) if judge else df, query, name, prefix)
+    else:
+
+        def scored_pairs(pairs: DataFrame) -> DataFrame:
+            facts = title_facts(judge(pairs) if judge else pairs, query, name, prefix)
+            return with_scores(facts, {f"{prefix}raw": (q, c)}).drop(*inner)
+
+        out = once_per_pair(df, titles, scored_pairs)
     if year_hint and candidate_year:
         delta = F.abs(F.col(candidate_year) - F.col(year_hint))
         year_points = (
@@ -96,15 +144,7 @@ def score_candidates(
         )
     else:
         delta, year_points = F.lit(None).cast("int"), F.lit(0)
-    facts = {
-        f"{prefix}series": F.when(~q_has & c_has, 15).when(apart, 20).otherwise(0),
-        f"{prefix}dlc": match_dlc_like(ct),
-        f"{prefix}year_diff": count_year_words(differing),
-        f"{prefix}differ": F.size(differing),
-        f"{prefix}bonus": F.when(has_other_number(F.col(q)) & F.startswith(F.col(c), F.col(q)), 25).otherwise(0) + year_points,
-        f"{prefix}delta": delta.cast("int"),
-    }
-    out = out.withColumns(facts)
+    out = out.withColumns({f"{prefix}bonus": F.col(f"{prefix}leads") + year_points, f"{prefix}delta": delta.cast("int")})
     series, dlc, bonus = (F.col(f"{prefix}{k}") for k in ("series", "dlc", "bonus"))
     same_words = (F.col(f"{prefix}differ") == 0) & (series == 0) & ~dlc
 
@@ -112,17 +152,15 @@ def score_candidates(
         blended = F.greatest(raw - series - F.when(dlc, 20).otherwise(0), F.lit(0)) + bonus
         return F.when((raw >= 100) & same_words, 100).otherwise(F.greatest(F.least(blended, F.lit(100)), F.lit(0))).cast("int")
 
-    scored = c
     if keys:
-        least, most = score_bounds(F.col(q), F.col(c), qt, ct)
+        least, most = score_bounds(F.col(q), F.col(c), F.col(f"{prefix}qt"), F.col(f"{prefix}ct"))
         first = (code if code is not None else F.lit(0)).alias("code")
         out = out.withColumns({f"{prefix}low": F.struct(first, adjusted(least).alias("s")), f"{prefix}high": F.struct(first, adjusted(most).alias("s"))})
         out = out.withColumn(f"{prefix}top", F.max(f"{prefix}low").over(Window.partitionBy(*keys)))
         scored = f"{prefix}scored"
         out = out.withColumn(scored, F.when(F.col(f"{prefix}high") >= F.col(f"{prefix}top"), F.col(c)))
-        out = out.drop(f"{prefix}low", f"{prefix}high", f"{prefix}top")
+        out = with_scores(out.drop(f"{prefix}low", f"{prefix}high", f"{prefix}top"), {f"{prefix}raw": (q, scored)})
     raw = F.col(f"{prefix}raw")
-    out = with_scores(out, {f"{prefix}raw": (q, scored)})
     return out.withColumns(
         {
             f"{prefix}adjusted": F.when(raw.isNotNull(), adjusted(raw)),
@@ -199,13 +237,14 @@ def pick_best(
     legacy_tiebreak: bool = False,
     pos: str | None = None,
     prune: bool = False,
+    judge: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Best candidate per group with its adjusted (``score``) and raw (``raw_score``) scores.
 
-    ``prune`` scores only the candidates that bounds leave in question, at the price of a window over each group; for groups that are pages of hits.
+    ``judge`` adds columns that hang on the two titles alone, for ``predicates``. ``prune`` scores only the candidates that bounds leave in question, at the price of a window over each group; for groups that are pages of hits.
     """
     code = preference(*(predicates or []))
-    scored = score_candidates(df, query, name, year_hint, candidate_year, keys=keys if prune else None, code=code)
+    scored = score_candidates(df, query, name, year_hint, candidate_year, keys=keys if prune else None, code=code, judge=judge)
     order = [
         code.alias("k_code"),
         *rank_key(name, id_, F.col(pos) if pos else None, legacy_tiebreak=legacy_tiebreak),

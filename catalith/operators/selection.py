@@ -36,7 +36,7 @@ from catalith.functions.text import (
     year_in_text,
 )
 from catalith.operators.keys import first_n
-from catalith.operators.matching import best_per_group, pick_best, preference, rank_key, score_candidates
+from catalith.operators.matching import best_per_group, once_per_pair, pick_best, preference, rank_key, score_candidates
 from catalith.session import materialize
 
 
@@ -56,7 +56,7 @@ def search_hits(queries: DataFrame, hits: DataFrame, term: str = "term") -> Data
 
 
 def with_name_predicates(df: DataFrame, name: str = "cand_name", term: str = "term") -> DataFrame:
-    """Add the title predicates of a filter chain: exact, unnumbered, not an add-on, same numbers."""
+    """Add the title predicates of a filter chain: exact, unnumbered, not an add-on, asked for as an add-on, same numbers."""
     norm = df.withColumns({"__q": normalize_title(F.col(term)), "__c": normalize_title(F.col(name))})
     q, c = F.col("__q"), F.col("__c")
     q_nums, q_text = non_year_numbers(q), plain_words(q)
@@ -67,6 +67,7 @@ def with_name_predicates(df: DataFrame, name: str = "cand_name", term: str = "te
             "p_exact": c == q,
             "p_unnumbered": (q == "") | has_series_number(q) | ~has_series_number(c),
             "p_base": provider_dlc_like(tokens(q)) | ~provider_dlc_like(tokens(c)),
+            "p_addon": provider_dlc_like(tokens(q)),
             "p_numbers": ~has_other_number(q) | (F.size(q_nums) == 0) | (has_nums & shares_word),
         }
     ).drop("__q", "__c")
@@ -85,8 +86,7 @@ def select_rawg(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
     ``hits``: ``query, pos, id, cand_name, released``. The text before a colon is tried too when the full title scores
     below the minimum. Result: ``row_id, id, cand_name, score`` for accepted rows.
     """
-    cand = search_hits(rawg_terms(queries), hits).withColumn("cand_year", leading_year(F.col("released")))
-    cand = with_name_predicates(cand)
+    cand = search_hits(rawg_terms(queries), hits).withColumn("cand_year", leading_year(F.col("released"))).drop("name", "released")
     near = _near(F.col("cand_year"), F.col("year_hint"), cfg.year_tolerance)
     best = pick_best(
         cand,
@@ -100,6 +100,7 @@ def select_rawg(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
         [F.col("p_exact"), F.col("p_unnumbered"), F.col("p_base"), near, F.col("p_numbers")],
         legacy_tiebreak,
         "pos",
+        judge=with_name_predicates,
     )
     starts = F.startswith(normalize_title(F.col("cand_name")), normalize_title(F.col("term")))
     lifted = (F.col("score") < cfg.min_score) & starts & (F.size(non_year_numbers(normalize_title(F.col("term")))) > 0)
@@ -126,8 +127,7 @@ def select_igdb(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
     ``hits``: ``query, pos, id, cand_name, first_release_date (seconds), category``.
     """
     cand = search_hits(igdb_terms(queries), hits).withColumn("cand_year", year_from_epoch(F.col("first_release_date")))
-    cand = with_name_predicates(cand)
-    main = _is_dlc(F.col("term")) | F.coalesce(F.col("category").cast("string") == "0", F.lit(True))
+    main = F.col("p_addon") | F.coalesce(F.col("category").cast("string") == "0", F.lit(True))
     best = pick_best(
         cand,
         ["row_id"],
@@ -147,6 +147,7 @@ def select_igdb(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
         ],
         legacy_tiebreak,
         "pos",
+        judge=with_name_predicates,
     )
     return best.where(F.col("score") >= cfg.min_score).select("row_id", "id", "cand_name", "score")
 
@@ -319,7 +320,8 @@ def select_playtime(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATC
     ``queries`` may carry ``query`` (the search text to vary) next to ``name``; ``hits``: ``query, pos, id, cand_name``.
     Lower- and upper-case variants count only when no other variant found anything.
     """
-    cand = with_fuzzy_scores(search_hits(playtime_terms(queries), hits), {"score": ("__name", "cand_name")})
+    found = search_hits(playtime_terms(queries), hits)
+    cand = once_per_pair(found, ["__name", "cand_name"], lambda pairs: with_fuzzy_scores(pairs, {"score": ("__name", "cand_name")}))
     hit = (F.col("score") >= cfg.early_stop_score) & ~F.col("cased")
     order = [
         (~F.col("cased")).alias("plain"),
@@ -354,40 +356,45 @@ def select_entity(
     ``hits``: ``query, pos, id, label, description``; ``instances``: ``id, instance_of (list), description``. Titles
     without an accepted match are tried again with a "video game" suffix.
     """
-    picked = _entity_pick(entity_terms(queries), hits, instances, cfg, legacy_tiebreak)
-    hit = F.struct("id", "label", "score")
-    own_try = F.col("term_no") == 0
-    rows = picked.groupBy("row_id").agg(
-        F.max(F.when(own_try, F.struct("outcome", hit.alias("hit")))).alias("own"),
-        F.min(F.when(~own_try & (F.col("outcome") == "accepted"), F.struct("term_no", hit.alias("hit")))).alias("retry"),
-    )
-    result = F.when(F.col("own.outcome") == "accepted", F.col("own.hit")).when(
-        F.col("own.outcome") == "retry", F.col("retry.hit")
-    )
-    return rows.select("row_id", result.alias("r")).where("r is not null").select("row_id", "r.*")
+    terms = entity_terms(queries)
+    own = materialize(_entity_pick(terms.where("term_no = 0"), hits, instances, cfg, legacy_tiebreak), "entity-own")
+    unsettled = own.where(F.col("outcome") == "retry").select("row_id")
+    again = _entity_pick(terms.where("term_no > 0").join(unsettled, "row_id", "left_semi"), hits, instances, cfg, legacy_tiebreak)
+    retried = best_per_group(again.where(F.col("outcome") == "accepted"), ["row_id"], [-F.col("term_no")], ["id", "label", "score"])
+    return own.where(F.col("outcome") == "accepted").select("row_id", "id", "label", "score").unionByName(retried)
 
 
 def _entity_pick(terms: DataFrame, hits: DataFrame, instances: DataFrame, cfg: MatchConfig, legacy: bool) -> DataFrame:
-    inst = instances.select(
-        F.col("id").alias("__iid"), F.array_join("instance_of", ", ").alias("inst"), F.col("description").alias("ent_desc")
+    """(row_id, term_no, outcome, id, label, score) of each search."""
+    inst = text(F.array_join("instance_of", ", "))
+    demo = F.contains(F.lower(inst), F.lit("game demo")) | F.contains(F.lower(inst), F.lit("content descriptor"))
+    known = instances.select(
+        F.col("id").alias("__iid"), valid_instance(inst).alias("real"), demo.alias("demo"), (valid_instance(inst) | describes_game(F.col("description"))).alias("proof")
     )
-    cand = search_hits(terms, hits).withColumn("desc_year", year_in_text(F.col("description")))
-    cand = cand.join(inst, F.col("id") == F.col("__iid"), "left")
-    scored = score_candidates(cand, "term", "label", "year_hint", "desc_year").withColumn("score", F.col("m_adjusted"))
-    keys = ["row_id", "term_no", "term"]
+    about = F.col("description")
+    told = hits.withColumns(
+        {"game": describes_game(about), "unwanted": describes_unwanted(about), "media": describes_other_media(about), "desc_year": year_in_text(about)}
+    ).drop("description")
+    cand = search_hits(terms, told).join(known, F.col("id") == F.col("__iid"), "left")
+    cand = cand.withColumns({"known": F.col("__iid").isNotNull(), "proof": F.col("game") | F.coalesce("proof", F.lit(False))}).drop("__iid")
+    scored = score_candidates(
+        cand, "term", "label", "year_hint", "desc_year", judge=lambda pairs: pairs.withColumn("adds", adds_tokens(F.col("term"), F.col("label")))
+    ).withColumn("score", F.col("m_adjusted"))
+    keys = ["row_id", "term_no"]
     order = F.struct(*rank_key("label", "id", F.col("pos"), legacy_tiebreak=legacy))
-    row = F.struct(order.alias("k"), F.struct("id", "label", "description", "score", "inst", "ent_desc", "__iid").alias("p"))
-    game = describes_game(F.col("description"))
+    row = F.struct(order.alias("k"), F.struct("id", "label", "score", "adds", "media", "known", "demo", "proof").alias("p"))
+    # Written once: a search's tiers, its nearest labels and the best valid one of them start from the same rows.
+    scored = materialize(scored.select(*keys, "id", "pos", "m_raw", "real", "game", "unwanted", row.alias("row")), "entity-scored")
     tiers = scored.groupBy(*keys).agg(
-        F.max(F.when(game & ~describes_unwanted(F.col("description")), row)).alias("preferred"),
-        F.max(F.when(game, row)).alias("gameish"),
-        F.max(row).alias("anyone"),
-        F.max(F.when(~adds_tokens(F.col("term"), F.col("label")), row)).alias("safer"),
+        F.max(F.when(F.col("game") & ~F.col("unwanted"), F.col("row"))).alias("preferred"),
+        F.max(F.when(F.col("game"), F.col("row"))).alias("gameish"),
+        F.max("row").alias("anyone"),
+        F.max(F.when(~F.col("row.p.adds"), F.col("row"))).alias("safer"),
     )
     # Best valid instance among the ten labels nearest to the title.
-    near = first_n(scored, keys, [F.col("m_raw").desc(), F.col("pos").asc()], 10)
-    valid_ids = near.where(valid_instance(F.col("inst"))).select(*keys, "id")
-    valid = scored.join(valid_ids, [*keys, "id"], "left_semi").groupBy(*keys).agg(F.max(row).alias("valid"))
+    near = first_n(scored.select(*keys, "id", "pos", "m_raw", "real"), keys, [F.col("m_raw").desc(), F.col("pos").asc()], 10)
+    valid_ids = near.where("real").select(*keys, "id")
+    valid = scored.where("real").join(valid_ids, [*keys, "id"], "left_semi").groupBy(*keys).agg(F.max("row").alias("valid"))
     t = tiers.join(valid, keys, "left")
 
     def good(c: str) -> Column:
@@ -395,27 +402,20 @@ def _entity_pick(terms: DataFrame, hits: DataFrame, instances: DataFrame, cfg: M
 
     fallback = F.coalesce(F.col("gameish"), F.col("anyone"))
     t = t.withColumn("first", F.when(good("preferred"), F.col("preferred")).otherwise(fallback))
-    unsure = (F.col("first.p.score") < cfg.suspicious_score) & adds_tokens(F.col("term"), F.col("first.p.label"))
+    unsure = (F.col("first.p.score") < cfg.suspicious_score) & F.col("first.p.adds")
     t = t.withColumn("second", F.when(unsure & good("safer"), F.col("safer")).otherwise(F.col("first")))
-    other_media = describes_other_media(F.col("second.p.description"))
     t = t.withColumn(
         "third",
-        F.when(~other_media, F.col("second"))
+        F.when(~F.col("second.p.media"), F.col("second"))
         .when(good("valid"), F.col("valid"))
         .when(good("gameish"), F.col("gameish")),
     )
-    low = F.lower(F.coalesce(F.col("third.p.inst"), F.lit("")))
-    refused = F.contains(low, F.lit("game demo")) | F.contains(low, F.lit("content descriptor"))
+    refused = F.coalesce(F.col("third.p.demo"), F.lit(False))
     other = F.when(good("valid") & (F.col("valid.p.id") != F.col("third.p.id")), F.col("valid"))
-    evidence = (
-        valid_instance(F.col("third.p.inst"))
-        | describes_game(F.col("third.p.description"))
-        | describes_game(F.col("third.p.ent_desc"))
-    )
-    t = t.withColumns({"final": F.when(refused, other).otherwise(F.col("third")), "refused": refused, "evidence": evidence})
+    t = t.withColumns({"final": F.when(refused, other).otherwise(F.col("third")), "refused": refused, "evidence": F.col("third.p.proof")})
     outcome = (
         F.when(~good("second"), "retry")
-        .when(F.col("third.p.__iid").isNull(), "reject")
+        .when(~F.coalesce(F.col("third.p.known"), F.lit(False)), "reject")
         .when(F.col("refused"), F.when(F.col("final").isNull(), "retry").otherwise("accepted"))
         .when(F.col("evidence"), "accepted")
         .otherwise("reject")

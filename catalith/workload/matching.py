@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalith.constants import PROVIDER_DLC_TOKENS, STORE_EDITION_TOKENS
 from catalith.functions.fuzzy import with_fuzzy_scores
 from catalith.functions.text import provider_dlc_like, title_tokens
-from catalith.operators.matching import narrow, pick_best, ranked, with_alternatives
+from catalith.operators.matching import narrow, once_per_pair, pick_best, ranked, with_alternatives
 from catalith.operators.selection import select_entity, select_igdb, select_playtime, select_rawg, select_store, with_name_predicates
 from catalith.workload import sql as s
 from catalith.workload.frames import HITS, SEARCHES, TITLES, duck, spark_frame
@@ -45,8 +45,7 @@ def fuzzy_scores(spark, sf):
     SELECT row_id, id, cand_name, adj AS score, raw AS raw_score FROM r WHERE rn = 1""",
 )
 def best_matches(spark, sf):
-    """Only candidates that bounds of their scores leave in question are scored."""
-    return pick_best(_pairs(spark, sf), ["row_id"], "name", "cand_name", "id", ["id", "cand_name"], "year_hint", "cand_year", prune=True)
+    return pick_best(_pairs(spark, sf), ["row_id"], "name", "cand_name", "id", ["id", "cand_name"], "year_hint", "cand_year")
 
 
 _RANK_BY_ID = "adj DESC, raw DESC, exact DESC, id, dist, dlc, odiff, ydiff, length(cand_name)"
@@ -122,7 +121,7 @@ _STEPS["numbers"] = (
     SELECT row_id, id, cand_name, released FROM n5""",
 )
 def narrowed_candidates(spark, sf):
-    pairs = with_name_predicates(_pairs(spark, sf), "cand_name", "name")
+    pairs = once_per_pair(_pairs(spark, sf), ["name", "cand_name"], lambda titles: with_name_predicates(titles, "cand_name", "name"))
     near = F.abs(F.col("cand_year") - F.col("year_hint")) <= 2
     kept = narrow(pairs, ["row_id"], [F.col("p_exact"), F.col("p_unnumbered"), F.col("p_base"), near, F.col("p_numbers")])
     return kept.select("row_id", "id", "cand_name", "released")
