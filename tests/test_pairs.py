@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 from catalith.operators import matching, selection
+from catalith.operators.keys import lookup_stored
+from catalith.sources.tables import stored_payloads
 
 
 @pytest.fixture
@@ -49,3 +51,17 @@ def test_settled_titles_are_not_tried_again(spark, judged):
     got = sorted(selection.select_entity(queries, hits, instances).collect())
     assert [(r.row_id, r.id) for r in got] == [(0, 7), (1, 8)]
     assert judged == [3, 4]
+
+
+def test_rows_of_a_hot_pin_are_not_sorted(spark):
+    rows = spark.range(100).selectExpr("id AS row_id", "CASE WHEN id % 3 = 0 THEN '' ELSE '7' END AS pin")
+    store = stored_payloads(spark.range(20).selectExpr("CAST(id AS STRING) AS id", "id * 2 AS twice"), 4)
+    out = lookup_stored(rows, store, "pin", "id", "row_id")
+    assert sorted(tuple(r) for r in out.select("row_id", "twice").collect()) == [(i, 14 if i % 3 else None) for i in range(100)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lookup_stored(rows, store, "pin", "id", "row_id")._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "ShuffledHashJoin" in plan and "LeftOuter, BuildRight" in plan
