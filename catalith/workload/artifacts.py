@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catalith.operators.columns import drop_deprecated, drop_diagnostics, personal_base, provider_columns, reorder, select_registered
 from catalith.operators.extract import extract
@@ -51,16 +52,21 @@ _BROKEN = """WITH l AS (SELECT row_number() OVER (ORDER BY p_partkey) AS line, p
 
 @query("broken_lines", _BROKEN)
 def broken_lines(spark, sf):
-    """Line numbers of the broken lines of one file that is read in many splits."""
+    """Broken lines of one long text by their place in it. The text lies in files in order, each written by a task of its own and read in many splits."""
     k = F.col("p_partkey")
     text = F.concat(k.cast("string"), F.lit('", "personal": {"Name": "'), F.repeat(F.lit("long "), 100), F.lit('"}}'))
     line = F.when(k % 7 == 0, F.concat(F.lit('{"row_id": "'), k.cast("string"))).when(k % 7 == 3, F.concat(F.lit("["), k.cast("string"), F.lit("]")))
     line = F.when(k % 7 == 5, F.lit("  ")).otherwise(F.coalesce(line, F.concat(F.lit('{"row_id": "'), text)))
     path, size = shared_dir(spark, "broken"), spark.conf.get("spark.sql.files.maxPartitionBytes")
-    table(spark, sf, "part").select("p_partkey", line.alias("value")).orderBy("p_partkey").coalesce(1).select("value").write.text(path)
+    table(spark, sf, "part").select("p_partkey").orderBy("p_partkey").select(line.alias("value")).write.text(path)
+    # Files are named in the order of their lines; each one's first line follows the lines of the files before it.
+    files = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = materialize(files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), "broken-files")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
     try:
-        return materialize(ev.broken_lines(spark, path).select("line", "value"), "broken-lines")
+        found = ev.broken_lines(spark, path).join(files, "file")
+        return materialize(found.select((F.col("before") + F.col("line")).alias("line"), "value"), "broken-lines")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from catalith.operators import matching, selection
 from catalith.operators.keys import lookup_stored
 from catalith.sources.tables import stored_payloads
+from catalith.workload import artifacts
 
 
 @pytest.fixture
@@ -65,3 +68,16 @@ def test_rows_of_a_hot_pin_are_not_sorted(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "ShuffledHashJoin" in plan and "LeftOuter, BuildRight" in plan
+
+
+def test_a_long_text_is_written_by_many_tasks(spark, tmp_path):
+    folder, shared = str(tmp_path), Path(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(600).selectExpr("id * 3 AS p_partkey").repartition(3).write.parquet(f"{folder}/part.parquet")
+    earlier = set(shared.glob("broken-*/part-*.txt"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(r.line for r in artifacts.broken_lines(spark, folder).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == [i + 1 for i in range(600) if i * 3 % 7 in (0, 3)]
+    assert len(set(shared.glob("broken-*/part-*.txt")) - earlier) > 1
