@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ class JaccardConfig:
     """Two sets link when ``per`` * intersection >= ``share`` * union. ``words`` make a shingle.
 
     ``front`` is the part of the token space in which common tokens are put behind rare ones; a token is common when more than ``common`` classes hold it.
-    Rows of an index list beyond ``block`` are dealt in blocks, and groups to compare in parts of ``members``. ``front``, ``common``, ``block``, ``members`` and
-    ``memory`` (words a worker remembers) change the work, never the result.
+    Rows of an index list beyond ``block`` are dealt in blocks, and groups to compare in parts of ``members``. Tokens are looked for in other sets in ``passes``, a
+    share of them each. ``front``, ``common``, ``block``, ``members``, ``passes`` and ``memory`` (words a worker remembers) change the work, never the result.
     """
 
     words: int = 5
@@ -44,6 +45,7 @@ class JaccardConfig:
     rounds: int = 4
     block: int = 8192
     members: int = 2048
+    passes: int = 4
     memory: int = 1 << 20
 
 
@@ -191,17 +193,31 @@ def texts_of(docs: DataFrame, sids: DataFrame, classes: DataFrame, key: str, tex
     return stored(rows.dropDuplicates(["sid"]), "texts")
 
 
-def front_entries(classes: DataFrame, config: JaccardConfig) -> DataFrame:
-    """Entries (token, sid, comp, n, place, common) of the index: tokens in front that classes of more than one component hold.
+def shared_posts(classes: DataFrame, config: JaccardConfig) -> list[DataFrame]:
+    """Posts (token, sid, pos, common) whose token classes of more than one component hold: a stored table for each of ``passes`` shares of the tokens.
 
-    Order of tokens: the front part of the space before the rest; inside it common tokens last; then by hash. Counts per token are aggregated before
-    they are shuffled and joined back, so no task holds the list of a token.
+    Counts per token are aggregated before they are shuffled and joined back, so no task holds the list of a token. Most tokens are in one set only; a pass
+    shuffles its share of them and lets go of it before the next one starts, so never all posts are on disk at once.
     """
-    counted = classes.select("comp", F.explode("tokens").alias("token")).groupBy("token")
-    shared = counted.agg(F.count("*").alias("df"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-    posts = classes.select("sid", F.posexplode("tokens").alias("pos", "token"))
-    held = posts.join(shared.select("token", (F.col("df") > config.common).alias("common")), "token")
-    held = held.join(classes.select("sid", "comp", "n", "below"), "sid")
+    parts = []
+    for part in range(config.passes):
+        own = F.pmod("token", F.lit(config.passes)) == part
+        counted = classes.select("comp", F.explode("tokens").alias("token")).where(own).groupBy("token")
+        shared = counted.agg(F.count("*").alias("df"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+        posts = classes.select("sid", F.posexplode("tokens").alias("pos", "token")).where(own)
+        held = posts.join(shared.select("token", (F.col("df") > config.common).alias("common")), "token")
+        parts.append(stored(held.select("token", "sid", "pos", "common"), "posts"))
+        del counted, shared, posts, held
+        release()
+    return parts
+
+
+def front_entries(classes: DataFrame, posts: DataFrame, config: JaccardConfig) -> DataFrame:
+    """Entries (token, sid, comp, n, place, common) of the index: tokens in front that classes of more than one component hold, out of their ``posts``.
+
+    Order of tokens: the front part of the space before the rest; inside it common tokens last; then by hash.
+    """
+    held = posts.join(classes.select("sid", "comp", "n", "below"), "sid")
     behind = F.col("common") & (F.col("pos") < F.col("below"))
     rows = held.withColumn("behind", behind.cast("int"))
     whole = Window.partitionBy("sid")
@@ -420,6 +436,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     comps, answered = None, []
     for draw in range(config.rounds):
         pairs = stored(leader_candidates(classes, comps, draw, config), "leader-pairs")
+        release()
         texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")), classes, key, text)
         release()
         answered.append(stored(compare_texts(pairs, texts, config), "leader-answers"))
@@ -434,10 +451,13 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
 
     # Pairs that the index brings together.
     known = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
-    entries = stored(front_entries(known, config), "entries")
+    posts = shared_posts(known, config)
+    entries = stored(front_entries(known, reduce(DataFrame.unionByName, posts), config), "entries")
+    discard(*posts)
     release()
     met = stored(open_groups(index_blocks(entries, config), classes.select("sid", "odd"), config), "open-groups")
     discard(entries)
+    release()
     texts = texts_of(docs, met, classes, key, text)
     release()
     more = stored(group_links(met, texts, config), "group-links")

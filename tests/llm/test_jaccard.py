@@ -3,7 +3,7 @@ import random
 import numpy as np
 from brute import jaccard, smallest_reachable
 
-from catalith.llm.jaccard import JaccardConfig, _Group, shingle_set, similar_documents
+from catalith.llm.jaccard import JaccardConfig, _Group, shared_posts, shingle_set, similar_documents
 
 
 def _found(spark, rows, schema="doc_id bigint, text string", **config):
@@ -95,3 +95,25 @@ def test_groups_in_parts_and_rows_grow_with_classes(spark):
     sets = {k: shingle_set(t, JaccardConfig()) for k, t in rows}
     edges = [(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
     assert want == smallest_reachable(list(sets), edges)
+
+
+def test_posts_in_passes(spark):
+    """A pass over its share of the tokens stores the posts of that share; posts and results do not change with their number."""
+    rows = [(i, i % 50, [i % 40, 100 + i % 7, *range(1000 * i + 1000, 1000 * i + 1400)]) for i in range(400)]
+    classes = spark.createDataFrame(rows, "sid bigint, comp bigint, tokens array<bigint>")
+    found = {}
+    for passes in (1, 3):
+        parts = shared_posts(classes, JaccardConfig(passes=passes, common=20))
+        assert len(parts) == passes
+        shares = [{tuple(r) for r in part.select("token", "sid", "pos", "common").collect()} for part in parts]
+        assert all(token % passes == k for k, share in enumerate(shares) for token, *_ in share)
+        found[passes] = set().union(*shares)
+    assert found[1] == found[3] == {(t, i, p, t >= 100) for i, _, tokens in rows for p, t in enumerate(tokens[:2]) if t >= 100 or t < 40 and len({j % 50 for j in range(t, 400, 40)}) > 1}
+    texts = _corpus(7)
+    sets = {k: shingle_set(t, JaccardConfig()) for k, t in texts}
+    low = {k: k for k in sets}
+    links = [(a, b) for a in sets for b in sets if len(sets[a]) and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
+    for _ in sets:
+        for a, b in links:
+            low[a] = min(low[a], low[b])
+    assert _found(spark, texts, passes=3) == {k: (len(v), low[k]) for k, v in sets.items()}
