@@ -16,6 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,18 +59,25 @@ class _WordHashes(dict):
 _words = _WordHashes()
 
 
-def shingle_set(text: str | None, config: JaccardConfig) -> np.ndarray:
-    """Sorted distinct 63-bit hashes of a text's shingles: A-Z lower-cased, words split at ASCII white space."""
-    words = text.encode().lower().split() if text else []
-    n = len(words)
-    if not n:
-        return np.zeros(0, np.uint64)
-    if n < config.words:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n) >> 1], np.uint64)
+def shingle_sets(texts: pa.Array, config: JaccardConfig) -> list[np.ndarray]:
+    """Sorted distinct 63-bit hashes of each text's shingles: A-Z lower-cased, words split at ASCII white space.
+
+    Words are split and told apart for the whole column, so each distinct word of it is hashed once, and shingles are mixed over all texts at once; those that would
+    reach into the next text are left out.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = split.flatten()
+    some = pc.greater(pc.binary_length(flat), 0)  # a text that starts or ends with white space gives empty words
+    before = np.r_[0, np.cumsum(some.to_numpy(zero_copy_only=False))]
+    bounds = before[np.r_[0, np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]]
+    coded = flat.filter(some).dictionary_encode()
     if len(_words) > config.memory:
         _words.clear()
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, n)
-    size = n - config.words + 1
+    distinct = coded.dictionary.cast(pa.large_string())
+    ends = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1].tolist() if len(distinct) else [0]
+    raw = distinct.buffers()[2].to_pybytes() if len(distinct) else b""
+    h = np.fromiter((_words[raw[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)), np.uint64, len(distinct))[coded.indices.to_numpy()]
+    size = max(0, len(h) - config.words + 1)
     mixed = np.zeros(size, np.uint64)
     for k in range(config.words):
         mixed += (h[k : k + size] * MIX[k % len(MIX)]) ^ np.uint64(k)
@@ -78,7 +86,22 @@ def shingle_set(text: str | None, config: JaccardConfig) -> np.ndarray:
     mixed ^= mixed >> np.uint64(32)
     mixed *= MIX[0]
     mixed ^= mixed >> np.uint64(29)
-    return np.unique(mixed >> np.uint64(1))
+    mixed >>= np.uint64(1)
+    out = []
+    for i, (start, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        n = end - start
+        if 0 < n < config.words:
+            words = texts[i].as_py().encode().lower().split()
+            out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n) >> 1], np.uint64))
+        else:
+            own = np.sort(mixed[start : end - config.words + 1]) if n else mixed[:0]
+            out.append(own[np.r_[True, own[1:] != own[:-1]]] if n else own)
+    return out
+
+
+def shingle_set(text: str | None, config: JaccardConfig) -> np.ndarray:
+    """The shingles of one text, see :func:`shingle_sets`."""
+    return shingle_sets(pa.array([text], pa.string()), config)[0]
 
 
 def _front(n: int, config: JaccardConfig) -> int:
@@ -114,7 +137,7 @@ def sketches(docs: DataFrame, config: JaccardConfig, key: str, text: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text):
-            rows = [shingle_set(t, config) for t in values(batch, text)]
+            rows = shingle_sets(batch.column(batch.schema.get_field_index(text)), config)
             below = [int(np.searchsorted(s, cut)) for s in rows]
             posts = [s[: max(b, _front(len(s), config))] if len(s) else s for s, b in zip(rows, below, strict=True)]
             mins = [(s[:, None] * PERMUTE[None, :]).min(0).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in rows]
@@ -158,33 +181,37 @@ def leader_candidates(classes: DataFrame, comps: DataFrame | None, draw: int, co
 def compare_texts(pairs: DataFrame, texts: DataFrame, config: JaccardConfig) -> DataFrame:
     """``pairs`` (a, b) with ``na``, ``nb``, ``both`` (size of the intersection), out of whole ``texts`` (sid, text).
 
-    A side's text comes with each pair; a worker keeps the sets of the last few documents, and pairs arrive sorted by ``a``.
+    A side's text comes with each pair; pairs arrive sorted by ``a``, whose set a worker makes once for a run of pairs.
     """
     left = texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, np.ndarray] = {}
-
-        def of(sid: int, column: pa.Array, i: int) -> np.ndarray:
-            if sid not in kept:
-                if len(kept) > 64:
-                    kept.clear()
-                kept[sid] = shingle_set(column[i].as_py(), config)
-            return kept[sid]
-
+        kept: tuple[int | None, np.ndarray] = (None, np.zeros(0, np.uint64))
         for batch in small_batches(batches, "text_b"):
             rows = []
-            ta, tb = batch.column(2), batch.column(3)
-            for i, (a, b) in enumerate(zip(values(batch, "a"), values(batch, "b"), strict=True)):
-                x, y = of(a, ta, i), of(b, tb, i)
-                rows.append((a, b, len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
+            left, right = values(batch, "a"), shingle_sets(batch.column(3), config)
+            first = [i for i, a in enumerate(left) if a != (left[i - 1] if i else kept[0])]
+            sets = dict(zip(first, each_set(batch.column(2), first, config), strict=True))
+            for i, (a, b, y) in enumerate(zip(left, values(batch, "b"), right, strict=True)):
+                kept = (a, sets[i]) if i in sets else kept
+                rows.append((a, b, len(kept[1]), len(y), len(np.intersect1d(kept[1], y, assume_unique=True))))
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(5)], names=["a", "b", "na", "nb", "both"])
 
     return joined.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, both bigint")
 
 
+def each_set(texts: pa.Array, at: list[int], config: JaccardConfig, most: int = 8 << 20) -> Iterator[np.ndarray]:
+    """Sets of the texts at the places ``at``, made for about ``most`` bytes of text at once."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)[at]) if at else np.zeros(0, np.int64)
+    start = 0
+    while start < len(at):
+        end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most, "right")))
+        yield from shingle_sets(texts.take(pa.array(at[start:end])), config)
+        start = end
+
+
 def texts_of(docs: DataFrame, sids: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
     """(sid, text) of the classes ``sids``: the text of each class's representative row, found by its key and its text's digest."""
     wanted = classes.join(sids.select("sid").distinct(), "sid", "left_semi").select("sid", F.col("low").alias("_key"), "text_digest")
@@ -399,9 +426,7 @@ def group_links(groups: DataFrame, texts: DataFrame, config: JaccardConfig) -> D
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in small_batches(batches, "text"):
-            column = batch.column(2)
-            for i, (g, sid) in enumerate(zip(values(batch, "group"), values(batch, "sid"), strict=True)):
-                tokens = shingle_set(column[i].as_py(), config)
+            for g, sid, tokens in zip(values(batch, "group"), values(batch, "sid"), shingle_sets(batch.column(2), config), strict=True):
                 if g != name:
                     if group is not None:
                         yield finished()
@@ -449,10 +474,14 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
         comps = stored(components(links), "components")
     release()
 
-    # Pairs that the index brings together.
-    known = classes.join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid"))
-    posts = shared_posts(known, config)
-    entries = stored(front_entries(known, reduce(DataFrame.unionByName, posts), config), "entries")
+    # Pairs that the index brings together. Classes are written again with their components: each pass over their tokens reads them twice, in place of as many joins.
+    known = classes.drop("mins").join(comps.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("component", "sid")).drop("component")
+    known = stored(known, "known-classes")
+    discard(classes)
+    release()
+    classes = known
+    posts = shared_posts(classes, config)
+    entries = stored(front_entries(classes, reduce(DataFrame.unionByName, posts), config), "entries")
     discard(*posts)
     release()
     met = stored(open_groups(index_blocks(entries, config), classes.select("sid", "odd"), config), "open-groups")
@@ -466,8 +495,7 @@ def similar_documents(docs: DataFrame, config: JaccardConfig = JaccardConfig(),
     release()
 
     # Every row's component by its class.
-    ids = classes.select("digest", "sid", "low").join(comps.withColumnRenamed("node", "sid"), "sid", "left").select(
-        "digest", "low", F.coalesce("component", "sid").alias("comp"))
+    ids = classes.select("digest", "low", "comp")
     ids = ids.join(final.select(F.col("node").alias("comp"), "component"), "comp", "left").select("digest", "low", F.coalesce("component", "comp").alias("comp"))
     ids = stored(ids, "class-components")
     lowest = ids.groupBy("comp").agg(F.min("low").alias("component_id"))

@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from brute import jaccard, smallest_reachable
 
+from catalith.llm import jaccard as operator
 from catalith.llm.jaccard import JaccardConfig, _Group, shared_posts, shingle_set, similar_documents
 
 
@@ -117,3 +119,26 @@ def test_posts_in_passes(spark):
         for a, b in links:
             low[a] = min(low[a], low[b])
     assert _found(spark, texts, passes=3) == {k: (len(v), low[k]) for k, v in sets.items()}
+
+
+def test_passes_read_stored_components_and_join_nothing(spark, monkeypatch):
+    rows, seen = _corpus(8), []
+
+    def watched(classes, config):
+        seen.append(classes._jdf.queryExecution().toString())
+        return shared_posts(classes, config)
+
+    monkeypatch.setattr(operator, "shared_posts", watched)
+    assert _found(spark, rows) == jaccard(rows)
+    assert len(seen) == 1 and "Join" not in seen[0]
+
+
+def test_sets_of_a_column_are_the_sets_of_its_texts():
+    rng = random.Random(3)
+    texts = [None, "", " \n", "a", " A b ", "a b c d e f a b c d e f"] + ["".join(rng.choice("aAbÄ \t\n\x0b\x0c\r\x1c\x85") for _ in range(rng.randrange(50))) for _ in range(300)]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["cut off", *texts], kind).slice(1)
+        for text, tokens in zip(texts, operator.shingle_sets(column, JaccardConfig()), strict=True):
+            words = (text or "").encode().lower().split()
+            assert len(tokens) == len({tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else ()))
+            assert tokens.tolist() == shingle_set(text, JaccardConfig()).tolist() == sorted(set(tokens.tolist()))
