@@ -160,7 +160,7 @@ def exported_tag_counts(spark, sf):
     registry = default_registry()
     tags = F.create_map(F.lit("Old"), F.lit(25), F.lit('Fast "1"'), F.col("p_size"))
     payloads = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), F.parse_json(F.to_json(F.struct(tags.alias("tags")))).alias("payload"))
-    wide = extract(payloads, "steamspy", registry).select(F.col("id").alias("RowId"), "SteamSpy_TagsTop")
+    wide = materialize(extract(payloads, "steamspy", registry).select(F.col("id").alias("RowId"), "SteamSpy_TagsTop"), "tags")
     envelope = ev.to_envelope(wide, registry)
     json_view = ev.export_json_view(envelope, ev.manifest_of(["RowId", "SteamSpy_TagsTop"], registry), registry)
     exported = json_view.select(F.get_json_object("value", "$.RowId").alias("id"), F.get_json_object("value", "$.SteamSpy_TagsTop").alias("exported"))
