@@ -67,22 +67,23 @@ def score_bounds(q: Column, c: Column, qt: Column, ct: Column) -> tuple[Column,
     return least, most
 
 
-def once_per_pair(df: DataFrame, columns: list[str], add: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def once_per_pair(df: DataFrame, columns: list[str], add: Callable[[DataFrame], DataFrame], source: DataFrame | None = None) -> DataFrame:
     """``df`` with what ``add`` derives from ``columns`` alone, derived once for each distinct combination of them.
 
-    Titles repeat in candidates: many rows ask for a name, and a record answers many. ``df`` is written once; its combinations, reduced before they are
-    shuffled, are judged and stored, and what was found is merged back. Both sides of that join are plain shuffles, so a combination that many rows hold is
-    split by adaptive skew handling. A hash goes before the texts, so that sorting compares numbers.
+    Titles repeat in candidates: many rows ask for a name, and a record answers many. ``df`` is written once, unless its combinations can be read from ``source``,
+    a stored table. The combinations, reduced before they are shuffled, are judged and stored, and what was found is merged back: few of them are broadcast, so
+    that candidates stay where they lie; else both sides of the join are plain shuffles, and a combination that many rows hold is split by adaptive skew handling.
+    A hash goes before the texts, so that sorting compares numbers.
     """
-    stored = materialize(df, "candidates")
-    found = add(stored.select(*columns).distinct())
+    stored = materialize(df, "candidates") if source is None else df
+    found = add((stored if source is None else source).select(*columns).distinct())
     side = materialize(found, "pairs").select(
         F.xxhash64(*columns).alias("__pair"), *[F.col(c).alias(f"__same_{c}") for c in columns], *[c for c in found.columns if c not in columns]
     )
     same = F.xxhash64(*columns) == F.col("__pair")
     for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"__same_{c}"))
-    return stored.join(side.hint("merge"), same).drop("__pair", *[f"__same_{c}" for c in columns])
+    return stored.join(side, same).drop("__pair", *[f"__same_{c}" for c in columns])
 
 
 def title_facts(df: DataFrame, query: str, name: str, prefix: str = "m_") -> DataFrame:
@@ -117,11 +118,12 @@ def score_candidates(
     keys: list[str] | None = None,
     code: Column | None = None,
     judge: Callable[[DataFrame], DataFrame] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the ranking facts of each (query, candidate) row: raw and adjusted score, exactness, add-on flag, differences.
 
     ``year_hint``/``candidate_year`` are optional INT columns; a hint without a candidate year costs 8 points. Pairs of titles are scored once each, together
-    with the columns that ``judge`` derives from them (see :func:`once_per_pair`). With ``keys``, the groups of which only the best is wanted (by ``code`` and
+    with the columns that ``judge`` derives from them (see :func:`once_per_pair`, also for ``source``). With ``keys``, the groups of which only the best is wanted (by ``code`` and
     then by adjusted score), rows are scored instead, and a candidate whose greatest possible score is below the least possible of another one of its group is
     not scored: its scores are NULL. The rows of a group then meet in one task, in a window.
     """
@@ -136,7 +138,7 @@ def score_candidates(
             facts = title_facts(judge(pairs) if judge else pairs, query, name, prefix)
             return with_scores(facts, {f"{prefix}raw": (q, c)}).drop(*inner)
 
-        out = once_per_pair(df, titles, scored_pairs)
+        out = once_per_pair(df, titles, scored_pairs, source)
     if year_hint and candidate_year:
         delta = F.abs(F.col(candidate_year) - F.col(year_hint))
         year_points = (

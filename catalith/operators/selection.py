@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catalith.constants import MATCHING, MatchConfig
 from catalith.functions.fuzzy import with_fuzzy_scores
@@ -48,11 +49,15 @@ def _near(year: Column, hint: Column, tolerance: int) -> Column:
     return hint.isNotNull() & year.isNotNull() & (F.abs(year - hint) <= tolerance)
 
 
-def search_hits(queries: DataFrame, hits: DataFrame, term: str = "term") -> DataFrame:
-    """Candidates of each query row: an equi-join on the row that asked where hits name it, which spreads like the rows; else on the search text."""
+def search_hits(queries: DataFrame, hits: DataFrame, term: str = "term", by_row: bool = False) -> DataFrame:
+    """Candidates of each query row: an equi-join on the row that asked where hits name it, which spreads like the rows; else on the search text.
+
+    With ``by_row`` they are shuffled by the row that asked, to be laid out by it (see :func:`materialize`).
+    """
     if "query" not in hits.columns:
-        return queries.join(hits, "row_id")
-    return queries.join(hits.withColumnRenamed("query", "__query"), F.col(term) == F.col("__query")).drop("__query")
+        return queries.join(hits.hint("merge") if by_row else hits, "row_id")
+    found = queries.join(hits.withColumnRenamed("query", "__query"), F.col(term) == F.col("__query")).drop("__query")
+    return found.repartition("row_id") if by_row else found
 
 
 def with_name_predicates(df: DataFrame, name: str = "cand_name", term: str = "term") -> DataFrame:
@@ -336,16 +341,19 @@ def select_playtime(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATC
     )
 
 
-def entity_terms(queries: DataFrame) -> DataFrame:
-    """Texts that the knowledge base is searched with: the title, then with a "video game" suffix."""
-    plain = queries.withColumn("term", text(F.col("name")))
+def _entity_tries(term: Column) -> Column:
+    """A title's searches: itself, then with a "video game" suffix."""
     suffixes = F.array(
-        F.struct(F.lit(1).alias("no"), F.concat(F.col("term"), F.lit(" video game")).alias("t")),
-        F.struct(F.lit(2).alias("no"), F.concat(F.col("term"), F.lit(" (video game)")).alias("t")),
+        F.struct(F.lit(1).alias("no"), F.concat(term, F.lit(" video game")).alias("t")),
+        F.struct(F.lit(2).alias("no"), F.concat(term, F.lit(" (video game)")).alias("t")),
     )
-    own = F.array(F.struct(F.lit(0).alias("no"), F.col("term").alias("t")))
-    tries = F.when(F.contains(F.lower("term"), F.lit("video game")), own).otherwise(F.concat(own, suffixes))
-    return plain.withColumn("__tries", tries).select("row_id", "year_hint", F.inline("__tries").alias("term_no", "term"))
+    own = F.array(F.struct(F.lit(0).alias("no"), term.alias("t")))
+    return F.when(F.contains(F.lower(term), F.lit("video game")), own).otherwise(F.concat(own, suffixes))
+
+
+def entity_terms(queries: DataFrame) -> DataFrame:
+    """Texts that the knowledge base is searched with: the title, then with a "video game" suffix."""
+    return queries.select("row_id", "year_hint", F.inline(_entity_tries(text(F.col("name")))).alias("term_no", "term"))
 
 
 def select_entity(
@@ -356,46 +364,56 @@ def select_entity(
     ``hits``: ``query, pos, id, label, description``; ``instances``: ``id, instance_of (list), description``. Titles
     without an accepted match are tried again with a "video game" suffix.
     """
-    terms = entity_terms(queries)
-    own = materialize(_entity_pick(terms.where("term_no = 0"), hits, instances, cfg, legacy_tiebreak), "entity-own")
-    unsettled = own.where(F.col("outcome") == "retry").select("row_id")
-    again = _entity_pick(terms.where("term_no > 0").join(unsettled, "row_id", "left_semi"), hits, instances, cfg, legacy_tiebreak)
-    retried = best_per_group(again.where(F.col("outcome") == "accepted"), ["row_id"], [-F.col("term_no")], ["id", "label", "score"])
-    return own.where(F.col("outcome") == "accepted").select("row_id", "id", "label", "score").unionByName(retried)
-
-
-def _entity_pick(terms: DataFrame, hits: DataFrame, instances: DataFrame, cfg: MatchConfig, legacy: bool) -> DataFrame:
-    """(row_id, term_no, outcome, id, label, score) of each search."""
     inst = text(F.array_join("instance_of", ", "))
     demo = F.contains(F.lower(inst), F.lit("game demo")) | F.contains(F.lower(inst), F.lit("content descriptor"))
     known = instances.select(
         F.col("id").alias("__iid"), valid_instance(inst).alias("real"), demo.alias("demo"), (valid_instance(inst) | describes_game(F.col("description"))).alias("proof")
     )
+    # Records meet their instances before they meet the searches, so the rows, once laid out by search, are not shuffled again.
+    told = hits.join(known, F.col("id") == F.col("__iid"), "left").withColumn("known", F.col("__iid").isNotNull()).drop("__iid")
+    terms = entity_terms(queries)
+    found = materialize(search_hits(terms.where("term_no = 0"), told, by_row=True), "entity-found", "row_id")
+    own = materialize(_entity_pick(found, cfg, legacy_tiebreak, found), "entity-own", "row_id")
+    unsettled = own.where(F.col("outcome") == "retry").select("row_id").hint("shuffle_hash")
+    if "query" in hits.columns:
+        again = search_hits(terms.where("term_no > 0").join(unsettled, "row_id", "left_semi"), told, by_row=True)
+        again = materialize(again, "entity-again", "row_id")
+    else:
+        tries = F.inline(_entity_tries(F.col("term"))).alias("term_no", "term")
+        again = found.join(unsettled, "row_id", "left_semi").select(*[c for c in found.columns if c not in ("term_no", "term")], tries).where("term_no > 0")
+    again = _entity_pick(again, cfg, legacy_tiebreak, again if "query" in hits.columns else found)
+    retried = best_per_group(again.where(F.col("outcome") == "accepted"), ["row_id"], [-F.col("term_no")], ["id", "label", "score"])
+    return own.where(F.col("outcome") == "accepted").select("row_id", "id", "label", "score").unionByName(retried)
+
+
+def _about(descriptions: DataFrame) -> DataFrame:
     about = F.col("description")
-    told = hits.withColumns(
+    return descriptions.withColumns(
         {"game": describes_game(about), "unwanted": describes_unwanted(about), "media": describes_other_media(about), "desc_year": year_in_text(about)}
-    ).drop("description")
-    cand = search_hits(terms, told).join(known, F.col("id") == F.col("__iid"), "left")
-    cand = cand.withColumns({"known": F.col("__iid").isNotNull(), "proof": F.col("game") | F.coalesce("proof", F.lit(False))}).drop("__iid")
+    )
+
+
+def _entity_pick(found: DataFrame, cfg: MatchConfig, legacy: bool, described: DataFrame) -> DataFrame:
+    """(row_id, term_no, outcome, id, label, score) of each search, from rows that lie by search; ``described``: stored rows with their descriptions."""
+    cand = once_per_pair(found, ["description"], _about, described).drop("description")
+    cand = cand.withColumn("proof", F.col("game") | F.coalesce("proof", F.lit(False)))
     scored = score_candidates(
-        cand, "term", "label", "year_hint", "desc_year", judge=lambda pairs: pairs.withColumn("adds", adds_tokens(F.col("term"), F.col("label")))
+        cand, "term", "label", "year_hint", "desc_year", judge=lambda pairs: pairs.withColumn("adds", adds_tokens(F.col("term"), F.col("label"))), source=found
     ).withColumn("score", F.col("m_adjusted"))
     keys = ["row_id", "term_no"]
     order = F.struct(*rank_key("label", "id", F.col("pos"), legacy_tiebreak=legacy))
     row = F.struct(order.alias("k"), F.struct("id", "label", "score", "adds", "media", "known", "demo", "proof").alias("p"))
-    # Written once: a search's tiers, its nearest labels and the best valid one of them start from the same rows.
-    scored = materialize(scored.select(*keys, "id", "pos", "m_raw", "real", "game", "unwanted", row.alias("row")), "entity-scored")
-    tiers = scored.groupBy(*keys).agg(
+    # A valid instance counts when it is among the ten labels nearest to the title.
+    near = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("m_raw").desc(), F.col("pos").asc())) <= 10
+    scored = scored.select(*keys, "id", "real", "game", "unwanted", row.alias("row"), (near & F.col("real")).alias("near"))
+    scored = scored.withColumn("valid", F.max("near").over(Window.partitionBy(*keys, "id")) & F.col("real"))
+    t = scored.groupBy(*keys).agg(
         F.max(F.when(F.col("game") & ~F.col("unwanted"), F.col("row"))).alias("preferred"),
         F.max(F.when(F.col("game"), F.col("row"))).alias("gameish"),
         F.max("row").alias("anyone"),
         F.max(F.when(~F.col("row.p.adds"), F.col("row"))).alias("safer"),
+        F.max(F.when(F.col("valid"), F.col("row"))).alias("valid"),
     )
-    # Best valid instance among the ten labels nearest to the title.
-    near = first_n(scored.select(*keys, "id", "pos", "m_raw", "real"), keys, [F.col("m_raw").desc(), F.col("pos").asc()], 10)
-    valid_ids = near.where("real").select(*keys, "id")
-    valid = scored.where("real").join(valid_ids, [*keys, "id"], "left_semi").groupBy(*keys).agg(F.max("row").alias("valid"))
-    t = tiers.join(valid, keys, "left")
 
     def good(c: str) -> Column:
         return F.coalesce(F.col(f"{c}.p.score") >= cfg.min_score, F.lit(False))

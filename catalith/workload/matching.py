@@ -10,7 +10,7 @@ from catalith.functions.text import provider_dlc_like, title_tokens
 from catalith.operators.matching import narrow, once_per_pair, pick_best, ranked, with_alternatives
 from catalith.operators.selection import select_entity, select_igdb, select_playtime, select_rawg, select_store, with_name_predicates
 from catalith.workload import sql as s
-from catalith.workload.frames import HITS, SEARCHES, TITLES, duck, spark_frame
+from catalith.workload.frames import HITS, OWN_HITS, SEARCHES, TITLES, duck, spark_frame
 from catalith.workload.registry import query
 
 _ROWS = f"(SELECT r.row_id, r.name, r.year_hint, h.id, h.cand_name, h.cand_year, h.released FROM {duck(SEARCHES)} r JOIN {duck(HITS)} h USING (row_id))"
@@ -23,6 +23,8 @@ def _pairs(spark, sf):
 
 def _own_hits(spark, sf, *columns: str):
     """Every order's own lines as the hits of its search."""
+    if not columns:
+        return spark_frame(spark, sf, OWN_HITS)
     return spark_frame(spark, sf, HITS).select("row_id", F.col("id").alias("pos"), "id", "cand_name", *columns).distinct()
 
 
