@@ -81,8 +81,9 @@ def once_per_pair(df: DataFrame, columns: list[str], add: Callable[[DataFrame],
         F.xxhash64(*columns).alias("__pair"), *[F.col(c).alias(f"__same_{c}") for c in columns], *[c for c in found.columns if c not in columns]
     )
     same = F.xxhash64(*columns) == F.col("__pair")
-    for c in columns:
-        same = same & F.col(c).eqNullSafe(F.col(f"__same_{c}"))
+    for c in columns:  # not as equalities, which would become keys of the join, texts and all
+        a, b = F.col(c), F.col(f"__same_{c}")
+        same = same & (a.between(b, b) | (a.isNull() & b.isNull()))
     return stored.join(side, same).drop("__pair", *[f"__same_{c}" for c in columns])
 
 
@@ -240,13 +241,14 @@ def pick_best(
     pos: str | None = None,
     prune: bool = False,
     judge: Callable[[DataFrame], DataFrame] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Best candidate per group with its adjusted (``score``) and raw (``raw_score``) scores.
 
-    ``judge`` adds columns that hang on the two titles alone, for ``predicates``. ``prune`` scores only the candidates that bounds leave in question, at the price of a window over each group; for groups that are pages of hits.
+    ``judge`` adds columns that hang on the two titles alone, for ``predicates``; for ``source`` see :func:`once_per_pair`. ``prune`` scores only the candidates that bounds leave in question, at the price of a window over each group; for groups that are pages of hits.
     """
     code = preference(*(predicates or []))
-    scored = score_candidates(df, query, name, year_hint, candidate_year, keys=keys if prune else None, code=code, judge=judge)
+    scored = score_candidates(df, query, name, year_hint, candidate_year, keys=keys if prune else None, code=code, judge=judge, source=source)
     order = [
         code.alias("k_code"),
         *rank_key(name, id_, F.col(pos) if pos else None, legacy_tiebreak=legacy_tiebreak),

@@ -157,13 +157,57 @@ def select_igdb(queries: DataFrame, hits: DataFrame, cfg: MatchConfig = MATCHING
     return best.where(F.col("score") >= cfg.min_score).select("row_id", "id", "cand_name", "score")
 
 
+def _store_texts(name: Column, year_hint: Column) -> Column:
+    stripped = strip_trailing_year(name)
+    dated = F.when(year_hint.isNotNull(), F.concat(stripped, F.lit(" "), year_hint.cast("string")))
+    return F.array_distinct(F.array_compact(F.array(stripped, strip_edition_phrases(stripped), text(name), dated)))
+
+
 def store_terms(queries: DataFrame) -> DataFrame:
     """Texts that the store is searched with: the title without year, without edition words, as it is, and with the hinted year."""
-    name = text(F.col("name"))
-    stripped = strip_trailing_year(F.col("name"))
-    dated = F.when(F.col("year_hint").isNotNull(), F.concat(stripped, F.lit(" "), F.col("year_hint").cast("string")))
-    terms = F.array_distinct(F.array_compact(F.array(stripped, strip_edition_phrases(stripped), name, dated)))
-    return queries.withColumn("query_text", stripped).select("*", F.posexplode(terms).alias("term_no", "term"))
+    texts = _store_texts(F.col("name"), F.col("year_hint"))
+    return queries.withColumn("query_text", strip_trailing_year(F.col("name"))).select("*", F.posexplode(texts).alias("term_no", "term"))
+
+
+def _store_judged(pairs: DataFrame) -> DataFrame:
+    """What the store rule asks of a title and a candidate's: the preference code, the year, add-on words and whether series numbers differ."""
+    pairs = pairs.withColumns(
+        {
+            "__q": normalize_title(F.col("query_text")),
+            "__c": normalize_title(F.col("cand_name")),
+            "__base": normalize_title(strip_edition_phrases(F.col("query_text"))),
+            "__bare": strip_edition_tokens(F.col("query_text")),
+        }
+    )
+    q, c, bare = F.col("__q"), F.col("__c"), F.col("__bare")
+    same_base = (
+        (bare != "")
+        & ~store_has_series_number(bare)
+        & (F.coalesce(F.col("cand_name"), F.lit("")) != "")
+        & (strip_edition_tokens(F.col("cand_name")) == bare)
+        & ~store_has_series_number(c)
+    )
+    pairs = pairs.withColumns({"query_dlc": provider_dlc_like(tokens(q)), "cand_dlc": provider_dlc_like(tokens(c)), "cand_year": year_in_text(F.col("cand_name"))})
+    return pairs.withColumns(
+        {
+            "code": preference(c == q, c == F.col("__base"), same_base, F.col("query_dlc") | ~F.col("cand_dlc")),
+            "other_number": match_series_numbers(q) != match_series_numbers(c),
+        }
+    ).drop("__q", "__c", "__base", "__bare")
+
+
+def _detail_facts(details: DataFrame) -> DataFrame:
+    """What the store rule asks of an app's details, found once per app."""
+    return details.select(
+        F.col("id").alias("__id"), "d_name", F.lower(text(F.col("d_type"))).alias("d_kind"), _is_dlc(F.col("d_name")).alias("d_dlc"), year_in_text(F.col("d_date")).alias("d_year")
+    )
+
+
+def _same_id(left: DataFrame, facts: DataFrame) -> Column:
+    """Ids of one type meet as they are, so that rows that lie by their id stay there; else as text."""
+    a, b = F.col("id"), F.col("__id")
+    alike = left.schema["id"].dataType == facts.schema["__id"].dataType and left.schema["id"].dataType.typeName() in ("integer", "long", "string")
+    return a == b if alike else a.cast("string") == b.cast("string")
 
 
 def select_store(
@@ -176,114 +220,88 @@ def select_store(
 ) -> DataFrame:
     """Store rule with a second look at details.
 
-    ``hits``: ``query, pos, id, cand_name, cand_type``; ``details``: ``id, d_name, d_type, d_date``;
+    ``hits``: ``query, pos, id, cand_name, cand_type``; ``details``: ``id, d_name, d_type, d_date``, one row per id;
     ``packages``: ``package_id, pos, app_id``. The first search term with apps counts. The pick is re-ranked among at
     most ten candidates by their details when it looks suspicious, and refused when it is no game in the end. Result:
     ``row_id, id, cand_name, score, release_year, rejected_reason``; refused rows keep the reason and no id.
     """
-    terms = store_terms(queries)
-    found = search_hits(terms, hits)
+    facts = _detail_facts(details)
     kind = F.lower(text(F.col("cand_type")))
-    apps = found.where(kind.isin("", "app", "game") & (text(F.col("id")) != ""))
-    first_term = apps.groupBy("row_id").agg(F.min("term_no").alias("term_no"))
-    cand = apps.join(first_term, ["row_id", "term_no"])
+    told = hits.withColumns({"app": kind.isin("", "app", "game") & (text(F.col("id")) != ""), "sub": kind == "sub"}).where("app or sub").drop("cand_type")
+    # Hits meet their details before they meet the searches, so the rows, once laid out by search, are not shuffled again.
+    told = told.join(facts, _same_id(told, facts), "left").withColumn("listed", F.col("__id").isNotNull()).drop("__id")
+    if "query" in hits.columns:
+        asked = store_terms(queries).select("row_id", "name", "year_hint", "query_text", "term_no", "term")
+    else:  # every term finds the hits of its row, so the first one has them all
+        asked = queries.select("row_id", "name", "year_hint", strip_trailing_year(F.col("name")).alias("query_text"), F.lit(0).alias("term_no"))
+    found = materialize(search_hits(asked, told, by_row=True), "store-found", "row_id")
+    cand = found.where("app")
+    if "query" in hits.columns:
+        first_term = cand.groupBy("row_id").agg(F.min("term_no").alias("__first"))
+        cand = cand.join(first_term, "row_id").where(F.col("term_no") == F.col("__first")).drop("__first")
 
-    query_dlc, cand_dlc = _is_dlc(F.col("query_text")), _is_dlc(F.col("cand_name"))
-    base_norm = normalize_title(strip_edition_phrases(F.col("query_text")))
-    bare = strip_edition_tokens(F.col("query_text"))
-    same_base = (
-        (bare != "")
-        & ~store_has_series_number(bare)
-        & (F.coalesce(F.col("cand_name"), F.lit("")) != "")
-        & (strip_edition_tokens(F.col("cand_name")) == bare)
-        & ~store_has_series_number(normalize_title(F.col("cand_name")))
-    )
-    cand = cand.withColumns(
-        {
-            "code": preference(
-                normalize_title(F.col("cand_name")) == normalize_title(F.col("query_text")),
-                normalize_title(F.col("cand_name")) == base_norm,
-                same_base,
-                query_dlc | ~cand_dlc,
-            ),
-            "cand_year": year_in_text(F.col("cand_name")),
-        }
-    )
-    scored = score_candidates(cand, "query_text", "cand_name", "year_hint", "cand_year")
+    scored = score_candidates(cand, "query_text", "cand_name", "year_hint", "cand_year", judge=_store_judged, source=found.where("app"))
     scored = scored.withColumn("score", F.col("m_adjusted"))
     order = [F.col("code").alias("k_code"), *rank_key("cand_name", "id", F.col("pos"), legacy_tiebreak=legacy_tiebreak)]
     keys = ["row_id", "query_text", "year_hint"]
-    best = best_per_group(scored, keys, order, ["id", "cand_name", "code", "score"])
-
-    facts = details.select(F.col("id").cast("string").alias("__id"), "d_name", "d_type", "d_date")
-
-    def with_details(df: DataFrame) -> DataFrame:
-        return df.join(facts, F.col("id").cast("string") == F.col("__id"), "left")
-
-    d_type, d_name = F.lower(text(F.col("d_type"))), text(F.col("d_name"))
-    d_dlc = _is_dlc(F.col("d_name"))
-    q_nums = match_series_numbers(normalize_title(F.col("query_text")))
-    c_nums = match_series_numbers(normalize_title(F.col("cand_name")))
-    first = with_details(best).withColumns(
-        {
-            "valid_game": F.when(~query_dlc, F.col("__id").isNotNull() & (d_type == "game") & ~d_dlc),
-            "query_dlc": query_dlc,
-        }
-    )
+    facts_of_pick = ["query_dlc", "cand_dlc", "other_number", "listed", "d_kind", "d_dlc", "d_year"]
+    best = best_per_group(scored, keys, order, ["id", "cand_name", "code", "score", *facts_of_pick])
+    valid_game = F.when(~F.col("query_dlc"), F.col("listed") & (F.col("d_kind") == "game") & ~F.col("d_dlc"))
+    must = ~F.coalesce(valid_game, F.lit(True))
     suspicious = (
         F.col("year_hint").isNotNull()
         | (F.col("score") < cfg.suspicious_score)
-        | (cand_dlc & ~F.col("query_dlc"))
-        | ~F.coalesce(F.col("valid_game"), F.lit(True))
-        | (q_nums != c_nums)
+        | (F.col("cand_dlc") & ~F.col("query_dlc"))
+        | must
+        | F.col("other_number")
     )
-    # Written once: the second look and the choice both start from the first picks, each with the plan of all before it.
-    first = materialize(first.withColumn("suspicious", suspicious).drop("__id", "d_name", "d_type", "d_date"), "store-first")
+    # Written once: the second look, the choice and the packages start from the first picks.
+    first = materialize(best.withColumns({"must": must, "suspicious": suspicious}), "store-first", "row_id")
 
-    tops = first.where("suspicious").select("row_id", F.col("code").alias("top_code"))
-    survivors = cand.join(tops, "row_id").where(F.col("code") == F.col("top_code"))
+    tops = first.where("suspicious").select("row_id", F.col("code").alias("top_code")).hint("shuffle_hash")
+    looked = scored.select("row_id", "query_text", "year_hint", "id", "pos", "code", "query_dlc", "listed", "d_name", "d_kind", "d_dlc", "d_year")
+    # A range, since equal codes would become a key of the join, by which the rows do not lie.
+    survivors = looked.join(tops, "row_id").where(F.col("code").between(F.col("top_code"), F.col("top_code")))
     sample = first_n(survivors, ["row_id"], [F.col("pos").asc()], cfg.refine_candidates)
-    sampled = with_details(sample.select("row_id", "query_text", "year_hint", "id", "pos")).where(d_type == "game")
-    sampled = sampled.where(query_dlc | ~d_dlc).withColumn("d_year", year_in_text(F.col("d_date")))
+    sampled = sample.where(F.col("listed") & (F.col("d_kind") == "game") & (F.col("query_dlc") | ~F.col("d_dlc")))
     second = pick_best(
-        materialize(sampled, "store-second"), ["row_id"], "query_text", "d_name", "id", ["id", "d_name", "d_year"], "year_hint", "d_year",
-        legacy_tiebreak=legacy_tiebreak, pos="pos",
-    ).select("row_id", F.col("id").alias("id2"), F.col("d_name").alias("name2"), F.col("score").alias("score2"))
-
-    must = ~F.coalesce(F.col("valid_game"), F.lit(True))
-    swap = F.coalesce(
-        (F.col("score2") >= cfg.min_score) & (must | (F.col("score2") >= F.greatest("score", F.lit(cfg.min_score)))),
-        F.lit(False),
-    )
-    chosen = first.join(second, "row_id", "left").select(
+        sampled, ["row_id"], "query_text", "d_name", "id", ["id", "d_name", "d_dlc", "d_year"], "year_hint", "d_year",
+        legacy_tiebreak=legacy_tiebreak, pos="pos", source=found.where("app and listed and d_kind = 'game'"),
+    ).select("row_id", F.struct("id", F.col("d_name").alias("cand_name"), "score", "d_dlc", "d_year").alias("other"))
+
+    score2 = F.col("other.score")
+    swap = F.coalesce((score2 >= cfg.min_score) & (F.col("must") | (score2 >= F.greatest("score", F.lit(cfg.min_score)))), F.lit(False))
+
+    def pick(name: str, other: Column) -> Column:
+        return F.when(F.col("swap"), other).otherwise(F.col(name)).alias(name)
+
+    chosen = first.join(second, "row_id", "left").withColumn("swap", swap).select(
         "row_id",
-        "query_text",
         "query_dlc",
-        F.when(swap, F.col("id2")).otherwise(F.col("id")).alias("id"),
-        F.when(swap, F.col("name2")).otherwise(F.col("cand_name")).alias("cand_name"),
-        F.when(swap, F.col("score2")).otherwise(F.col("score")).alias("score"),
+        *[pick(c, F.col(f"other.{c}")) for c in ("id", "cand_name", "score", "d_dlc", "d_year")],
+        pick("cand_dlc", F.col("other.d_dlc")),
+        pick("listed", F.lit(True)),
+        pick("d_kind", F.lit("game")),
     )
-    chosen = with_details(chosen)
     reason = F.when(
         ~F.col("query_dlc"),
-        F.when(F.col("__id").isNull(), "details_missing")
-        .when((d_type != "") & (d_type != "game"), F.concat(F.lit("type_"), d_type))
-        .when(((d_name != "") & d_dlc) | cand_dlc, "dlc_like"),
+        F.when(~F.col("listed"), "details_missing")
+        .when((F.col("d_kind") != "") & (F.col("d_kind") != "game"), F.concat(F.lit("type_"), F.col("d_kind")))
+        .when(F.col("d_dlc") | F.col("cand_dlc"), "dlc_like"),
     )
     reason = F.coalesce(reason, F.when(F.col("score") < cfg.min_score, "low_score"))
+    chosen = chosen.withColumn("reason", reason)
     result = chosen.select(
         "row_id",
-        F.when(reason.isNull(), F.col("id")).alias("id"),
-        F.when(reason.isNull(), F.col("cand_name")).alias("cand_name"),
-        F.when(reason.isNull(), F.col("score")).alias("score"),
-        F.when(reason.isNull(), year_in_text(F.col("d_date"))).alias("release_year"),
-        F.coalesce(reason, F.lit("")).alias("rejected_reason"),
+        *[F.when(F.col("reason").isNull(), F.col(c)).alias(out) for c, out in (("id", "id"), ("cand_name", "cand_name"), ("score", "score"), ("d_year", "release_year"))],
+        F.coalesce("reason", F.lit("")).alias("rejected_reason"),
     )
     if packages is None:
         return result
-    by_package = expand_packages(found.where(kind == "sub"), packages, facts, cfg)
-    only_packages = by_package.join(first_term, "row_id", "left_anti")
-    return result.unionByName(only_packages.withColumn("rejected_reason", F.lit("")))
+    subs = found.where("sub").select("row_id", "name", "query_text", "year_hint", "term_no", "pos", "id").join(first.select("row_id"), "row_id", "left_anti")
+    if "query" not in hits.columns:
+        subs = subs.drop("term_no").select("*", F.posexplode(_store_texts(F.col("name"), F.col("year_hint"))).alias("term_no", "__term")).drop("__term")
+    return result.unionByName(expand_packages(subs, packages, facts, cfg).withColumn("rejected_reason", F.lit("")))
 
 
 def expand_packages(subs: DataFrame, packages: DataFrame, facts: DataFrame, cfg: MatchConfig = MATCHING) -> DataFrame:
@@ -296,8 +314,7 @@ def expand_packages(subs: DataFrame, packages: DataFrame, facts: DataFrame, cfg:
         F.min(F.struct("package_no", "app_pos")).alias("first_seen")
     )
     tried = first_n(once, ["row_id"], [F.col("first_seen").asc()], cfg.refine_candidates, "app_no")
-    games = tried.join(facts, F.col("id") == F.col("__id")).where(F.lower(text(F.col("d_type"))) == "game")
-    games = games.withColumn("d_year", year_in_text(F.col("d_date")))
+    games = tried.join(facts, F.col("id") == F.col("__id").cast("string")).where(F.col("d_kind") == "game")
     best = pick_best(
         games, ["row_id"], "query_text", "d_name", "id", ["id", "d_name", "d_year"], "year_hint", "d_year", pos="app_no"
     )

@@ -46,3 +46,20 @@ def test_a_valid_record_counts_among_the_ten_nearest(spark, at, found):
     records = [(k, ["video game" if k == at else "film"], "") for k in range(12)]
     instances = spark.createDataFrame(records, "id long, instance_of array<string>, description string")
     assert [r.id for r in selection.select_entity(queries, hits, instances).collect()] == ([found] if found else [])
+
+
+def test_store_rows_are_not_shuffled_again(spark):
+    """Hits keyed by row and by text give one answer: an app, an app seen at the second look, a package's app; and their last step shuffles none of them."""
+    queries = spark.createDataFrame([(1, "Doom", 1993), (2, "Trine 2", None), (3, "Skyrim Complete Edition", 2011)], "row_id long, name string, year_hint int")
+    rows = [(1, 0, 30, "DOOM", "app"), (1, 1, 20, "DOOM", "app"), (2, 0, 11, "Trine 2 Demo", "app"), (2, 1, 12, "Trine 2", "app"), (2, 2, 90, "Trine 2", "sub"), (3, 0, 90, "Skyrim", "sub")]
+    by_row = spark.createDataFrame(rows, "row_id long, pos long, id long, cand_name string, cand_type string")
+    by_text = selection.store_terms(queries).select("row_id", F.col("term").alias("query")).join(by_row, "row_id").drop("row_id")
+    details = spark.createDataFrame(
+        [(30, "DOOM", "game", "2016"), (20, "DOOM", "game", "1993"), (11, "Trine 2 Demo", "demo", ""), (12, "Trine 2", "game", ""), (70, "Skyrim", "game", "2011"), (71, "Skyrim DLC", "dlc", "")],
+        "id long, d_name string, d_type string, d_date string",
+    )
+    packages = spark.createDataFrame([(90, 0, 71), (90, 1, 70)], "package_id long, pos long, app_id long")
+    for hits in (by_row, by_text):
+        got = selection.select_store(queries, hits, details, packages)
+        assert sorted((r.row_id, int(r.id), r.release_year) for r in got.collect()) == [(1, 20, 1993), (2, 12, None), (3, 70, 2011)]
+        assert _shuffles(selection.select_store(queries, hits, details)) == 0
