@@ -228,8 +228,8 @@ def select_store(
     facts = _detail_facts(details)
     kind = F.lower(text(F.col("cand_type")))
     told = hits.withColumns({"app": kind.isin("", "app", "game") & (text(F.col("id")) != ""), "sub": kind == "sub"}).where("app or sub").drop("cand_type")
-    # Hits meet their details before they meet the searches, so the rows, once laid out by search, are not shuffled again.
-    told = told.join(facts, _same_id(told, facts), "left").withColumn("listed", F.col("__id").isNotNull()).drop("__id")
+    # Hits meet their details before they meet the searches, so the rows, once laid out by search, are not shuffled again. Hits of a hot app stream past it.
+    told = told.join(facts.hint("shuffle_hash"), _same_id(told, facts), "left").withColumn("listed", F.col("__id").isNotNull()).drop("__id")
     if "query" in hits.columns:
         asked = store_terms(queries).select("row_id", "name", "year_hint", "query_text", "term_no", "term")
     else:  # every term finds the hits of its row, so the first one has them all
@@ -386,8 +386,8 @@ def select_entity(
     known = instances.select(
         F.col("id").alias("__iid"), valid_instance(inst).alias("real"), demo.alias("demo"), (valid_instance(inst) | describes_game(F.col("description"))).alias("proof")
     )
-    # Records meet their instances before they meet the searches, so the rows, once laid out by search, are not shuffled again.
-    told = hits.join(known, F.col("id") == F.col("__iid"), "left").withColumn("known", F.col("__iid").isNotNull()).drop("__iid")
+    # Hits meet their records before they meet the searches, so the rows, once laid out by search, are not shuffled again. Hits of a hot record stream past it.
+    told = hits.join(known.hint("shuffle_hash"), F.col("id") == F.col("__iid"), "left").withColumn("known", F.col("__iid").isNotNull()).drop("__iid")
     terms = entity_terms(queries)
     found = materialize(search_hits(terms.where("term_no = 0"), told, by_row=True), "entity-found", "row_id")
     own = materialize(_entity_pick(found, cfg, legacy_tiebreak, found), "entity-own", "row_id")
